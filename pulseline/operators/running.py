@@ -19,7 +19,9 @@ pieces, so
   partitioned on (key, chunk) by its window, so only the small side moves
   (and AQE may turn that join into a broadcast from its measured size).
 
-The result is exact; no rows are sampled or dropped.
+The same split gives a row's position in its key and the value of the
+preceding row across chunk borders (``chunked_position``).  Results are
+exact; no rows are sampled or dropped.
 """
 
 from __future__ import annotations
@@ -27,11 +29,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-AGGS = ("count", "sum", "min", "max")
-
-
-def _agg(kind: str, c: Column) -> Column:
-    return {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}[kind](c)
+_AGG = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+# how chunk totals fold into a prefix
+_PREFIX = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
 def _combine(kind: str, prefix: Column, local: Column) -> Column:
@@ -42,35 +42,63 @@ def _combine(kind: str, prefix: Column, local: Column) -> Column:
     return F.greatest(prefix, local)
 
 
-def chunked_running(df: DataFrame, keys: list[str], chunk: Column, order: list[Column],
+def _before(keys: list[str], chunk_col: str):
+    return (Window.partitionBy(*keys).orderBy(chunk_col)
+            .rowsBetween(Window.unboundedPreceding, -1))
+
+
+def _sorted(order: list[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in order]
+
+
+def chunked_running(df: DataFrame, keys: list[str], chunk_col: str, order: list[str],
                     measures: dict[str, tuple[str, Column]]) -> DataFrame:
-    """Add running aggregates per key in ``order``.
+    """Add running aggregates per key along ``order``.
 
-    ``measures`` maps output name -> (kind, column) with kind in
-    count/sum/min/max.  ``chunk`` must be non-decreasing along ``order``
-    within a key (e.g. a day number when ordering by timestamp).
+    ``measures`` maps output name -> (kind, column), kind in count/sum/min/
+    max.  ``chunk_col`` names an existing column that is non-decreasing
+    along ``order`` within a key (e.g. a day number when ordering by time).
+    ``order`` lists column names, ascending with NULLs first, and should be
+    unique within a key so running values are deterministic.
     """
-    ck = "_chunk"
-    base = df.withColumn(ck, chunk)
-    part = keys + [ck]
-    w_in = (Window.partitionBy(*part).orderBy(*order)
+    part = keys + [chunk_col]
+    w_in = (Window.partitionBy(*part).orderBy(*_sorted(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = base.select(
-        "*", *[_agg(kind, c).over(w_in).alias(f"_l_{name}")
+    local = df.select(
+        "*", *[_AGG[kind](c).over(w_in).alias(f"_l_{name}")
                for name, (kind, c) in measures.items()])
 
-    totals = base.groupBy(*part).agg(
-        *[_agg(kind, c).alias(f"_t_{name}") for name, (kind, c) in measures.items()])
-    w_ck = (Window.partitionBy(*keys).orderBy(ck)
-            .rowsBetween(Window.unboundedPreceding, -1))
+    totals = df.groupBy(*part).agg(
+        *[_AGG[kind](c).alias(f"_t_{name}") for name, (kind, c) in measures.items()])
     prefix = totals.select(
-        *part, *[(F.sum if kind in ("count", "sum") else F.min if kind == "min" else F.max)(
-            F.col(f"_t_{name}")).over(w_ck).alias(f"_p_{name}")
-            for name, (kind, _) in measures.items()])
+        *part, *[_PREFIX[kind](F.col(f"_t_{name}")).over(_before(keys, chunk_col))
+                 .alias(f"_p_{name}") for name, (kind, _) in measures.items()])
 
     joined = local.join(prefix, on=part, how="inner")
-    out = joined.select(
-        *[c for c in local.columns if not c.startswith("_l_") and c != ck],
+    return joined.select(
+        *df.columns,
         *[_combine(kind, F.col(f"_p_{name}"), F.col(f"_l_{name}")).alias(name)
           for name, (kind, _) in measures.items()])
-    return out
+
+
+def chunked_position(df: DataFrame, keys: list[str], chunk_col: str, order: list[str],
+                     value: str, pos_name: str = "pos", prev_name: str = "prev") -> DataFrame:
+    """Add the 1-based position of each row in its key and the ``value`` of
+    the preceding row of the key (NULL for the first)."""
+    part = keys + [chunk_col]
+    w_in = Window.partitionBy(*part).orderBy(*_sorted(order))
+    local = df.select("*", F.row_number().over(w_in).alias("_rn"),
+                      F.lag(value).over(w_in).alias("_lag"))
+    ord_struct = F.struct(*[F.col(c) for c in order])
+    totals = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_cnt"),
+                                   F.max_by(F.col(value), ord_struct).alias("_last"))
+    w_ck = Window.partitionBy(*keys).orderBy(chunk_col)
+    prefix = totals.select(
+        *part,
+        F.coalesce(F.sum("_cnt").over(_before(keys, chunk_col)), F.lit(0)).alias("_before"),
+        F.lag("_last").over(w_ck).alias("_prev_last"))
+    joined = local.join(prefix, on=part, how="inner")
+    return joined.select(
+        *df.columns,
+        (F.col("_before") + F.col("_rn")).alias(pos_name),
+        F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")).alias(prev_name))

@@ -18,9 +18,9 @@ KEY = "record_key"
 IDENTITY = ["trial_id", "patient_id", "visit_name"]
 
 
-def record_order() -> list[Column]:
-    """Explicit record order within a key: observation start, then sequence."""
-    return [F.col("start_ts").asc_nulls_first(), F.col("seq").asc_nulls_first()]
+# explicit record order within a key: observation start, then sequence
+ORDER = ["start_ts", "seq"]
+CHUNK = "_chunk"
 
 
 def day_chunk(days: int = 1) -> Column:
@@ -58,8 +58,9 @@ def running_summary(records: DataFrame, key: str = KEY, chunk_days: int = 1) ->
         "run_min": ("min", F.col("value")),
         "run_max": ("max", F.col("value")),
     }
-    base = records.select(key, *IDENTITY, "value", "start_ts", "seq", "start_date")
-    out = chunked_running(base, [key], day_chunk(chunk_days), record_order(), measures)
+    base = records.select(key, *IDENTITY, "value", "start_ts", "seq",
+                          day_chunk(chunk_days).alias(CHUNK))
+    out = chunked_running(base, [key], CHUNK, ORDER, measures)
     return out.select(
         key, *IDENTITY, "value", "start_ts", "seq",
         F.col("run_count").cast("bigint").alias("run_count"),

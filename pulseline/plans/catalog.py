@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseline.operators import compat
 from pulseline.operators import records as rec
 from pulseline.operators import report as rep
 from pulseline.operators import summary as summ
@@ -73,6 +74,14 @@ def alerts(spark, sf_dir):
         "record_key", "start_ts", "seq", "value", "variance", "alert")
 
 
+def compat_running(spark, sf_dir):
+    return compat.compat_running(_records(spark, sf_dir))
+
+
+def compat_latest(spark, sf_dir):
+    return compat.compat_latest(_records(spark, sf_dir))
+
+
 PLANS = {
     "filter_lines": filter_lines,
     "trial_records": trial_records,
@@ -85,4 +94,6 @@ PLANS = {
     "record_count": record_count,
     "rejects": rejects,
     "alerts": alerts,
+    "compat_running": compat_running,
+    "compat_latest": compat_latest,
 }

@@ -123,3 +123,33 @@ SELECT record_key, start_ts, seq, value, variance,
        CASE WHEN variance > 0 THEN 'high' ELSE 'low' END AS alert
 FROM rec WHERE abs(variance) > 10""",
 }
+
+
+# The literal fold, step by step, as a recursive CTE (independent of the
+# closed form used by the Spark plan).
+FOLD_CTES = [REC_CTE, """
+seqd AS (
+  SELECT *, row_number() OVER (PARTITION BY record_key ORDER BY start_ts, seq) AS n FROM rec
+)""", """
+fold(record_key, n, trial_id, patient_id, visit_name, value, start_ts, seq,
+     max_value, min_value, n_records, sum_value) AS (
+  SELECT record_key, n, '', '', '', value, start_ts, seq, 0, 1000, CAST(0 AS BIGINT),
+         CAST(0 AS BIGINT)
+  FROM seqd WHERE n = 1
+  UNION ALL
+  SELECT s.record_key, s.n, s.trial_id, s.patient_id, s.visit_name, s.value, s.start_ts, s.seq,
+         CASE WHEN s.value > f.max_value THEN s.value ELSE 0 END,
+         CASE WHEN s.value < f.min_value THEN s.value ELSE 2147483647 END,
+         f.n_records + 1, f.sum_value + s.value
+  FROM fold f JOIN seqd s ON s.record_key = f.record_key AND s.n = f.n + 1
+)"""]
+FOLD_SELECT = """
+SELECT record_key, trial_id, patient_id, visit_name, value, start_ts, seq,
+       CAST(max_value AS INTEGER) AS max_value, CAST(min_value AS INTEGER) AS min_value,
+       n_records, sum_value, CAST(sum_value // greatest(n_records, 1) AS BIGINT) AS avg_int
+FROM fold"""
+
+SQL["compat_running"] = "WITH RECURSIVE " + ",\n".join(FOLD_CTES) + FOLD_SELECT
+SQL["compat_latest"] = ("WITH RECURSIVE " + ",\n".join(FOLD_CTES) + FOLD_SELECT
+                        + " QUALIFY row_number() OVER (PARTITION BY record_key "
+                        "ORDER BY start_ts DESC, seq DESC) = 1")
