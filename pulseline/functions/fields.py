@@ -71,5 +71,7 @@ def stamp(date: Column, hhmmss: Column) -> Column:
 def space_tokens(text: Column) -> Column:
     """JVM ``String.split(" ")`` on a line: inner and leading empty tokens are
     kept, trailing ones dropped; '' -> [""]; a line of only spaces -> []."""
-    return F.when(text.rlike("^ +$"), F.array().cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(text, " +$", ""), " ", -1))
+    # \z is the absolute end of the text (Java's $ would also match before a
+    # final line break)
+    return F.when(text.rlike("^ +\\z"), F.array().cast("array<string>")).otherwise(
+        F.split(F.regexp_replace(text, " +\\z", ""), " ", -1))

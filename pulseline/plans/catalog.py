@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseline.operators import compat
+from pulseline.operators import reconcile as rc
 from pulseline.operators import records as rec
 from pulseline.operators import report as rep
 from pulseline.operators import summary as summ
+from pulseline.operators import words
 from pulseline.sources.lines import load_event_lines
 
 
@@ -82,6 +84,84 @@ def compat_latest(spark, sf_dir):
     return compat.compat_latest(_records(spark, sf_dir))
 
 
+def _tokens(spark, sf_dir):
+    return words.tokenize(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def word_totals(spark, sf_dir):
+    return words.word_totals(_tokens(spark, sf_dir))
+
+
+def running_word_count(spark, sf_dir):
+    return words.running_word_count(_tokens(spark, sf_dir))
+
+
+def order_parts(spark, sf_dir):
+    """Orders as competing parts: target = customer and priority, the order
+    key is both source and rank, the status is the content."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return o.select(
+        F.concat_ws("_", F.col("o_custkey").cast("string"), F.col("o_orderpriority"))
+        .alias("target"),
+        F.col("o_orderkey").cast("string").alias("source"),
+        F.col("o_orderkey").alias("source_rank"),
+        F.col("o_orderstatus").alias("content"))
+
+
+def reconcile_first(spark, sf_dir):
+    return rc.resolve_first(order_parts(spark, sf_dir))
+
+
+def reconcile_last(spark, sf_dir):
+    return rc.resolve_last(order_parts(spark, sf_dir))
+
+
+def reconcile_single(spark, sf_dir):
+    return rc.resolve_single_or_error(order_parts(spark, sf_dir))[0]
+
+
+def reconcile_single_conflicts(spark, sf_dir):
+    return rc.resolve_single_or_error(order_parts(spark, sf_dir))[1]
+
+
+def reconcile_dedup(spark, sf_dir):
+    return rc.resolve_deduplicate(order_parts(spark, sf_dir))[0]
+
+
+def reconcile_dedup_conflicts(spark, sf_dir):
+    return rc.resolve_deduplicate(order_parts(spark, sf_dir))[1]
+
+
+def reconcile_concat(spark, sf_dir):
+    return rc.resolve_concat(order_parts(spark, sf_dir))
+
+
+def reconcile_distinct_lines(spark, sf_dir):
+    return rc.resolve_distinct_lines(order_parts(spark, sf_dir))
+
+
+def reconcile_rename(spark, sf_dir):
+    return rc.resolve_rename(order_parts(spark, sf_dir))
+
+
+# Fixed example rule list: priority suffix -> strategy, first match wins.
+ORDER_RULES = [
+    ("_1-URGENT$", rc.CONCAT),
+    ("_2-HIGH$", rc.FIRST),
+    ("_3-MEDIUM$", rc.LAST),
+    ("_4-NOT SPECIFIED$", rc.FILTER_DISTINCT_LINES),
+    ("_5-LOW$", rc.DISCARD),
+]
+
+
+def reconcile_by_rule(spark, sf_dir):
+    return rc.reconcile(order_parts(spark, sf_dir), ORDER_RULES).resolved
+
+
+def reconcile_counts(spark, sf_dir):
+    return rc.reconcile(order_parts(spark, sf_dir), ORDER_RULES).counts
+
+
 PLANS = {
     "filter_lines": filter_lines,
     "trial_records": trial_records,
@@ -96,4 +176,17 @@ PLANS = {
     "alerts": alerts,
     "compat_running": compat_running,
     "compat_latest": compat_latest,
+    "word_totals": word_totals,
+    "running_word_count": running_word_count,
+    "reconcile_first": reconcile_first,
+    "reconcile_last": reconcile_last,
+    "reconcile_single": reconcile_single,
+    "reconcile_single_conflicts": reconcile_single_conflicts,
+    "reconcile_dedup": reconcile_dedup,
+    "reconcile_dedup_conflicts": reconcile_dedup_conflicts,
+    "reconcile_concat": reconcile_concat,
+    "reconcile_distinct_lines": reconcile_distinct_lines,
+    "reconcile_rename": reconcile_rename,
+    "reconcile_by_rule": reconcile_by_rule,
+    "reconcile_counts": reconcile_counts,
 }

@@ -153,3 +153,132 @@ SQL["compat_running"] = "WITH RECURSIVE " + ",\n".join(FOLD_CTES) + FOLD_SELECT
 SQL["compat_latest"] = ("WITH RECURSIVE " + ",\n".join(FOLD_CTES) + FOLD_SELECT
                         + " QUALIFY row_number() OVER (PARTITION BY record_key "
                         "ORDER BY start_ts DESC, seq DESC) = 1")
+
+
+# Tokens of each document with the JVM split(" ") rule (trailing empty
+# tokens dropped, an all-space text gives none); pos is 0-based.
+TOKENS_CTES = ["""
+parts AS (
+  SELECT doc_id,
+         CASE WHEN regexp_matches(text, '^ +$') THEN CAST([] AS VARCHAR[])
+              ELSE string_split(regexp_replace(text, ' +$', ''), ' ') END AS p
+  FROM documents
+)""", """
+tok AS (
+  SELECT doc_id, unnest(range(0, len(p))) AS pos, unnest(p) AS word FROM parts
+)""", """
+seed(word, seed_n) AS (VALUES ('hello', 1), ('world', 1))"""]
+
+SQL["word_totals"] = _with(*TOKENS_CTES) + """
+SELECT t.word, CAST(t.n + coalesce(s.seed_n, 0) AS BIGINT) AS n
+FROM (SELECT word, count(*) AS n FROM tok GROUP BY word) t LEFT JOIN seed s USING (word)"""
+SQL["running_word_count"] = _with(*TOKENS_CTES) + """
+SELECT t.doc_id, t.pos, t.word,
+       CAST(count(*) OVER (PARTITION BY t.word ORDER BY t.doc_id, t.pos
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            + coalesce(s.seed_n, 0) AS BIGINT) AS n
+FROM tok t LEFT JOIN seed s USING (word)"""
+
+
+PARTS_CTE = """
+parts AS (
+  SELECT CAST(o_custkey AS VARCHAR) || '_' || o_orderpriority AS target,
+         CAST(o_orderkey AS VARCHAR) AS source, o_orderkey AS source_rank,
+         o_orderstatus AS content
+  FROM orders
+)"""
+BY_TARGET_CTE = """
+agg AS (
+  SELECT target, count(*) AS n_sources,
+         arg_min(source_rank, source_rank) AS first_rank,
+         arg_min(content, source_rank) AS first_content,
+         arg_min(source, source_rank) AS first_source,
+         arg_max(source, source_rank) AS last_source,
+         arg_max(source_rank, source_rank) AS last_rank,
+         arg_max(content, source_rank) AS last_content,
+         count(DISTINCT sha1(content)) = 1 AS same_content
+  FROM parts GROUP BY target
+)"""
+
+
+def _one(strategy, rank, content, where="TRUE"):
+    return (f"SELECT target, '{strategy}' AS strategy, {rank} AS source_rank, 0 AS line_no, "
+            f"{content} AS content FROM agg WHERE {where}")
+
+
+def _conf(strategy, where):
+    return (f"SELECT target, '{strategy}' AS strategy, n_sources, first_source, last_source "
+            f"FROM agg WHERE {where}")
+
+
+_RC = _with(PARTS_CTE, BY_TARGET_CTE)
+SQL["reconcile_first"] = _RC + _one("first", "first_rank", "first_content")
+SQL["reconcile_last"] = _RC + _one("last", "last_rank", "last_content")
+SQL["reconcile_single"] = _RC + _one("singleOrError", "first_rank", "first_content",
+                                     "n_sources = 1")
+SQL["reconcile_single_conflicts"] = _RC + _conf("singleOrError", "n_sources > 1")
+SQL["reconcile_dedup"] = _RC + _one("deduplicate", "first_rank", "first_content", "same_content")
+SQL["reconcile_dedup_conflicts"] = _RC + _conf("deduplicate", "NOT same_content")
+
+CONCAT_SELECT = """SELECT target, 'concat' AS strategy, source_rank, 0 AS line_no,
+  CASE WHEN suffix(content, chr(10)) THEN content ELSE content || chr(10) END AS content
+FROM parts"""
+DISTINCT_SELECT = """SELECT target, 'filterDistinctLines' AS strategy,
+  arg_min(source_rank, (source_rank, line_no)) AS source_rank,
+  CAST(arg_min(line_no, (source_rank, line_no)) AS INTEGER) AS line_no, line AS content
+FROM (
+  SELECT target, source_rank, unnest(range(0, len(l))) AS line_no, unnest(l) AS line
+  FROM (SELECT target, source_rank,
+          CASE WHEN content = '' THEN CAST([] AS VARCHAR[])
+               ELSE string_split_regex(regexp_replace(content, '(\r\n|\r|\n)$', ''),
+                                       '\r\n|\r|\n') END AS l
+        FROM parts))
+GROUP BY target, line"""
+SQL["reconcile_concat"] = _with(PARTS_CTE) + CONCAT_SELECT
+SQL["reconcile_distinct_lines"] = _with(PARTS_CTE) + DISTINCT_SELECT
+SQL["reconcile_rename"] = _with(PARTS_CTE) + """
+SELECT regexp_replace(target, '([.]\w+)$', '') || '_' || regexp_replace(source, '([.]\w+)$', '')
+         || coalesce(regexp_extract(target, '([.]\w+)$', 1), '') AS target,
+       'rename' AS strategy, source_rank, 0 AS line_no, content
+FROM parts"""
+
+RULE_CTE = """
+tagged AS (
+  SELECT *, CASE WHEN regexp_matches(target, '_1-URGENT$') THEN 'concat'
+                 WHEN regexp_matches(target, '_2-HIGH$') THEN 'first'
+                 WHEN regexp_matches(target, '_3-MEDIUM$') THEN 'last'
+                 WHEN regexp_matches(target, '_4-NOT SPECIFIED$') THEN 'filterDistinctLines'
+                 WHEN regexp_matches(target, '_5-LOW$') THEN 'discard'
+                 ELSE 'deduplicate' END AS strategy
+  FROM parts
+)"""
+
+
+def _sub(strategy):
+    return (f"sub_{strategy} AS (SELECT target, source, source_rank, content FROM tagged "
+            f"WHERE strategy = '{strategy}')")
+
+
+def _scoped(sql, strategy):
+    return sql.replace("FROM parts", f"FROM sub_{strategy}")
+
+
+SQL["reconcile_by_rule"] = _with(
+    PARTS_CTE, RULE_CTE, *[_sub(s) for s in ("concat", "first", "last", "filterDistinctLines",
+                                             "deduplicate")],
+    _scoped(BY_TARGET_CTE, "first").replace("agg AS", "agg_first AS"),
+    _scoped(BY_TARGET_CTE, "last").replace("agg AS", "agg_last AS"),
+    _scoped(BY_TARGET_CTE, "deduplicate").replace("agg AS", "agg_dedup AS"),
+) + " UNION ALL ".join([
+    _scoped(CONCAT_SELECT, "concat"),
+    _one("first", "first_rank", "first_content").replace("FROM agg", "FROM agg_first"),
+    _one("last", "last_rank", "last_content").replace("FROM agg", "FROM agg_last"),
+    "(" + _scoped(DISTINCT_SELECT, "filterDistinctLines") + ")",
+    _one("deduplicate", "first_rank", "first_content", "same_content")
+    .replace("FROM agg", "FROM agg_dedup"),
+])
+SQL["reconcile_counts"] = _with(PARTS_CTE, RULE_CTE) + """
+SELECT strategy, count(*) AS n_targets
+FROM (SELECT strategy, target, count(*) AS n FROM tagged GROUP BY strategy, target)
+WHERE n >= CASE WHEN strategy IN ('rename', 'discard') THEN 1 ELSE 2 END
+GROUP BY strategy"""
