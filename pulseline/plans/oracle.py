@@ -282,3 +282,11 @@ SELECT strategy, count(*) AS n_targets
 FROM (SELECT strategy, target, count(*) AS n FROM tagged GROUP BY strategy, target)
 WHERE n >= CASE WHEN strategy IN ('rename', 'discard') THEN 1 ELSE 2 END
 GROUP BY strategy"""
+
+
+# Streaming plans produce the batch plans' results.
+SQL["stream_running"] = SQL["running_summary"]
+SQL["stream_summary"] = SQL["summary_by_key"]
+SQL["stream_records_latest"] = SQL["latest_by_key"]
+SQL["stream_compat"] = SQL["compat_running"]
+SQL["stream_word_count"] = SQL["running_word_count"]

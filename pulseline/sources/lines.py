@@ -7,6 +7,8 @@ of Spark's text source, so the same parse code serves batch and stream.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,23 +95,34 @@ def event_line_fields(events: DataFrame) -> list[Column]:
     ]
 
 
-def render_event_lines(events: DataFrame, sep: str = "|") -> DataFrame:
-    """One device line per ``events`` row (a narrow projection, no shuffle)."""
+def render_event_lines(events: DataFrame, sep: str = "|", keep=()) -> DataFrame:
+    """One device line per ``events`` row (a narrow projection, no shuffle);
+    ``keep`` names event columns to carry beside the line."""
     parts = [F.coalesce(c, F.lit("")) for c in event_line_fields(events)]
     # A one-element explode makes the line a generated column: predicates on
     # it (the category filter) then run on the built line instead of being
     # pushed below and re-inlining the 27-field rendering per predicate.
-    return events.select(F.explode(F.array(F.concat_ws(sep, *parts))).alias("value"))
+    return events.select(*keep, F.explode(F.array(F.concat_ws(sep, *parts))).alias("value"))
 
 
 def load_event_lines(spark: SparkSession, sf_dir: str, sep: str = "|") -> DataFrame:
     return render_event_lines(spark.read.parquet(f"{sf_dir}/events.parquet"), sep)
 
 
-def write_line_files(lines: DataFrame, path: str, n_files: int, order_col: Column) -> str:
-    """Write lines as ``n_files`` text files, range-split on ``order_col`` so
-    file i holds the i-th slice of the order (the streaming fixture)."""
-    (lines.withColumn("_o", order_col)
-     .repartitionByRange(n_files, "_o").sortWithinPartitions("_o")
-     .select("value").write.mode("overwrite").text(path))
+def write_ordered_files(df: DataFrame, path: str, n_files: int, order_col: str,
+                        fmt: str = "text", cols=("value",)) -> str:
+    """Write ``df`` as ``n_files`` consecutive range slices of ``order_col``,
+    one slice per write, so file modification times follow the order.  A
+    folder-watching stream replays files by modification time, so this is
+    a replayable input that arrives in order (test and bench fixture)."""
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        return path
+    width = (hi - lo) / n_files if hi > lo else 1
+    bucket = F.least(F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width)),
+                     F.lit(n_files - 1))
+    for i in range(n_files):
+        (df.filter(bucket == i).sortWithinPartitions(order_col).select(*cols)
+         .write.mode("append").format(fmt).save(path))
+        time.sleep(0.02)  # distinct modification times on coarse file systems
     return path
