@@ -237,8 +237,9 @@ GROUP BY target, line"""
 SQL["reconcile_concat"] = _with(PARTS_CTE) + CONCAT_SELECT
 SQL["reconcile_distinct_lines"] = _with(PARTS_CTE) + DISTINCT_SELECT
 SQL["reconcile_rename"] = _with(PARTS_CTE) + """
-SELECT regexp_replace(target, '([.]\w+)$', '') || '_' || regexp_replace(source, '([.]\w+)$', '')
-         || coalesce(regexp_extract(target, '([.]\w+)$', 1), '') AS target,
+SELECT regexp_replace(target, '([.]\\w+)$', '') || '_'
+         || regexp_replace(source, '([.]\\w+)$', '')
+         || coalesce(regexp_extract(target, '([.]\\w+)$', 1), '') AS target,
        'rename' AS strategy, source_rank, 0 AS line_no, content
 FROM parts"""
 
