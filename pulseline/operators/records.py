@@ -69,8 +69,12 @@ def _parsed(lines: DataFrame, sep: str, base: int, line_col: str) -> DataFrame:
         .when(F.col("_et").isNotNull() & F.col("end_time").isNull(), F.lit("bad_time:end_time"))
     )
     b = int(base)
-    return step2.select(
-        "raw",
+    # The parsed row is emitted as one generated row (inline of a one-row
+    # array).  The reject filter on ``reason`` then reads computed columns;
+    # on a plain projection Catalyst would push it below, inlining the split
+    # and every parse into the predicate and computing them twice.
+    return step2.select(F.inline(F.array(F.struct(
+        F.col("raw"),
         (F.col("value") - F.lit(b)).alias("variance"),
         # integer division (toward zero) first, then widened to FLOAT
         F.expr(f"cast(((value - {b}) * 100) div {b} as float)").alias("percentage"),
@@ -79,7 +83,7 @@ def _parsed(lines: DataFrame, sep: str, base: int, line_col: str) -> DataFrame:
         fx.stamp(F.col("start_date"), F.col("start_time")).alias("start_ts"),
         "seq",
         reason.alias("reason"),
-    )
+    ))))
 
 
 def parse_trial(lines: DataFrame, sep: str = "|", base: int = DEFAULT_BASE_VALUE,

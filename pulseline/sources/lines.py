@@ -56,11 +56,11 @@ EVENT_LAYOUT = {
 WITH_END = ("view", "click", "purchase")
 
 
-def event_line_fields(events: DataFrame) -> list[Column]:
-    """The 27 field expressions of the line rendered from one ``events`` row."""
-    et = F.col("event_type")
+def _event_parts(events: DataFrame) -> DataFrame:
+    """Per-row pieces used more than once (dates, times, ids), computed once."""
     ts = F.col("ts")
     nxt = F.timestamp_add("DAY", F.lit(1), ts)
+    et = F.col("event_type")
 
     def by_type(i: int) -> Column:
         c = None
@@ -69,8 +69,17 @@ def event_line_fields(events: DataFrame) -> list[Column]:
                  else c.when(et == name, F.lit(layout[i])))
         return c.otherwise(F.lit(""))
 
-    signup = et == "signup"
-    with_end = et.isin(*WITH_END)
+    return events.select(
+        "*",
+        _upper_date(ts).alias("_d0"), _hms(ts).alias("_t0"),
+        _upper_date(nxt).alias("_d1"), _hms(nxt).alias("_t1"),
+        (et == "signup").alias("_signup"), et.isin(*WITH_END).alias("_with_end"),
+        by_type(0).alias("_class"), by_type(1).alias("_category"), by_type(2).alias("_test"))
+
+
+def event_line_fields() -> list[Column]:
+    """The 27 field expressions of a rendered line (over ``_event_parts``)."""
+    signup, with_end = F.col("_signup"), F.col("_with_end")
     uid = F.col("user_id")
     return [
         F.concat(F.lit("TR-00"), (uid % 3).cast("string")),
@@ -78,9 +87,8 @@ def event_line_fields(events: DataFrame) -> list[Column]:
         F.lit(""),
         F.when(uid % 2 == 0, F.lit("M")).otherwise(F.lit("F")),
         F.concat(F.lit("S0"), (1 + F.col("event_id") % 3).cast("string")),
-        _upper_date(ts), _hms(ts),
-        _upper_date(nxt), _hms(nxt),
-        by_type(0), by_type(1), by_type(2),
+        F.col("_d0"), F.col("_t0"), F.col("_d1"), F.col("_t1"),
+        F.col("_class"), F.col("_category"), F.col("_test"),
         F.when(signup, F.lit("Sinus Rhythm")).otherwise(
             F.floor(F.col("value")).cast("int").cast("string")),
         F.when(signup, F.lit("SINUS RHYTHM")).otherwise(F.lit("")),
@@ -89,20 +97,21 @@ def event_line_fields(events: DataFrame) -> list[Column]:
         F.concat(F.lit("DEV"), F.lpad((uid % 7).cast("string"), 4, "0")),
         F.lit(""), F.lit(""), F.lit(""), F.lit(""), F.lit(""),
         F.col("event_id").cast("string"),
-        _upper_date(ts), _hms(ts),
-        F.when(with_end, _upper_date(nxt)).otherwise(F.lit("")),
-        F.when(with_end, _hms(nxt)).otherwise(F.lit("")),
+        F.col("_d0"), F.col("_t0"),
+        F.when(with_end, F.col("_d1")).otherwise(F.lit("")),
+        F.when(with_end, F.col("_t1")).otherwise(F.lit("")),
     ]
 
 
 def render_event_lines(events: DataFrame, sep: str = "|", keep=()) -> DataFrame:
     """One device line per ``events`` row (a narrow projection, no shuffle);
     ``keep`` names event columns to carry beside the line."""
-    parts = [F.coalesce(c, F.lit("")) for c in event_line_fields(events)]
+    parts = [F.coalesce(c, F.lit("")) for c in event_line_fields()]
     # A one-element explode makes the line a generated column: predicates on
     # it (the category filter) then run on the built line instead of being
     # pushed below and re-inlining the 27-field rendering per predicate.
-    return events.select(*keep, F.explode(F.array(F.concat_ws(sep, *parts))).alias("value"))
+    return _event_parts(events).select(
+        *keep, F.explode(F.array(F.concat_ws(sep, *parts))).alias("value"))
 
 
 def load_event_lines(spark: SparkSession, sf_dir: str, sep: str = "|") -> DataFrame:
