@@ -17,6 +17,7 @@ from pulseline.operators import report as rep
 from pulseline.operators import summary as summ
 from pulseline.operators import words
 from pulseline.sources.lines import load_event_lines
+from pulseline.sources.sinks import to_documents
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +67,11 @@ def record_count(spark, sf_dir):
     return summ.record_count(_records(spark, sf_dir))
 
 
+def documents_json(spark, sf_dir):
+    """Every keyed record as a JSON document with its id."""
+    return to_documents(_records(spark, sf_dir))
+
+
 def rejects(spark, sf_dir):
     """Every rendered line that does not parse (no category filter)."""
     return rec.rejects(_lines(spark, sf_dir))
@@ -173,6 +179,7 @@ PLANS = {
     "merge_summaries": merge_summaries,
     "record_count": record_count,
     "rejects": rejects,
+    "documents_json": documents_json,
     "alerts": alerts,
     "compat_running": compat_running,
     "compat_latest": compat_latest,

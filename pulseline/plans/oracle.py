@@ -291,3 +291,12 @@ SQL["stream_summary"] = SQL["summary_by_key"]
 SQL["stream_records_latest"] = SQL["latest_by_key"]
 SQL["stream_compat"] = SQL["compat_running"]
 SQL["stream_word_count"] = SQL["running_word_count"]
+
+
+SQL["documents_json"] = _with(REC_CTE) + """
+SELECT record_key AS doc_id,
+       CAST(to_json({'variance': variance, 'percentage': percentage, 'trial_id': trial_id,
+                     'patient_id': patient_id, 'visit_name': visit_name, 'value': value,
+                     'device': device, 'start_date': start_date, 'start_time': start_time,
+                     'end_date': end_date, 'end_time': end_time}) AS VARCHAR) AS doc
+FROM rec"""

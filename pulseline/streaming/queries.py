@@ -79,6 +79,23 @@ def running_summary_stream(records: DataFrame, literal: bool = False) -> DataFra
         statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode="None")
 
 
+def summary_updates_stream(records: DataFrame, key: str = "record_key") -> DataFrame:
+    """Totals per key with built-in streaming aggregation (no Python state).
+
+    For ``update`` output mode: each batch emits the keys it changed with
+    their new totals.  File sinks take append only, so use it with a sink
+    that accepts updates (console, memory in tests, or a table that upserts
+    by key); the Parquet path is ``running_summary_stream`` + latest row.
+    """
+    return records.groupBy(key, "trial_id", "patient_id", "visit_name").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.sum("value").cast("bigint").alias("sum_value"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+    ).select("*", F.expr("sum_value div greatest(n_records, 1)").cast("bigint").alias("avg_int"),
+             (F.col("sum_value") / F.col("n_records")).alias("avg_value"))
+
+
 def word_count_stream(texts: DataFrame, seed=DEFAULT_WORD_SEED) -> DataFrame:
     """Cumulative seeded word counts of a text stream (one row per token)."""
     spark = texts.sparkSession
@@ -105,6 +122,30 @@ def start_sensor_queries(spark: SparkSession, lines: DataFrame, out_dir: str, *,
     }
 
 
+def start_from_config(spark: SparkSession, cfg, out_dir: str, *,
+                      available_now: bool = False) -> dict[str, StreamingQuery]:
+    """Start the sensor program as configured (folder or socket source,
+    separator, filter terms, base value, key columns, trigger)."""
+    from pulseline.operators.records import add_key, filter_lines, parse_trial
+    from pulseline.sources.lines import read_lines
+
+    _prepare(spark)
+    mode = "socket" if cfg.source == "socket" else "stream"
+    lines = read_lines(spark, cfg.path, mode=mode, host=cfg.host, port=cfg.port,
+                       max_files_per_trigger=cfg.max_files_per_trigger)
+    records = observed_records(add_key(parse_trial(
+        filter_lines(lines, cfg.filter_terms), sep=cfg.separator, base=cfg.base_value),
+        cfg.key_columns))
+    base = cfg.checkpoint or f"{out_dir}/_ckpt"
+    trig = None if available_now else cfg.trigger
+    return {
+        "records": sink(records, f"{out_dir}/records", f"{base}/records", trigger=trig,
+                        available_now=available_now, partition_by=("trial_id",)),
+        "summary": sink(running_summary_stream(records), f"{out_dir}/summary",
+                        f"{base}/summary", trigger=trig, available_now=available_now),
+    }
+
+
 def start_word_count(spark: SparkSession, texts: DataFrame, out_dir: str, *,
                      seed=DEFAULT_WORD_SEED, trigger: str | None = None,
                      available_now: bool = False) -> StreamingQuery:
