@@ -29,7 +29,7 @@ class SensorConfig:
     trigger: str = DEFAULT_TRIGGER
     max_files_per_trigger: int | None = None
     checkpoint: str | None = None
-    chunk_days: int = 1               # order-range split for hot keys
+    chunk_seconds: int | str = "auto"  # order-range split of hot keys (seconds or "auto")
     extra: dict = field(default_factory=dict)
 
     @classmethod

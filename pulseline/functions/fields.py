@@ -75,3 +75,12 @@ def space_tokens(text: Column) -> Column:
     # final line break)
     return F.when(text.rlike("^ +\\z"), F.array().cast("array<string>")).otherwise(
         F.split(F.regexp_replace(text, " +\\z", ""), " ", -1))
+
+
+def wall_seconds(date: Column, hhmmss: Column) -> Column:
+    """Seconds since 1970-01-01 of a wall-clock DATE + packed time (no time
+    zone involved), as BIGINT; a missing time counts as midnight."""
+    t = F.coalesce(hhmmss, F.lit(0))
+    return (F.unix_date(date).cast("bigint") * 86400
+            + (t / 10000).cast("bigint") * 3600 + ((t / 100).cast("bigint") % 100) * 60
+            + (t % 100).cast("bigint"))

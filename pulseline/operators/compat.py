@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseline.operators.running import chunked_position, chunked_running
-from pulseline.operators.summary import CHUNK, IDENTITY, KEY, ORDER, day_chunk
+from pulseline.operators.summary import CHUNK, IDENTITY, KEY, ORDER, time_chunk
 
 # Fixed values of the literal fold.
 BLANK_MAX = 0
@@ -36,9 +36,10 @@ BLANK_MIN = 1000
 RESET_MIN = 2147483647
 
 
-def compat_running(records: DataFrame, key: str = KEY, chunk_days: int = 1) -> DataFrame:
+def compat_running(records: DataFrame, key: str = KEY, chunk_seconds="auto") -> DataFrame:
     """One output row per record: the literal fold's summary after it."""
-    base = records.select(key, *IDENTITY, "value", *ORDER, day_chunk(chunk_days).alias(CHUNK))
+    base = records.select(key, *IDENTITY, "value", *ORDER,
+                          time_chunk(records, chunk_seconds).alias(CHUNK))
     pos = chunked_position(base, [key], CHUNK, ORDER, "value", pos_name="n", prev_name="p")
     n, v, p = F.col("n"), F.col("value"), F.col("p")
     rises = pos.select(
@@ -68,7 +69,7 @@ def compat_running(records: DataFrame, key: str = KEY, chunk_days: int = 1) -> D
     )
 
 
-def compat_latest(records: DataFrame, key: str = KEY, chunk_days: int = 1) -> DataFrame:
+def compat_latest(records: DataFrame, key: str = KEY, chunk_seconds="auto") -> DataFrame:
     """The last literal summary per key (what a keyed upsert store keeps)."""
     from pulseline.operators.report import latest_by_key
-    return latest_by_key(compat_running(records, key, chunk_days), key=key, order=ORDER)
+    return latest_by_key(compat_running(records, key, chunk_seconds), key=key, order=ORDER)

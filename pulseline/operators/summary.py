@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseline.operators.running import chunked_running
+from pulseline.functions.fields import wall_seconds
+from pulseline.operators.running import auto_chunk_width, chunked_running
 
 KEY = "record_key"
 IDENTITY = ["trial_id", "patient_id", "visit_name"]
@@ -23,10 +24,13 @@ ORDER = ["start_ts", "seq"]
 CHUNK = "_chunk"
 
 
-def day_chunk(days: int = 1) -> Column:
-    """Contiguous order chunks: ``days`` calendar days of ``start_date``."""
-    d = F.unix_date(F.col("start_date"))
-    return d if days == 1 else F.floor(d / F.lit(days)).cast("int")
+def time_chunk(records: DataFrame, chunk_seconds="auto") -> Column:
+    """Contiguous order chunks of ``chunk_seconds`` of observation time
+    (``"auto"``: sized from the data, see ``operators.running``)."""
+    secs = wall_seconds(F.col("start_date"), F.col("start_time"))
+    width = (auto_chunk_width(records, secs) if chunk_seconds == "auto"
+             else int(chunk_seconds))
+    return F.floor(secs / F.lit(width)).cast("bigint")
 
 
 def _avg_cols(n: str, s: str) -> list[Column]:
@@ -50,7 +54,7 @@ def summary(records: DataFrame, key: str = KEY) -> DataFrame:
     return agg.select("*", *_avg_cols("n_records", "sum_value"))
 
 
-def running_summary(records: DataFrame, key: str = KEY, chunk_days: int = 1) -> DataFrame:
+def running_summary(records: DataFrame, key: str = KEY, chunk_seconds="auto") -> DataFrame:
     """Every record with the summary of its key up to and including itself."""
     measures = {
         "run_count": ("count", F.lit(1)),
@@ -59,7 +63,7 @@ def running_summary(records: DataFrame, key: str = KEY, chunk_days: int = 1) ->
         "run_max": ("max", F.col("value")),
     }
     base = records.select(key, *IDENTITY, "value", "start_ts", "seq",
-                          day_chunk(chunk_days).alias(CHUNK))
+                          time_chunk(records, chunk_seconds).alias(CHUNK))
     out = chunked_running(base, [key], CHUNK, ORDER, measures)
     return out.select(
         key, *IDENTITY, "value", "start_ts", "seq",

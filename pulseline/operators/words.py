@@ -53,6 +53,8 @@ def running_word_count(tokens: DataFrame, seed=DEFAULT_WORD_SEED, id_col: str =
 
     The order is split into chunks of ``chunk_ids`` consecutive ids, so a
     very frequent word is counted over many tasks (see operators.running).
+    A chunk task holds at most ``chunk_ids`` texts' tokens of one word, a
+    bound that holds at any data size without a statistics pass.
     """
     base = tokens.withColumn(CHUNK, F.floor(F.col(id_col) / F.lit(chunk_ids)).cast("bigint"))
     run = chunked_running(base, ["word"], CHUNK, [id_col, "pos"],

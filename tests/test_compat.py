@@ -34,21 +34,24 @@ def test_closed_form_equals_fold_on_random_sequences(spark):
         for i, v in enumerate(vals):
             # several records per day so chunks hold runs and borders both
             ts = dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i)
-            rows.append((key, "T", "P", "V", v, ts, i, ts.date()))
+            rows.append((key, "T", "P", "V", v, ts, i, ts.date(),
+                         ts.hour * 10000 + ts.minute * 100 + ts.second))
     df = spark.createDataFrame(
         rows, "record_key STRING, trial_id STRING, patient_id STRING, visit_name STRING, "
-              "value INT, start_ts TIMESTAMP_NTZ, seq BIGINT, start_date DATE")
-    got = {}
-    for r in compat_running(df).orderBy("record_key", "seq").collect():
-        got.setdefault(r.record_key, []).append((r.max_value, r.min_value, r.n_records, r.sum_value))
-    assert got == want
+              "value INT, start_ts TIMESTAMP_NTZ, seq BIGINT, start_date DATE, start_time INT")
+    for width in ("auto", 86400, 3600 * 13):
+        got = {}
+        for r in compat_running(df, chunk_seconds=width).orderBy("record_key", "seq").collect():
+            got.setdefault(r.record_key, []).append(
+                (r.max_value, r.min_value, r.n_records, r.sum_value))
+        assert got == want, width
 
 
 def test_first_record_is_blank(spark):
     df = spark.createDataFrame(
-        [("K", "T", "P", "V", 80, dt.datetime(2024, 1, 1), 1, dt.date(2024, 1, 1))],
+        [("K", "T", "P", "V", 80, dt.datetime(2024, 1, 1), 1, dt.date(2024, 1, 1), 0)],
         "record_key STRING, trial_id STRING, patient_id STRING, visit_name STRING, "
-        "value INT, start_ts TIMESTAMP_NTZ, seq BIGINT, start_date DATE")
+        "value INT, start_ts TIMESTAMP_NTZ, seq BIGINT, start_date DATE, start_time INT")
     r = compat_running(df).first()
     assert (r.trial_id, r.max_value, r.min_value, r.n_records, r.sum_value, r.avg_int) == \
         ("", 0, 1000, 0, 0, 0)

@@ -42,3 +42,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "n_records" in df.columns
+
+
+@pytest.mark.parametrize("width", [3600, 86400])
+def test_running_plans_with_forced_small_chunks(spark, con01, width):
+    """Registered plans size chunks from the data (one chunk at this scale);
+    force small chunks so the cross-chunk combination meets the oracle."""
+    from pulseline.operators.compat import compat_running
+    from pulseline.operators.summary import running_summary
+    from pulseline.plans.catalog import _records, _tokens
+    from pulseline.operators.words import running_word_count
+    r = _records(spark, SF01)
+    assert compare(running_summary(r, chunk_seconds=width), con01, O["running_summary"]) == []
+    assert compare(compat_running(r, chunk_seconds=width), con01, O["compat_running"]) == []
+    assert compare(running_word_count(_tokens(spark, SF01), chunk_ids=width // 3600),
+                   con01, O["running_word_count"]) == []

@@ -14,10 +14,11 @@ def _records(spark):
     for i in range(3000):
         key = "HOT" if i % 3 else f"K{i % 17}"
         ts = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=37 * i)
-        rows.append((key, "T", "P", "V", rnd.randint(0, 300), ts, i, ts.date()))
+        rows.append((key, "T", "P", "V", rnd.randint(0, 300), ts, i, ts.date(),
+                     ts.hour * 10000 + ts.minute * 100 + ts.second))
     return spark.createDataFrame(
         rows, "record_key STRING, trial_id STRING, patient_id STRING, visit_name STRING, "
-              "value INT, start_ts TIMESTAMP_NTZ, seq BIGINT, start_date DATE")
+              "value INT, start_ts TIMESTAMP_NTZ, seq BIGINT, start_date DATE, start_time INT")
 
 
 def test_chunked_running_equals_single_window(spark):
@@ -27,9 +28,9 @@ def test_chunked_running_equals_single_window(spark):
     plain = df.select("seq", F.count(F.lit(1)).over(w).alias("c"), F.sum("value").over(w).alias("s"),
                       F.min("value").over(w).alias("lo"), F.max("value").over(w).alias("hi"))
     want = {r.seq: (r.c, r.s, r.lo, r.hi) for r in plain.collect()}
-    for days in (1, 3):
+    for width in ("auto", 3600, 86400, 3 * 86400):
         got = {r.seq: (r.run_count, r.run_sum, r.run_min, r.run_max)
-               for r in running_summary(df, chunk_days=days).collect()}
+               for r in running_summary(df, chunk_seconds=width).collect()}
         assert got == want
 
 
@@ -39,3 +40,11 @@ def test_merge_of_halves_equals_whole(spark):
     merged = merge_summaries(summary(df.filter(am)), summary(df.filter(~am)))
     cols = ["record_key", "n_records", "sum_value", "min_value", "max_value", "avg_int", "avg_value"]
     assert sorted(merged.select(cols).collect()) == sorted(summary(df).select(cols).collect())
+
+
+def test_auto_width_splits_a_hot_key():
+    from pulseline.operators import running
+    # 3e11 rows over a year: a key with a third of them gets ~2M-row chunks
+    span, n = 365 * 86400, 3 * 10 ** 11
+    width = max(1, min(span, int(span * running.TARGET_ROWS / (n * running.HOT_SHARE))))
+    assert 60 <= width <= 3600
