@@ -71,10 +71,11 @@ def stamp(date: Column, hhmmss: Column) -> Column:
 def space_tokens(text: Column) -> Column:
     """JVM ``String.split(" ")`` on a line: inner and leading empty tokens are
     kept, trailing ones dropped; '' -> [""]; a line of only spaces -> []."""
-    # \z is the absolute end of the text (Java's $ would also match before a
-    # final line break)
-    return F.when(text.rlike("^ +\\z"), F.array().cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(text, " +\\z", ""), " ", -1))
+    # rtrim drops trailing ' ' only (as the JVM rule drops only the empty
+    # tokens they make); no regular expression runs per text
+    body = F.rtrim(text)
+    return F.when((body == "") & (text != ""), F.array().cast("array<string>")).otherwise(
+        F.split(body, " ", -1))
 
 
 def wall_seconds(date: Column, hhmmss: Column) -> Column:

@@ -18,6 +18,8 @@ pieces, so
 * the prefix is joined back on (key, chunk): the big side is already hash-
   partitioned on (key, chunk) by its window, so only the small side moves
   (and AQE may turn that join into a broadcast from its measured size).
+  Only chunks after a key's first carry a prefix, so keys that fit in one
+  chunk never enter the join.
 
 The same split gives a row's position in its key and the value of the
 preceding row across chunk borders (``chunked_position``).  Results are
@@ -96,7 +98,10 @@ def chunked_running(df: DataFrame, keys: list[str], chunk_col: str, order: list[
         *part, *[_PREFIX[kind](F.col(f"_t_{name}")).over(_before(keys, chunk_col))
                  .alias(f"_p_{name}") for name, (kind, _) in measures.items()])
 
-    joined = local.join(prefix, on=part, how="inner")
+    # only chunks after a key's first carry a prefix; the first chunks (all
+    # chunks of keys that fit in one) stay out of the join
+    prefix = prefix.filter(F.col(f"_p_{next(iter(measures))}").isNotNull())
+    joined = local.join(prefix, on=part, how="left")
     return joined.select(
         *df.columns,
         *[_combine(kind, F.col(f"_p_{name}"), F.col(f"_l_{name}")).alias(name)
@@ -117,10 +122,10 @@ def chunked_position(df: DataFrame, keys: list[str], chunk_col: str, order: list
     w_ck = Window.partitionBy(*keys).orderBy(chunk_col)
     prefix = totals.select(
         *part,
-        F.coalesce(F.sum("_cnt").over(_before(keys, chunk_col)), F.lit(0)).alias("_before"),
-        F.lag("_last").over(w_ck).alias("_prev_last"))
-    joined = local.join(prefix, on=part, how="inner")
+        F.sum("_cnt").over(_before(keys, chunk_col)).alias("_before"),
+        F.lag("_last").over(w_ck).alias("_prev_last")).filter(F.col("_before").isNotNull())
+    joined = local.join(prefix, on=part, how="left")
     return joined.select(
         *df.columns,
-        (F.col("_before") + F.col("_rn")).alias(pos_name),
+        (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_rn")).alias(pos_name),
         F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")).alias(prev_name))
