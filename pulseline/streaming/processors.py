@@ -159,3 +159,39 @@ class WordCountProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class BucketedWordCountProcessor(StatefulProcessor):
+    """Cumulative word counts with one Python call per *bucket* of words.
+
+    Grouping by a hash bucket of the word instead of the word itself cuts
+    the per-group overhead of the Python stateful runner (a few ms per
+    group, which dominates with tens of thousands of distinct words per
+    batch).  State stays one entry per word (a map state keyed by word, one
+    store entry each), so a batch touches only the words it contains.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", "word STRING", "n BIGINT")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for word, n in zip(initialState["word"], initialState["seed_n"]):
+            self.counts.updateValue((word,), (int(n),))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _ordered(rows, ["word", "doc_id", "pos"])
+        words = pdf["word"].to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
+        ends = np.append(starts[1:], len(pdf))
+        n = np.empty(len(pdf), dtype=np.int64)
+        for s, e in zip(starts, ends):
+            w = words[s]
+            got = self.counts.getValue((w,))      # None for a word not seen yet
+            n0 = got[0] if got is not None else 0
+            n[s:e] = n0 + np.arange(1, e - s + 1)
+            self.counts.updateValue((w,), (int(n[e - 1]),))
+        yield pd.DataFrame({"doc_id": pdf["doc_id"], "pos": pdf["pos"].astype("int32"),
+                            "word": pdf["word"], "n": n})
+
+    def close(self) -> None:
+        pass

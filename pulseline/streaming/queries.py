@@ -18,8 +18,8 @@ from pulseline.operators.records import trial_records
 from pulseline.operators.words import seed_frame, tokenize
 from pulseline.session import STATE_STORE_PROVIDER
 from pulseline.streaming.processors import (
-    COMPAT_SCHEMA, RUNNING_SCHEMA, WORDS_SCHEMA, LiteralFoldProcessor,
-    RunningSummaryProcessor, WordCountProcessor)
+    COMPAT_SCHEMA, RUNNING_SCHEMA, WORDS_SCHEMA, BucketedWordCountProcessor,
+    LiteralFoldProcessor, RunningSummaryProcessor, WordCountProcessor)
 
 RECORD_INPUT = ["record_key", "trial_id", "patient_id", "visit_name", "value", "start_ts", "seq"]
 
@@ -96,13 +96,29 @@ def summary_updates_stream(records: DataFrame, key: str = "record_key") -> DataF
              (F.col("sum_value") / F.col("n_records")).alias("avg_value"))
 
 
-def word_count_stream(texts: DataFrame, seed=DEFAULT_WORD_SEED) -> DataFrame:
-    """Cumulative seeded word counts of a text stream (one row per token)."""
+WORD_BUCKETS = 256
+
+
+def word_count_stream(texts: DataFrame, seed=DEFAULT_WORD_SEED,
+                      buckets: int | None = WORD_BUCKETS) -> DataFrame:
+    """Cumulative seeded word counts of a text stream (one row per token).
+
+    With ``buckets`` the stateful function runs once per hash bucket of
+    words (state is still one entry per word); ``None`` keys it by word.
+    """
     spark = texts.sparkSession
     seed_df = seed if isinstance(seed, DataFrame) else seed_frame(spark, seed)
-    return tokenize(texts).groupBy("word").transformWithStateInPandas(
-        statefulProcessor=WordCountProcessor(), outputStructType=WORDS_SCHEMA,
-        outputMode="Append", timeMode="None", initialState=seed_df.groupBy("word"))
+    tokens = tokenize(texts)
+    if not buckets:
+        return tokens.groupBy("word").transformWithStateInPandas(
+            statefulProcessor=WordCountProcessor(), outputStructType=WORDS_SCHEMA,
+            outputMode="Append", timeMode="None", initialState=seed_df.groupBy("word"))
+    bucket = (F.abs(F.xxhash64("word")) % buckets).cast("int")
+    return (tokens.withColumn("bucket", bucket).groupBy("bucket")
+            .transformWithStateInPandas(
+                statefulProcessor=BucketedWordCountProcessor(), outputStructType=WORDS_SCHEMA,
+                outputMode="Append", timeMode="None",
+                initialState=seed_df.withColumn("bucket", bucket).groupBy("bucket")))
 
 
 def start_sensor_queries(spark: SparkSession, lines: DataFrame, out_dir: str, *,
