@@ -107,16 +107,16 @@ def _empty_conflicts(parts: DataFrame) -> DataFrame:
             "last_source STRING")
 
 
-def _by_target(parts: DataFrame) -> DataFrame:
+def _by_target(parts: DataFrame, extra_keys=()) -> DataFrame:
     """Per-target aggregates every strategy needs (one partial aggregation)."""
     first = F.struct(F.col("source_rank"), F.col("content"), F.col("source"))
-    return parts.groupBy("target").agg(
+    return parts.groupBy(*extra_keys, "target").agg(
         F.count(F.lit(1)).alias("n_sources"),
         F.min(first).alias("_first"),
         F.max(first).alias("_last"),
         F.min(F.sha1(F.col("content"))).alias("_h_min"),
         F.max(F.sha1(F.col("content"))).alias("_h_max"),
-    ).select("target", "n_sources",
+    ).select(*extra_keys, "target", "n_sources",
              F.col("_first.source_rank").alias("first_rank"),
              F.col("_first.content").alias("first_content"),
              F.col("_first.source").alias("first_source"),
@@ -195,30 +195,37 @@ def strategy_counts(parts_with_strategy: DataFrame) -> DataFrame:
             .groupBy("strategy").agg(F.count(F.lit(1)).alias("n_targets")))
 
 
+AGGREGATED = (FIRST, LAST, SINGLE_OR_ERROR, DEDUPLICATE)
+
+
 def reconcile(parts: DataFrame, rules=(), default: str = DEDUPLICATE) -> Reconciled:
     """Resolve every target with the strategy its rule names.
 
     Rename runs first (its parts move to new targets and are kept as they
-    are); the other strategies then work per (renamed) target.
+    are); the other strategies then work per (renamed) target.  The
+    strategies that pick one part (first, last, singleOrError, deduplicate)
+    share one aggregation grouped by (strategy, target), so the parts are
+    read and shuffled once for all of them.
     """
     tagged = assign_strategy(parts, rules, default)
+    used = {default} | {s for _, s in rules}
     resolved, conflicts = [], []
-    used = set([default]) | {s for _, s in rules}
-    for s in sorted(used):
+    agg_used = [s for s in AGGREGATED if s in used]
+    if agg_used:
+        agg = _by_target(tagged.filter(F.col("strategy").isin(*agg_used)), extra_keys=("strategy",))
+        is_ = lambda s: F.col("strategy") == s
+        for s in agg_used:
+            if s == FIRST:
+                resolved.append(_one_row(agg.filter(is_(s)), s, "first_rank", "first_content"))
+            elif s == LAST:
+                resolved.append(_one_row(agg.filter(is_(s)), s, "last_rank", "last_content"))
+            else:
+                ok = F.col("n_sources") == 1 if s == SINGLE_OR_ERROR else F.col("same_content")
+                resolved.append(_one_row(agg.filter(is_(s) & ok), s, "first_rank", "first_content"))
+                conflicts.append(_conflicts(agg.filter(is_(s)), s, ~ok))
+    for s in sorted(used - set(AGGREGATED)):
         sub = tagged.filter(F.col("strategy") == s).drop("strategy")
-        if s == FIRST:
-            resolved.append(resolve_first(sub))
-        elif s == LAST:
-            resolved.append(resolve_last(sub))
-        elif s == SINGLE_OR_ERROR:
-            r, c = resolve_single_or_error(sub)
-            resolved.append(r)
-            conflicts.append(c)
-        elif s == DEDUPLICATE:
-            r, c = resolve_deduplicate(sub)
-            resolved.append(r)
-            conflicts.append(c)
-        elif s == CONCAT:
+        if s == CONCAT:
             resolved.append(resolve_concat(sub))
         elif s == FILTER_DISTINCT_LINES:
             resolved.append(resolve_distinct_lines(sub))

@@ -40,6 +40,13 @@ def summary_by_key(spark, sf_dir):
     return summ.summary(_records(spark, sf_dir))
 
 
+def summary_by_device_key(spark, sf_dir):
+    """Summary under the per-device key variant (trial_patient_visit_device)."""
+    recs = rec.trial_records(_lines(spark, sf_dir),
+                             key_cols=("trial_id", "patient_id", "visit_name", "device"))
+    return summ.summary(recs)
+
+
 def patient_report(spark, sf_dir):
     return rep.patient_report(_records(spark, sf_dir))
 
@@ -172,6 +179,7 @@ PLANS = {
     "filter_lines": filter_lines,
     "trial_records": trial_records,
     "summary_by_key": summary_by_key,
+    "summary_by_device_key": summary_by_device_key,
     "patient_report": patient_report,
     "report_by_visit": report_by_visit,
     "latest_by_key": latest_by_key,

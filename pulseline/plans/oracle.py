@@ -300,3 +300,8 @@ SELECT record_key AS doc_id,
                      'device': device, 'start_date': start_date, 'start_time': start_time,
                      'end_date': end_date, 'end_time': end_time}) AS VARCHAR) AS doc
 FROM rec"""
+
+
+SQL["summary_by_device_key"] = _with(REC_CTE) + SUMMARY_SELECT.replace(
+    "SELECT record_key,", "SELECT record_key || '_' || device AS record_key,") + \
+    " FROM rec GROUP BY record_key, device"
