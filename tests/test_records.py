@@ -60,3 +60,16 @@ def test_fail_mode_raises(spark):
     import pytest
     with pytest.raises(Exception):
         rec.parse_trial(_lines(spark, [line({12: "x"})]), on_error="fail").collect()
+
+
+def test_report_filters_and_grouping(spark):
+    from pulseline.operators.report import report
+    lines = [hr_line(patient="000000001", visit="S01", value="60", seq="1"),
+             hr_line(patient="000000001", visit="S03", value="80", seq="2"),
+             hr_line(patient="000000002", visit="S01", value="40", seq="3")]
+    recs = rec.trial_records(_lines(spark, lines))
+    got = report(recs, group_by=("patient_id",), filters={"visit_name": "S01"}).collect()
+    assert {(r.patient_id, r.n_records, r.avg_value, r.avg_percentage) for r in got} == \
+        {("000000001", 1, 60.0, 20.0), ("000000002", 1, 40.0, -20.0)}
+    got = report(recs, group_by=("visit_name",), filters={"patient_id": ["000000001"]}).collect()
+    assert sorted((r.visit_name, r.max_variance) for r in got) == [("S01", 10), ("S03", 30)]

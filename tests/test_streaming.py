@@ -73,3 +73,11 @@ def test_seeded_word_stream(spark):
     for r in spark.read.parquet(f"{root}/out/words").orderBy("doc_id", "pos").collect():
         got.setdefault(r.word, []).append(r.n)
     assert got == {"hello": [2, 3], "a": [1, 2], "b": [1, 2], "": [1, 2]}
+
+
+def test_command_line_sensor_once(spark):
+    from pulseline.__main__ import main
+    root = scratch_path(spark, "test-cli")
+    _write(spark, f"{root}/in", _lines(9))
+    assert main(["sensor", "--path", f"{root}/in", "--out", f"{root}/out", "--once"]) == 0
+    assert spark.read.parquet(f"{root}/out/summary").count() == 9
