@@ -43,6 +43,20 @@ def _div_trunc(s: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.sign(s) * (np.abs(s) // c)
 
 
+def running_batch(v: np.ndarray, state):
+    """Running count/sum/min/max of one batch given the carried state
+    (count, sum, min, max) or None; returns arrays and the new state."""
+    n0, s0, mn0, mx0 = state if state is not None else (0, 0, None, None)
+    cnt = n0 + np.arange(1, len(v) + 1, dtype=np.int64)
+    tot = s0 + np.cumsum(v)
+    mn = np.minimum.accumulate(v)
+    mx = np.maximum.accumulate(v)
+    if mn0 is not None:
+        mn = np.minimum(mn, mn0)
+        mx = np.maximum(mx, mx0)
+    return cnt, tot, mn, mx, (int(cnt[-1]), int(tot[-1]), int(mn[-1]), int(mx[-1]))
+
+
 class RunningSummaryProcessor(StatefulProcessor):
     """Running count, sum, min, max and averages per key."""
 
@@ -51,19 +65,9 @@ class RunningSummaryProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _ordered(rows, ["start_ts", "seq"])
-        v = pdf["value"].to_numpy(dtype=np.int64)
-        if self.state.exists():
-            n0, s0, mn0, mx0 = self.state.get()
-        else:
-            n0, s0, mn0, mx0 = 0, 0, None, None
-        cnt = n0 + np.arange(1, len(v) + 1, dtype=np.int64)
-        tot = s0 + np.cumsum(v)
-        mn = np.minimum.accumulate(v)
-        mx = np.maximum.accumulate(v)
-        if mn0 is not None:
-            mn = np.minimum(mn, mn0)
-            mx = np.maximum(mx, mx0)
-        self.state.update((int(cnt[-1]), int(tot[-1]), int(mn[-1]), int(mx[-1])))
+        cnt, tot, mn, mx, new_state = running_batch(
+            pdf["value"].to_numpy(dtype=np.int64), self.state.get())
+        self.state.update(new_state)
         yield pd.DataFrame({
             "record_key": pdf["record_key"], "trial_id": pdf["trial_id"],
             "patient_id": pdf["patient_id"], "visit_name": pdf["visit_name"],
@@ -92,6 +96,34 @@ def _literal_extreme(v: np.ndarray, start: int, rises, reset: int) -> np.ndarray
     return np.where(r % 2 == 1, reset, v)
 
 
+def literal_fold_batch(v: np.ndarray, state):
+    """Fold one batch of a key's values (in record order) the literal way.
+
+    ``state`` is (max, min, count, sum) or None for a new key.  Returns the
+    per-record (max, min, count, sum) arrays and the new state.
+    """
+    n = len(v)
+    mx = np.zeros(n, dtype=np.int64)
+    mn = np.zeros(n, dtype=np.int64)
+    cnt = np.zeros(n, dtype=np.int64)
+    tot = np.zeros(n, dtype=np.int64)
+    if state is None:
+        # the first record of a key only creates the blank state
+        mx0, mn0, n0, s0 = BLANK_MAX, BLANK_MIN, 0, 0
+        mx[0], mn[0] = BLANK_MAX, BLANK_MIN
+        first = 1
+    else:
+        mx0, mn0, n0, s0 = state
+        first = 0
+    rest = v[first:]
+    if len(rest):
+        mx[first:] = _literal_extreme(rest, mx0, lambda a, p: a > p, 0)
+        mn[first:] = _literal_extreme(rest, mn0, lambda a, p: a < p, RESET_MIN)
+        cnt[first:] = n0 + np.arange(1, len(rest) + 1)
+        tot[first:] = s0 + np.cumsum(rest)
+    return mx, mn, cnt, tot, (int(mx[-1]), int(mn[-1]), int(cnt[-1]), int(tot[-1]))
+
+
 class LiteralFoldProcessor(StatefulProcessor):
     """The original program's per-key fold, quirks included."""
 
@@ -105,28 +137,13 @@ class LiteralFoldProcessor(StatefulProcessor):
             "patient_id": pdf["patient_id"], "visit_name": pdf["visit_name"],
             "value": pdf["value"].astype("int32"), "start_ts": pdf["start_ts"],
             "seq": pdf["seq"]})
-        v = pdf["value"].to_numpy(dtype=np.int64)
-        mx = np.zeros(len(v), dtype=np.int64)
-        mn = np.zeros(len(v), dtype=np.int64)
-        cnt = np.zeros(len(v), dtype=np.int64)
-        tot = np.zeros(len(v), dtype=np.int64)
-        if self.state.exists():
-            mx0, mn0, n0, s0 = self.state.get()
-            first = 0
-        else:
-            # the first record of a key only creates the blank state
-            mx0, mn0, n0, s0 = BLANK_MAX, BLANK_MIN, 0, 0
+        state = self.state.get()         # None for a new key
+        if state is None:
             for c in ("trial_id", "patient_id", "visit_name"):
                 out.loc[0, c] = ""
-            mx[0], mn[0] = BLANK_MAX, BLANK_MIN
-            first = 1
-        rest = v[first:]
-        if len(rest):
-            mx[first:] = _literal_extreme(rest, mx0, lambda a, p: a > p, 0)
-            mn[first:] = _literal_extreme(rest, mn0, lambda a, p: a < p, RESET_MIN)
-            cnt[first:] = n0 + np.arange(1, len(rest) + 1)
-            tot[first:] = s0 + np.cumsum(rest)
-        self.state.update((int(mx[-1]), int(mn[-1]), int(cnt[-1]), int(tot[-1])))
+        mx, mn, cnt, tot, new_state = literal_fold_batch(
+            pdf["value"].to_numpy(dtype=np.int64), state)
+        self.state.update(new_state)
         out["max_value"] = mx.astype("int32")
         out["min_value"] = mn.astype("int32")
         out["n_records"] = cnt
