@@ -56,3 +56,39 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/pulseline/{name}-{uuid.uuid4().hex}"
+
+
+MB = 1024 * 1024
+
+
+def cluster_settings(input_bytes: int, cores: int, partition_bytes: int = 512 * MB,
+                     max_shuffle_partitions: int = 50_000) -> dict[str, str]:
+    """Runtime SQL settings sized to the input (for spill-aware shuffles).
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input
+    (at least two per core, at most ``max_shuffle_partitions``); AQE then
+    coalesces small ones and splits skewed ones at run time.  Scans split
+    files at the same size.  The state store is RocksDB with changelog
+    checkpoints, so large per-key state lives off-heap and commits cheaply.
+    """
+    parts = max(2 * cores, min(max_shuffle_partitions, -(-int(input_bytes) // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(partition_bytes, 256 * MB)),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE_PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
+def apply_cluster_settings(spark: SparkSession, input_bytes: int, cores: int | None = None,
+                           **kw) -> dict[str, str]:
+    """Set ``cluster_settings`` on a running session (all runtime settings)."""
+    cores = cores or spark.sparkContext.defaultParallelism
+    conf = cluster_settings(input_bytes, cores, **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -48,3 +48,12 @@ def test_auto_width_splits_a_hot_key():
     span, n = 365 * 86400, 3 * 10 ** 11
     width = max(1, min(span, int(span * running.TARGET_ROWS / (n * running.HOT_SHARE))))
     assert 60 <= width <= 3600
+
+
+def test_cluster_settings_scale_with_input():
+    from pulseline.session import cluster_settings
+    small = cluster_settings(10 * 1024 ** 2, cores=8)
+    big = cluster_settings(100 * 1024 ** 4, cores=8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.shuffle.partitions"]) == 50_000
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
