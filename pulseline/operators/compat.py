@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from pulseline.operators.running import chunked_position, chunked_running
 from pulseline.operators.summary import CHUNK, IDENTITY, KEY, ORDER, time_chunk
+from pulseline.session import materialize
 
 # Fixed values of the literal fold.
 BLANK_MAX = 0
@@ -38,9 +39,14 @@ RESET_MIN = 2147483647
 
 def compat_running(records: DataFrame, key: str = KEY, chunk_seconds="auto") -> DataFrame:
     """One output row per record: the literal fold's summary after it."""
-    base = records.select(key, *IDENTITY, "value", *ORDER,
-                          time_chunk(records, chunk_seconds).alias(CHUNK))
-    pos = chunked_position(base, [key], CHUNK, ORDER, "value", pos_name="n", prev_name="p")
+    # two chunked passes; each starts from written data, so the input is
+    # read once and the first pass is not recomputed by the second
+    narrow = materialize(records.select(key, *IDENTITY, "value", *ORDER,
+                                        "start_date", "start_time"))
+    base = narrow.select(key, *IDENTITY, "value", *ORDER,
+                         time_chunk(narrow, chunk_seconds).alias(CHUNK))
+    pos = materialize(
+        chunked_position(base, [key], CHUNK, ORDER, "value", pos_name="n", prev_name="p"))
     n, v, p = F.col("n"), F.col("value"), F.col("p")
     rises = pos.select(
         "*",

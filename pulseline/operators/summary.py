@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pulseline.functions.fields import wall_seconds
 from pulseline.operators.running import auto_chunk_width, chunked_running
+from pulseline.session import materialize
 
 KEY = "record_key"
 IDENTITY = ["trial_id", "patient_id", "visit_name"]
@@ -62,8 +63,12 @@ def running_summary(records: DataFrame, key: str = KEY, chunk_seconds="auto") ->
         "run_min": ("min", F.col("value")),
         "run_max": ("max", F.col("value")),
     }
-    base = records.select(key, *IDENTITY, "value", "start_ts", "seq",
-                          time_chunk(records, chunk_seconds).alias(CHUNK))
+    # the narrow keyed records are written once; sizing the chunks, the
+    # window and the chunk totals then all read that instead of the input
+    narrow = materialize(records.select(key, *IDENTITY, "value", "start_ts", "seq",
+                                        "start_date", "start_time"))
+    base = narrow.select(key, *IDENTITY, "value", "start_ts", "seq",
+                         time_chunk(narrow, chunk_seconds).alias(CHUNK))
     out = chunked_running(base, [key], CHUNK, ORDER, measures)
     return out.select(
         key, *IDENTITY, "value", "start_ts", "seq",

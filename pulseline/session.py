@@ -53,6 +53,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it from
+    there (reliable checkpoint): later passes over it neither rescan nor
+    recompute the input, and a lost executor costs no recomputation."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/pulseline/{name}-{uuid.uuid4().hex}"
