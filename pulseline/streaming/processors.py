@@ -155,6 +155,103 @@ class LiteralFoldProcessor(StatefulProcessor):
         pass
 
 
+def _key_runs(keys: np.ndarray):
+    """(start, end) of each run of equal keys in a key-sorted array."""
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return zip(starts, np.append(starts[1:], len(keys)))
+
+
+class _BucketedFold(StatefulProcessor):
+    """Per-key folds with one Python call per *bucket* of keys.
+
+    The stream is grouped by a hash bucket of the key, not by the key: the
+    Python stateful runner costs a few ms per group, which dominates when a
+    batch holds thousands of keys.  State is still one small entry per key
+    (a map state keyed by the key), so a batch reads and writes only the
+    keys it contains, and a key's rows in one batch are bounded by the
+    trigger size.  Subclasses fold one key's values given its state.
+    """
+
+    STATE_SCHEMA = ""
+    KEY = "record_key"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getMapState("fold", f"{self.KEY} STRING", self.STATE_SCHEMA)
+
+    def fold(self, v: np.ndarray, state):
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _ordered(rows, [self.KEY, "start_ts", "seq"])
+        keys = pdf[self.KEY].to_numpy()
+        v = pdf["value"].to_numpy(dtype=np.int64)
+        cols = None
+        new_keys = []
+        for s, e in _key_runs(keys):
+            k = (keys[s],)
+            state = self.state.getValue(k)          # None for a new key
+            if state is None:
+                new_keys.append(s)
+            *arrays, new_state = self.fold(v[s:e], state)
+            if cols is None:
+                cols = [np.empty(len(v), dtype=np.int64) for _ in arrays]
+            for c, a in zip(cols, arrays):
+                c[s:e] = a
+            self.state.updateValue(k, new_state)
+        yield self.output(pdf, cols, np.asarray(new_keys, dtype=np.int64))
+
+    def output(self, pdf: pd.DataFrame, cols, new_rows: np.ndarray) -> pd.DataFrame:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+def _record_columns(pdf: pd.DataFrame) -> dict:
+    return {"record_key": pdf["record_key"], "trial_id": pdf["trial_id"],
+            "patient_id": pdf["patient_id"], "visit_name": pdf["visit_name"],
+            "value": pdf["value"].astype("int32"), "start_ts": pdf["start_ts"],
+            "seq": pdf["seq"]}
+
+
+class BucketedRunningSummaryProcessor(_BucketedFold):
+    """``RunningSummaryProcessor``, grouped by key bucket."""
+
+    STATE_SCHEMA = "n BIGINT, total BIGINT, mn INT, mx INT"
+
+    def fold(self, v, state):
+        return running_batch(v, state)
+
+    def output(self, pdf, cols, new_rows):
+        cnt, tot, mn, mx = cols
+        return pd.DataFrame({
+            **_record_columns(pdf), "run_count": cnt, "run_sum": tot,
+            "run_min": mn.astype("int32"), "run_max": mx.astype("int32"),
+            "run_avg_int": _div_trunc(tot, cnt), "run_avg": tot / cnt})
+
+
+class BucketedLiteralFoldProcessor(_BucketedFold):
+    """``LiteralFoldProcessor``, grouped by key bucket."""
+
+    STATE_SCHEMA = "mx INT, mn INT, n BIGINT, total BIGINT"
+
+    def fold(self, v, state):
+        return literal_fold_batch(v, state)
+
+    def output(self, pdf, cols, new_rows):
+        mx, mn, cnt, tot = cols
+        out = pd.DataFrame(_record_columns(pdf))
+        # the first record of a key only creates the blank state
+        for c in ("trial_id", "patient_id", "visit_name"):
+            out.loc[new_rows, c] = ""
+        out["max_value"] = mx.astype("int32")
+        out["min_value"] = mn.astype("int32")
+        out["n_records"] = cnt
+        out["sum_value"] = tot
+        out["avg_int"] = _div_trunc(tot, cnt)
+        return out
+
+
 class WordCountProcessor(StatefulProcessor):
     """Cumulative count per word, starting from a seed; seed words stay
     silent until they occur."""
@@ -198,10 +295,8 @@ class BucketedWordCountProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _ordered(rows, ["word", "doc_id", "pos"])
         words = pdf["word"].to_numpy()
-        starts = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-        ends = np.append(starts[1:], len(pdf))
         n = np.empty(len(pdf), dtype=np.int64)
-        for s, e in zip(starts, ends):
+        for s, e in _key_runs(words):
             w = words[s]
             got = self.counts.getValue((w,))      # None for a word not seen yet
             n0 = got[0] if got is not None else 0

@@ -18,8 +18,9 @@ from pulseline.operators.records import trial_records
 from pulseline.operators.words import seed_frame, tokenize
 from pulseline.session import STATE_STORE_PROVIDER
 from pulseline.streaming.processors import (
-    COMPAT_SCHEMA, RUNNING_SCHEMA, WORDS_SCHEMA, BucketedWordCountProcessor,
-    LiteralFoldProcessor, RunningSummaryProcessor, WordCountProcessor)
+    COMPAT_SCHEMA, RUNNING_SCHEMA, WORDS_SCHEMA, BucketedLiteralFoldProcessor,
+    BucketedRunningSummaryProcessor, BucketedWordCountProcessor, LiteralFoldProcessor,
+    RunningSummaryProcessor, WordCountProcessor)
 
 RECORD_INPUT = ["record_key", "trial_id", "patient_id", "visit_name", "value", "start_ts", "seq"]
 
@@ -71,11 +72,42 @@ def records_seen(query: StreamingQuery, name: str = "records") -> int:
     return total
 
 
-def running_summary_stream(records: DataFrame, literal: bool = False) -> DataFrame:
-    """Per-record running summaries of a keyed record stream (stateful)."""
-    proc, schema = ((LiteralFoldProcessor(), COMPAT_SCHEMA) if literal
-                    else (RunningSummaryProcessor(), RUNNING_SCHEMA))
-    return records.select(*RECORD_INPUT).groupBy("record_key").transformWithStateInPandas(
+MIN_BUCKETS = 256
+
+
+def default_buckets(spark: SparkSession) -> int:
+    """Key buckets of a stateful stream: at least two per state partition
+    (``spark.sql.shuffle.partitions``), so every partition's task gets work
+    on a large cluster, and at least ``MIN_BUCKETS``.  The count is part of
+    a query's checkpoint: a restart must use the same value (keep the
+    shuffle-partition setting, as Spark requires for stateful queries, or
+    pass ``buckets`` explicitly)."""
+    return max(MIN_BUCKETS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def key_bucket(col: str, buckets: int):
+    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
+
+
+def running_summary_stream(records: DataFrame, literal: bool = False,
+                           buckets: int | None = -1) -> DataFrame:
+    """Per-record running summaries of a keyed record stream (stateful).
+
+    The stateful function runs once per hash bucket of keys (``buckets``,
+    default ``default_buckets``) with one state entry per key; ``None``
+    groups by the key itself (one Python call per key and batch).
+    """
+    recs = records.select(*RECORD_INPUT)
+    schema = COMPAT_SCHEMA if literal else RUNNING_SCHEMA
+    if buckets is None:
+        proc = LiteralFoldProcessor() if literal else RunningSummaryProcessor()
+        grouped = recs.groupBy("record_key")
+    else:
+        if buckets == -1:
+            buckets = default_buckets(records.sparkSession)
+        proc = BucketedLiteralFoldProcessor() if literal else BucketedRunningSummaryProcessor()
+        grouped = recs.withColumn("_bucket", key_bucket("record_key", buckets)).groupBy("_bucket")
+    return grouped.transformWithStateInPandas(
         statefulProcessor=proc, outputStructType=schema, outputMode="Append", timeMode="None")
 
 
@@ -96,24 +128,24 @@ def summary_updates_stream(records: DataFrame, key: str = "record_key") -> DataF
              (F.col("sum_value") / F.col("n_records")).alias("avg_value"))
 
 
-WORD_BUCKETS = 256
-
-
 def word_count_stream(texts: DataFrame, seed=DEFAULT_WORD_SEED,
-                      buckets: int | None = WORD_BUCKETS) -> DataFrame:
+                      buckets: int | None = -1) -> DataFrame:
     """Cumulative seeded word counts of a text stream (one row per token).
 
-    With ``buckets`` the stateful function runs once per hash bucket of
-    words (state is still one entry per word); ``None`` keys it by word.
+    The stateful function runs once per hash bucket of words (``buckets``,
+    default ``default_buckets``); state is still one entry per word.
+    ``None`` keys it by word.
     """
     spark = texts.sparkSession
     seed_df = seed if isinstance(seed, DataFrame) else seed_frame(spark, seed)
     tokens = tokenize(texts)
-    if not buckets:
+    if buckets is None:
         return tokens.groupBy("word").transformWithStateInPandas(
             statefulProcessor=WordCountProcessor(), outputStructType=WORDS_SCHEMA,
             outputMode="Append", timeMode="None", initialState=seed_df.groupBy("word"))
-    bucket = (F.abs(F.xxhash64("word")) % buckets).cast("int")
+    if buckets == -1:
+        buckets = default_buckets(spark)
+    bucket = key_bucket("word", buckets)
     return (tokens.withColumn("bucket", bucket).groupBy("bucket")
             .transformWithStateInPandas(
                 statefulProcessor=BucketedWordCountProcessor(), outputStructType=WORDS_SCHEMA,
