@@ -82,7 +82,11 @@ def default_buckets(spark: SparkSession) -> int:
     a query's checkpoint: a restart must use the same value (keep the
     shuffle-partition setting, as Spark requires for stateful queries, or
     pass ``buckets`` explicitly)."""
-    return max(MIN_BUCKETS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        parts = spark.sparkContext.defaultParallelism
+    return max(MIN_BUCKETS, 2 * parts)
 
 
 def key_bucket(col: str, buckets: int):
