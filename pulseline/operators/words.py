@@ -47,14 +47,35 @@ def word_totals(tokens: DataFrame, seed=DEFAULT_WORD_SEED) -> DataFrame:
         "word", (F.col("n") + F.coalesce(F.col("seed_n"), F.lit(0))).alias("n"))
 
 
+MIN_CHUNK_IDS = 64
+MAX_CHUNKS_PER_KEY = 1 << 20
+
+
+def word_chunk_ids(min_id: int | None, max_id: int | None, min_ids: int = MIN_CHUNK_IDS,
+                   max_chunks: int = MAX_CHUNKS_PER_KEY) -> int:
+    """Chunk width (in ids) for ``running_word_count`` over ids in
+    [min_id, max_id]: ``min_ids`` ids, widened so that no word has more than
+    ``max_chunks`` chunks (its chunk totals meet in one prefix-window task)."""
+    if min_id is None or max_id is None:
+        return min_ids
+    span = int(max_id) - int(min_id) + 1
+    return max(min_ids, -(-span // max_chunks))
+
+
+def id_range(texts: DataFrame, id_col: str = "doc_id"):
+    """(min, max) of the text ids: one aggregate over one column."""
+    return tuple(texts.agg(F.min(id_col), F.max(id_col)).first())
+
+
 def running_word_count(tokens: DataFrame, seed=DEFAULT_WORD_SEED, id_col: str = "doc_id",
-                       chunk_ids: int = 64) -> DataFrame:
+                       chunk_ids: int = MIN_CHUNK_IDS) -> DataFrame:
     """Every token with its word's cumulative count so far, in (id, pos) order.
 
     The order is split into chunks of ``chunk_ids`` consecutive ids, so a
-    very frequent word is counted over many tasks (see operators.running).
-    A chunk task holds at most ``chunk_ids`` texts' tokens of one word, a
-    bound that holds at any data size without a statistics pass.
+    very frequent word is counted over many tasks (see operators.running):
+    a chunk task holds at most ``chunk_ids`` texts' tokens of one word.
+    Pass ``word_chunk_ids(*id_range(texts))`` for large inputs, so that the
+    number of chunks of a word (rows of its prefix window) stays bounded too.
     """
     base = tokens.withColumn(CHUNK, F.floor(F.col(id_col) / F.lit(chunk_ids)).cast("bigint"))
     run = chunked_running(base, ["word"], CHUNK, [id_col, "pos"],

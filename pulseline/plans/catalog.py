@@ -106,7 +106,9 @@ def word_totals(spark, sf_dir):
 
 
 def running_word_count(spark, sf_dir):
-    return words.running_word_count(_tokens(spark, sf_dir))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return words.running_word_count(words.tokenize(docs),
+                                    chunk_ids=words.word_chunk_ids(*words.id_range(docs)))
 
 
 def order_parts(spark, sf_dir):

@@ -22,3 +22,12 @@ def test_seeded_running_count(spark):
     assert got == {"hello": [2, 3], "a": [1, 2], "b": [1, 2], "": [1, 2]}
     totals = {r.word: r.n for r in words.word_totals(t).collect()}
     assert totals == {"hello": 3, "a": 2, "b": 2, "": 2}
+
+
+def test_word_chunk_ids_bound_chunks_per_word():
+    from pulseline.operators.words import MAX_CHUNKS_PER_KEY, word_chunk_ids
+    assert word_chunk_ids(0, 9_999) == 64                      # small input: fixed width
+    assert word_chunk_ids(None, None) == 64                    # empty input
+    w = word_chunk_ids(0, 10**10 - 1)                          # 10^10 texts
+    assert w > 64 and -(-10**10 // w) <= MAX_CHUNKS_PER_KEY
+    assert word_chunk_ids(5, 5 + 8 * 3) == 64 and word_chunk_ids(0, 99, 1, 10) == 10
