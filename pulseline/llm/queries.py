@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pulseline.llm.licenses import op2_license_scan
+from pulseline.llm.quality import op8_quality_rules
 from pulseline.llm.secrets import op1_secret_scan
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_license_scan": op2_license_scan,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 SQL: dict[str, str] = {}
