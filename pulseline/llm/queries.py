@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pulseline.llm.licenses import op2_license_scan
+from pulseline.llm.linedup import op4_line_dedup
 from pulseline.llm.quality import op8_quality_rules
 from pulseline.llm.secrets import op1_secret_scan
+from pulseline.llm.simhash import op7_simhash_near_dedup
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
+    "op4_line_dedup": op4_line_dedup,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
 
