@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pulseline.llm.fmindex import op10_benchmark_decontamination
 from pulseline.llm.licenses import op2_license_scan
 from pulseline.llm.linedup import op4_line_dedup
 from pulseline.llm.quality import op8_quality_rules
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {}
