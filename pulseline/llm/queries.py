@@ -5,6 +5,7 @@ from __future__ import annotations
 from pulseline.llm.fmindex import op10_benchmark_decontamination
 from pulseline.llm.licenses import op2_license_scan
 from pulseline.llm.linedup import op4_line_dedup
+from pulseline.llm.pieces import op5_sentencepiece
 from pulseline.llm.quality import op8_quality_rules
 from pulseline.llm.secrets import op1_secret_scan
 from pulseline.llm.simhash import op7_simhash_near_dedup
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
     "op4_line_dedup": op4_line_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
