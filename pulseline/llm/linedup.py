@@ -103,3 +103,30 @@ def op4_line_dedup(spark, sf_dir):
         F.array_join("_removed", ",").alias("removed_lines"),
         F.length("text").cast("long").alias("n_chars_left"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+OP4_SQL = f"""
+WITH l AS (
+  SELECT doc_id, text, coalesce(source, '') AS site, u.i - 1 AS line_no, u.line,
+         trim(regexp_replace(u.line, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS key
+  FROM (SELECT doc_id, text, source, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+       LATERAL (SELECT unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i) u),
+k AS (
+  SELECT key, min((doc_id, line_no)) AS place FROM l
+  WHERE len(string_split(key, ' ')) >= {MIN_WORDS}
+  GROUP BY key HAVING count(DISTINCT site) >= {MIN_SITES}),
+f AS (
+  SELECT l.*, k.key IS NOT NULL AND (l.doc_id, l.line_no) <> k.place AS gone
+  FROM l LEFT JOIN k ON l.key = k.key),
+d AS (
+  SELECT doc_id, any_value(text) AS text, sum(CASE WHEN gone THEN length(line) ELSE 0 END) AS n,
+         list(line ORDER BY line_no) FILTER (NOT gone) AS kept,
+         list(line_no ORDER BY line_no) FILTER (gone) AS gone
+  FROM f GROUP BY doc_id),
+r AS (SELECT *, n <= {MAX_SHARE} * length(text) AND gone IS NOT NULL AS cut FROM d),
+t AS (SELECT *, CASE WHEN cut THEN coalesce(array_to_string(kept, chr(10)), '') ELSE text END AS new FROM r)
+SELECT doc_id, CAST(CASE WHEN cut THEN len(gone) ELSE 0 END AS BIGINT) AS n_removed,
+       CASE WHEN cut THEN array_to_string(gone, ',') ELSE '' END AS removed_lines,
+       CAST(length(new) AS BIGINT) AS n_chars_left, sha256(coalesce(new, '')) AS text_sha256
+FROM t
+"""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pulseline.llm.chat import OP9_SQL, op9_chat_rotation
 from pulseline.llm.fmindex import op10_benchmark_decontamination
+from pulseline.llm.langid import op6_language_id
 from pulseline.llm.licenses import op2_license_scan
-from pulseline.llm.linedup import op4_line_dedup
+from pulseline.llm.linedup import OP4_SQL, op4_line_dedup
 from pulseline.llm.pieces import op5_sentencepiece
 from pulseline.llm.quality import op8_quality_rules
 from pulseline.llm.secrets import op1_secret_scan
@@ -15,9 +17,14 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_language_id": op6_language_id,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_chat_rotation": op9_chat_rotation,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_line_dedup": OP4_SQL,
+    "op9_chat_rotation": OP9_SQL,
+}
