@@ -8,6 +8,7 @@ from pulseline.llm.langid import op6_language_id
 from pulseline.llm.licenses import op2_license_scan
 from pulseline.llm.linedup import OP4_SQL, op4_line_dedup
 from pulseline.llm.pieces import op5_sentencepiece
+from pulseline.llm.pst import op3_lm_scoring
 from pulseline.llm.quality import op8_quality_rules
 from pulseline.llm.secrets import op1_secret_scan
 from pulseline.llm.simhash import op7_simhash_near_dedup
@@ -15,6 +16,7 @@ from pulseline.llm.simhash import op7_simhash_near_dedup
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_license_scan": op2_license_scan,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_line_dedup": op4_line_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_language_id": op6_language_id,
