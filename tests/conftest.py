@@ -5,6 +5,8 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+# Python workers find the package the same way
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 SF001 = "/root/testdata/sf0.001"
