@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -38,21 +40,61 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names storage every executor can reach; it is
-    read from the session.  Only when it is unset (local tests) is a fresh
-    folder made here and registered on the session.
+    On a cluster this setting must name storage that every executor can
+    reach.  Only a local session without it (tests) gets a fresh folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: start the session with a folder "
+                               "that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="pulseline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/pulseline/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all tables this application has staged.  Call it when results
+    are written: plans read their staged tables until then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder in any storage that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, for clusters where it is not
+    installed."""
+    folder = tempfile.mkdtemp(prefix="pulseline-zip-")
+    here = os.path.dirname(os.path.abspath(__file__))
+    spark.sparkContext.addPyFile(shutil.make_archive(
+        f"{folder}/pulseline", "zip", os.path.dirname(here), os.path.basename(here)))
+
+
+def runner_session(app_name: str) -> SparkSession:
+    """The session of a program: cluster settings come from spark-submit, what
+    results depend on is set here, and the workers get the package."""
+    spark = (SparkSession.builder.appName(app_name)
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.python.unix.domain.socket.enabled", "true")
+             .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
+             .getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
+    return spark
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     read it back: later passes over it neither rescan nor recompute the
@@ -70,7 +112,7 @@ def materialize(df, name: str = "stage"):
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/pulseline/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 MB = 1024 * 1024
