@@ -45,8 +45,6 @@ NOTIFY_THRESHOLD = {RENAME: 1, DISCARD: 1}
 DEFAULT_THRESHOLD = 2
 FILE_EXTENSION = r"([.]\w+)$"
 
-RESOLVED_COLS = ["target", "strategy", "source_rank", "line_no", "content"]
-
 
 class ReconcileConflict(RuntimeError):
     pass
@@ -58,15 +56,16 @@ class Reconciled:
     conflicts: DataFrame
     counts: DataFrame
 
-    def raise_on_conflict(self, limit: int = 20) -> "Reconciled":
-        """Fail with all conflicts listed (bounded preview) if any exist."""
-        bad = self.conflicts.limit(limit).collect()
+    def raise_on_conflict(self, show: int = 20) -> "Reconciled":
+        """Fail if there are conflicts.  The message counts them all and tells
+        of ``show``; the whole list is the ``conflicts`` table."""
+        bad = self.conflicts.orderBy("target").limit(show).collect()
         if bad:
             n = self.conflicts.count()
             lines = [f"{r.strategy}: {r.target} ({r.n_sources} sources, "
                      f"{r.first_source} .. {r.last_source})" for r in bad]
             raise ReconcileConflict(
-                f"{n} conflict(s) encountered during merge:\n" + "\n".join(lines))
+                f"{n} conflict(s) encountered during merge, {len(bad)} of them:\n" + "\n".join(lines))
         return self
 
 
@@ -101,10 +100,9 @@ def _one_row(agg: DataFrame, strategy: str, rank: str, content: str) -> DataFram
                       F.col(content).alias("content"))
 
 
-def _empty_conflicts(parts: DataFrame) -> DataFrame:
-    return parts.sparkSession.createDataFrame(
-        [], "target STRING, strategy STRING, n_sources BIGINT, first_source STRING, "
-            "last_source STRING")
+def _content_hash() -> Column:
+    """SHA-1 of the content; NULL contents are equal to each other only."""
+    return F.coalesce(F.sha1(F.col("content")), F.lit("null"))
 
 
 def _by_target(parts: DataFrame, extra_keys=()) -> DataFrame:
@@ -114,8 +112,8 @@ def _by_target(parts: DataFrame, extra_keys=()) -> DataFrame:
         F.count(F.lit(1)).alias("n_sources"),
         F.min(first).alias("_first"),
         F.max(first).alias("_last"),
-        F.min(F.sha1(F.col("content"))).alias("_h_min"),
-        F.max(F.sha1(F.col("content"))).alias("_h_max"),
+        F.min(_content_hash()).alias("_h_min"),
+        F.max(_content_hash()).alias("_h_max"),
     ).select(*extra_keys, "target", "n_sources",
              F.col("_first.source_rank").alias("first_rank"),
              F.col("_first.content").alias("first_content"),
@@ -195,53 +193,62 @@ def strategy_counts(parts_with_strategy: DataFrame) -> DataFrame:
             .groupBy("strategy").agg(F.count(F.lit(1)).alias("n_targets")))
 
 
-AGGREGATED = (FIRST, LAST, SINGLE_OR_ERROR, DEDUPLICATE)
+def _regrouped(parts: DataFrame, rules, default: str) -> DataFrame:
+    """Parts under their new targets with the strategy of the new name;
+    ``was`` is the old target of parts of a renamed one, else NULL.  A part
+    is renamed once: one whose new name asks for it again stays."""
+    tagged = assign_strategy(parts, rules, default)
+    if RENAME not in {default} | {s for _, s in rules}:
+        return tagged.withColumn("was", F.lit(None).cast("string"))
+    packaged = F.col("packaged") if "packaged" in parts.columns else F.lit(True)
+    renamed = F.col("strategy") == RENAME
+    moved = tagged.withColumn("was", F.when(renamed, F.col("target"))).withColumn(
+        "target", F.when(renamed & packaged, renamed_target(F.col("target"), F.col("source")))
+        .otherwise(F.col("target")))
+    return assign_strategy(moved, rules, default)
 
 
 def reconcile(parts: DataFrame, rules=(), default: str = DEDUPLICATE) -> Reconciled:
     """Resolve every target with the strategy its rule names.
 
-    Rename runs first (its parts move to new targets and are kept as they
-    are); the other strategies then work per (renamed) target.  The
-    strategies that pick one part (first, last, singleOrError, deduplicate)
-    share one aggregation grouped by (strategy, target), so the parts are
-    read and shuffled once for all of them.
+    Rename runs first; its parts, regrouped with any others of their new
+    target, are then resolved by the strategy of the new name.  All strategies
+    that choose (first, last, singleOrError, deduplicate, and
+    filterDistinctLines per line) share one aggregation; concat and rename
+    keep their parts and are one projection beside it.
     """
-    tagged = assign_strategy(parts, rules, default)
-    used = {default} | {s for _, s in rules}
-    resolved, conflicts = [], []
-    agg_used = [s for s in AGGREGATED if s in used]
-    if agg_used:
-        agg = _by_target(tagged.filter(F.col("strategy").isin(*agg_used)), extra_keys=("strategy",))
-        is_ = lambda s: F.col("strategy") == s
-        for s in agg_used:
-            if s == FIRST:
-                resolved.append(_one_row(agg.filter(is_(s)), s, "first_rank", "first_content"))
-            elif s == LAST:
-                resolved.append(_one_row(agg.filter(is_(s)), s, "last_rank", "last_content"))
-            else:
-                ok = F.col("n_sources") == 1 if s == SINGLE_OR_ERROR else F.col("same_content")
-                resolved.append(_one_row(agg.filter(is_(s) & ok), s, "first_rank", "first_content"))
-                conflicts.append(_conflicts(agg.filter(is_(s)), s, ~ok))
-    for s in sorted(used - set(AGGREGATED)):
-        sub = tagged.filter(F.col("strategy") == s).drop("strategy")
-        if s == CONCAT:
-            resolved.append(resolve_concat(sub))
-        elif s == FILTER_DISTINCT_LINES:
-            resolved.append(resolve_distinct_lines(sub))
-        elif s == RENAME:
-            resolved.append(resolve_rename(sub))
-        # DISCARD: no rows
-    out = resolved[0] if resolved else None
-    for r in resolved[1:]:
-        out = out.unionByName(r)
-    if out is None:
-        out = parts.sparkSession.createDataFrame(
-            [], "target STRING, strategy STRING, source_rank BIGINT, line_no INT, content STRING")
-    conf = conflicts[0] if conflicts else _empty_conflicts(parts)
-    for c in conflicts[1:]:
-        conf = conf.unionByName(c)
-    return Reconciled(out.select(*RESOLVED_COLS), conf, strategy_counts(tagged))
+    tagged = _regrouped(parts, rules, default)
+    strategy = F.col("strategy")
+    whole = F.array(F.struct(F.lit(0).alias("line_no"), F.lit(None).cast("string").alias("line")))
+    lines = F.when(strategy == FILTER_DISTINCT_LINES, F.transform(
+        _lines(F.col("content")), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))).otherwise(whole)
+    keeps = strategy.isin(CONCAT, RENAME)
+    rows = tagged.filter(~keeps & (strategy != DISCARD)).select(
+        "target", "strategy", "source", "source_rank", "content", F.explode(lines).alias("l"))
+    rows = rows.select("target", "strategy", "source", "source_rank", "l.line_no", "l.line",
+                       F.coalesce("l.line", "content").alias("content"))
+    part = F.struct("source_rank", "line_no", "content", "source")
+    agg = rows.groupBy("strategy", "target", "line").agg(
+        F.count(F.lit(1)).alias("n_sources"), F.min(part).alias("first"), F.max(part).alias("last"),
+        (F.min(_content_hash()) == F.max(_content_hash())).alias("same"))
+    ok = (F.when(strategy == SINGLE_OR_ERROR, F.col("n_sources") == 1)
+          .when(strategy == DEDUPLICATE, F.col("same")).otherwise(F.lit(True)))
+    chosen = agg.filter(ok).select("target", "strategy", F.when(
+        strategy == LAST, F.col("last")).otherwise(F.col("first")).alias("p"))
+    chosen = chosen.select("target", "strategy", "p.source_rank", "p.line_no", "p.content")
+    content = F.col("content")
+    kept = tagged.filter(keeps).select(
+        "target", "strategy", "source_rank", F.lit(0).alias("line_no"),
+        F.when((strategy == RENAME) | content.endswith("\n"), content)
+        .otherwise(F.concat(content, F.lit("\n"))).alias("content"))
+    conflicts = agg.filter(~ok).select(
+        "target", "strategy", "n_sources", F.col("first.source").alias("first_source"),
+        F.col("last.source").alias("last_source"))
+    # rename counts the names it was asked for, the others the names they met
+    met = tagged.filter(strategy != RENAME).select("strategy", "target")
+    asked = tagged.filter(F.col("was").isNotNull()).select(
+        F.lit(RENAME).alias("strategy"), F.col("was").alias("target"))
+    return Reconciled(chosen.unionByName(kept), conflicts, strategy_counts(met.unionByName(asked)))
 
 
 def conflict_sources(parts: DataFrame, conflicts: DataFrame) -> DataFrame:

@@ -60,6 +60,39 @@ def test_rename(spark):
     assert got == {"README_1", "META-INF/NOTICE_2.txt"}
 
 
+def test_null_contents(spark):
+    parts = spark.createDataFrame(
+        [("all", "1", 1, None), ("all", "2", 2, None), ("some", "1", 1, None), ("some", "2", 2, "x")],
+        "target STRING, source STRING, source_rank BIGINT, content STRING")
+    ok, conf = rc.resolve_deduplicate(parts)
+    assert [r.target for r in ok.collect()] == ["all"] and [r.target for r in conf.collect()] == ["some"]
+    res = rc.reconcile(parts)
+    assert [r.target for r in res.resolved.collect()] == ["all"]
+    assert [r.target for r in res.conflicts.collect()] == ["some"]
+
+
+def test_renamed_parts_meet_again(spark):
+    parts = spark.createDataFrame(
+        [("NOTICE.txt", "a", 1, "one"), ("NOTICE.txt", "b", 2, "two"), ("NOTICE_a.txt", "c", 3, "three"),
+         ("README", "a", 4, "x"), ("README", "a", 5, "y")],
+        "target STRING, source STRING, source_rank BIGINT, content STRING")
+    rules = [("^NOTICE[.]txt$", rc.RENAME), ("^README$", rc.RENAME), ("^README_a$", rc.CONCAT)]
+    res = rc.reconcile(parts, rules)
+    assert {(r.target, r.strategy, r.content) for r in res.resolved.collect()} == {
+        ("NOTICE_b.txt", "deduplicate", "two"), ("README_a", "concat", "x\n"), ("README_a", "concat", "y\n")}
+    assert [(r.target, r.n_sources) for r in res.conflicts.collect()] == [("NOTICE_a.txt", 2)]
+    assert {r.strategy: r.n_targets for r in res.counts.collect()} == {
+        "rename": 2, "concat": 1, "deduplicate": 1}
+    with pytest.raises(rc.ReconcileConflict, match="NOTICE_a.txt"):
+        res.raise_on_conflict()
+
+
+def test_rules_read_the_parts_at_most_twice(spark):
+    from pulseline.plans import catalog
+    plan = catalog.reconcile_by_rule(spark, SF01)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 2
+
+
 def test_table_scale_counts(spark):
     from pulseline.plans.catalog import order_parts
     parts = order_parts(spark, SF01)
