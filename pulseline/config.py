@@ -27,17 +27,21 @@ class SensorConfig:
     alert_threshold: int = DEFAULT_ALERT_THRESHOLD
     key_columns: tuple[str, ...] = DEFAULT_KEY_COLUMNS
     trigger: str = DEFAULT_TRIGGER
+    field_terms: dict[int, str] = field(default_factory=dict)  # field number -> its whole text
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int | None = 1 << 30  # of a folder stream, if files are not limited
     checkpoint: str | None = None
-    chunk_seconds: int | str = "auto"  # order-range split of hot keys (seconds or "auto")
-    extra: dict = field(default_factory=dict)
 
     @classmethod
     def from_dict(cls, d: dict) -> "SensorConfig":
         known = {f.name for f in fields(cls)}
-        kw = {k: v for k, v in d.items() if k in known}
+        unknown = sorted(set(d) - known)
+        if unknown:
+            raise ValueError(f"unknown settings: {', '.join(unknown)}")
+        kw = dict(d)
         for k in ("filter_terms", "key_columns"):
-            if k in kw and not isinstance(kw[k], tuple):
+            if k in kw:
                 kw[k] = tuple(kw[k])
-        kw["extra"] = {k: v for k, v in d.items() if k not in known}
+        if "field_terms" in kw:
+            kw["field_terms"] = {int(k): v for k, v in kw["field_terms"].items()}
         return cls(**kw)

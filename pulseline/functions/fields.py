@@ -52,8 +52,11 @@ def parse_date(s: Column) -> Column:
 
 
 def parse_hhmmss(s: Column) -> Column:
-    """Packed ``HHMMSS`` -> INT (``"083026"`` -> 83026), NULL when invalid."""
-    return F.when(s.rlike("^[0-9]{1,6}$"), s.try_cast("int"))
+    """Packed ``HHMMSS`` -> INT (``"083026"`` -> 83026), NULL when invalid
+    (also when no clock shows it, e.g. 256161)."""
+    t = s.try_cast("int")
+    clock = (t < 240000) & ((t / 100).cast("int") % 100 < 60) & (t % 100 < 60)
+    return F.when(s.rlike("^[0-9]{1,6}$") & clock, t)
 
 
 def stamp(date: Column, hhmmss: Column) -> Column:

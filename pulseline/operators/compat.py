@@ -14,8 +14,9 @@ records n = 1..N and let p be the preceding value, except that at n = 2
 the preceding max is 0 and min 1000.  A row "rises" when n = 1 or
 v > p (for min: v < p).  Inside a run of non-rising rows the output
 alternates reset / value: with r = n - (position of the last rise),
-r even -> v, r odd -> 0 (max) or 2147483647 (min).  Valid for
-0 <= v < 2147483647.
+r even -> v, r odd -> 0 (max) or 2147483647 (min).  The max state is never
+negative, so a value at or below 0 never beats it: the max side works on
+greatest(v, 0).  Valid for v < 2147483647.
 
 Position, preceding value and "last rise" are all computed with the
 chunked scheme of ``operators.running``, so a hot key is spread over its
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseline.operators.running import chunked_position, chunked_running
-from pulseline.operators.summary import CHUNK, IDENTITY, KEY, ORDER, time_chunk
+from pulseline.operators.summary import CHUNK, IDENTITY, KEY, ORDER, with_time_chunk
 from pulseline.session import materialize
 
 # Fixed values of the literal fold.
@@ -43,14 +44,16 @@ def compat_running(records: DataFrame, key: str = KEY, chunk_seconds="auto") ->
     # read once and the first pass is not recomputed by the second
     narrow = materialize(records.select(key, *IDENTITY, "value", *ORDER,
                                         "start_date", "start_time"))
-    base = narrow.select(key, *IDENTITY, "value", *ORDER,
-                         time_chunk(narrow, chunk_seconds).alias(CHUNK))
+    base = with_time_chunk(narrow, key, chunk_seconds).select(
+        key, *IDENTITY, "value", *ORDER, CHUNK)
     pos = materialize(
         chunked_position(base, [key], CHUNK, ORDER, "value", pos_name="n", prev_name="p"))
     n, v, p = F.col("n"), F.col("value"), F.col("p")
+    high = F.greatest(v, F.lit(0))
     rises = pos.select(
         "*",
-        ((n == 1) | (v > F.when(n == 2, F.lit(BLANK_MAX)).otherwise(p))).alias("rise_max"),
+        ((n == 1) | (high > F.when(n == 2, F.lit(BLANK_MAX)).otherwise(F.greatest(p, F.lit(0)))))
+        .alias("rise_max"),
         ((n == 1) | (v < F.when(n == 2, F.lit(BLANK_MIN)).otherwise(p))).alias("rise_min"))
     runs = chunked_running(rises, [key], CHUNK, ORDER, {
         "last_rise_max": ("max", F.when(F.col("rise_max"), n)),
@@ -65,7 +68,7 @@ def compat_running(records: DataFrame, key: str = KEY, chunk_seconds="auto") ->
         key,
         *[F.when(first, F.lit("")).otherwise(F.col(c)).alias(c) for c in IDENTITY],
         "value", *ORDER,
-        F.when(first, F.lit(BLANK_MAX)).when(r_max % 2 == 1, F.lit(0)).otherwise(v)
+        F.when(first, F.lit(BLANK_MAX)).when(r_max % 2 == 1, F.lit(0)).otherwise(high)
         .alias("max_value"),
         F.when(first, F.lit(BLANK_MIN)).when(r_min % 2 == 1, F.lit(RESET_MIN)).otherwise(v)
         .alias("min_value"),

@@ -25,6 +25,15 @@ def filter_lines(lines: DataFrame, terms=DEFAULT_FILTER_TERMS, line_col: str = "
     return lines.filter(fx.contains_all(F.col(line_col), terms))
 
 
+def filter_fields(lines: DataFrame, terms: dict[int, str], sep: str = "|",
+                  line_col: str = "value") -> DataFrame:
+    """Keep lines whose fields (by number, from 0) equal the given texts."""
+    split = fx.split_fields(F.col(line_col), sep)
+    for i, text in terms.items():
+        lines = lines.filter(F.get(split, i) == text)
+    return lines
+
+
 def _parsed(lines: DataFrame, sep: str, base: int, line_col: str) -> DataFrame:
     # the split array is its own projection, referenced by every field
     split = lines.select(F.col(line_col).alias("raw"),
@@ -48,7 +57,14 @@ def _parsed(lines: DataFrame, sep: str, base: int, line_col: str) -> DataFrame:
         fld(fx.FIELD_END_TIME).alias("_et"),
         fld(fx.FIELD_EPISODE).alias("_seq"),
     )
-    value = F.col("_result").try_cast("int")
+    b = int(base)
+    if b == 0:
+        raise ValueError("the base value must not be 0")
+    # in BIGINT, so that no value can overflow; one whose difference from the
+    # base does not fit INT is rejected like any other bad number
+    wide = F.col("_result").try_cast("bigint")
+    variance = F.try_subtract(wide, F.lit(b).cast("bigint"))
+    value = F.when(variance.try_cast("int").isNotNull(), wide.try_cast("int"))
     step2 = step1.select(
         "*",
         value.alias("value"),
@@ -68,16 +84,15 @@ def _parsed(lines: DataFrame, sep: str, base: int, line_col: str) -> DataFrame:
         .when(F.col("_ed").isNotNull() & F.col("end_date").isNull(), F.lit("bad_date:end_date"))
         .when(F.col("_et").isNotNull() & F.col("end_time").isNull(), F.lit("bad_time:end_time"))
     )
-    b = int(base)
     # The parsed row is emitted as one generated row (inline of a one-row
     # array).  The reject filter on ``reason`` then reads computed columns;
     # on a plain projection Catalyst would push it below, inlining the split
     # and every parse into the predicate and computing them twice.
     return step2.select(F.inline(F.array(F.struct(
         F.col("raw"),
-        (F.col("value") - F.lit(b)).alias("variance"),
+        F.expr(f"cast(cast(value as bigint) - {b} as int)").alias("variance"),
         # integer division (toward zero) first, then widened to FLOAT
-        F.expr(f"cast(((value - {b}) * 100) div {b} as float)").alias("percentage"),
+        F.expr(f"cast(((cast(value as bigint) - {b}) * 100) div {b} as float)").alias("percentage"),
         "trial_id", "patient_id", "visit_name", "value", "device",
         "start_date", "start_time", "end_date", "end_time",
         fx.stamp(F.col("start_date"), F.col("start_time")).alias("start_ts"),

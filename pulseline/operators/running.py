@@ -25,11 +25,12 @@ The same split gives a row's position in its key and the value of the
 preceding row across chunk borders (``chunked_position``).  Results are
 exact; no rows are sampled or dropped.
 
-Chunk width.  ``auto_chunk_width`` sizes chunks from one cheap aggregate
-(row count and span of the order value) so that a key holding a third of
-all rows, spread over the span, still yields chunks of about
-``target_rows`` rows: at test scale this is one chunk (a plain window), at
-cluster scale thousands.
+Chunk bounds.  ``equal_count_chunks`` gives every key with more than
+``target_rows`` rows bounds at approximate quantiles of its own order values,
+so its chunks hold about as many rows each, however its rows are spread
+(bursts, outliers).  All bounds together are at most one per ``target_rows``
+rows, a few MB for 10^12 rows.  Keys below the target are one chunk.
+Results never depend on the bounds.
 """
 
 from __future__ import annotations
@@ -37,25 +38,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulseline.session import materialize
+
 _AGG = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 # how chunk totals fold into a prefix
 _PREFIX = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
-HOT_SHARE = 1 / 3
 TARGET_ROWS = 2_000_000
-
-
-def auto_chunk_width(df: DataFrame, order_value: Column, target_rows: int = TARGET_ROWS,
-                     hot_share: float = HOT_SHARE) -> int:
-    """Width (in units of ``order_value``) of chunks holding about
-    ``target_rows`` rows of a key with ``hot_share`` of all rows."""
-    n, lo, hi = df.agg(F.count(F.lit(1)), F.min(order_value), F.max(order_value)).first()
-    if not n or lo is None:
-        return 1
-    span = int(hi) - int(lo) + 1
-    hot_rows = max(1.0, n * hot_share)
-    return max(1, min(span, int(span * target_rows / hot_rows)))
+BROADCAST_BOUNDS = 1_000_000
+
+
+def equal_count_chunks(df: DataFrame, keys: list[str], order_value: Column, chunk_col: str,
+                       target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Add ``chunk_col``: the number of the row's bounds at or below its
+    ``order_value`` (0 for keys of at most ``target_rows`` rows).  ``df`` is
+    read twice and should be written data."""
+    keyed = df.select(*keys, order_value.alias("_v"))
+    hot = materialize(keyed.groupBy(*keys).count().where(F.col("count") > target_rows), "hot")
+    n_hot, rows = hot.agg(F.count(F.lit(1)), F.sum("count")).first()
+    if not n_hot:
+        return df.withColumn(chunk_col, F.lit(0).cast("bigint"))
+    most = hot.agg(F.max("count")).first()[0]
+    # quantiles at multiples of the target share of each key's own rows
+    share = F.lit(float(target_rows)) / F.col("count")
+    n_chunks = -(-most // target_rows)
+    # percentile_approx takes constant points: take them finely enough for the
+    # largest key, and keep of each key those that its own size asks for
+    points = [i / n_chunks for i in range(1, n_chunks)]
+    hot_rows = keyed.join(F.broadcast(hot) if n_hot <= BROADCAST_BOUNDS else hot, keys)
+    quantiles = hot_rows.groupBy(*keys, "count").agg(
+        F.percentile_approx("_v", points, max(10_000, 20 * n_chunks)).alias("_q"))
+    step = F.greatest(F.floor(F.lit(n_chunks) * share), F.lit(1)).cast("int")
+    bounds = quantiles.select(*keys, F.array_distinct(F.filter(
+        "_q", lambda x, i: (i + 1) % step == 0)).alias("_b"))
+    # two levels: about 2 * sqrt(n) comparisons find a row's chunk
+    width = F.greatest(F.ceil(F.sqrt(F.size("_b"))), F.lit(1)).cast("int")
+    bounds = materialize(bounds.withColumn("_w", width).withColumn(
+        "_c", F.filter("_b", lambda x, i: (i + 1) % F.col("_w") == 0)), "bounds")
+    few = rows // target_rows + n_hot <= BROADCAST_BOUNDS
+    d = df.withColumn("_v", order_value).join(F.broadcast(bounds) if few else bounds, keys, "left")
+    v = F.col("_v")
+    d = d.withColumn("_k", F.size(F.filter("_c", lambda x: x <= v)) * F.col("_w"))
+    inside = F.size(F.filter(F.slice("_b", F.col("_k") + 1, F.col("_w")), lambda x: x <= v))
+    return d.withColumn(chunk_col, F.coalesce(F.col("_k") + inside, F.lit(0)).cast("bigint")).select(
+        *df.columns, chunk_col)
 
 
 def _combine(kind: str, prefix: Column, local: Column) -> Column:
@@ -76,7 +103,8 @@ def _sorted(order: list[str]) -> list[Column]:
 
 
 def chunked_running(df: DataFrame, keys: list[str], chunk_col: str, order: list[str],
-                    measures: dict[str, tuple[str, Column]]) -> DataFrame:
+                    measures: dict[str, tuple[str, Column]],
+                    totals_from_window: bool = False) -> DataFrame:
     """Add running aggregates per key along ``order``.
 
     ``measures`` maps output name -> (kind, column), kind in count/sum/min/
@@ -84,6 +112,11 @@ def chunked_running(df: DataFrame, keys: list[str], chunk_col: str, order: list[
     along ``order`` within a key (e.g. a day number when ordering by time).
     ``order`` lists column names, ascending with NULLs first, and should be
     unique within a key so running values are deterministic.
+
+    ``totals_from_window`` takes the chunk totals from the last row of each
+    chunk's window, so that they share its exchange and ``df`` is computed
+    once; by default they are a partial aggregate of ``df``, which moves less
+    but reads it again.
     """
     part = keys + [chunk_col]
     w_in = (Window.partitionBy(*part).orderBy(*_sorted(order))
@@ -92,8 +125,13 @@ def chunked_running(df: DataFrame, keys: list[str], chunk_col: str, order: list[
         "*", *[_AGG[kind](c).over(w_in).alias(f"_l_{name}")
                for name, (kind, c) in measures.items()])
 
-    totals = df.groupBy(*part).agg(
-        *[_AGG[kind](c).alias(f"_t_{name}") for name, (kind, c) in measures.items()])
+    if totals_from_window:
+        after = F.lead(F.lit(1)).over(Window.partitionBy(*part).orderBy(*_sorted(order)))
+        totals = local.withColumn("_after", after).where(F.col("_after").isNull()).select(
+            *part, *[F.col(f"_l_{name}").alias(f"_t_{name}") for name in measures])
+    else:
+        totals = df.groupBy(*part).agg(
+            *[_AGG[kind](c).alias(f"_t_{name}") for name, (kind, c) in measures.items()])
     prefix = totals.select(
         *part, *[_PREFIX[kind](F.col(f"_t_{name}")).over(_before(keys, chunk_col))
                  .alias(f"_p_{name}") for name, (kind, _) in measures.items()])

@@ -9,11 +9,13 @@ map task).  ``running_summary`` uses the chunked prefix scheme of
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseline.functions.fields import wall_seconds
-from pulseline.operators.running import auto_chunk_width, chunked_running
+from pulseline.operators.running import chunked_running, equal_count_chunks
 from pulseline.session import materialize
 
 KEY = "record_key"
@@ -25,13 +27,14 @@ ORDER = ["start_ts", "seq"]
 CHUNK = "_chunk"
 
 
-def time_chunk(records: DataFrame, chunk_seconds="auto") -> Column:
-    """Contiguous order chunks of ``chunk_seconds`` of observation time
-    (``"auto"``: sized from the data, see ``operators.running``)."""
+def with_time_chunk(records: DataFrame, key: str = KEY, chunk_seconds="auto") -> DataFrame:
+    """Add contiguous order chunks: ``chunk_seconds`` of observation time, or
+    (``"auto"``) about equally many rows of a large key, see
+    ``operators.running``."""
     secs = wall_seconds(F.col("start_date"), F.col("start_time"))
-    width = (auto_chunk_width(records, secs) if chunk_seconds == "auto"
-             else int(chunk_seconds))
-    return F.floor(secs / F.lit(width)).cast("bigint")
+    if chunk_seconds == "auto":
+        return equal_count_chunks(records, [key], secs, CHUNK)
+    return records.withColumn(CHUNK, F.floor(secs / F.lit(int(chunk_seconds))).cast("bigint"))
 
 
 def _avg_cols(n: str, s: str) -> list[Column]:
@@ -41,18 +44,41 @@ def _avg_cols(n: str, s: str) -> list[Column]:
     ]
 
 
-def summary(records: DataFrame, key: str = KEY) -> DataFrame:
-    """Final summary per key: count, sum, min, max, integer and exact average."""
-    # identity columns are functions of the key: grouping on them keeps a
-    # hash aggregate (max over strings would force a sort aggregate)
-    ident = [c for c in IDENTITY if c in records.columns]
-    agg = records.groupBy(key, *ident).agg(
+def _last_order() -> Column:
+    """(start_ts, seq) as one number, for an aggregate that stays a hash one."""
+    seq = F.coalesce(F.col("seq"), F.lit(-(1 << 63)).cast("bigint")).cast("decimal(20,0)")
+    secs = F.unix_seconds(F.col("start_ts").cast("timestamp")).cast("decimal(18,0)")
+    return F.coalesce((secs * F.lit(Decimal(10 ** 19)).cast("decimal(20,0)") + seq).cast("decimal(38,0)"), seq)
+
+
+def _merge(parts: DataFrame, key: str) -> DataFrame:
+    """One row per key from partial summaries; the identity is that of the
+    part with the latest record.  Parts are few: one per key and identity."""
+    agg = parts.groupBy(key).agg(
+        *[F.max_by(c, "last_order").alias(c) for c in IDENTITY],
+        F.sum("n_records").cast("bigint").alias("n_records"),
+        F.sum("sum_value").cast("bigint").alias("sum_value"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"))
+    return agg.select("*", *_avg_cols("n_records", "sum_value"))
+
+
+def partial_summary(records: DataFrame, key: str = KEY, by=()) -> DataFrame:
+    """Partial summaries per key, identity and ``by`` columns: a hash
+    aggregate with one small row per group and map task."""
+    return records.groupBy(key, *IDENTITY, *by).agg(
         F.count(F.lit(1)).alias("n_records"),
         F.sum("value").cast("bigint").alias("sum_value"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
-    )
-    return agg.select("*", *_avg_cols("n_records", "sum_value"))
+        F.max(_last_order()).alias("last_order"))
+
+
+def summary(records: DataFrame, key: str = KEY) -> DataFrame:
+    """Final summary per key: count, sum, min, max, integer and exact average,
+    and the identity of the key's latest record.  The key may be coarser than
+    the identity (e.g. a patient's visits)."""
+    return _merge(partial_summary(records, key), key)
 
 
 def running_summary(records: DataFrame, key: str = KEY, chunk_seconds="auto") -> DataFrame:
@@ -67,8 +93,8 @@ def running_summary(records: DataFrame, key: str = KEY, chunk_seconds="auto") ->
     # window and the chunk totals then all read that instead of the input
     narrow = materialize(records.select(key, *IDENTITY, "value", "start_ts", "seq",
                                         "start_date", "start_time"))
-    base = narrow.select(key, *IDENTITY, "value", "start_ts", "seq",
-                         time_chunk(narrow, chunk_seconds).alias(CHUNK))
+    base = with_time_chunk(narrow, key, chunk_seconds).select(
+        key, *IDENTITY, "value", "start_ts", "seq", CHUNK)
     out = chunked_running(base, [key], CHUNK, ORDER, measures)
     return out.select(
         key, *IDENTITY, "value", "start_ts", "seq",
@@ -79,18 +105,15 @@ def running_summary(records: DataFrame, key: str = KEY, chunk_seconds="auto") ->
             {"avg_int": "run_avg_int", "avg_value": "run_avg"})
 
 
-def merge_summaries(a: DataFrame, b: DataFrame, key: str = KEY) -> DataFrame:
-    """Merge two partial summaries of the same keys (e.g. two batches):
-    counts and sums add, min/max take the extreme, averages are recomputed."""
-    cols = [key, *IDENTITY, "n_records", "sum_value", "min_value", "max_value"]
-    u = a.select(*cols).unionByName(b.select(*cols))
-    agg = u.groupBy(key, *IDENTITY).agg(
-        F.sum("n_records").cast("bigint").alias("n_records"),
-        F.sum("sum_value").cast("bigint").alias("sum_value"),
-        F.min("min_value").alias("min_value"),
-        F.max("max_value").alias("max_value"),
-    )
-    return agg.select("*", *_avg_cols("n_records", "sum_value"))
+def merge_summaries(*parts: DataFrame, key: str = KEY) -> DataFrame:
+    """Merge partial summaries of the same keys (``partial_summary`` of
+    several batches, or one of several groups): counts and sums add, min/max
+    take the extreme, averages are recomputed, the identity is the latest."""
+    cols = [key, *IDENTITY, "n_records", "sum_value", "min_value", "max_value", "last_order"]
+    u = parts[0].select(*cols)
+    for p in parts[1:]:
+        u = u.unionByName(p.select(*cols))
+    return _merge(u, key)
 
 
 def record_count(records: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pulseline.functions.fields import space_tokens
 from pulseline.operators.running import chunked_running
 
 CHUNK = "_chunk"
+SHORT_SEED = 10_000
 
 
 def tokenize(texts: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -28,22 +29,23 @@ def seed_frame(spark: SparkSession, seed=DEFAULT_WORD_SEED) -> DataFrame:
     return spark.createDataFrame(list(seed), "word STRING, seed_n BIGINT")
 
 
-def _with_seed(df: DataFrame, seed) -> DataFrame:
-    """Attach ``seed_n``.  A seed given as a Python list is small by
-    construction and broadcast; a seed DataFrame (e.g. the totals of an
-    earlier run, as large as the vocabulary) is joined normally and left
-    to AQE's size-checked join choice."""
+def with_seed(df: DataFrame, seed) -> DataFrame:
+    """Attach ``seed_n``.  A seed given as a short Python list is broadcast;
+    a longer one or a seed DataFrame (e.g. the totals of an earlier run, as
+    large as the vocabulary) is joined normally and left to AQE's
+    size-checked join choice."""
     spark = df.sparkSession
     if isinstance(seed, DataFrame):
         s = seed.select("word", F.col(seed.columns[1]).cast("bigint").alias("seed_n"))
         return df.join(s, "word", "left")
-    return df.join(F.broadcast(seed_frame(spark, seed)), "word", "left")
+    s = seed_frame(spark, seed)
+    return df.join(F.broadcast(s) if len(seed) <= SHORT_SEED else s, "word", "left")
 
 
 def word_totals(tokens: DataFrame, seed=DEFAULT_WORD_SEED) -> DataFrame:
     """Final count per word (seed + occurrences); partial aggregation first."""
     counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return _with_seed(counts, seed).select(
+    return with_seed(counts, seed).select(
         "word", (F.col("n") + F.coalesce(F.col("seed_n"), F.lit(0))).alias("n"))
 
 
@@ -79,7 +81,7 @@ def running_word_count(tokens: DataFrame, seed=DEFAULT_WORD_SEED, id_col: str =
     """
     base = tokens.withColumn(CHUNK, F.floor(F.col(id_col) / F.lit(chunk_ids)).cast("bigint"))
     run = chunked_running(base, ["word"], CHUNK, [id_col, "pos"],
-                          {"run_n": ("count", F.lit(1))})
-    return _with_seed(run, seed).select(
+                          {"run_n": ("count", F.lit(1))}, totals_from_window=True)
+    return with_seed(run, seed).select(
         id_col, "pos", "word",
         (F.col("run_n") + F.coalesce(F.col("seed_n"), F.lit(0))).cast("bigint").alias("n"))

@@ -7,20 +7,20 @@ of Spark's text source, so the same parse code serves batch and stream.
 
 from __future__ import annotations
 
-import time
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path: str | None = None, *, mode: str = "batch",
                host: str = "localhost", port: int = 9999,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: int | None = None,
+               max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Device lines from a folder (``batch`` / ``stream``) or a socket.
 
     ``stream`` is the folder-watching source: new files are picked up per
-    trigger, optionally capped with ``max_files_per_trigger``.  ``socket``
+    trigger, so many files or else so many bytes a batch.  ``socket``
     reads newline-delimited text from host:port (development only; it holds
     no offsets and cannot recover).
     """
@@ -30,6 +30,8 @@ def read_lines(spark: SparkSession, path: str | None = None, *, mode: str = "bat
         r = spark.readStream.format("text")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        elif max_bytes_per_trigger:
+            r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
         return r.load(path)
     if mode == "socket":
         return (spark.readStream.format("socket")
@@ -104,44 +106,48 @@ def event_line_fields() -> list[Column]:
     ]
 
 
-def render_event_lines(events: DataFrame, sep: str = "|", keep=()) -> DataFrame:
+# Faults for lines whose event number leaves the given rest on
+# division by FAULT_EVERY; (field, text), or None for a line cut after 5 fields.
+FAULT_EVERY = 17
+LINE_FAULTS = {
+    0: None, 1: (0, ""), 2: (12, "n/a"), 3: (12, "99999999999"), 4: (23, "31FEB2024"),
+    5: (24, "256161"), 6: (25, "yesterday"), 7: (26, "120060"), 8: (12, "-2147483640"),
+    9: (24, ""),
+}
+
+
+def render_event_lines(events: DataFrame, sep: str = "|", keep=(), faults=None) -> DataFrame:
     """One device line per ``events`` row (a narrow projection, no shuffle);
-    ``keep`` names event columns to carry beside the line."""
+    ``keep`` names event columns to carry beside the line, ``faults`` spoils
+    some lines (see ``LINE_FAULTS``)."""
     parts = [F.coalesce(c, F.lit("")) for c in event_line_fields()]
+    rest = F.col("event_id") % FAULT_EVERY
+    for r, fault in (faults or {}).items():
+        if fault is not None:
+            at, text = fault
+            parts[at] = F.when(rest == r, F.lit(text)).otherwise(parts[at])
+    line = F.concat_ws(sep, *parts)
+    for r, fault in (faults or {}).items():
+        if fault is None:
+            line = F.when(rest == r, F.concat_ws(sep, *parts[:5])).otherwise(line)
     # A one-element explode makes the line a generated column: predicates on
     # it (the category filter) then run on the built line instead of being
     # pushed below and re-inlining the 27-field rendering per predicate.
     return _event_parts(events).select(
-        *keep, F.explode(F.array(F.concat_ws(sep, *parts))).alias("value"))
+        *keep, F.explode(F.array(line)).alias("value"))
 
 
-def load_event_lines(spark: SparkSession, sf_dir: str, sep: str = "|") -> DataFrame:
-    return render_event_lines(spark.read.parquet(f"{sf_dir}/events.parquet"), sep)
+def load_event_lines(spark: SparkSession, sf_dir: str, sep: str = "|", faults=None) -> DataFrame:
+    return render_event_lines(spark.read.parquet(f"{sf_dir}/events.parquet"), sep, faults=faults)
 
 
-def write_ordered_files(df: DataFrame, path: str, n_files: int, order_col: str,
-                        fmt: str = "text", cols=("value",)) -> str:
-    """Write ``df`` as ``n_files`` consecutive range slices of ``order_col``,
-    one slice per write, so file modification times follow the order.  A
-    folder-watching stream replays files by modification time, so this is
-    a replayable input that arrives in order (test and bench fixture).
-
-    The input is bucketed once and persisted, so the slices only filter
-    stored rows instead of recomputing (and recompiling) ``df`` per slice.
-    """
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    if lo is None:
-        return path
-    width = (hi - lo) / n_files if hi > lo else 1
-    bucket = F.least(F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width)),
-                     F.lit(n_files - 1)).cast("int")
-    staged = df.select(*cols, order_col, bucket.alias("_slice")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        for i in range(n_files):
-            (staged.filter(F.col("_slice") == i).sortWithinPartitions(order_col)
-             .select(*cols).write.mode("append").format(fmt).save(path))
-            time.sleep(0.02)  # distinct modification times on coarse file systems
-    finally:
-        staged.unpersist()
-    return path
+def order_slices(df: DataFrame, order_value: Column, n_slices: int) -> tuple[DataFrame, int]:
+    """``df`` with ``_slice``, from 0: consecutive ranges of ``order_value``
+    with about equally many rows, however ``df`` is laid out in files.  Rows
+    of one value share a slice.  Returns the number of slices too."""
+    points = [i / n_slices for i in range(1, n_slices)]
+    bounds = df.agg(F.percentile_approx(order_value, points, 100 * n_slices)).first()[0] if points else []
+    bounds = sorted(set(bounds or []))
+    index = reduce(lambda a, b: a + b, [(order_value > F.lit(x)).cast("int") for x in bounds],
+                   F.lit(0))
+    return df.withColumn("_slice", index), len(bounds) + 1

@@ -1,5 +1,4 @@
-"""Sinks: keyed documents, the append log with its latest-per-key view,
-bounded console output."""
+"""Sinks: keyed documents."""
 
 from __future__ import annotations
 
@@ -15,14 +14,3 @@ def to_documents(df: DataFrame, key: str = "record_key", fields=TRIAL_COLUMNS) -
     the earlier one there)."""
     return df.select(F.col(key).alias("doc_id"),
                      F.to_json(F.struct(*[F.col(c) for c in fields])).alias("doc"))
-
-
-def write_log(df: DataFrame, path: str, partition_by=("trial_id",), mode: str = "append") -> None:
-    """Batch append to the raw record log (every record kept, partitioned so
-    queries by trial prune folders)."""
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
-
-
-def show_batch(df: DataFrame, n: int = 10) -> None:
-    """Print at most ``n`` rows (never an unbounded collect)."""
-    df.limit(n).show(n, truncate=False)

@@ -117,7 +117,8 @@ def literal_fold_batch(v: np.ndarray, state):
         first = 0
     rest = v[first:]
     if len(rest):
-        mx[first:] = _literal_extreme(rest, mx0, lambda a, p: a > p, 0)
+        # the max state is never negative: no value at or below 0 beats it
+        mx[first:] = _literal_extreme(np.maximum(rest, 0), mx0, lambda a, p: a > p, 0)
         mn[first:] = _literal_extreme(rest, mn0, lambda a, p: a < p, RESET_MIN)
         cnt[first:] = n0 + np.arange(1, len(rest) + 1)
         tot[first:] = s0 + np.cumsum(rest)

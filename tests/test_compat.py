@@ -28,7 +28,7 @@ def test_closed_form_equals_fold_on_random_sequences(spark):
     rows, want = [], {}
     for k in range(300):
         n = rnd.randint(1, 30)
-        vals = [rnd.choice([0, rnd.randint(0, 5), rnd.randint(1, 999)]) for _ in range(n)]
+        vals = [rnd.choice([0, rnd.randint(0, 5), rnd.randint(1, 999), rnd.randint(-9, 0)]) for _ in range(n)]
         key = f"K{k}"
         want[key] = literal_fold(vals)
         for i, v in enumerate(vals):

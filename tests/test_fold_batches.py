@@ -9,7 +9,7 @@ from test_compat import literal_fold
 
 from pulseline.streaming.processors import literal_fold_batch, running_batch
 
-values = st.lists(st.integers(min_value=0, max_value=400), min_size=1, max_size=40)
+values = st.lists(st.integers(min_value=-50, max_value=400), min_size=1, max_size=40)
 cuts = st.lists(st.integers(min_value=1, max_value=40), max_size=6)
 
 

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import numpy as np
+
 from conftest import hr_line, line
 
 from pulseline.operators import records as rec
@@ -73,3 +75,34 @@ def test_report_filters_and_grouping(spark):
         {("000000001", 1, 60.0, 20.0), ("000000002", 1, 40.0, -20.0)}
     got = report(recs, group_by=("visit_name",), filters={"patient_id": ["000000001"]}).collect()
     assert sorted((r.visit_name, r.max_variance) for r in got) == [("S01", 10), ("S03", 30)]
+
+
+def test_impossible_times_are_rejected(spark):
+    lines = [hr_line(time=t, seq=str(i)) for i, t in enumerate(("256161", "240000", "126000", "120060", "235959"))]
+    got = rec.rejects(_lines(spark, lines)).collect()
+    assert [r.reason for r in got] == ["bad_time:start_time"] * 4
+    assert rec.parse_trial(_lines(spark, lines)).first().start_time == 235959
+
+
+def test_no_value_fails_the_job(spark):
+    values = ["99999999", "2147483647", "-2147483648", "9223372036854775807", "99999999999999999999", "-3"]
+    lines = [hr_line(value=v) for v in values]
+    assert {r.raw for r in rec.rejects(_lines(spark, lines)).collect()} == {lines[i] for i in (2, 3, 4)}
+    got = {r.value: (r.variance, r.percentage) for r in rec.parse_trial(_lines(spark, lines)).collect()}
+    assert {v: x for v, (x, _) in got.items()} == {99999999: 99999949, 2147483647: 2147483597, -3: -53}
+    assert got[-3][1] == -106.0 and got[99999999][1] == float(np.float32(199999898))
+
+
+def test_filter_by_field(spark):
+    lines = [hr_line(visit="S01"), hr_line(visit="S02"), "short"]
+    out = rec.filter_fields(_lines(spark, lines), {4: "S02", 10: "HR DAILY"}).collect()
+    assert [r.value for r in out] == [lines[1]]
+
+
+def test_unknown_settings_are_refused():
+    import pytest
+    from pulseline.config import SensorConfig
+    with pytest.raises(ValueError, match="bas_value"):
+        SensorConfig.from_dict({"bas_value": 60})
+    cfg = SensorConfig.from_dict({"field_terms": {"4": "S01"}, "key_columns": ["patient_id"]})
+    assert cfg.field_terms == {4: "S01"} and cfg.key_columns == ("patient_id",)

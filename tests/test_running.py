@@ -4,7 +4,8 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pulseline.operators.summary import running_summary, summary, merge_summaries
+from pulseline.operators.running import equal_count_chunks
+from pulseline.operators.summary import merge_summaries, partial_summary, running_summary, summary
 
 
 def _records(spark):
@@ -37,17 +38,43 @@ def test_chunked_running_equals_single_window(spark):
 def test_merge_of_halves_equals_whole(spark):
     df = _records(spark)
     am = F.hour("start_ts") < 12
-    merged = merge_summaries(summary(df.filter(am)), summary(df.filter(~am)))
+    merged = merge_summaries(partial_summary(df.filter(am)), partial_summary(df.filter(~am)))
     cols = ["record_key", "n_records", "sum_value", "min_value", "max_value", "avg_int", "avg_value"]
     assert sorted(merged.select(cols).collect()) == sorted(summary(df).select(cols).collect())
 
 
-def test_auto_width_splits_a_hot_key():
-    from pulseline.operators import running
-    # 3e11 rows over a year: a key with a third of them gets ~2M-row chunks
-    span, n = 365 * 86400, 3 * 10 ** 11
-    width = max(1, min(span, int(span * running.TARGET_ROWS / (n * running.HOT_SHARE))))
-    assert 60 <= width <= 3600
+def test_chunks_hold_equal_counts_despite_outliers_and_bursts(spark):
+    """One stamp far away, a key whose rows crowd in a short time, small keys."""
+    rows = [("spread", i * 1000) for i in range(30_000)] + [("spread", 10 ** 12)]
+    rows += [("burst", 5_000_000 + i) for i in range(9_000)] + [("burst", i * 10_000) for i in range(1_000)]
+    rows += [(f"k{i % 50}", i) for i in range(2_000)]
+    df = spark.createDataFrame(rows, "key STRING, v BIGINT")
+    got = equal_count_chunks(df, ["key"], F.col("v"), "c", target_rows=1_000)
+    sizes = {(r.key, r.c): (r["count"], r.lo, r.hi) for r in got.groupBy("key", "c").agg(
+        F.count(F.lit(1)).alias("count"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    assert max(n for n, _, _ in sizes.values()) <= 2_000
+    assert len([1 for k, _ in sizes if k == "spread"]) >= 25
+    assert all(c == 0 for k, c in sizes if k.startswith("k"))
+    for key in ("spread", "burst"):  # chunks are ranges of the order value
+        ends = [(lo, hi) for (k, c), (_, lo, hi) in sorted(sizes.items()) if k == key]
+        assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_results_do_not_depend_on_chunks(spark, monkeypatch):
+    from pulseline.operators import compat, running
+    df = _records(spark)
+    plain = sorted(running_summary(df).collect()), sorted(compat.compat_running(df).collect())
+    monkeypatch.setattr(running.equal_count_chunks, "__defaults__", (100,))
+    assert (sorted(running_summary(df).collect()), sorted(compat.compat_running(df).collect())) == plain
+
+
+def test_key_coarser_than_identity_has_one_row(spark):
+    df = _records(spark).withColumn("visit_name", F.concat(F.lit("V"), F.col("seq") % 5))
+    got = summary(df).collect()
+    assert len(got) == len({r.record_key for r in got}) == 18
+    last = {r.record_key: r.v for r in df.groupBy("record_key").agg(
+        F.max_by("visit_name", F.struct("start_ts", "seq")).alias("v")).collect()}
+    assert {r.record_key: r.visit_name for r in got} == last
 
 
 def test_cluster_settings_scale_with_input():
