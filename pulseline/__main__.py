@@ -27,6 +27,7 @@ def _parser() -> argparse.ArgumentParser:
         src.add_argument("--socket", nargs=2, metavar=("HOST", "PORT"))
         s.add_argument("--out", required=True, help="output folder (logs and checkpoints)")
         s.add_argument("--config", help="JSON file with SensorConfig fields")
+        s.add_argument("--show", type=int, metavar="N", help="words: print N lines of every batch")
         s.add_argument("--once", action="store_true", help="process available input and exit")
     return p
 
@@ -43,21 +44,27 @@ def main(argv=None) -> int:
         cfg.update(source="folder", path=args.path)
     config = SensorConfig.from_dict(cfg)
 
-    from pyspark.sql import SparkSession
-
+    from pulseline.session import apply_cluster_settings, input_bytes, runner_session
+    from pulseline.sources.lines import read_lines
     from pulseline.streaming import queries as sq
-    spark = SparkSession.builder.appName(f"pulseline-{args.program}").getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+
+    spark = runner_session(f"pulseline-{args.program}")
+    if config.source == "folder":
+        apply_cluster_settings(spark, input_bytes(spark, config.path))
     if args.program == "sensor":
         qs = sq.start_from_config(spark, config, args.out, available_now=args.once)
     else:
-        from pulseline.sources.lines import read_lines
         mode = "socket" if config.source == "socket" else "stream"
         lines = read_lines(spark, config.path, mode=mode, host=config.host, port=config.port,
-                           max_files_per_trigger=config.max_files_per_trigger)
-        texts = lines.selectExpr("monotonically_increasing_id() AS doc_id", "value AS text")
-        qs = {"words": sq.start_word_count(spark, texts, args.out, available_now=args.once,
-                                           trigger=None if args.once else "1 second")}
+                           max_files_per_trigger=config.max_files_per_trigger,
+                           max_bytes_per_trigger=config.max_bytes_per_trigger)
+        # lines have no number of their own: words count in order of arrival
+        texts = lines.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "value AS text")
+        how = {"available_now": args.once, "trigger": None if args.once else "1 second"}
+        qs = {"words": sq.start_word_count(spark, texts, args.out, **how),
+              "totals": sq.start_word_totals(spark, texts, args.out, **how)}
+        if args.show:
+            qs["show"] = sq.console(texts.select("text"), args.show, **how)
     if args.once:
         sq.await_all(qs)
     else:

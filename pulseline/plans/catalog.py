@@ -16,7 +16,7 @@ from pulseline.operators import records as rec
 from pulseline.operators import report as rep
 from pulseline.operators import summary as summ
 from pulseline.operators import words
-from pulseline.sources.lines import load_event_lines
+from pulseline.sources.lines import LINE_FAULTS, load_event_lines
 from pulseline.sources.sinks import to_documents
 
 
@@ -63,11 +63,18 @@ def running_summary(spark, sf_dir):
     return summ.running_summary(_records(spark, sf_dir))
 
 
+def summary_by_patient(spark, sf_dir):
+    """Summary under a key that is coarser than the identity."""
+    recs = rec.trial_records(_lines(spark, sf_dir), key_cols=("patient_id",))
+    return summ.summary(recs)
+
+
 def merge_summaries(spark, sf_dir):
-    """Two partial summaries (morning and afternoon observations) merged."""
-    r = _records(spark, sf_dir)
-    am = F.hour("start_ts") < 12
-    return summ.merge_summaries(summ.summary(r.filter(am)), summ.summary(r.filter(~am)))
+    """Partial summaries of morning and other observations, from one pass,
+    merged."""
+    r = _records(spark, sf_dir).withColumn(
+        "morning", F.coalesce(F.hour("start_ts") < 12, F.lit(False)))
+    return summ.merge_summaries(summ.partial_summary(r, by=("morning",)))
 
 
 def record_count(spark, sf_dir):
@@ -84,6 +91,18 @@ def rejects(spark, sf_dir):
     return rec.rejects(_lines(spark, sf_dir))
 
 
+def rejects_all_reasons(spark, sf_dir):
+    """Lines rendered with faults of every kind, by event number."""
+    return rec.rejects(load_event_lines(spark, sf_dir, faults=LINE_FAULTS))
+
+
+def running_summary_with_faults(spark, sf_dir):
+    """Running summaries of lines of which some have faults: bad lines are
+    left out and the others are not touched by them."""
+    lines = load_event_lines(spark, sf_dir, faults=LINE_FAULTS)
+    return summ.running_summary(rec.trial_records(lines))
+
+
 def alerts(spark, sf_dir):
     return rep.flag_alerts(_records(spark, sf_dir)).select(
         "record_key", "start_ts", "seq", "value", "variance", "alert")
@@ -177,11 +196,44 @@ def reconcile_counts(spark, sf_dir):
     return rc.reconcile(order_parts(spark, sf_dir), ORDER_RULES).counts
 
 
+def document_parts(spark, sf_dir):
+    """Documents as parts of several lines: few targets with an extension."""
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return d.select(
+        F.concat(F.lit("texts/"), F.col("lang"), (F.col("doc_id") % 40).cast("string"), F.lit(".txt"))
+        .alias("target"), F.concat(F.col("source"), F.lit(".jar")).alias("source"),
+        F.col("doc_id").alias("source_rank"), F.col("text").alias("content"))
+
+
+# Fixed example rule list for document parts.
+DOCUMENT_RULES = [
+    ("/en", rc.FILTER_DISTINCT_LINES),
+    ("/fr[0-9]*[.]txt$", rc.RENAME),
+    ("/fr", rc.LAST),
+    ("/de", rc.CONCAT),
+]
+
+
+def reconcile_documents(spark, sf_dir):
+    """Texts of many lines; renamed parts of one source meet again under
+    their new target and are resolved by its rule."""
+    return rc.reconcile(document_parts(spark, sf_dir), DOCUMENT_RULES).resolved
+
+
+def reconcile_documents_conflicts(spark, sf_dir):
+    return rc.reconcile(document_parts(spark, sf_dir), DOCUMENT_RULES).conflicts
+
+
+def reconcile_documents_counts(spark, sf_dir):
+    return rc.reconcile(document_parts(spark, sf_dir), DOCUMENT_RULES).counts
+
+
 PLANS = {
     "filter_lines": filter_lines,
     "trial_records": trial_records,
     "summary_by_key": summary_by_key,
     "summary_by_device_key": summary_by_device_key,
+    "summary_by_patient": summary_by_patient,
     "patient_report": patient_report,
     "report_by_visit": report_by_visit,
     "latest_by_key": latest_by_key,
@@ -189,6 +241,8 @@ PLANS = {
     "merge_summaries": merge_summaries,
     "record_count": record_count,
     "rejects": rejects,
+    "rejects_all_reasons": rejects_all_reasons,
+    "running_summary_with_faults": running_summary_with_faults,
     "documents_json": documents_json,
     "alerts": alerts,
     "compat_running": compat_running,
@@ -206,4 +260,7 @@ PLANS = {
     "reconcile_rename": reconcile_rename,
     "reconcile_by_rule": reconcile_by_rule,
     "reconcile_counts": reconcile_counts,
+    "reconcile_documents": reconcile_documents,
+    "reconcile_documents_conflicts": reconcile_documents_conflicts,
+    "reconcile_documents_counts": reconcile_documents_counts,
 }

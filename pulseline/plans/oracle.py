@@ -13,7 +13,7 @@ _DATE = "upper(strftime({t}, '%d%b%Y'))"
 _TIME = "strftime({t}, '%H%M%S')"
 _NEXT = "(ts + INTERVAL 1 DAY)"
 
-LINE_SQL = "concat_ws('|', " + ", ".join([
+LINE_FIELDS_SQL = [
     "'TR-00' || CAST(user_id % 3 AS VARCHAR)",
     "lpad(CAST(user_id AS VARCHAR), 9, '0')",
     "''",
@@ -40,7 +40,8 @@ LINE_SQL = "concat_ws('|', " + ", ".join([
     + _DATE.format(t=_NEXT) + " ELSE '' END",
     "CASE WHEN event_type IN ('view', 'click', 'purchase') THEN "
     + _TIME.format(t=_NEXT) + " ELSE '' END",
-]) + ")"
+]
+LINE_SQL = "concat_ws('|', " + ", ".join(LINE_FIELDS_SQL) + ")"
 
 REC_CTE = f"""
 rec AS (
@@ -291,6 +292,7 @@ SQL["stream_summary"] = SQL["summary_by_key"]
 SQL["stream_records_latest"] = SQL["latest_by_key"]
 SQL["stream_compat"] = SQL["compat_running"]
 SQL["stream_word_count"] = SQL["running_word_count"]
+SQL["stream_word_totals"] = SQL["word_totals"]
 
 
 SQL["documents_json"] = _with(REC_CTE) + """
@@ -305,3 +307,68 @@ FROM rec"""
 SQL["summary_by_device_key"] = _with(REC_CTE) + SUMMARY_SELECT.replace(
     "SELECT record_key,", "SELECT record_key || '_' || device AS record_key,") + \
     " FROM rec GROUP BY record_key, device"
+
+
+# Lines with faults: (rest of event_id, spoiled field, its text, reason); the
+# value -2147483640 parses, but its difference from the base does not fit.
+_FAULTS = [(1, 0, "", "missing_key"), (2, 12, "n/a", "bad_int:result"),
+           (3, 12, "99999999999", "bad_int:result"), (4, 23, "31FEB2024", "bad_date:start_date"),
+           (5, 24, "256161", "bad_time:start_time"), (6, 25, "yesterday", "bad_date:end_date"),
+           (7, 26, "120060", "bad_time:end_time"), (8, 12, "-2147483640", "bad_int:result"),
+           (9, 24, "", None)]
+_spoiled = list(LINE_FIELDS_SQL)
+for _r, _i, _t, _ in _FAULTS:
+    _spoiled[_i] = f"CASE WHEN event_id % 17 = {_r} THEN '{_t}' ELSE {_spoiled[_i]} END"
+# signup lines have no number, which is checked before dates and times
+_REASON = "CASE WHEN event_id % 17 = 0 THEN 'short_line' WHEN event_id % 17 = 1 THEN 'missing_key' " + \
+    "WHEN event_type = 'signup' AND event_id % 17 NOT IN (2, 3, 8) THEN 'bad_int:result' " + \
+    " ".join(f"WHEN event_id % 17 = {r} THEN '{why}'" for r, _, _, why in _FAULTS if why) + " END"
+SQL["rejects_all_reasons"] = f"""
+SELECT * FROM (
+  SELECT CASE WHEN event_id % 17 = 0 THEN concat_ws('|', {", ".join(_spoiled[:5])})
+              ELSE concat_ws('|', {", ".join(_spoiled)}) END AS raw,
+         {_REASON} AS reason
+  FROM events) WHERE reason IS NOT NULL"""
+_REC_FAULTS = REC_CTE.replace("rec AS", "all_rec AS") + """,
+rec AS (
+  SELECT * REPLACE (CASE WHEN seq % 17 = 9 THEN date_trunc('day', start_ts) ELSE start_ts END AS start_ts)
+  FROM all_rec WHERE seq % 17 > 8)"""
+SQL["running_summary_with_faults"] = SQL["running_summary"].replace(REC_CTE, _REC_FAULTS)
+SQL["summary_by_patient"] = _with(REC_CTE) + """
+  SELECT patient_id AS record_key, arg_max(trial_id, (start_ts, seq)) AS trial_id,
+         arg_max(patient_id, (start_ts, seq)) AS patient_id,
+         arg_max(visit_name, (start_ts, seq)) AS visit_name,
+         count(*) AS n_records, CAST(sum(value) AS BIGINT) AS sum_value,
+         min(value) AS min_value, max(value) AS max_value,
+         CAST(sum(value) // greatest(count(*), 1) AS BIGINT) AS avg_int,
+         CAST(sum(value) AS DOUBLE) / count(*) AS avg_value
+  FROM rec GROUP BY patient_id"""
+
+
+# Document parts: fr targets are renamed (texts/fr7.txt from src3.jar becomes
+# texts/fr7_src3.txt), which regroups the parts of one source; then the last wins.
+_DOC_PARTS = """
+old AS (
+  SELECT 'texts/' || lang || CAST(doc_id % 40 AS VARCHAR) || '.txt' AS was,
+         source || '.jar' AS source, doc_id AS source_rank, text AS content, lang, source AS stem
+  FROM documents),
+parts AS (
+  SELECT CASE WHEN lang = 'fr' THEN regexp_replace(was, '[.]txt$', '') || '_' || stem || '.txt' ELSE was END
+           AS target, was, source, source_rank, content, lang
+  FROM old)"""
+_DOC_AGG = BY_TARGET_CTE.replace("FROM parts GROUP", "FROM parts WHERE lang IN ('fr', 'es') GROUP").replace(
+    "same_content\n", "same_content, any_value(lang) AS lang\n")
+SQL["reconcile_documents"] = _with(_DOC_PARTS, _DOC_AGG) + " UNION ALL ".join([
+    "(" + DISTINCT_SELECT.replace("FROM parts", "FROM parts WHERE lang = 'en'") + ")",
+    CONCAT_SELECT + " WHERE lang = 'de'",
+    _one("last", "last_rank", "last_content", "lang = 'fr'"),
+    _one("deduplicate", "first_rank", "first_content", "lang = 'es' AND same_content")])
+SQL["reconcile_documents_conflicts"] = _with(_DOC_PARTS, _DOC_AGG) + _conf(
+    "deduplicate", "lang = 'es' AND NOT same_content")
+SQL["reconcile_documents_counts"] = _with(_DOC_PARTS) + """
+SELECT strategy, count(*) AS n_targets FROM (
+  SELECT CASE lang WHEN 'en' THEN 'filterDistinctLines' WHEN 'fr' THEN 'last' WHEN 'de' THEN 'concat'
+              ELSE 'deduplicate' END AS strategy, target, count(*) AS n
+  FROM parts GROUP BY ALL
+  UNION ALL SELECT 'rename', was, 2 FROM old WHERE lang = 'fr' GROUP BY was)
+WHERE n >= 2 GROUP BY strategy"""

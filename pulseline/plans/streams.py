@@ -1,52 +1,84 @@
 """Named streaming plans: the same work as the batch plans, run as
-Structured Streaming queries over replayable file inputs derived from the
-driver tables (five files in key order, one file per micro-batch,
-``availableNow``).  Each returns the sink read back as a DataFrame.
+Structured Streaming queries over a replay of the driver tables.
 
-A plan run is remembered per session and input folder, so the five plans
-share two streaming runs instead of starting one each.
+A replay cuts the table into consecutive slices of the record order.  A slice
+is written (in any number of files), then the queries take all of it as one
+``availableNow`` batch and go on from their checkpoints with the next slice;
+so batches follow the record order whatever the table's files are.  Each plan
+returns what the queries left in their sinks or state.
+
+A run is remembered per application and table files, so plans share runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseline.operators import records as rec
 from pulseline.operators.report import latest_by_key
-from pulseline.session import scratch_path
-from pulseline.sources.lines import read_lines, render_event_lines, write_ordered_files
+from pulseline.session import materialize, scratch_path
+from pulseline.sources.lines import order_slices, read_lines, render_event_lines
 from pulseline.streaming import queries as sq
 
-N_FILES = 5
+ROWS_PER_SLICE = 2_000_000
+MIN_SLICES = 2
 _RUNS: dict = {}
 
 
+def _replay(df: DataFrame, order_value: Column, cols: list[str], fmt: str, folder: str,
+            start: Callable[[], list], n_slices: int | None = None) -> None:
+    """Write slice after slice and run the queries on each to its end."""
+    n = n_slices or max(MIN_SLICES, -(-df.count() // ROWS_PER_SLICE))
+    sliced, n = order_slices(df, order_value, n)
+    staged = materialize(sliced.select(*cols, "_slice"), "slices")
+    for i in range(n):
+        staged.where(F.col("_slice") == i).select(*cols).write.mode("append").format(fmt).save(folder)
+        sq.await_all(start())
+
+
+def _once(spark: SparkSession, table: DataFrame, kind: str, run: Callable[[str], None]) -> str:
+    """The folder of a run, started if the application has not had it."""
+    key = (spark.sparkContext.applicationId, kind, tuple(sorted(table.inputFiles())))
+    if key not in _RUNS:
+        out = scratch_path(spark, f"stream-{kind}")
+        run(out)
+        _RUNS[key] = out
+    return _RUNS[key]
+
+
 def _sensor_run(spark: SparkSession, sf_dir: str, literal: bool) -> str:
-    k = (id(spark), sf_dir, "sensor", literal)
-    if k not in _RUNS:
-        out = scratch_path(spark, "stream-sensor")
-        lines = render_event_lines(spark.read.parquet(f"{sf_dir}/events.parquet"),
-                                   keep=("event_id",))
-        write_ordered_files(lines, f"{out}/input", N_FILES, "event_id")
-        stream = read_lines(spark, f"{out}/input", mode="stream", max_files_per_trigger=1)
-        sq.await_all(sq.start_sensor_queries(spark, stream, out, literal=literal,
-                                             available_now=True))
-        _RUNS[k] = out
-    return _RUNS[k]
-
-
-def _words_run(spark: SparkSession, sf_dir: str) -> str:
-    k = (id(spark), sf_dir, "words")
-    if k not in _RUNS:
-        out = scratch_path(spark, "stream-words")
-        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-        write_ordered_files(docs, f"{out}/input", N_FILES, "doc_id", fmt="parquet",
-                            cols=("doc_id", "text"))
-        stream = (spark.readStream.schema("doc_id BIGINT, text STRING")
-                  .option("maxFilesPerTrigger", "1").parquet(f"{out}/input"))
-        sq.await_all([sq.start_word_count(spark, stream, out, available_now=True)])
-        _RUNS[k] = out
-    return _RUNS[k]
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+
+    def run(out: str) -> None:
+        # records of one second are ordered by event number: a second stays in one slice
+        second = F.unix_seconds(F.date_trunc("second", "ts").cast("timestamp"))
+        lines = render_event_lines(events.withColumn("_second", second), keep=("_second",))
+
+        def start():
+            stream = read_lines(spark, f"{out}/input", mode="stream")
+            return list(sq.start_sensor_queries(spark, rec.trial_records(stream), out, literal=literal,
+                                                available_now=True).values())
+
+        _replay(lines, F.col("_second"), ["value"], "text", f"{out}/input", start)
+
+    return _once(spark, events, f"sensor-{literal}", run)
+
+
+def _words_run(spark: SparkSession, sf_dir: str, totals: bool) -> str:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+    def run(out: str) -> None:
+        def start():
+            stream = spark.readStream.schema("doc_id BIGINT, text STRING").parquet(f"{out}/input")
+            go = sq.start_word_totals if totals else sq.start_word_count
+            return [go(spark, stream, out, available_now=True)]
+
+        _replay(docs, F.col("doc_id"), ["doc_id", "text"], "parquet", f"{out}/input", start)
+
+    return _once(spark, docs, f"words-{totals}", run)
 
 
 def stream_running(spark, sf_dir) -> DataFrame:
@@ -54,16 +86,8 @@ def stream_running(spark, sf_dir) -> DataFrame:
 
 
 def stream_summary(spark, sf_dir) -> DataFrame:
-    """Totals per key = the latest running row per key of the stream."""
-    run = spark.read.parquet(f"{_sensor_run(spark, sf_dir, False)}/summary")
-    # the last emitted row of a key carries its final state, and counts
-    # only grow, so it is the row with the largest running count
-    last = latest_by_key(run, order=("run_count",))
-    return last.select(
-        "record_key", "trial_id", "patient_id", "visit_name",
-        F.col("run_count").alias("n_records"), F.col("run_sum").alias("sum_value"),
-        F.col("run_min").alias("min_value"), F.col("run_max").alias("max_value"),
-        F.col("run_avg_int").alias("avg_int"), F.col("run_avg").alias("avg_value"))
+    """Totals per key: the state of the built-in update-mode aggregate."""
+    return sq.sensor_totals(spark, _sensor_run(spark, sf_dir, False))
 
 
 def stream_records_latest(spark, sf_dir) -> DataFrame:
@@ -77,7 +101,12 @@ def stream_compat(spark, sf_dir) -> DataFrame:
 
 
 def stream_word_count(spark, sf_dir) -> DataFrame:
-    return spark.read.parquet(f"{_words_run(spark, sf_dir)}/words")
+    return spark.read.parquet(f"{_words_run(spark, sf_dir, False)}/words")
+
+
+def stream_word_totals(spark, sf_dir) -> DataFrame:
+    """Totals per word: the state of the built-in update-mode aggregate."""
+    return sq.word_totals(spark, f"{_words_run(spark, sf_dir, True)}/_ckpt/word_totals")
 
 
 STREAM_PLANS = {
@@ -86,4 +115,5 @@ STREAM_PLANS = {
     "stream_records_latest": stream_records_latest,
     "stream_compat": stream_compat,
     "stream_word_count": stream_word_count,
+    "stream_word_totals": stream_word_totals,
 }

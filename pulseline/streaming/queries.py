@@ -3,8 +3,8 @@
 Sources are folder-watching text/parquet streams (or a socket for
 development); sinks are Parquet append logs with their own checkpoint, so
 a restarted query resumes from its offsets and state.  Totals per key are
-read from the append logs as the latest row per key (what a keyed upsert
-store would hold), so no update-mode sink or driver callback is needed.
+built-in update-mode aggregates, read from their state store as one row per
+key (what a keyed upsert store would hold); no driver callback is needed.
 """
 
 from __future__ import annotations
@@ -14,9 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulseline.config import DEFAULT_WORD_SEED
-from pulseline.operators.records import trial_records
-from pulseline.operators.words import seed_frame, tokenize
+from pulseline.operators.records import (
+    add_key, filter_fields, filter_lines, parse_trial, trial_records)
+from pulseline.operators.report import flag_alerts
+from pulseline.operators.summary import IDENTITY, _avg_cols
+from pulseline.operators.words import seed_frame, tokenize, with_seed
 from pulseline.session import STATE_STORE_PROVIDER
+from pulseline.sources.lines import read_lines
 from pulseline.streaming.processors import (
     COMPAT_SCHEMA, RUNNING_SCHEMA, WORDS_SCHEMA, BucketedLiteralFoldProcessor,
     BucketedRunningSummaryProcessor, BucketedWordCountProcessor, LiteralFoldProcessor,
@@ -46,30 +50,21 @@ def sink(df: DataFrame, path: str, checkpoint: str, *, trigger: str | None = Non
     return w.start()
 
 
-def console(df: DataFrame, n: int = 10, trigger: str | None = None) -> StreamingQuery:
-    """Print the first ``n`` rows of every batch (debugging)."""
+def console(df: DataFrame, n: int = 10, trigger: str | None = None,
+            available_now: bool = False) -> StreamingQuery:
+    """Print the first ``n`` rows of every batch (``--show`` of the runner)."""
     w = df.writeStream.format("console").option("numRows", str(n)).outputMode("append")
-    if trigger:
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
         w = w.trigger(processingTime=trigger)
     return w.start()
 
 
-def observed_records(records: DataFrame, name: str = "records") -> DataFrame:
-    """Attach a per-batch record count, reported in each query progress under
-    ``observedMetrics[name]`` (the stream's "records seen" counter)."""
-    return records.observe(name, F.count(F.lit(1)).alias("n_records"))
-
-
-def records_seen(query: StreamingQuery, name: str = "records") -> int:
-    """Records seen so far according to the retained progress reports."""
-    total = 0
-    for p in query.recentProgress:
-        m = (p.get("observedMetrics") or {}).get(name) if isinstance(p, dict) else None
-        if m is None and not isinstance(p, dict):
-            m = (p.observedMetrics or {}).get(name)
-        if m is not None:
-            total += int(m["n_records"])
-    return total
+def records_seen(spark: SparkSession, out_dir: str) -> int:
+    """Records a sensor run has seen so far, counted in its record log (from
+    file footers): all batches count, however long ago they ran."""
+    return spark.read.parquet(f"{out_dir}/records").count()
 
 
 MIN_BUCKETS = 256
@@ -119,17 +114,58 @@ def summary_updates_stream(records: DataFrame, key: str = "record_key") -> DataF
     """Totals per key with built-in streaming aggregation (no Python state).
 
     For ``update`` output mode: each batch emits the keys it changed with
-    their new totals.  File sinks take append only, so use it with a sink
-    that accepts updates (console, memory in tests, or a table that upserts
-    by key); the Parquet path is ``running_summary_stream`` + latest row.
+    their new totals; the identity is that of the latest record.  Totals of
+    all keys are the query's state, see ``start_totals`` and ``read_totals``.
     """
-    return records.groupBy(key, "trial_id", "patient_id", "visit_name").agg(
+    return records.groupBy(key).agg(
+        F.max_by(F.struct(*IDENTITY), F.struct("start_ts", "seq")).alias("identity"),
         F.count(F.lit(1)).alias("n_records"),
         F.sum("value").cast("bigint").alias("sum_value"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
-    ).select("*", F.expr("sum_value div greatest(n_records, 1)").cast("bigint").alias("avg_int"),
-             (F.col("sum_value") / F.col("n_records")).alias("avg_value"))
+    ).select(key, "identity.*", "n_records", "sum_value", "min_value", "max_value",
+             *_avg_cols("n_records", "sum_value"))
+
+
+def word_totals_stream(texts: DataFrame) -> DataFrame:
+    """Occurrences per word with built-in streaming aggregation."""
+    return tokenize(texts).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def start_totals(totals: DataFrame, checkpoint: str, *, trigger: str | None = None,
+                 available_now: bool = False) -> StreamingQuery:
+    """Run a totals aggregation in update mode.  Its state store holds one
+    row per key, the keyed upsert view of the totals; nothing else is
+    written (a store that takes upserts would be given the updates)."""
+    w = (totals.writeStream.format("noop").outputMode("update")
+         .option("checkpointLocation", checkpoint))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
+        w = w.trigger(processingTime=trigger)
+    return w.start()
+
+
+def read_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(key, value) rows of a totals query's state after its last batch."""
+    return spark.read.format("statestore").load(checkpoint).select("key", "value")
+
+
+def sensor_totals(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Totals per key of a sensor run, one row per key."""
+    # the value holds the buffers of summary_updates_stream's aggregates
+    return read_totals(spark, f"{out_dir}/_ckpt/totals").select(
+        "key.record_key", *[F.col(f"value.valueWithExtremumOrdering.{c}").alias(c) for c in IDENTITY],
+        F.col("value.count").alias("n_records"), F.col("value.sum").alias("sum_value"),
+        F.col("value.min").alias("min_value"), F.col("value.max").alias("max_value"),
+        *_avg_cols("value.count", "value.sum"))
+
+
+def word_totals(spark: SparkSession, checkpoint: str, seed=DEFAULT_WORD_SEED) -> DataFrame:
+    """Occurrences per word of a word-totals query so far, seed included."""
+    counts = read_totals(spark, checkpoint).select("key.word", F.col("value.count").alias("n"))
+    return with_seed(counts, seed).select(
+        "word", (F.col("n") + F.coalesce("seed_n", F.lit(0))).alias("n"))
 
 
 def word_count_stream(texts: DataFrame, seed=DEFAULT_WORD_SEED,
@@ -157,45 +193,43 @@ def word_count_stream(texts: DataFrame, seed=DEFAULT_WORD_SEED,
                 initialState=seed_df.withColumn("bucket", bucket).groupBy("bucket")))
 
 
-def start_sensor_queries(spark: SparkSession, lines: DataFrame, out_dir: str, *,
+def start_sensor_queries(spark: SparkSession, records: DataFrame, out_dir: str, *,
                          literal: bool = False, trigger: str | None = None,
-                         available_now: bool = False) -> dict[str, StreamingQuery]:
-    """The sensor program as two queries over one line stream: the raw
-    record log (partitioned by trial) and the running summaries."""
+                         available_now: bool = False, checkpoint: str | None = None,
+                         alert_threshold: int | None = None) -> dict[str, StreamingQuery]:
+    """The sensor program over a stream of keyed records: the raw record log
+    (partitioned by trial), the running summary of every record, the totals
+    per key, and (with a threshold) the log of alerts."""
     _prepare(spark)
-    records = observed_records(trial_records(lines))
-    return {
-        "records": sink(records, f"{out_dir}/records", f"{out_dir}/_ckpt/records",
-                        trigger=trigger, available_now=available_now,
-                        partition_by=("trial_id",)),
+    base = checkpoint or f"{out_dir}/_ckpt"
+    how = {"trigger": None if available_now else trigger, "available_now": available_now}
+    queries = {
+        "records": sink(records, f"{out_dir}/records", f"{base}/records",
+                        partition_by=("trial_id",), **how),
         "summary": sink(running_summary_stream(records, literal), f"{out_dir}/summary",
-                        f"{out_dir}/_ckpt/summary", trigger=trigger,
-                        available_now=available_now),
+                        f"{base}/summary", **how),
     }
+    if not literal:
+        queries["totals"] = start_totals(summary_updates_stream(records), f"{base}/totals", **how)
+    if alert_threshold is not None:
+        queries["alerts"] = sink(flag_alerts(records, alert_threshold), f"{out_dir}/alerts",
+                                 f"{base}/alerts", **how)
+    return queries
 
 
 def start_from_config(spark: SparkSession, cfg, out_dir: str, *,
                       available_now: bool = False) -> dict[str, StreamingQuery]:
     """Start the sensor program as configured (folder or socket source,
-    separator, filter terms, base value, key columns, trigger)."""
-    from pulseline.operators.records import add_key, filter_lines, parse_trial
-    from pulseline.sources.lines import read_lines
-
-    _prepare(spark)
+    separator, filters, base value, key columns, alerts, trigger)."""
     mode = "socket" if cfg.source == "socket" else "stream"
     lines = read_lines(spark, cfg.path, mode=mode, host=cfg.host, port=cfg.port,
-                       max_files_per_trigger=cfg.max_files_per_trigger)
-    records = observed_records(add_key(parse_trial(
-        filter_lines(lines, cfg.filter_terms), sep=cfg.separator, base=cfg.base_value),
-        cfg.key_columns))
-    base = cfg.checkpoint or f"{out_dir}/_ckpt"
-    trig = None if available_now else cfg.trigger
-    return {
-        "records": sink(records, f"{out_dir}/records", f"{base}/records", trigger=trig,
-                        available_now=available_now, partition_by=("trial_id",)),
-        "summary": sink(running_summary_stream(records), f"{out_dir}/summary",
-                        f"{base}/summary", trigger=trig, available_now=available_now),
-    }
+                       max_files_per_trigger=cfg.max_files_per_trigger,
+                       max_bytes_per_trigger=cfg.max_bytes_per_trigger)
+    lines = filter_fields(filter_lines(lines, cfg.filter_terms), cfg.field_terms, cfg.separator)
+    records = add_key(parse_trial(lines, sep=cfg.separator, base=cfg.base_value), cfg.key_columns)
+    return start_sensor_queries(spark, records, out_dir, trigger=cfg.trigger,
+                                available_now=available_now, checkpoint=cfg.checkpoint,
+                                alert_threshold=cfg.alert_threshold)
 
 
 def start_word_count(spark: SparkSession, texts: DataFrame, out_dir: str, *,
@@ -206,10 +240,20 @@ def start_word_count(spark: SparkSession, texts: DataFrame, out_dir: str, *,
                 trigger=trigger, available_now=available_now)
 
 
-def await_all(queries, timeout_s: int = 600) -> None:
-    """Wait for ``availableNow`` queries to finish; raise on failure."""
+def start_word_totals(spark: SparkSession, texts: DataFrame, out_dir: str, *,
+                      trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
+    _prepare(spark)
+    return start_totals(word_totals_stream(texts), f"{out_dir}/_ckpt/word_totals",
+                        trigger=trigger, available_now=available_now)
+
+
+def await_all(queries, timeout_s: float | None = None) -> None:
+    """Wait for ``availableNow`` queries to finish; raise on failure.  Without
+    a time limit they run as long as their input needs."""
     for q in (queries.values() if isinstance(queries, dict) else queries):
-        if not q.awaitTermination(timeout_s):
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
             q.stop()
             raise TimeoutError(f"streaming query {q.name or q.id} did not finish")
         if q.exception() is not None:

@@ -1,10 +1,15 @@
-from pulseline.session import scratch_path
+import pytest
+from pyspark.sql import functions as F
 
-from conftest import hr_line
+from compare import compare, duck
+from conftest import SF001, hr_line
 
 from pulseline.config import SensorConfig
 from pulseline.operators import records as rec
 from pulseline.operators.summary import summary
+from pulseline.plans.oracle import SQL
+from pulseline.plans.streams import STREAM_PLANS
+from pulseline.session import scratch_path
 from pulseline.streaming import queries as sq
 
 
@@ -32,7 +37,7 @@ def test_config_runner_recovers_from_checkpoint(spark):
     _write(spark, src, all_lines[8:12] + [hr_line(value="x")])   # one reject
     qs = sq.start_from_config(spark, cfg, out, available_now=True)
     sq.await_all(qs)
-    assert sq.records_seen(qs["records"]) == 12
+    assert sq.records_seen(spark, out) == 12
     # stop, more files arrive, restart from the same checkpoint
     _write(spark, src, all_lines[12:])
     sq.await_all(sq.start_from_config(spark, cfg, out, available_now=True))
@@ -46,7 +51,24 @@ def test_config_runner_recovers_from_checkpoint(spark):
         if r.record_key not in got or r.run_count > got[r.record_key][0]:
             got[r.record_key] = (r.run_count, r.run_sum, r.run_min, r.run_max)
     assert got == want
-    assert run.count() == 24 and spark.read.parquet(f"{out}/records").count() == 24
+    assert run.count() == 24 and sq.records_seen(spark, out) == 24
+    totals = spark.read.format("statestore").load(f"{root}/ckpt/totals")
+    assert {r.key.record_key: r.value["count"] for r in totals.collect()} == {k: v[0] for k, v in want.items()}
+    alerts = spark.read.parquet(f"{out}/alerts")
+    assert alerts.count() == sum(abs(40 + (i * 37) % 90 - 50) > 10 for i in range(24))
+
+
+def test_records_seen_does_not_rest_on_kept_progress(spark):
+    root = scratch_path(spark, "test")
+    for i in range(5):
+        _write(spark, f"{root}/in", _lines(4, start=4 * i))
+    cfg = SensorConfig.from_dict({"path": f"{root}/in", "max_files_per_trigger": 1})
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        sq.await_all(sq.start_from_config(spark, cfg, f"{root}/out", available_now=True))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert sq.records_seen(spark, f"{root}/out") == 20
 
 
 def test_update_mode_totals_with_builtin_aggregation(spark):
@@ -83,6 +105,35 @@ def test_command_line_sensor_once(spark):
     assert spark.read.parquet(f"{root}/out/summary").count() == 9
 
 
+def test_command_line_words_once(spark):
+    from pulseline.__main__ import main
+    root = scratch_path(spark, "test-cli")
+    for text in ("hello a b", "a hello"):
+        _write(spark, f"{root}/in", [text])
+    assert main(["words", "--path", f"{root}/in", "--out", f"{root}/out", "--once", "--show", "2"]) == 0
+    got = {}
+    for r in spark.read.parquet(f"{root}/out/words").collect():
+        got.setdefault(r.word, []).append(r.n)
+    assert {w: sorted(n) for w, n in got.items()} == {"hello": [2, 3], "a": [1, 2], "b": [1]}
+    totals = sq.word_totals(spark, f"{root}/out/_ckpt/word_totals")
+    assert {r.word: r.n for r in totals.collect()} == {"hello": 3, "a": 2, "b": 1}
+
+
+@pytest.fixture(scope="module")
+def in_parts(spark):
+    """The sf0.001 tables as four part files, their rows dealt at random."""
+    folder = scratch_path(spark, "parts")
+    for table in ("events", "documents"):
+        (spark.read.parquet(f"{SF001}/{table}.parquet").repartition(4, F.rand(3))
+         .write.parquet(f"{folder}/{table}.parquet"))
+    return folder
+
+
+@pytest.mark.parametrize("name", STREAM_PLANS)
+def test_any_file_layout(spark, in_parts, name):
+    assert compare(STREAM_PLANS[name](spark, in_parts), duck(SF001), SQL[name]) == []
+
+
 def _fold_stream(spark, src, out, literal, buckets):
     stream = (spark.readStream.format("text").option("maxFilesPerTrigger", "1").load(src))
     df = sq.running_summary_stream(rec.trial_records(stream), literal=literal, buckets=buckets)
