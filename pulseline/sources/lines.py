@@ -7,8 +7,6 @@ of Spark's text source, so the same parse code serves batch and stream.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,6 +146,7 @@ def order_slices(df: DataFrame, order_value: Column, n_slices: int) -> tuple[Dat
     points = [i / n_slices for i in range(1, n_slices)]
     bounds = df.agg(F.percentile_approx(order_value, points, 100 * n_slices)).first()[0] if points else []
     bounds = sorted(set(bounds or []))
-    index = reduce(lambda a, b: a + b, [(order_value > F.lit(x)).cast("int") for x in bounds],
-                   F.lit(0))
-    return df.withColumn("_slice", index), len(bounds) + 1
+    if not bounds:
+        return df.withColumn("_slice", F.lit(0)), 1
+    index = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x < F.col("_v")))
+    return df.withColumn("_v", order_value).withColumn("_slice", index).drop("_v"), len(bounds) + 1
