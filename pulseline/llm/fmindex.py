@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulseline.llm.common import NON_WORD, WORD_BYTES, byte_slices, table, text_buffer
+from pulseline.llm.common import (
+    LOWER, NON_WORD, UPPER, WORD_BYTES, byte_slices, table, text_buffer)
 
 WINDOW = 13
 SHARE = 20
@@ -32,6 +33,7 @@ SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 8 << 20
 SAMPLE = 8
 _WORD = re.compile("[^" + NON_WORD[1:-2] + "]+")
+_LOWER = str.maketrans(UPPER, LOWER)
 _STATE = ["_n_words", "_starts", "_ends", "_items"]
 _STATE_TYPES = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string())]
 _STATE_DDL = "_n_words long, _starts array<int>, _ends array<int>, _items array<string>"
@@ -293,7 +295,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 hit = sum(ends) - sum(starts)
                 if hit and SHARE * hit >= n:
                     text = _without(text, list(zip(starts, ends)))
-                    keep.append(bool(_WORD.search(text)))
+                    keep.append(any(_words(text)))
                 else:
                     keep.append(True)
                 texts.append(text)
@@ -304,9 +306,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     return found.mapInArrow(cut, StructType(found.schema.fields[:len(names)]))
 
 
+def _words(text: str):
+    """Matches of the words of a text, as words_of finds them: with A-Z as a-z."""
+    return _WORD.finditer(text.translate(_LOWER))
+
+
 def _without(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the given word spans."""
-    places = [m.span() for m in _WORD.finditer(text)]
+    places = [m.span() for m in _words(text)]
     out, at = [], 0
     for s, e in spans:
         out.append(text[at:places[s][0]])

@@ -101,6 +101,10 @@ def test_decontamination_in_blocks(spark):
             assert d not in after or not brute.contamination(after[d], known)[4]
         else:
             assert after[d] == t
+    item = bench.first().text
+    mixed = spark.createDataFrame([(1, f"AN Éarly Start, {item.upper()} and THE end"), (2, item)],
+                                  "doc_id long, text string")
+    assert [r.text for r in decontaminate(mixed, bench).collect()] == ["AN Éarly Start,  and THE end"]
     one = {r.doc_id: (r._starts, r._ends, r._items) for r in scan_benchmark(docs, bench).collect()}
     many = {r.doc_id: (r._starts, r._ends, r._items) for r in scan_benchmark(docs, bench, block_bytes=9000).collect()}
     assert one == many
