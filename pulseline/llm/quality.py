@@ -14,7 +14,6 @@ any task than the others.
 
 from __future__ import annotations
 
-from functools import reduce
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +26,7 @@ SHARE = 0.75
 STEPS = 3
 TAIL = 1e-9
 MIN_GROUP = 100
+FEW_GROUPS = 20_000  # one row per group: about 10 MB in all
 #: Statistics and the least standard deviation that each is taken to have: most clean
 #: texts have no symbol or repeated line at all, and a spread of 0 would reject any.
 FEATURES = {"f_symbols": 0.5, "f_marks": 0.3, "f_upper": 0.3, "f_repeats": 0.8, "f_lines": 0.8,
@@ -84,14 +84,16 @@ def quality_stats(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     def percent(a: str, b: str) -> Column:
         return F.log1p(100.0 * F.col(a) / F.greatest(F.col(b), F.lit(1)))
 
-    return d.select(
+    # as one generated row: a filter on the result then reads these columns, where on
+    # a plain projection it would be pushed down with all that they are computed from
+    return d.select(F.inline(F.array(F.struct(
         *(F.col(n) for n in name), *GROUP, *COUNTS,
         percent("n_symbols", "word_chars").alias("f_symbols"),
         percent("marks", "word_chars").alias("f_marks"),
         percent("upper", "word_chars").alias("f_upper"),
         percent("n_repeat_words", "n_words").alias("f_repeats"),
         percent("n_dup_lines", "n_lines").alias("f_lines"),
-        F.log1p(F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1))).alias("f_length"))
+        F.log1p(F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1))).alias("f_length")))))
 
 
 def base_failed() -> Column:
@@ -103,33 +105,38 @@ def _chi2(p: int, q: float) -> float:
     return p * (1 - 2 / (9 * p) + NormalDist().inv_cdf(q) * (2 / (9 * p)) ** 0.5) ** 3
 
 
+# The algebra below is written as SQL text: thousands of column calls would take the
+# driver longer than the work takes the cluster.
+
 def _distance() -> Column:
     """Squared length of W (x - m); W is the inverse Cholesky factor."""
     f = list(FEATURES)
-    rows = [reduce(lambda a, b: a + b, [F.col(f"w_{i}_{j}") * (F.col(f[j]) - F.col(f"m_{j}"))
-                                        for j in range(i + 1)]) for i in range(len(f))]
-    return reduce(lambda a, b: a + b, [r * r for r in rows])
+    rows = [" + ".join(f"w_{i}_{j} * ({f[j]} - m_{j})" for j in range(i + 1)) for i in range(len(f))]
+    return F.expr(" + ".join(f"({r}) * ({r})" for r in rows))
+
+
+def _by_group(rows: DataFrame, groups: DataFrame, n_groups: int, how: str = "inner") -> DataFrame:
+    """Rows with what is known of their group: sent to all tasks if there are
+    few groups, so that a large group's rows stay where they are, and else
+    joined by a shuffle."""
+    small = F.broadcast(groups) if n_groups <= FEW_GROUPS else groups
+    return rows.join(small, GROUP, how)
 
 
 def _whiten(d: DataFrame) -> DataFrame:
     """Columns c_i_j (scatter, j <= i) to w_i_j, the inverse of its Cholesky
-    factor; one row per group."""
+    factor; one row per group.  One projection for each column of the factor
+    and each row of the inverse."""
     p = len(FEATURES)
     for j in range(p):
-        for i in range(j, p):
-            rest = F.col(f"c_{i}_{j}")
-            for k in range(j):
-                rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            d = d.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j
-                             else rest / F.col(f"l_{j}_{j}"))
+        rest = {i: " - ".join([f"c_{i}_{j}", *(f"l_{i}_{k} * l_{j}_{k}" for k in range(j))])
+                for i in range(j, p)}
+        d = d.withColumn(f"l_{j}_{j}", F.expr(f"sqrt(greatest({rest[j]}, 1e-12D))"))
+        d = d.withColumns({f"l_{i}_{j}": F.expr(f"({rest[i]}) / l_{j}_{j}") for i in range(j + 1, p)})
     for i in range(p):
-        for j in range(i + 1):
-            if i == j:
-                w = 1 / F.col(f"l_{i}_{i}")
-            else:
-                w = -reduce(lambda a, b: a + b, [F.col(f"l_{i}_{k}") * F.col(f"w_{k}_{j}")
-                                                 for k in range(j, i)]) / F.col(f"l_{i}_{i}")
-            d = d.withColumn(f"w_{i}_{j}", w)
+        inner = {j: " + ".join(f"l_{i}_{k} * w_{k}_{j}" for k in range(j, i)) for j in range(i)}
+        d = d.withColumns({f"w_{i}_{j}": F.expr(f"-({inner[j]}) / l_{i}_{i}" if j < i else f"1 / l_{i}_{i}")
+                           for j in range(i + 1)})
     return d.select(*GROUP, *(f"m_{j}" for j in range(p)),
                     *(f"w_{i}_{j}" for i in range(p) for j in range(i + 1)))
 
@@ -138,33 +145,29 @@ def _start(stats: DataFrame) -> DataFrame:
     """Median and spread (from the 10 and 90 % points) of each feature."""
     f, floor = list(FEATURES), list(FEATURES.values())
     width = 2 * NormalDist().inv_cdf(0.9)
-    q = stats.groupBy(*GROUP).agg(*(F.percentile_approx(c, [0.1, 0.5, 0.9], 2000).alias(f"q_{i}")
-                                    for i, c in enumerate(f)))
-    cols = [F.col(f"q_{i}")[1].alias(f"m_{i}") for i in range(len(f))]
-    for i in range(len(f)):
-        for j in range(i + 1):
-            sd = (F.col(f"q_{i}")[2] - F.col(f"q_{i}")[0]) / width
-            cols.append((sd * sd + floor[i] ** 2 if i == j else F.lit(0.0)).alias(f"c_{i}_{j}"))
-    return _whiten(q.select(*GROUP, *cols))
+    q = stats.groupBy(*GROUP).agg(*(
+        F.expr(f"percentile_approx({c}, array(0.1, 0.5, 0.9), 2000) AS q_{i}") for i, c in enumerate(f)))
+    return _whiten(q.selectExpr(
+        *GROUP, *(f"q_{i}[1] AS m_{i}" for i in range(len(f))),
+        *(f"pow((q_{i}[2] - q_{i}[0]) / {width}, 2) + {floor[i] ** 2} AS c_{i}_{i}" if i == j
+          else f"0.0D AS c_{i}_{j}" for i in range(len(f)) for j in range(i + 1))))
 
 
-def _step(stats: DataFrame, now: DataFrame) -> DataFrame:
+def _step(stats: DataFrame, now: DataFrame, n_groups: int) -> DataFrame:
     """One concentration step."""
     f, floor = list(FEATURES), list(FEATURES.values())
-    far = stats.join(now, GROUP).select(*GROUP, *f, _distance().alias("d2"))
-    edge = far.groupBy(*GROUP).agg(
-        F.percentile_approx("d2", [0.5, SHARE], 2000).alias("q"))
-    near = far.join(edge, GROUP).where(F.col("d2") <= F.col("q")[1])
+    far = _by_group(stats, now, n_groups).select(*GROUP, *f, _distance().alias("d2"))
+    edge = far.groupBy(*GROUP).agg(F.percentile_approx("d2", SHARE, 2000).alias("edge"))
+    near = _by_group(far, edge, n_groups).where("d2 <= edge")
+    p = len(f)
     sums = near.groupBy(*GROUP).agg(
-        *(F.avg(c).alias(f"m_{i}") for i, c in enumerate(f)),
-        *(F.covar_pop(f[i], f[j]).alias(f"v_{i}_{j}")
-          for i in range(len(f)) for j in range(i + 1)))
+        *(F.expr(f"avg({c}) AS m_{i}") for i, c in enumerate(f)),
+        *(F.expr(f"covar_pop({f[i]}, {f[j]}) AS v_{i}_{j}") for i in range(p) for j in range(i + 1)))
     # the nearest SHARE of normal data have less scatter than all: the factor of consistency
-    p = len(f)
     grow = SHARE / _chi2_share(p + 2, _chi2(p, SHARE))
-    return _whiten(sums.select(
+    return _whiten(sums.selectExpr(
         *GROUP, *(f"m_{i}" for i in range(p)),
-        *((F.col(f"v_{i}_{j}") * grow + (floor[i] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}")
+        *(f"v_{i}_{j} * {grow} + {floor[i] ** 2 if i == j else 0.0} AS c_{i}_{j}"
           for i in range(p) for j in range(i + 1))))
 
 
@@ -186,20 +189,20 @@ def fit_quality(stats: DataFrame, steps: int = STEPS, min_group: int = MIN_GROUP
     to = materialize(n.join(rest, "g_lang", "left").select(
         *GROUP, F.when(big | some, F.col("g_lang")).otherwise(SHARED).alias("t_lang"),
         F.when(big, F.col("g_source")).otherwise(SHARED).alias("t_source")), "groups")
-    good = good.join(to, GROUP).select(F.col("t_lang").alias("g_lang"),
+    n_groups = to.count()
+    good = _by_group(good, to, n_groups).select(F.col("t_lang").alias("g_lang"),
                                        F.col("t_source").alias("g_source"), *FEATURES)
     now = materialize(_start(good), "mcd")
     for _ in range(steps):
-        now = materialize(_step(good, now), "mcd")
+        now = materialize(_step(good, now, n_groups), "mcd")
     return to.join(now.withColumnsRenamed({"g_lang": "t_lang", "g_source": "t_source"}),
                    ["t_lang", "t_source"]).drop("t_lang", "t_source")
 
 
 def judge(stats: DataFrame, estimates: DataFrame, tail: float = TAIL) -> DataFrame:
-    """``stats`` with base_failed, distance (squared) and kept.  Estimates
-    have one row per group, so Spark picks the join by their size."""
+    """``stats`` with base_failed, distance (squared) and kept."""
     cut = _chi2(len(FEATURES), 1 - tail)
-    d = stats.join(estimates, GROUP, "left").withColumn("distance", _distance())
+    d = _by_group(stats, estimates, estimates.count(), "left").withColumn("distance", _distance())
     return d.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cut))
 
