@@ -22,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with columns c0, c1, ...: whatever names it has, they clash
+    with nothing.  ``toDF(*docs.columns)`` gives them back."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all other characters as they are.  ``lower`` is the
     fast path for texts of ASCII only; elsewhere it would change more."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pulseline.llm.common import (
-    LOWER, NON_WORD, UPPER, WORD_BYTES, byte_slices, table, text_buffer)
+    LOWER, NON_WORD, UPPER, WORD_BYTES, by_place, byte_slices, table, text_buffer)
 
 WINDOW = 13
 SHARE = 20
@@ -261,13 +261,22 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
     and items; an item of fewer than ``window`` words is one window.  Repeated
     rows and item ids are fine (an item is its id); a null item id counts as
     the empty one.  Empty tables give no row or no span.  Columns of ``docs``
-    pass through; names with an underscore as above are taken.
+    pass through; those with one of the four names above are replaced.
     """
-    at, names = docs.columns.index(text_col), docs.columns
-    out = docs.select(*(docs[c] if c != text_col else docs[c].cast("string").alias(c) for c in names))
+    docs = docs.drop(*_STATE)
+    return _scanned(by_place(docs), docs.columns.index(text_col), benchmark, item_col, item_text_col,
+                    window, block_bytes).toDF(*docs.columns, *_STATE)
+
+
+def _scanned(docs: DataFrame, at: int, benchmark: DataFrame, item_col: str = "item_id",
+             item_text_col: str = "text", window: int = WINDOW,
+             block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` (columns by place, the text at ``at``) and the state columns."""
+    n = len(docs.columns)
+    out = docs.withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
     schema = StructType(out.schema.fields + StructType.fromDDL(_STATE_DDL).fields)
     for block in _blocks(benchmark, item_col, item_text_col, window, block_bytes):
-        out = out.mapInArrow(lambda b, block=block: _scan(block, at, len(names), b), schema)
+        out = out.mapInArrow(lambda b, block=block: _scan(block, at, n, b), schema)
     return out
 
 
@@ -283,27 +292,27 @@ def contaminated(hit, words):
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the spans of benchmark windows in contaminated texts.
     A text of which no word is left goes; all others stay as they are."""
-    names = docs.columns
-    at = names.index(text_col)
-    found = scan_benchmark(docs, benchmark, text_col, **options)
+    at, n = docs.columns.index(text_col), len(docs.columns)
+    found = _scanned(by_place(docs), at, benchmark, **options)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, keep = [], []
-            state = [b.column(len(names) + k).to_pylist() for k in range(3)]
-            for text, n, starts, ends in zip(b.column(at).to_pylist(), *state):
+            state = [b.column(n + k).to_pylist() for k in range(3)]
+            for text, n_words, starts, ends in zip(b.column(at).to_pylist(), *state):
                 hit = sum(ends) - sum(starts)
-                if hit and SHARE * hit >= n:
+                if hit and SHARE * hit >= n_words:
                     text = _without(text, list(zip(starts, ends)))
                     keep.append(any(_words(text)))
                 else:
                     keep.append(True)
                 texts.append(text)
-            columns = [*b.columns[:len(names)]]
+            columns = [*b.columns[:n]]
             columns[at] = pa.array(texts, b.column(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, b.schema.names[:n]).filter(
+                pa.array(keep, pa.bool_()))
 
-    return found.mapInArrow(cut, StructType(found.schema.fields[:len(names)]))
+    return found.mapInArrow(cut, StructType(found.schema.fields[:n])).toDF(*docs.columns)
 
 
 def _words(text: str):
@@ -330,3 +339,29 @@ def op10_benchmark_decontamination(spark, sf_dir):
         F.size("_items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("_items"), ","), 256).alias("items_sha256"),
         contaminated(hit, F.col("_n_words")).alias("contaminated"))
+
+
+_SQL_WORDS = """list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+OP10_SQL = f"""
+WITH d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_SQL_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, w[i:i + {WINDOW - 1}] AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - {WINDOW - 1}) + 1)) AS i FROM b WHERE len(w) > 0)),
+size AS (SELECT DISTINCT len(g) AS n FROM win),
+hit AS (
+  SELECT doc_id, i, n, item
+  FROM (SELECT doc_id, i, n, w[i:i + n - 1] AS g
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, size WHERE len(w) >= n))
+  JOIN win USING (g)),
+cover AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulseline.llm.common import table
+from pulseline.llm.common import by_place, table
 
 BUCKET_BITS = 15
 ORDERS = (1, 2, 3)
@@ -147,9 +147,10 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     A text that is null or has no letter, or a model without languages, gives
     ``und`` and 0.  Texts are scored whole.  Repeated rows each give their
-    row, an empty table gives none; other columns pass through unread;
-    the two names must be free.
+    row, an empty table gives none; other columns pass through unread,
+    those with one of the two names are replaced.
     """
+    docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names, at = docs.columns, docs.columns.index(text_col)
 
@@ -169,7 +170,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     schema = StructType(docs.schema.fields
                         + StructType.fromDDL("lang_pred string, score double").fields)
-    return docs.mapInArrow(run, schema)
+    return by_place(docs).mapInArrow(run, schema)
 
 
 def op6_language_id(spark, sf_dir):

@@ -137,3 +137,52 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def op2_license_scan(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents"))
 
+
+
+def _oracle(coverage: float = 0.75, drift: int = 4, gap: int = 8) -> str:
+    known = ", ".join(f"({k}, '{label}', {phrase}, {full}, {t}, '{a}', '{b}')"
+                      for k, label, phrase, full, t, a, b in templates())
+    return f"""
+WITH known(tmpl, label, is_phrase, full_mask, t, t1, t2) AS (VALUES {known}),
+w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+    lambda x: x <> '') AS w
+  FROM documents),
+pair AS (
+  SELECT doc_id, i - 1 AS d, w[i] AS w1, w[i + 1] AS w2
+  FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM w)),
+vote AS (
+  SELECT doc_id, tmpl, label, is_phrase, full_mask, d - t AS diagonal,
+         bit_or(CAST(1 AS BIGINT) << t) AS mask, min(d) AS lo, max(d) AS hi
+  FROM pair JOIN known ON w1 = t1 AND w2 = t2
+  GROUP BY doc_id, tmpl, label, is_phrase, full_mask, d - t),
+cut AS (
+  SELECT *, CASE WHEN lo <= lag(hi) OVER o + {gap} AND abs(diagonal - lag(diagonal) OVER o) <= {drift}
+                 THEN 0 ELSE 1 END AS fresh
+  FROM vote WINDOW o AS (PARTITION BY doc_id, tmpl ORDER BY lo, diagonal)),
+band AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, tmpl ORDER BY lo, diagonal ROWS UNBOUNDED PRECEDING) AS k
+  FROM cut),
+span AS (
+  SELECT doc_id, label, is_phrase, count(*) FILTER (is_phrase AND mask = full_mask) AS n_exact,
+         min(diagonal) FILTER (is_phrase AND mask = full_mask) AS lo,
+         max(diagonal) FILTER (is_phrase AND mask = full_mask) AS hi,
+         bit_count(bit_or(mask)) / bit_count(full_mask) AS share
+  FROM band GROUP BY doc_id, tmpl, label, is_phrase, full_mask, k),
+doc AS (
+  SELECT doc_id, sum(n_exact) AS n_base, min(lo) AS first_word, max(hi) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (n_exact > 0) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label)
+           FILTER (n_exact > 0 OR (NOT is_phrase AND share >= {coverage})) AS labels,
+         max(share) AS score
+  FROM span GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM w LEFT JOIN doc USING (doc_id)
+"""
+
+
+OP2_SQL = _oracle()

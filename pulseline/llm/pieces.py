@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulseline.llm.common import table
+from pulseline.llm.common import by_place, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -214,10 +214,11 @@ def encode_texts(docs: DataFrame, text_col: str = "text", model_path: str = MODE
 
     A null text is encoded as the empty one, which has no ids.  Repeated rows
     each give their row, an empty table gives none.  Other columns pass
-    through; the five names above must be free.  The model file is read by the
-    driver and broadcast: its size is that of a vocabulary.
+    through; those with one of the five names above are replaced.  The model
+    file is read by the driver and broadcast: its size is that of a vocabulary.
     """
     spark: SparkSession = docs.sparkSession
+    docs = docs.drop("input_ids", "n_tokens", "decoded", "round_trip", "parity")
     with open(model_path, "rb") as f:
         data = spark.sparkContext.broadcast(f.read())
     names, at = docs.columns, docs.columns.index(text_col)
@@ -242,7 +243,7 @@ def encode_texts(docs: DataFrame, text_col: str = "text", model_path: str = MODE
                      pa.array([x == y for x, y in zip(back, part)]), pa.array(same)],
                     [*names, "input_ids", "n_tokens", "decoded", "round_trip", "parity"])
 
-    return docs.mapInArrow(run, schema)
+    return by_place(docs).mapInArrow(run, schema)
 
 
 def op5_sentencepiece(spark, sf_dir):

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pulseline.llm.chat import OP9_SQL, op9_chat_rotation
-from pulseline.llm.fmindex import op10_benchmark_decontamination
+from pulseline.llm.fmindex import OP10_SQL, op10_benchmark_decontamination
 from pulseline.llm.langid import op6_language_id
-from pulseline.llm.licenses import op2_license_scan
+from pulseline.llm.licenses import OP2_SQL, op2_license_scan
 from pulseline.llm.linedup import OP4_SQL, op4_line_dedup
 from pulseline.llm.pieces import op5_sentencepiece
 from pulseline.llm.pst import op3_lm_scoring
@@ -27,6 +27,8 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op2_license_scan": OP2_SQL,
     "op4_line_dedup": OP4_SQL,
     "op9_chat_rotation": OP9_SQL,
+    "op10_benchmark_decontamination": OP10_SQL,
 }
