@@ -34,7 +34,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on many sites go from all documents but the first with each."""
-    return _recount(dedup_lines(docs).drop("_removed"))
+    return _recount(dedup_lines(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseline.llm.common import SPACES, table
+from pulseline.llm.common import SPACES, by_place, table
 from pulseline.session import materialize
 
 MIN_SITES = 3
@@ -46,13 +46,14 @@ def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     characters, first whether it is the first occurrence of all.  Lines with
     fewer than ``min_words`` words are left alone."""
     text = docs[text_col].cast("string")
+    # keys are made inside the exploded array, so that the filter doesn't make them again
+    keyed = F.transform(_lines(docs[text_col]), lambda x: F.struct(
+        F.length(x).alias("n"), _line_key(x).alias("key")))
     lines = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(text).alias("t"),
                         F.coalesce(docs[site_col].cast("string"), F.lit("")).alias("site"),
-                        F.posexplode(_lines(docs[text_col])).alias("line_no", "line"))
-    lines = lines.select("doc_id", "t", "site", "line_no", F.length("line").alias("n"),
-                         _line_key(F.col("line")).alias("key"))
-    lines = lines.where(F.size(F.split("key", " ")) >= min_words).select(
-        "doc_id", "t", "site", "line_no", "n", F.xxhash64("key").alias("h"))
+                        F.posexplode(keyed).alias("line_no", "line"))
+    lines = lines.where(F.size(F.split("line.key", " ")) >= min_words).select(
+        "doc_id", "t", "site", "line_no", "line.n", F.xxhash64("line.key").alias("h"))
     place = F.struct("doc_id", "t", "line_no")
     spread = lines.groupBy("h").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("estimate"),
@@ -61,17 +62,18 @@ def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         spread.where(F.col("estimate") >= min_sites * (1 - MARGIN))
         .select("h", "place", (F.col("estimate") >= min_sites * (1 + MARGIN)).alias("sure")), "spread")
     seen = materialize(lines.join(likely, "h"), "seen")
-    exact = (seen.where(~F.col("sure")).select("h", "site").distinct().groupBy("h").count()
-             .where(F.col("count") >= min_sites).select("h", F.lit(True).alias("enough")))
+    exact = materialize(seen.where(~F.col("sure")).select("h", "site").distinct().groupBy("h").count()
+                        .where(F.col("count") >= min_sites).select("h", F.lit(True).alias("enough")),
+                        "exact")
     return (seen.join(exact, "h", "left").where(F.col("sure") | F.coalesce("enough", F.lit(False)))
             .select("doc_id", "t", "line_no", "n", place.eqNullSafe(F.col("place")).alias("first")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 site_col: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS,
-                max_share: float = MAX_SHARE) -> DataFrame:
-    """``docs`` with boilerplate lines removed from the text, and the array
-    ``_removed`` of their numbers (from 0), empty if the text is unchanged.
+                max_share: float = MAX_SHARE, removed_col: str | None = None) -> DataFrame:
+    """``docs`` with boilerplate lines removed from the text, and (if named)
+    the array of their numbers (from 0), empty if the text is unchanged.
 
     A null text stays null and an empty one empty; a null site is a site of
     its own.  Rows with equal id and text are treated alike, so the first
@@ -79,28 +81,28 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns pass through, whatever their names.
     """
     found = boilerplate_lines(docs, id_col, text_col, site_col, min_sites, min_words)
-    gone = (found.where(~F.col("first")).groupBy(F.col("doc_id").alias("_id"), F.col("t").alias("_t"))
-            .agg(F.collect_set("line_no").alias("_lines"),
-                 F.collect_set(F.struct("line_no", "n")).alias("_sizes")))
-    gone = gone.select("_id", "_t", "_lines", F.aggregate(
-        "_sizes", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("_n")).hint("shuffle_hash")
-    text = docs[text_col].cast("string")
-    d = docs.join(gone, docs[id_col].eqNullSafe(gone["_id"]) & (F.xxhash64(text) == gone["_t"]), "left")
-    cut = F.col("_n").isNotNull() & (F.col("_n") <= max_share * F.length(text))
-    d = d.select(*(docs[c] for c in docs.columns),
-                 F.when(cut, F.array_sort("_lines")).otherwise(F.array().cast("array<int>"))
-                 .alias("_removed"))
-    left = F.array_join(F.filter(_lines(F.col(text_col)),
-                                 lambda x, i: ~F.array_contains("_removed", i)), "\n")
-    return d.withColumn(text_col, F.when(F.size("_removed") > 0, left).otherwise(F.col(text_col)))
+    gone = found.where(~F.col("first")).groupBy("doc_id", "t").agg(
+        F.collect_set(F.struct("line_no", "n")).alias("lines"))
+    gone = gone.select("doc_id", "t", F.array_sort(F.transform("lines", lambda x: x["line_no"])).alias("lines"),
+                       F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n"))
+    d, names = by_place(docs), docs.columns
+    text, key = F.col(f"c{names.index(text_col)}"), F.col(f"c{names.index(id_col)}")
+    d = d.join(gone.hint("shuffle_hash"), key.eqNullSafe(F.col("doc_id"))
+               & (F.xxhash64(text.cast("string")) == F.col("t")), "left")
+    cut = F.col("n").isNotNull() & (F.col("n") <= max_share * F.length(text))
+    d = d.withColumn("lines", F.when(cut, F.col("lines")).otherwise(F.array().cast("array<int>")))
+    left = F.array_join(F.filter(_lines(text), lambda x, i: ~F.array_contains("lines", i)), "\n")
+    d = d.withColumn(f"c{names.index(text_col)}", F.when(F.size("lines") > 0, left).otherwise(text))
+    out = d.select(*(f"c{i}" for i in range(len(names))), *(["lines"] if removed_col else []))
+    return out.toDF(*names, *([removed_col] if removed_col else []))
 
 
 def op4_line_dedup(spark, sf_dir):
     """doc_id, the lines before, the lines removed and the text that is left."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return dedup_lines(docs).select(
-        "doc_id", F.size("_removed").cast("long").alias("n_removed"),
-        F.array_join("_removed", ",").alias("removed_lines"),
+    return dedup_lines(docs, removed_col="removed").select(
+        "doc_id", F.size("removed").cast("long").alias("n_removed"),
+        F.array_join("removed", ",").alias("removed_lines"),
         F.length("text").cast("long").alias("n_chars_left"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 

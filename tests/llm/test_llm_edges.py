@@ -78,26 +78,27 @@ def test_lm_scoring(docs):
 
 
 def test_lines(docs):
-    got = dedup_lines(docs).collect()
+    got = dedup_lines(docs.withColumn("lines", F.lit(1)).withColumn("n", F.lit(2)),
+                      removed_col="gone").collect()
     assert len(got) == len(ROWS)
     assert {r.doc_id: r.text for r in got}[1] is None
     assert all(r.text == t for r in got for d, t in TEXTS.items() if r.doc_id == d)
-    assert got[0].asDict().keys() == {*docs.columns, "_removed"}
+    assert got[0].asDict().keys() == {*docs.columns, "lines", "n", "gone"}
 
 
 def test_pieces(docs):
-    got = encode_texts(docs).collect()
+    got = encode_texts(docs.withColumn("parity", F.lit("x"))).collect()
     assert len(got) == len(ROWS)
     assert all(r.parity and r.round_trip and r.decoded == (r.text or "") for r in got)
     assert all(r.n_tokens == 0 and r.input_ids == [] for r in got if not r.text)
 
 
 def test_languages(docs):
-    got = identify(docs.drop("score"), fit(docs)).collect()
+    got = identify(docs, fit(docs)).collect()
     assert len(got) == len(ROWS)
     assert {r.lang_pred for r in got if r.doc_id in (1, 2, 3)} == {"und"}
     assert {r.lang_pred for r in got} <= {"und", "en", "de", "fr"}
-    nothing = identify(docs.drop("score"), fit(docs.limit(0))).collect()
+    nothing = identify(docs, fit(docs.limit(0))).collect()
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
 
 
@@ -129,8 +130,8 @@ def test_decontamination(docs, bench):
     for doc, r in by_text(got, docs).items():
         n, hit, items, _, _ = brute.contamination(TEXTS[doc], known)
         assert (r._n_words, sum(r._ends) - sum(r._starts), len(r._items)) == (n, hit, items)
-    left = decontaminate(docs, bench).collect()
-    assert left[0].asDict().keys() == {*docs.columns} and not {4, 5} & {r.doc_id for r in left}
+    left = decontaminate(docs.withColumn("_items", F.lit("x")), bench).collect()
+    assert left[0].asDict().keys() == {*docs.columns, "_items"} and not {4, 5} & {r.doc_id for r in left}
 
 
 @pytest.mark.parametrize("run", [
@@ -143,7 +144,7 @@ def test_empty_table(docs, run):
 def test_empty_tables_with_parameters(docs, bench):
     none = docs.limit(0)
     assert score_texts(none, F.lit(False)).collect() == []
-    assert identify(none.drop("score"), fit(none)).collect() == []
+    assert identify(none, fit(none)).collect() == []
     assert decontaminate(none, bench).collect() == []
     assert all(r._starts == [] for r in scan_benchmark(docs.select("doc_id", "text"), bench.limit(0)).collect())
 

@@ -56,9 +56,10 @@ def test_line_dedup_on_hot_lines(spark):
     rows = [(i, f"own words of text number {i} and more of them to be long enough\n{line}\n"
              + (other if i % 4 < 2 else "something else entirely"), f"s{i % 4}") for i in range(40)]
     rows += [(100, None, "s1"), (101, "", None), (102, line, "s3")]
-    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"),
+                      removed_col="removed")
     want = brute.boilerplate(rows)
-    assert {r.doc_id: (r._removed, r.text) for r in got.collect()} == {
+    assert {r.doc_id: (r.removed, r.text) for r in got.collect()} == {
         d: (g, t) for d, (g, t) in want.items()}
     assert sum(bool(g) for g, _ in want.values()) == 39
 
