@@ -3,14 +3,19 @@
 The model's symbols are the bytes of a text's words, joined by single spaces,
 and an end.  Contexts of up to ``DEPTH`` bytes are counted over all training
 texts by an aggregation of (DEPTH + 1)-grams.  A context is a candidate if it
-makes up at least ``MIN_SHARE`` of the corpus, which bounds the tree; it is
+occurs at least ``MIN_COUNT`` times, whatever the size of the corpus; it is
 retained if its next-symbol distribution diverges from that of its longest
 proper suffix, tested with each occurrence left out of its own count, so that
 chance patterns of rare contexts fail.  Distributions are smoothed towards the
-suffix's, down to uniform bytes.  Closed under prefixes, the retained contexts
-are the states of an automaton that always is in the longest one; a state
-follows from the last DEPTH bytes, so texts are cut into lanes with that much
-warm-up, and numpy advances all lanes of a batch together.
+suffix's, down to uniform bytes.
+
+What the tree says of a symbol depends on its (DEPTH + 1)-gram only.  So the
+tree is never in one place: its levels are tables of grams, each joined with
+the level of its suffixes, and the last one has the log probability of every
+gram of all texts.  Grams that make up a share of at least 2^-GRAM_HEAD_BITS
+of all symbols (so at most 2^GRAM_HEAD_BITS of them) are broadcast; all others
+meet their probabilities in a join.  ``SuffixTree`` is the same model in the
+memory of one process, as an automaton.
 
 Word counts are kept whole.  Words that make up a share of at least
 2^-HEAD_BITS of all tokens (so at most 2^HEAD_BITS of them) are broadcast; all
@@ -25,17 +30,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseline.llm.common import SPACES, ascii_lower, byte_slices, split_words, table, text_buffer
 from pulseline.session import materialize
 
 DEPTH = 5
-MIN_SHARE = 2e-5
+MIN_COUNT = 20
 MIN_GAIN = 10.0
 GAIN_PER_SYMBOL = 0.01
 HEAD_BITS = 20
+GRAM_HEAD_BITS = 21
 HEAD_WORD_BYTES = 64
 SLICE_BYTES = 4 << 20
 LANE_BYTES = 1024
@@ -51,8 +57,11 @@ def stream(text: bytes) -> tuple[bytes, list[bytes]]:
 
 # --- counting -----------------------------------------------------------------
 
-def _grams(lines: list[bytes]) -> np.ndarray:
-    """(DEPTH+1)-gram of every symbol, as an integer; END pads the start."""
+def _grams(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(DEPTH+1)-gram of every symbol, as an integer, and the number of its
+    line; END pads the start."""
+    if not lines:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     pad = bytes([END]) * DEPTH
     data = np.frombuffer(b"".join(pad + x + bytes([END]) for x in lines), np.uint8).astype(np.int64)
     n = len(data) - DEPTH
@@ -62,55 +71,105 @@ def _grams(lines: list[bytes]) -> np.ndarray:
     size = np.array([len(x) + 1 for x in lines], np.int64)
     starts = np.r_[0, np.cumsum(size + DEPTH)[:-1]]
     rows = np.repeat(starts - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-    return out[rows]
+    return out[rows], np.repeat(np.arange(len(size)), size)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, n), combined within a task as long as that stays small."""
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """(gram, n, uses): how often training texts and all texts have it,
+    combined within a task as long as that stays small."""
+    keys, counts = np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
 
     def out():
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, counts)], ["gram", "n", "uses"])
 
     for batch in batches:
         data, offsets = text_buffer(batch.column(0))
+        held = batch.column(1).to_numpy(zero_copy_only=False)
         for first, last in byte_slices(offsets, SLICE_BYTES):
             raw = data[offsets[first]:offsets[last]].tobytes()
             cut = (offsets[first:last + 1] - offsets[first]).tolist()
-            k, n = np.unique(_grams([stream(raw[a:b])[0] for a, b in zip(cut, cut[1:])]),
-                             return_counts=True)
-            keys, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
-            counts = np.bincount(at, weights=np.concatenate([counts, n]),
-                                 minlength=len(keys)).astype(np.int64)
+            lines = [stream(raw[a:b])[0] for a, b in zip(cut, cut[1:])]
+            for out_of in (False, True):
+                k, uses = np.unique(_grams([x for x, h in zip(lines, held[first:last]) if h == out_of])[0],
+                                    return_counts=True)
+                keys, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
+                counts = np.stack([np.bincount(at, weights=np.concatenate([c, x]), minlength=len(keys))
+                                   for c, x in zip(counts, (uses * (not out_of), uses))]).astype(np.int64)
             if len(keys) > MOST_GRAMS:
                 yield out()
-                keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                keys, counts = np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
     if len(keys):
         yield out()
 
 
-def candidates(texts: DataFrame, min_share: float = MIN_SHARE) -> list[tuple[int, int, int]]:
-    """(depth, gram, n) of every context with a share of at least
-    ``min_share`` and each of its next symbols: per depth at most 1 /
-    ``min_share`` contexts, whatever the size of the corpus."""
-    grams = materialize(texts.select("text").mapInArrow(_count, "gram long, n long")
-                        .groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(gram, n, uses) of ``texts`` (text, held_out), a written table."""
+    counts = texts.select("text", "held_out").mapInArrow(_count, "gram long, n long, uses long")
+    return materialize(counts.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")), "grams")
+
+
+def _last(gram: Column, n: int) -> Column:
+    """The last n bytes of a gram."""
+    return gram.bitwiseAND(F.lit((1 << 8 * n) - 1)) if n < 8 else gram
+
+
+def candidates(texts: DataFrame, min_share: float = 0.0, min_count: int = MIN_COUNT) -> list[tuple[int, int, int]]:
+    """(depth, gram, n) of every context that occurs ``min_count`` times and
+    has a share of at least ``min_share``, and each of its next symbols, for
+    a tree in memory."""
+    grams = gram_counts(texts.select("text", F.lit(False).alias("held_out")))
     total = grams.agg(F.sum("n")).first()[0]
     if not total:
         return []
-    depths = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), F.col("gram").bitwiseAND(
-        (1 << 8 * (d + 1)) - 1).alias("gram")) for d in range(DEPTH + 1))))
+    depths = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), _last(F.col("gram"), d + 1).alias("gram"))
+                                 for d in range(DEPTH + 1))))
     by_depth = grams.select("n", depths.alias("g")).groupBy("g.depth", "g.gram").agg(
         F.sum("n").alias("n"))
     # a context's share comes from its own grams of one symbol less, the last being the next symbol
-    contexts = by_depth.groupBy("depth", F.shiftright("gram", 8).alias("context")).agg(
+    contexts = by_depth.groupBy("depth", F.shiftrightunsigned("gram", 8).alias("context")).agg(
         F.sum("n").alias("all"), F.collect_list(F.struct("gram", "n")).alias("next"))
-    rows = contexts.where(F.col("all") >= min_share * total).select(
+    enough = (F.col("all") >= min_share * total) & (F.col("all") >= min_count) | (F.col("depth") == 0)
+    rows = contexts.where(enough).select(
         "depth", F.explode("next").alias("x")).select("depth", "x.gram", "x.n")
     return [tuple(r) for r in rows.collect()]
 
 
-# --- the tree and its automaton -----------------------------------------------
+# --- the tree as tables -------------------------------------------------------
+
+def gram_scores(grams: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """(gram, uses, log): log10 probability of the last symbol of each of
+    ``grams`` after its longest retained context, a written table.
+
+    The level of depth d has the grams of d + 1 bytes.  Its rows meet those
+    of their suffixes by a join; the rows of a context, at most 256, make one
+    window.
+    """
+    levels = [grams]
+    for d in reversed(range(DEPTH)):
+        levels.insert(0, materialize(levels[0].groupBy(_last(F.col("gram"), d + 1).alias("gram")).agg(
+            F.sum("n").alias("n")), "level"))
+    w = Window.partitionBy("context")
+    n, size, kinds, below = map(F.col, ("n", "size", "kinds", "below"))
+    left_out = (n - 1 + kinds * below) / (size - 1 + kinds)
+    known = None
+    for d, level in enumerate(levels):
+        if known is None:
+            x = level.withColumns({"below": F.lit(1 / 256), "best": F.lit(1 / 256)})
+        else:
+            x = level.withColumn("suffix", _last(F.col("gram"), d)).join(known, "suffix").drop("suffix")
+        x = x.withColumn("context", F.shiftrightunsigned("gram", 8))
+        x = x.withColumns({"size": F.sum("n").over(w), "kinds": F.count_if(n > 0).over(w)})
+        x = x.withColumn("gain", F.sum(F.when((n > 0) & (size >= min_count), n * F.log(left_out / below))).over(w))
+        kept = (size > 0) if d == 0 else (size >= min_count) & (
+            F.col("gain") >= F.greatest(F.lit(MIN_GAIN), GAIN_PER_SYMBOL * size))
+        # of a context that is no candidate the chance is read by none
+        x = x.withColumn("chance", F.when(size > 0, (n + kinds * below) / (size + kinds)).otherwise(below))
+        x = x.withColumn("best", F.when(kept, F.col("chance")).otherwise(F.col("best")))
+        known = x.select(F.col("gram").alias("suffix"), F.col("chance").alias("below"), "best")
+    return materialize(x.select("gram", "uses", F.log10("best").alias("log")), "logs")
+
+
+# --- the tree in memory, as an automaton -----------------------------------------------
 
 class SuffixTree:
     """``contexts``: the retained ones, as bytes.  ``step`` and ``log10`` are
@@ -119,7 +178,7 @@ class SuffixTree:
     def __init__(self, rows: list[tuple[int, int, int]]):
         counts: dict[bytes, dict[int, int]] = {}
         for depth, gram, n in rows:
-            context = (gram >> 8).to_bytes(8, "big")[8 - depth:]
+            context = ((gram % (1 << 64)) >> 8).to_bytes(8, "big")[8 - depth:]
             counts.setdefault(context, {})[gram & 255] = n
         seen = sorted({b for c in counts.values() for b in c})
         self.column = np.full(256, len(seen), np.int64)  # the last column: bytes never seen
@@ -209,10 +268,33 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
 
 
+def _gram_logs(lines: list[bytes], keys: np.ndarray, logs: np.ndarray):
+    """What the head grams say of each line, and the other grams: their
+    number by line, themselves and how often the line has them."""
+    grams, line = _grams(lines)
+    order = np.argsort(grams)
+    grams, line = grams[order], line[order]
+    new = np.r_[True, grams[1:] != grams[:-1]][:len(grams)]
+    some = grams[new]
+    at = np.minimum(np.searchsorted(keys, some), max(len(keys) - 1, 0))
+    hit = keys[at] == some if len(keys) else np.zeros(len(some), bool)
+    which = np.cumsum(new) - 1
+    found = np.zeros(len(some))
+    found[hit] = logs[at[hit]]
+    score = np.bincount(line, weights=found[which], minlength=len(lines))
+    rest = ~hit[which]
+    grams, line = grams[rest], line[rest]
+    order = np.argsort(line, kind="stable")  # by gram within a line
+    grams, line = grams[order], line[order]
+    first = np.flatnonzero(np.r_[True, (grams[1:] != grams[:-1]) | (line[1:] != line[:-1])][:len(grams)])
+    return (score, np.bincount(line[first], minlength=len(lines)), grams[first],
+            np.diff(np.r_[first, len(grams)]))
+
+
 def _score(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text: tokens, what the tree and the head words say of it, and the
-    other words with their counts."""
-    tree, head = model.value
+    """Per text: tokens, what the head grams and head words say of it, and the
+    other grams and words with their counts."""
+    keys, logs_of, head = model.value
     for batch in batches:
         data, offsets = text_buffer(batch.column(2))
         for first, last in byte_slices(offsets, SLICE_BYTES):
@@ -238,15 +320,19 @@ def _score(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             words = pa.StructArray.from_arrays(
                 [pa.array(tail, pa.binary()).cast(pa.string()), pa.array(many, pa.int64())],
                 ["word", "times"])
+            score, per_line, grams, times = _gram_logs(lines, keys, logs_of)
+            grams = pa.StructArray.from_arrays([pa.array(grams), pa.array(times, pa.int64())], ["gram", "times"])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first),
                  pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(logs, pa.float64()),
-                 pa.array(tree.score(lines)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words)],
-                ["doc_id", "held_out", "n_tokens", "head_known", "head_log", "score", "tail"])
+                 pa.array(score), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words),
+                 pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per_line)], pa.int32()), grams)],
+                ["doc_id", "held_out", "n_tokens", "head_known", "head_log", "head_score", "tail", "grams"])
 
 
 def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
-                min_share: float = MIN_SHARE, head_bits: int = HEAD_BITS) -> DataFrame:
+                min_count: int = MIN_COUNT, head_bits: int = HEAD_BITS,
+                gram_head_bits: int = GRAM_HEAD_BITS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     every row; rows that are not held out are the training rows.
 
@@ -265,25 +351,35 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     n_all, distinct = size[0] + ends, size[1] + (ends > 0)
     common = (F.col("n") * (1 << head_bits) >= n_all) & (F.octet_length("word") <= HEAD_WORD_BYTES)
     head = {r.word.encode(): math.log10(r.n + 1) for r in counts.where(common).toLocalIterator()}
-    model = spark.sparkContext.broadcast((SuffixTree(candidates(train, min_share)), head))
+    grams = gram_scores(gram_counts(d), min_count)
+    n_symbols = grams.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
+    often = F.col("uses") * (1 << gram_head_bits) >= n_symbols
+    top = grams.where(often).select("gram", "log").toArrow()
+    keys, logs = (top[c].to_numpy() for c in ("gram", "log"))
+    order = np.argsort(keys)
+    model = spark.sparkContext.broadcast((keys[order], logs[order], head))
     kind = d.schema["doc_id"].dataType.simpleString()
     scored = d.mapInArrow(
         lambda b: _score(model, b),
         f"doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_log double, "
-        "score double, tail array<struct<word:string,times:long>>")
+        "head_score double, tail array<struct<word:string,times:long>>, "
+        "grams array<struct<gram:long,times:long>>")
     scored = materialize(scored.withColumn("rid", F.monotonically_increasing_id()), "scored")
     tail = scored.select("rid", F.explode("tail").alias("t")).select("rid", "t.word", "t.times")
     tail = tail.join(counts.where(~common), "word").groupBy("rid").agg(
         F.sum("times").alias("tail_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("tail_log"))
+    rare = scored.select("rid", F.explode("grams").alias("g")).select("rid", "g.gram", "g.times")
+    rare = rare.join(grams.where(~often), "gram").groupBy("rid").agg(
+        F.sum(F.col("times") * F.col("log")).alias("rare_score"))
     divisor = math.log10(n_all + distinct + 1)
     zero = F.lit(0)
-    return scored.drop("tail").join(tail, "rid", "left").select(
+    return scored.drop("tail", "grams").join(tail, "rid", "left").join(rare, "rid", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("head_known") + F.coalesce("tail_known", zero) + (1 if ends else 0)).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
         (F.col("head_log") + F.coalesce("tail_log", zero) + math.log10(ends + 1)
          - F.col("n_tokens") * divisor).alias("base_score"),
-        "score")
+        (F.col("head_score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"))
 
 
 def op3_lm_scoring(spark, sf_dir):

@@ -188,3 +188,22 @@ def test_sql_digest_matches_ids(spark):
     want = {d: hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for d, x in zip(docs, ids)}
     got = op5_sentencepiece(spark, SF).collect()
     assert {r.doc_id: r.ids_sha256 for r in got} == want and all(r.parity and r.round_trip for r in got)
+
+
+def test_tree_grows_with_the_corpus(spark):
+    """A context of a fixed number of occurrences is in the model however
+    large the rest is, and grams outside the broadcast head are scored alike."""
+    rnd = random.Random(4)
+    rare = [(i, "qzxjk vwqzx") for i in range(40)]
+    bulk = [(100 + i, " ".join(rnd.choices(["alpha", "beta", "gamma", "delta"], k=10_000)))
+            for i in range(150)]
+    docs = spark.createDataFrame(rare + bulk + [(999, "qzxjk beta über vwqzx")], "doc_id long, text string")
+    held = F.col("doc_id") == 999
+    tree = pst.SuffixTree(pst.candidates(docs.where(~held)))
+    assert any(set(b"qzxjk") & set(c) for c in tree.contexts)
+    lines = {r.doc_id: pst.stream(r.text.encode())[0] for r in docs.collect()}
+    want = dict(zip(lines, tree.score(list(lines.values()))))
+    for bits in (0, 12, pst.GRAM_HEAD_BITS):
+        got = {r.doc_id: r.score for r in pst.score_texts(docs, held, gram_head_bits=bits).collect()}
+        assert got == pytest.approx(want, rel=1e-4)
+    assert want[0] > -6  # two words of 12 symbols in all, next to certain
