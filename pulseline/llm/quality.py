@@ -24,11 +24,13 @@ from pulseline.session import materialize
 
 SHARE = 0.75
 STEPS = 3
-TAIL = 1e-9
+#: One clean document in a million is given up.
+TAIL = 1e-6
 MIN_GROUP = 100
 FEW_GROUPS = 20_000  # one row per group: about 10 MB in all
-#: Statistics and the least standard deviation that each is taken to have: most clean
-#: texts have no symbol or repeated line at all, and a spread of 0 would reject any.
+#: Statistics and the least standard deviation that each is taken to have (an estimate
+#: above it stays as it is): most clean texts have no symbol or repeated line at all,
+#: and a spread of 0 would reject any.
 FEATURES = {"f_symbols": 0.5, "f_marks": 0.3, "f_upper": 0.3, "f_repeats": 0.8, "f_lines": 0.8,
             "f_length": 0.1}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -149,7 +151,7 @@ def _start(stats: DataFrame) -> DataFrame:
         F.expr(f"percentile_approx({c}, array(0.1, 0.5, 0.9), 2000) AS q_{i}") for i, c in enumerate(f)))
     return _whiten(q.selectExpr(
         *GROUP, *(f"q_{i}[1] AS m_{i}" for i in range(len(f))),
-        *(f"pow((q_{i}[2] - q_{i}[0]) / {width}, 2) + {floor[i] ** 2} AS c_{i}_{i}" if i == j
+        *(f"greatest(pow((q_{i}[2] - q_{i}[0]) / {width}, 2), {floor[i] ** 2}D) AS c_{i}_{i}" if i == j
           else f"0.0D AS c_{i}_{j}" for i in range(len(f)) for j in range(i + 1))))
 
 
@@ -167,8 +169,8 @@ def _step(stats: DataFrame, now: DataFrame, n_groups: int) -> DataFrame:
     grow = SHARE / _chi2_share(p + 2, _chi2(p, SHARE))
     return _whiten(sums.selectExpr(
         *GROUP, *(f"m_{i}" for i in range(p)),
-        *(f"v_{i}_{j} * {grow} + {floor[i] ** 2 if i == j else 0.0} AS c_{i}_{j}"
-          for i in range(p) for j in range(i + 1))))
+        *(f"greatest(v_{i}_{j} * {grow}, {floor[i] ** 2}D) AS c_{i}_{j}" if i == j
+          else f"v_{i}_{j} * {grow} AS c_{i}_{j}" for i in range(p) for j in range(i + 1))))
 
 
 def _chi2_share(p: int, x: float) -> float:

@@ -51,6 +51,16 @@ def test_quality_counts_and_labels(spark):
     assert sum(good) >= 0.99 * len(good)
 
 
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.1"])
+def test_quality_rejects_bad_and_keeps_good(spark, sf):
+    """Of the labelled documents that pass the base rules."""
+    label = {r.doc_id: r.quality for r in table(spark, sf, "labels").collect()}
+    judged = [(label[r.doc_id], r.kept) for r in op8_quality_rules(spark, sf).collect()
+              if r.doc_id in label and not r.base_failed]
+    bad, good = [k for q, k in judged if not q], [k for q, k in judged if q]
+    assert bad.count(False) >= 0.9 * len(bad) and good.count(True) >= 0.99 * len(good)
+
+
 def test_line_dedup_on_hot_lines(spark):
     line, other = "the very same line of words", "a line that only two sites have"
     rows = [(i, f"own words of text number {i} and more of them to be long enough\n{line}\n"
