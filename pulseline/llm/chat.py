@@ -4,7 +4,9 @@ A dialogue of several parties is rendered once for every participant: that
 speaker's turns become the assistant's, all other speakers are named users,
 system turns stay what they are, and the loss mask covers the assistant's
 words.  Dialogues are rendered in blocks of consecutive turns, so a very long
-one is spread over many rows and tasks; the blocks of a rendering, one after
+one is spread over many rows and tasks.  A block that has more messages than
+turns (null turns, or many messages of one number) is cut by the rank of its
+messages into parts of as many; the blocks and parts of a rendering, one after
 the other, are the whole of it.
 """
 
@@ -14,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseline.llm.common import table
+from pulseline.operators.running import chunked_position
+from pulseline.session import materialize
 
 BLOCK_TURNS = 64
 SYSTEM = "system"
@@ -25,15 +29,44 @@ def _safe(text: Column) -> Column:
     return F.replace(F.coalesce(text.cast("string"), F.lit("")), F.lit("<|"), F.lit("< |"))
 
 
+def _parts(m: DataFrame, most: int) -> DataFrame:
+    """``m`` with the part of its block that each message is in: its rank in
+    the block's order, divided by ``most``.
+
+    Only blocks with more than ``most`` messages are ranked.  Their messages
+    are dealt by ranges of the order, so that one block spreads over tasks;
+    the range is the chunk of the rank.
+    """
+    block, order = ["conv_id", "block"], ["turn", "role", "text"]
+    m = materialize(m, "messages")
+    large = materialize(m.groupBy(*block).count().where(F.col("count") > most).select(
+        F.col("conv_id").alias("of_id"), F.col("block").alias("of_block")), "large")
+    if large.isEmpty():
+        return m.withColumn("part", F.lit(0).cast("long"))
+    same = F.col("conv_id").eqNullSafe(F.col("of_id")) & (F.col("block") == F.col("of_block"))
+    hot = m.join(large, same, "left_semi")
+    # keys without null, since chunks are joined by them
+    hot = hot.select("*", F.col("conv_id").isNull().alias("no_id"),
+                     F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("id"))
+    keys = ["no_id", "id", "block"]
+    hot = materialize(hot.repartitionByRange(*keys, *(F.col(c).asc_nulls_first() for c in order))
+                      .withColumn("chunk", F.spark_partition_id()), "hot")
+    ranked = chunked_position(hot, keys, "chunk", order, "role").select(
+        *m.columns, F.floor((F.col("pos") - 1) / most).cast("long").alias("part"))
+    return m.join(large, same, "left_anti").withColumn("part", F.lit(0).cast("long")).unionByName(ranked)
+
+
 def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
            role_col: str = "role", text_col: str = "text",
            block_turns: int = BLOCK_TURNS) -> DataFrame:
-    """(conv_id, speaker, block, n_messages, n_own, text, mask): one row for
-    each participant and block of turns; mask has the (start, end) spans of
-    the speaker's own words in the block's text, end marker included.
+    """(conv_id, speaker, block, part, n_messages, n_own, text, mask): one row
+    for each participant and block of turns; mask has the (start, end) spans of
+    the speaker's own words in the row's text, end marker included.
 
     Turns are in order of number, then role, then text; block b has the turns
-    from b * ``block_turns`` on.  A repeated row (all four columns equal) is
+    from b * ``block_turns`` on.  Of a block with more than ``block_turns``
+    messages, part p has those from rank p * ``block_turns`` on; others have
+    part 0 only.  A repeated row (all four columns equal) is
     one message; different messages with one turn number all stay.  A null
     text is empty, a null role is the speaker named by the empty string, null
     turns come first, in block -1, and null conversations are one
@@ -45,8 +78,8 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         F.coalesce(turns[role_col].cast("string"), F.lit("")).alias("role"),
         _safe(turns[text_col]).alias("text"),
         F.coalesce(F.floor(turns[turn_col] / block_turns), F.lit(-1)).cast("long").alias("block"))
-    m = m.distinct()
-    blocks = m.groupBy("conv_id", "block").agg(
+    m = _parts(m.distinct(), block_turns)
+    blocks = m.groupBy("conv_id", "block", "part").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("messages"))
     speakers = m.where(F.col("role") != SYSTEM).select(
         F.col("conv_id").alias("of_id"), F.col("role").alias("speaker")).distinct()
@@ -70,7 +103,7 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
             ).otherwise(a["spans"]).alias("spans"))
 
     return rows.select(
-        "conv_id", "speaker", "block", F.size("messages").cast("long").alias("n_messages"),
+        "conv_id", "speaker", "block", "part", F.size("messages").cast("long").alias("n_messages"),
         F.size(F.filter("parts", lambda p: p["own"])).cast("long").alias("n_own"),
         F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"),
         F.aggregate("parts", empty, grow)["spans"].alias("mask"))

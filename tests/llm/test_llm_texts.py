@@ -89,3 +89,27 @@ def test_chat_rotation(spark):
     assert [ann.text[s:e] for s, e in ann.mask] == ["hi" + END, END]
     whole = "".join(of[3, "a", b].text for b in range(4))
     assert whole.count("assistant\n") == 100 and whole.index("turn 0<") < whole.index("turn 199<")
+
+
+def test_chat_blocks_are_bounded(spark):
+    """Null turns, one turn number for all and null conversations: no row has
+    more messages than a block has turns, and none is lost."""
+    rows = [(i % 3 or None, t, "ab"[i % 2], f"text {i:04d}") for i in range(900) for t in (None, 7)]
+    rows += [(4, i, "ab"[i % 2], f"text {i:04d}") for i in range(64)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = rotate(turns.repartition(7)).collect()
+    assert max(r.n_messages for r in got) == 64
+    for conv in (None, 1, 2, 4):
+        for block in (-1, 0):
+            mine = sorted((r for r in got if (r.conv_id, r.speaker, r.block) == (conv, "a", block)),
+                          key=lambda r: r.part)
+            want = sorted({(role, text) for c, t, role, text in rows
+                           if c == conv and (t is None) == (block == -1)},
+                          key=lambda x: x if conv != 4 else x[1])
+            assert [r.part for r in mine] == list(range(-(-len(want) // 64)))
+            assert "".join(r.text for r in mine) == "".join(
+                f"<|im_start|>{'assistant' if role == 'a' else 'user name=' + role}\n{text}{END}"
+                for role, text in want)
+            for r in mine:
+                assert r.n_own == len(r.mask) == r.text.count("assistant\n")
+                assert all(r.text[s:e].startswith("text ") for s, e in r.mask)
