@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pulseline.llm.bitsliced import OP11_SQL, op11_exact_topk
 from pulseline.llm.chat import OP9_SQL, op9_chat_rotation
+from pulseline.llm.codebooks import OP12_SQL, op12_code_compression
 from pulseline.llm.fmindex import OP10_SQL, op10_benchmark_decontamination
 from pulseline.llm.langid import op6_language_id
 from pulseline.llm.licenses import OP2_SQL, op2_license_scan
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_rotation": op9_chat_rotation,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_exact_topk": op11_exact_topk,
+    "op12_code_compression": op12_code_compression,
 }
 
 SQL: dict[str, str] = {
@@ -31,4 +35,6 @@ SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op9_chat_rotation": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
+    "op11_exact_topk": OP11_SQL,
+    "op12_code_compression": OP12_SQL,
 }
