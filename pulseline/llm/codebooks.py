@@ -103,7 +103,7 @@ def first_vectors(vectors: DataFrame, id_col: str, vector_col: str, n: int = ENT
     found = [r.v for r in found.collect()]
     if len({len(v) for v in found}) > 1 or found and len(found[0]) % PARTS:
         raise ValueError(f"vectors of one length that {PARTS} divides are needed")
-    return np.array(found, np.int64).reshape(len(found), -1)
+    return np.array(found, np.int64) if found else np.zeros((0, 0), np.int64)
 
 
 def start(first: np.ndarray, parts: int = PARTS) -> list[np.ndarray]:

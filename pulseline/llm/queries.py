@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pulseline.llm.alignment import op13_tokenizer_alignment
 from pulseline.llm.bitsliced import OP11_SQL, op11_exact_topk
 from pulseline.llm.chat import OP9_SQL, op9_chat_rotation
 from pulseline.llm.codebooks import OP12_SQL, op12_code_compression
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_exact_topk": op11_exact_topk,
     "op12_code_compression": op12_code_compression,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 SQL: dict[str, str] = {
