@@ -62,6 +62,7 @@ RULES = BASE_RULES + MORE_RULES
 LANE_BYTES = 1024
 SLICE_BYTES = 2 << 20
 FEW_LANES = 16
+MOST_RULES = 62  # one bit each of a long
 
 
 # --- regular expression -> NFA ------------------------------------------------
@@ -290,6 +291,8 @@ class Automaton:
 
 
 def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
     parts = [_RuleDfa(r) for r in rules]
     marks = np.zeros((0, 256), bool)
     for p in parts:
@@ -336,7 +339,7 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Automaton:
     width = step.shape[1]
     return Automaton(rules, width, of_byte.astype(np.int32),
                      (step * width).astype(np.int32).reshape(-1),
-                     ends[one[order]].astype(np.int16), (step == 0).all(axis=0)[of_byte])
+                     ends[one[order]].astype(np.min_scalar_type(1 << len(rules))), (step == 0).all(axis=0)[of_byte])
 
 
 # --- the byte pass ------------------------------------------------------------

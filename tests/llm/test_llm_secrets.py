@@ -53,6 +53,18 @@ def test_rules_that_one_pass_cannot_scan_are_refused():
         S.compile_rules((S.Rule("x", "a*"),))
 
 
+@pytest.mark.parametrize("n", [17, 40])
+def test_many_rules_are_all_found(n):
+    """Matches of the last rules are as good as those of the first."""
+    rules = tuple(S.Rule(f"r{i}", f"K{chr(65 + i // 10)}{i % 10}x[0-9]+") for i in range(n))
+    a = S.compile_rules(rules)
+    texts = [f"see K{chr(65 + i // 10)}{i % 10}x{i} and K{chr(65 + i // 10)}{i % 10}x7" for i in range(n)]
+    for i, found in enumerate(spans(a, texts)):
+        assert [k for _, k, _ in found] == [i, i]
+    with pytest.raises(ValueError, match="more than"):
+        S.compile_rules(rules * 4)
+
+
 def test_query(spark):
     from pulseline.llm.common import table
     sf = "/root/testdata/sf0.01"
