@@ -5,12 +5,7 @@ aggregation.  Lines whose estimate is near the threshold get an exact count
 of their sites; the others are decided by the sketch, whose error is far
 smaller than their distance from the threshold.  Lines on ``min_sites`` sites
 or more are boilerplate: all but the first occurrence (smallest id, then line)
-go.
-
-A text that is a copy of other texts shares most of its lines.  It is not a
-page with boilerplate: cutting it line by line would leave scraps of it that
-near-duplicate search can't recognise.  So texts of which more than
-``max_share`` would go are left whole for that search.
+go, however much of a text that is.
 """
 
 from __future__ import annotations
@@ -23,7 +18,6 @@ from pulseline.session import materialize
 
 MIN_SITES = 3
 MIN_WORDS = 3
-MAX_SHARE = 0.5
 LG_K = 10
 #: Four standard errors of a sketch with 2^LG_K registers.
 MARGIN = 4 * 1.04 / (1 << LG_K) ** 0.5
@@ -41,19 +35,18 @@ def _line_key(line: Column) -> Column:
 def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       site_col: str = "source", min_sites: int = MIN_SITES,
                       min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, t, line_no, n, first): every occurrence of a line that at
-    least ``min_sites`` sites have; t is the hash of its text, n the line's
-    characters, first whether it is the first occurrence of all.  Lines with
-    fewer than ``min_words`` words are left alone."""
+    """(doc_id, t, line_no, first): every occurrence of a line that at least
+    ``min_sites`` sites have; t is the hash of its text, first whether it is
+    the first occurrence of all.  Lines with fewer than ``min_words`` words
+    are left alone."""
     text = docs[text_col].cast("string")
     # keys are made inside the exploded array, so that the filter doesn't make them again
-    keyed = F.transform(_lines(docs[text_col]), lambda x: F.struct(
-        F.length(x).alias("n"), _line_key(x).alias("key")))
+    keyed = F.transform(_lines(docs[text_col]), _line_key)
     lines = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(text).alias("t"),
                         F.coalesce(docs[site_col].cast("string"), F.lit("")).alias("site"),
-                        F.posexplode(keyed).alias("line_no", "line"))
-    lines = lines.where(F.size(F.split("line.key", " ")) >= min_words).select(
-        "doc_id", "t", "site", "line_no", "line.n", F.xxhash64("line.key").alias("h"))
+                        F.posexplode(keyed).alias("line_no", "key"))
+    lines = lines.where(F.size(F.split("key", " ")) >= min_words).select(
+        "doc_id", "t", "site", "line_no", F.xxhash64("key").alias("h"))
     place = F.struct("doc_id", "t", "line_no")
     spread = lines.groupBy("h").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("estimate"),
@@ -66,12 +59,12 @@ def boilerplate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                         .where(F.col("count") >= min_sites).select("h", F.lit(True).alias("enough")),
                         "exact")
     return (seen.join(exact, "h", "left").where(F.col("sure") | F.coalesce("enough", F.lit(False)))
-            .select("doc_id", "t", "line_no", "n", place.eqNullSafe(F.col("place")).alias("first")))
+            .select("doc_id", "t", "line_no", place.eqNullSafe(F.col("place")).alias("first")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 site_col: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS,
-                max_share: float = MAX_SHARE, removed_col: str | None = None) -> DataFrame:
+                removed_col: str | None = None) -> DataFrame:
     """``docs`` with boilerplate lines removed from the text, and (if named)
     the array of their numbers (from 0), empty if the text is unchanged.
 
@@ -82,15 +75,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     found = boilerplate_lines(docs, id_col, text_col, site_col, min_sites, min_words)
     gone = found.where(~F.col("first")).groupBy("doc_id", "t").agg(
-        F.collect_set(F.struct("line_no", "n")).alias("lines"))
-    gone = gone.select("doc_id", "t", F.array_sort(F.transform("lines", lambda x: x["line_no"])).alias("lines"),
-                       F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n"))
+        F.array_sort(F.collect_set("line_no")).alias("lines"))
     d, names = by_place(docs), docs.columns
     text, key = F.col(f"c{names.index(text_col)}"), F.col(f"c{names.index(id_col)}")
     d = d.join(gone.hint("shuffle_hash"), key.eqNullSafe(F.col("doc_id"))
                & (F.xxhash64(text.cast("string")) == F.col("t")), "left")
-    cut = F.col("n").isNotNull() & (F.col("n") <= max_share * F.length(text))
-    d = d.withColumn("lines", F.when(cut, F.col("lines")).otherwise(F.array().cast("array<int>")))
+    d = d.withColumn("lines", F.coalesce("lines", F.array().cast("array<int>")))
     left = F.array_join(F.filter(_lines(text), lambda x, i: ~F.array_contains("lines", i)), "\n")
     d = d.withColumn(f"c{names.index(text_col)}", F.when(F.size("lines") > 0, left).otherwise(text))
     out = d.select(*(f"c{i}" for i in range(len(names))), *(["lines"] if removed_col else []))
@@ -121,14 +111,13 @@ f AS (
   SELECT l.*, k.key IS NOT NULL AND (l.doc_id, l.line_no) <> k.place AS gone
   FROM l LEFT JOIN k ON l.key = k.key),
 d AS (
-  SELECT doc_id, any_value(text) AS text, sum(CASE WHEN gone THEN length(line) ELSE 0 END) AS n,
+  SELECT doc_id, any_value(text) AS text,
          list(line ORDER BY line_no) FILTER (NOT gone) AS kept,
-         list(line_no ORDER BY line_no) FILTER (gone) AS gone
+         coalesce(list(line_no ORDER BY line_no) FILTER (gone), []) AS gone
   FROM f GROUP BY doc_id),
-r AS (SELECT *, n <= {MAX_SHARE} * length(text) AND gone IS NOT NULL AS cut FROM d),
-t AS (SELECT *, CASE WHEN cut THEN coalesce(array_to_string(kept, chr(10)), '') ELSE text END AS new FROM r)
-SELECT doc_id, CAST(CASE WHEN cut THEN len(gone) ELSE 0 END AS BIGINT) AS n_removed,
-       CASE WHEN cut THEN array_to_string(gone, ',') ELSE '' END AS removed_lines,
+t AS (SELECT *, CASE WHEN len(gone) > 0 THEN coalesce(array_to_string(kept, chr(10)), '') ELSE text END AS new
+      FROM d)
+SELECT doc_id, CAST(len(gone) AS BIGINT) AS n_removed, array_to_string(gone, ',') AS removed_lines,
        CAST(length(new) AS BIGINT) AS n_chars_left, sha256(coalesce(new, '')) AS text_sha256
 FROM t
 """

@@ -127,7 +127,7 @@ def contamination(text, known):
     return (len(w), len(hit), len(items), digest, bool(hit) and 20 * len(hit) >= len(w))
 
 
-def boilerplate(rows, min_sites=3, min_words=3, max_share=0.5):
+def boilerplate(rows, min_sites=3, min_words=3):
     """(removed line numbers, text left) per (id, text, site) row; ids distinct."""
     def key(line):
         return re.sub(r"[\x20\x09-\x0D]+", " ", line).strip(" ")
@@ -144,8 +144,6 @@ def boilerplate(rows, min_sites=3, min_words=3, max_share=0.5):
         lines = (text or "").split("\n")
         gone = [i for i, line in enumerate(lines) if len(sites.get(key(line), ())) >= min_sites
                 and first[key(line)] != (doc, i)]
-        if sum(len(lines[i]) for i in gone) > max_share * len(text or ""):
-            gone = []
         left = "\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text
         out[doc] = (gone, left)
     return out

@@ -71,7 +71,17 @@ def test_line_dedup_on_hot_lines(spark):
     want = brute.boilerplate(rows)
     assert {r.doc_id: (r.removed, r.text) for r in got.collect()} == {
         d: (g, t) for d, (g, t) in want.items()}
-    assert sum(bool(g) for g, _ in want.values()) == 39
+    assert sum(bool(g) for g, _ in want.values()) == 40
+
+
+def test_line_dedup_of_pages_that_are_mostly_boilerplate(spark):
+    """However much of a page the line is, all but its first occurrence go."""
+    line = "a passage of many words " * 12
+    rows = [(i, f"own {i}\n{line}", f"site{i}") for i in range(5)]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"),
+                      removed_col="removed").orderBy("doc_id").collect()
+    assert [r.removed for r in got] == [[], [1], [1], [1], [1]]
+    assert [r.text for r in got][1:] == [f"own {i}" for i in range(1, 5)]
 
 
 def test_chat_rotation(spark):
