@@ -12,8 +12,10 @@ needs (distinct ids and pairs with their times) is written with the first.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,8 @@ from pulseline.session import materialize, scratch_path
 A_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 B_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
+#: Fixed value: the pattern of byte-level vocabularies, which cuts a text into pieces.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SLICE_BYTES = 1 << 20
 #: pairs that a task holds before it sends them on, and that are broadcast (16 bytes each)
 HELD_PAIRS = 1 << 20
@@ -45,46 +49,103 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+class Pool:
+    """Byte strings by number, joined many at a time."""
+
+    def __init__(self, strings: list[bytes]):
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+        self.size = np.array([len(x) for x in strings], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def join(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the strings one after another, and where each ends."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        at = np.repeat(self.start[ids] - (ends - size), size)
+        at += np.arange(len(at))
+        return self.data[at], ends
+
+
 class Vocabularies:
     """Both tokenizers, the bytes of their tokens and the identity map."""
 
     def __init__(self, a_json: bytes, b_model: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_str(a_json.decode())
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+        import tiktoken
+
+        spec = json.loads(a_json)
+        cut, vocab = spec["pre_tokenizer"], spec["model"]["vocab"]
+        pairs = (x.split(" ") if isinstance(x, str) else x for x in spec["model"]["merges"])
+        if cut["type"] != "ByteLevel" or cut["add_prefix_space"] or not cut.get("use_regex", True) or any(
+                vocab[x + y] != 256 + i for i, (x, y) in enumerate(pairs)):
+            raise ValueError("a byte-level BPE with the usual pattern, ids in order of merges, is needed")
         letter = byte_letters()
-        vocab = self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            self.a_bytes[i] = (bytes([letter[c] for c in token]) if all(c in letter for c in token)
-                               else token.encode())
-        self.b_bytes = [
+        ranks = {bytes([letter[c] for c in token]): i for token, i in vocab.items()
+                 if i < 256 + len(spec["model"]["merges"])}
+        # the same merges and ids, at a third of the time
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a_json = a_json
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
+        a_bytes = [b""] * (max([*vocab.values(), *(x["id"] for x in spec["added_tokens"])]) + 1)
+        for token, i in ranks.items():
+            a_bytes[i] = token
+        b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
             for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
-        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         first: dict[bytes, int] = {}
         for of_bytes in (False, True):  # a piece comes before the byte of the same value
-            for i, x in enumerate(self.b_bytes):
+            for i, x in enumerate(b_bytes):
                 if self.b.is_byte(i) == of_bytes:
                     first.setdefault(x, i)
-        self.same = np.array([first.get(x, -1) for x in self.a_bytes], np.int64)
+        self.same = np.array([first.get(x, -1) for x in a_bytes], np.int64)
+        self.a_bytes, self.b_bytes = Pool(a_bytes), Pool(b_bytes)
+
+    def _a_ids(self, text: str) -> np.ndarray:
+        try:
+            return self.a.encode_to_numpy(text, disallowed_special=())
+        except ValueError:  # its pattern matcher gives up on a run of a million spaces
+            from tokenizers import Tokenizer
+
+            whole = Tokenizer.from_str(self.a_json.decode())
+            whole.encode_special_tokens = True
+            return np.array(whole.encode(text, add_special_tokens=False).ids, np.int64)
 
-    def encode(self, raw: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
+    def encode(self, raw: list[bytes]) -> tuple[Encoded, Encoded]:
         """Ids of both for each text (UTF-8); none where the bytes of either
         are not those of a space and the text."""
         texts = [x.decode("utf-8", "replace") for x in raw]
-        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        for i, x in enumerate(raw):
-            whole = b" " + x
-            if not x or b"".join([self.a_bytes[j] for j in a[i]]) != whole or \
-                    b"".join([self.b_bytes[j] for j in b[i]]) != whole:
-                a[i], b[i] = [], []
-        return a, b
+        lists = self.b.encode(texts, num_threads=1)
+        n = np.array([len(x) for x in lists], np.int64)
+        arrays = [self._a_ids(" " + t) for t in texts]
+        both = (Encoded(np.concatenate(arrays).astype(np.int64), np.array(list(map(len, arrays)), np.int64),
+                        self.a_bytes),
+                Encoded(np.fromiter(chain.from_iterable(lists), np.int64, n.sum()), n, self.b_bytes))
+        want = [b" " + x if x else b"" for x in raw]
+        good = both[0].equals(want) & both[1].equals(want) & np.array([len(x) > 0 for x in raw], bool)
+        return both[0].only(good), both[1].only(good)
+
+
+class Encoded:
+    """Ids of some texts one after another; ``ends``: where each token's
+    bytes end."""
+
+    def __init__(self, ids: np.ndarray, count: np.ndarray, pool: Pool):
+        self.ids, self.count, self.pool = ids, count, pool
+        self.bytes, self.ends = pool.join(ids)
+
+    def _cuts(self) -> np.ndarray:
+        """Where each text's bytes begin, and the end."""
+        return np.r_[0, self.ends][np.r_[0, np.cumsum(self.count)]]
+
+    def equals(self, want: list[bytes]) -> np.ndarray:
+        cut, raw = self._cuts().tolist(), self.bytes.tobytes()
+        return np.array([raw[a:b] == x for a, b, x in zip(cut, cut[1:], want)], bool)
+
+    def only(self, good: np.ndarray) -> Encoded:
+        """Without the ids of the other texts."""
+        if good.all():
+            return self
+        return Encoded(self.ids[np.repeat(good, self.count)], np.where(good, self.count, 0), self.pool)
 
 
 @dataclass
@@ -97,49 +158,43 @@ class Links:
     regular: np.ndarray  # whether it is a group of its own and in the identity map
 
 
-def _flat(ids: list[list[int]]) -> np.ndarray:
-    return np.concatenate([np.asarray(x, np.int64) for x in ids]) if ids else np.zeros(0, np.int64)
-
-
 class Aligned:
     """Texts encoded by both, cut into groups."""
 
-    def __init__(self, v: Vocabularies, a: list[list[int]], b: list[list[int]]):
-        self.n_a = np.array([len(x) for x in a], np.int64)
-        self.n_b = np.array([len(x) for x in b], np.int64)
-        self.a, self.b = _flat(a), _flat(b)
-        self.a_end, self.b_end = np.cumsum(v.a_size[self.a]), np.cumsum(v.b_size[self.b])
+    def __init__(self, same: np.ndarray, a: Encoded, b: Encoded):
+        self.a, self.b = a, b
         # tokens of a text have the same bytes in both, so all texts can stand in one row of bytes
-        total = int(self.a_end[-1]) if len(self.a_end) else 0
+        total = int(a.ends[-1]) if len(a.ends) else 0
         a_here, b_here = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
-        a_here[self.a_end], b_here[self.b_end] = True, True
+        a_here[a.ends], b_here[b.ends] = True, True
         self.both = a_here & b_here
         ends = np.flatnonzero(a_here | b_here)  # between two of them, one token of each: a link
         closes = self.both[ends]
         alone = closes & np.r_[True, closes[:-1]][:len(closes)]
-        a_id = self.a[np.searchsorted(self.a_end, ends)]
-        b_id = self.b[np.searchsorted(self.b_end, ends)]
-        text_of_a = np.repeat(np.arange(len(a)), self.n_a)
-        self.links = Links(text_of_a[np.searchsorted(self.a_end, ends)], a_id, b_id, closes,
-                           alone & (v.same[a_id] == b_id))
-
-    def digests(self, names: list[str]) -> list[str]:
-        """sha256 of ``a1,a2|b1;a3|b2,b3`` of each text; ``names`` has each
+        a_at, b_at = _before(a_here, ends), _before(b_here, ends)
+        a_id, b_id = a.ids[a_at], b.ids[b_at]
+        text_of_a = np.repeat(np.arange(len(a.count)), a.count)
+        self.links = Links(text_of_a[a_at], a_id, b_id, closes, alone & (same[a_id] == b_id))
+
+    def digests(self, labels: Pool) -> list[str]:
+        """sha256 of ``a1,a2|b1;a3|b2,b3`` of each text; ``labels`` has each
         decimal id followed by a comma, a bar and a semicolon."""
-        group_ends = np.flatnonzero(self.both)
-        a_group = np.searchsorted(group_ends, self.a_end)
-        b_group = np.searchsorted(group_ends, self.b_end)
-        a_before = np.r_[0, np.cumsum(np.bincount(a_group, minlength=len(group_ends)))]
-        b_before = np.r_[0, np.cumsum(np.bincount(b_group, minlength=len(group_ends)))]
-        codes = np.zeros(len(self.a) + len(self.b), np.int64)
-        codes[np.arange(len(self.a)) + b_before[a_group]] = 3 * self.a + self.both[self.a_end]
-        codes[np.arange(len(self.b)) + a_before[b_group + 1]] = 3 * self.b + 2 * self.both[self.b_end]
-        at, out = 0, []
-        for n in (self.n_a + self.n_b).tolist():
-            text = "".join([names[c] for c in codes[at:at + n].tolist()])[:-1]
-            out.append(hashlib.sha256(text.encode()).hexdigest() if n else "")
-            at += n
-        return out
+        a, b, both = self.a, self.b, self.both
+        n_groups = int(both.sum())
+        a_group, b_group = _before(both, a.ends), _before(both, b.ends)
+        a_before = np.r_[0, np.cumsum(np.bincount(a_group, minlength=n_groups))]
+        b_before = np.r_[0, np.cumsum(np.bincount(b_group, minlength=n_groups))]
+        codes = np.zeros(len(a.ids) + len(b.ids), np.int64)
+        codes[np.arange(len(a.ids)) + b_before[a_group]] = 3 * a.ids + both[a.ends]
+        codes[np.arange(len(b.ids)) + a_before[b_group + 1]] = 3 * b.ids + 2 * both[b.ends]
+        whole = Encoded(codes, a.count + b.count, labels)
+        cut, raw = whole._cuts().tolist(), whole.bytes.tobytes()
+        return [hashlib.sha256(raw[i:j - 1]).hexdigest() if j > i else "" for i, j in zip(cut, cut[1:])]
+
+
+def _before(marks: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many marks are before each place."""
+    return (np.cumsum(marks, dtype=np.int32)[at] - marks[at]).astype(np.int64)
 
 
 def _times(text: np.ndarray, key: np.ndarray, most: int, n: int) -> tuple[pa.Array, pa.Array]:
@@ -195,7 +250,7 @@ def _encoded(docs: DataFrame, files, a_most: int, b_most: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabularies(*files.value)
-        labels = [f"{i}{s}" for i in range(max(a_most, b_most)) for s in ",|;"]
+        labels = Pool([f"{i}{s}".encode() for i in range(max(a_most, b_most)) for s in ",|;"])
         counts = _Counts(a_most)
         row = TaskContext.get().partitionId() << 40
         kinds: list[pa.DataType] = []
@@ -212,11 +267,12 @@ def _encoded(docs: DataFrame, files, a_most: int, b_most: int) -> DataFrame:
         for batch in batches:
             kinds = [c.type for c in batch.columns[:-1]]
             data, offsets = text_buffer(batch.column(len(names)))
-            raw = data.tobytes()
             for first, last in byte_slices(offsets, SLICE_BYTES):
                 n = last - first
-                some = [raw[offsets[i]:offsets[i + 1]] for i in range(first, last)]
-                x = Aligned(v, *v.encode(some))
+                raw = data[offsets[first]:offsets[last]].tobytes()
+                cut = (offsets[first:last + 1] - offsets[first]).tolist()
+                some = [raw[i:j] for i, j in zip(cut, cut[1:])]
+                x = Aligned(v.same, *v.encode(some))
                 k = x.links
                 counts.add(k, b_most)
                 ids = _times(k.text[k.regular], k.a[k.regular], a_most, n)
@@ -225,7 +281,7 @@ def _encoded(docs: DataFrame, files, a_most: int, b_most: int) -> DataFrame:
                 groups = np.bincount(k.text[k.closes], minlength=n)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(first, n).columns[:-1], pa.array(["text"] * n),
-                     pa.array(np.arange(row, row + n)), pa.array(x.n_a), pa.array(x.n_b),
+                     pa.array(np.arange(row, row + n)), pa.array(x.a.count), pa.array(x.b.count),
                      pa.array(groups), pa.array(np.bincount(k.text, minlength=n)),
                      pa.array(x.digests(labels), pa.string()), *ids, *pairs],
                     [*names, *_names(FIRST)])
@@ -363,7 +419,7 @@ def align_texts(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     keep = tuple(c for c in keep if c not in RESULTS)
     names = [f"k{i}" for i in range(len(keep))]
     v, files = _vocabularies(spark, a_path, b_path)
-    a_most, b_most = len(v.a_bytes), len(v.b_bytes)
+    a_most, b_most = len(v.a_bytes.size), len(v.b_bytes.size)
     rows = docs.select(*(docs[c].alias(n) for c, n in zip(keep, names)),
                        docs[text_col].cast("string").alias("text"))
     first = _encoded(rows, files, a_most, b_most)

@@ -5,6 +5,8 @@ from collections import Counter
 
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from conftest import SF001
@@ -125,3 +127,27 @@ def test_counts_over_a_whole_table(spark):
     texts, pairs = align_texts(some)
     assert result(texts) == want
     assert {(r.a_id, r.b_id): r.n for r in pairs.collect()} == dict(count)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60))
+def test_ids_of_a_are_those_of_its_tokenizer(vocabularies, text):
+    v, a = vocabularies
+    assert v._a_ids(" " + text).tolist() == a.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_every_character_and_very_long_runs(vocabularies):
+    v, a = vocabularies
+    texts = [f"a{chr(c)}1{chr(c)} {chr(c)}{chr(c)}\n" for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    want = a.encode_batch_fast(texts, add_special_tokens=False)
+    assert all(v._a_ids(t).tolist() == x.ids for t, x in zip(texts, want))
+    for t in (" " * 1_200_000, "!" * 50_000, "\n \n" * 20_000):
+        assert v._a_ids(t).tolist() == a.encode(t, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def vocabularies():
+    a = Tokenizer.from_file(A_PATH)
+    a.encode_special_tokens = True
+    with open(A_PATH, "rb") as x, open(B_PATH, "rb") as y:
+        return alignment.Vocabularies(x.read(), y.read()), a
