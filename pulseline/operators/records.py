@@ -34,9 +34,13 @@ def filter_fields(lines: DataFrame, terms: dict[int, str], sep: str = "|",
     return lines
 
 
-def _parsed(lines: DataFrame, sep: str, base: int, line_col: str) -> DataFrame:
+def parse_lines(lines: DataFrame, sep: str = "|", base: int = DEFAULT_BASE_VALUE,
+                line_col: str = "value", carry=()) -> DataFrame:
+    """Every line, good or bad: ``raw``, the record's columns and ``reason``,
+    the first check that fails (NULL for a good line); ``carry`` names columns
+    of ``lines`` to keep beside."""
     # the split array is its own projection, referenced by every field
-    split = lines.select(F.col(line_col).alias("raw"),
+    split = lines.select(F.col(line_col).alias("raw"), *carry,
                          fx.split_fields(F.col(line_col), sep).alias("_f"))
     f = F.col("_f")
 
@@ -44,7 +48,7 @@ def _parsed(lines: DataFrame, sep: str, base: int, line_col: str) -> DataFrame:
         return fx.field(f, i)
 
     step1 = split.select(
-        "raw",
+        "raw", *carry,
         F.size(f).alias("_n"),
         fld(fx.FIELD_TRIAL).alias("trial_id"),
         fld(fx.FIELD_PATIENT).alias("patient_id"),
@@ -89,7 +93,7 @@ def _parsed(lines: DataFrame, sep: str, base: int, line_col: str) -> DataFrame:
     # on a plain projection Catalyst would push it below, inlining the split
     # and every parse into the predicate and computing them twice.
     return step2.select(F.inline(F.array(F.struct(
-        F.col("raw"),
+        F.col("raw"), *carry,
         F.expr(f"cast(cast(value as bigint) - {b} as int)").alias("variance"),
         # integer division (toward zero) first, then widened to FLOAT
         F.expr(f"cast(((cast(value as bigint) - {b}) * 100) div {b} as float)").alias("percentage"),
@@ -110,7 +114,7 @@ def parse_trial(lines: DataFrame, sep: str = "|", base: int = DEFAULT_BASE_VALUE
     ``on_error="reject"`` drops lines that do not parse (see ``rejects``);
     ``on_error="fail"`` raises on the first such line, like a strict cast.
     """
-    p = _parsed(lines, sep, base, line_col)
+    p = parse_lines(lines, sep, base, line_col)
     if on_error == "fail":
         p = p.withColumn(
             "reason", F.when(F.col("reason").isNotNull(),
@@ -127,10 +131,14 @@ def parse_trial(lines: DataFrame, sep: str = "|", base: int = DEFAULT_BASE_VALUE
 def rejects(lines: DataFrame, sep: str = "|", base: int = DEFAULT_BASE_VALUE,
             line_col: str = "value") -> DataFrame:
     """Lines that do not parse, with the first failing check as ``reason``."""
-    return (_parsed(lines, sep, base, line_col)
+    return (parse_lines(lines, sep, base, line_col)
             .filter(F.col("reason").isNotNull()).select("raw", "reason"))
 
 
+REASONS = ("short_line", "missing_key", "bad_int:result", "bad_date:start_date", "bad_time:start_time",
+           "bad_date:end_date", "bad_time:end_time")
+
+
 def add_key(records: DataFrame, key_cols=DEFAULT_KEY_COLUMNS, sep: str = "_",
             name: str = "record_key") -> DataFrame:
     """Composite document key, e.g. ``trial_patient_visit`` (parts non-null

@@ -51,16 +51,28 @@ def _last_order() -> Column:
     return F.coalesce((secs * F.lit(Decimal(10 ** 19)).cast("decimal(20,0)") + seq).cast("decimal(38,0)"), seq)
 
 
-def _merge(parts: DataFrame, key: str) -> DataFrame:
-    """One row per key from partial summaries; the identity is that of the
-    part with the latest record.  Parts are few: one per key and identity."""
-    agg = parts.groupBy(key).agg(
+def combine_partial(parts: DataFrame, key: str = KEY, by=()) -> DataFrame:
+    """One partial summary per key (and ``by`` columns) from many; the
+    identity is that of the part with the latest record."""
+    return parts.groupBy(*by, key).agg(
         *[F.max_by(c, "last_order").alias(c) for c in IDENTITY],
         F.sum("n_records").cast("bigint").alias("n_records"),
         F.sum("sum_value").cast("bigint").alias("sum_value"),
         F.min("min_value").alias("min_value"),
-        F.max("max_value").alias("max_value"))
-    return agg.select("*", *_avg_cols("n_records", "sum_value"))
+        F.max("max_value").alias("max_value"),
+        F.max("last_order").alias("last_order"))
+
+
+def finish_summary(parts: DataFrame, key: str = KEY) -> DataFrame:
+    """The summary that a key's one partial summary stands for."""
+    return parts.select(key, *IDENTITY, "n_records", "sum_value", "min_value", "max_value",
+                        *_avg_cols("n_records", "sum_value"))
+
+
+def _merge(parts: DataFrame, key: str) -> DataFrame:
+    """One row per key from partial summaries.  Parts are few: one per key and
+    identity."""
+    return finish_summary(combine_partial(parts, key), key)
 
 
 def partial_summary(records: DataFrame, key: str = KEY, by=()) -> DataFrame:

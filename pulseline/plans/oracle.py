@@ -333,6 +333,8 @@ _REC_FAULTS = REC_CTE.replace("rec AS", "all_rec AS") + """,
 rec AS (
   SELECT * REPLACE (CASE WHEN seq % 17 = 9 THEN date_trunc('day', start_ts) ELSE start_ts END AS start_ts)
   FROM all_rec WHERE seq % 17 > 8)"""
+_REC_FAULTS_ALL = _REC_FAULTS.replace("ELSE start_ts END AS start_ts)", """ELSE start_ts END AS start_ts,
+      CASE WHEN seq % 17 = 9 THEN NULL ELSE start_time END AS start_time)""")
 SQL["running_summary_with_faults"] = SQL["running_summary"].replace(REC_CTE, _REC_FAULTS)
 SQL["summary_by_patient"] = _with(REC_CTE) + """
   SELECT patient_id AS record_key, arg_max(trial_id, (start_ts, seq)) AS trial_id,
@@ -372,3 +374,25 @@ SELECT strategy, count(*) AS n_targets FROM (
   FROM parts GROUP BY ALL
   UNION ALL SELECT 'rename', was, 2 FROM old WHERE lang = 'fr' GROUP BY was)
 WHERE n >= 2 GROUP BY strategy"""
+
+
+# The keyed store holds what the batch plans give.
+SQL["store_latest_by_key"] = SQL["latest_by_key"]
+SQL["store_summary_by_key"] = SQL["summary_by_key"]
+
+
+# The one-pass program: only lines with all terms are parsed, which a line cut
+# after five fields is not; every other bad line of a view event is a reject.
+_BAD = "event_type = 'view' AND event_id % 17 BETWEEN 1 AND 8"
+SQL["stream_one_pass_running"] = SQL["running_summary_with_faults"]
+SQL["stream_one_pass_rejects"] = f"""
+SELECT concat_ws('|', {", ".join(_spoiled)}) AS raw, {_REASON} AS reason FROM events WHERE {_BAD}"""
+SQL["stream_replayed_latest"] = SQL["latest_by_key"].replace(REC_CTE, _REC_FAULTS_ALL)
+SQL["stream_replayed_summary"] = SQL["summary_by_key"].replace(REC_CTE, _REC_FAULTS)
+SQL["stream_replayed_alerts"] = SQL["alerts"].replace(REC_CTE, _REC_FAULTS)
+# the replay takes all lines by another separator, under which the others are short
+SQL["stream_dead_letters"] = f"""
+SELECT CASE WHEN event_id % 13 = 5 THEN concat_ws(',', {", ".join(_spoiled)})
+            ELSE concat_ws('|', {", ".join(_spoiled)}) END AS raw,
+       CASE WHEN event_id % 13 = 5 THEN {_REASON} ELSE 'short_line' END AS reason, 1 AS attempt
+FROM events WHERE {_BAD}"""

@@ -13,14 +13,17 @@ A run is remembered per application and table files, so plans share runs.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseline.config import SensorConfig
 from pulseline.operators import records as rec
 from pulseline.operators.report import latest_by_key
-from pulseline.session import materialize, scratch_path
-from pulseline.sources.lines import order_slices, read_lines, render_event_lines
+from pulseline.session import scratch_path
+from pulseline.sources.lines import LINE_FAULTS, ordered_slices, read_lines, render_event_lines
+from pulseline.streaming import onepass as op
 from pulseline.streaming import queries as sq
 
 ROWS_PER_SLICE = 2_000_000
@@ -32,16 +35,26 @@ def _replay(df: DataFrame, order_value: Column, cols: list[str], fmt: str, folde
             start: Callable[[], list], n_slices: int | None = None) -> None:
     """Write slice after slice and run the queries on each to its end."""
     n = n_slices or max(MIN_SLICES, -(-df.count() // ROWS_PER_SLICE))
-    sliced, n = order_slices(df, order_value, n)
-    staged = materialize(sliced.select(*cols, "_slice"), "slices")
-    for i in range(n):
-        staged.where(F.col("_slice") == i).select(*cols).write.mode("append").format(fmt).save(folder)
+    for rows in ordered_slices(df, order_value, n):
+        rows.select(*cols).write.mode("append").format(fmt).save(folder)
         sq.await_all(start())
 
 
+def _files(table: DataFrame) -> tuple:
+    """Name, size and time of each file of a table."""
+    spark = table.sparkSession
+    out = []
+    for name in sorted(table.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        s = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((name, s.getLen(), s.getModificationTime()))
+    return tuple(out)
+
+
 def _once(spark: SparkSession, table: DataFrame, kind: str, run: Callable[[str], None]) -> str:
-    """The folder of a run, started if the application has not had it."""
-    key = (spark.sparkContext.applicationId, kind, tuple(sorted(table.inputFiles())))
+    """The folder of a run, started if the application has not had it of
+    these files as they are now."""
+    key = (spark.sparkContext.applicationId, kind, _files(table))
     if key not in _RUNS:
         out = scratch_path(spark, f"stream-{kind}")
         run(out)
@@ -67,6 +80,34 @@ def _sensor_run(spark: SparkSession, sf_dir: str, literal: bool) -> str:
     return _once(spark, events, f"sensor-{literal}", run)
 
 
+COMMA_EVERY, COMMA_REST = 13, 5
+
+
+def _one_pass_run(spark: SparkSession, sf_dir: str, commas: bool) -> str:
+    """The one-pass program over lines of which some have faults; with
+    ``commas``, some also come with another separator, and one replay under
+    that separator follows."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+
+    def run(out: str) -> None:
+        second = F.unix_seconds(F.date_trunc("second", "ts").cast("timestamp"))
+        rows = events.withColumn("_second", second)
+        comma = F.col("event_id") % COMMA_EVERY == COMMA_REST if commas else F.lit(False)
+        lines = render_event_lines(rows.where(~comma), keep=("_second",), faults=LINE_FAULTS)
+        if commas:
+            lines = lines.unionByName(render_event_lines(rows.where(comma), ",", ("_second",), LINE_FAULTS))
+        cfg = SensorConfig(path=f"{out}/input")
+
+        def start():
+            return list(op.start_one_pass(spark, cfg, out, available_now=True).values())
+
+        _replay(lines, F.col("_second"), ["value"], "text", f"{out}/input", start)
+        if commas:
+            op.replay_all(spark, cfg, replace(cfg, separator=","), out)
+
+    return _once(spark, events, f"one-pass-{commas}", run)
+
+
 def _words_run(spark: SparkSession, sf_dir: str, totals: bool) -> str:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -109,7 +150,40 @@ def stream_word_totals(spark, sf_dir) -> DataFrame:
     return sq.word_totals(spark, f"{_words_run(spark, sf_dir, True)}/_ckpt/word_totals")
 
 
+def stream_one_pass_running(spark, sf_dir) -> DataFrame:
+    """Running values of the one-pass program, bad lines in between."""
+    return op.summaries(spark, _one_pass_run(spark, sf_dir, False))
+
+
+def stream_one_pass_rejects(spark, sf_dir) -> DataFrame:
+    return op.dead_letters(spark, _one_pass_run(spark, sf_dir, False)).select("raw", "reason")
+
+
+def stream_replayed_latest(spark, sf_dir) -> DataFrame:
+    """Latest records per key after a replay of the dead letters."""
+    return latest_by_key(op.records(spark, _one_pass_run(spark, sf_dir, True)))
+
+
+def stream_replayed_summary(spark, sf_dir) -> DataFrame:
+    return op.totals(spark, _one_pass_run(spark, sf_dir, True))
+
+
+def stream_replayed_alerts(spark, sf_dir) -> DataFrame:
+    return op.alerts(spark, _one_pass_run(spark, sf_dir, True))
+
+
+def stream_dead_letters(spark, sf_dir) -> DataFrame:
+    """The lines that are still open after the replay."""
+    return op.dead_letters(spark, _one_pass_run(spark, sf_dir, True)).select("raw", "reason", "attempt")
+
+
 STREAM_PLANS = {
+    "stream_one_pass_running": stream_one_pass_running,
+    "stream_one_pass_rejects": stream_one_pass_rejects,
+    "stream_replayed_latest": stream_replayed_latest,
+    "stream_replayed_summary": stream_replayed_summary,
+    "stream_replayed_alerts": stream_replayed_alerts,
+    "stream_dead_letters": stream_dead_letters,
     "stream_running": stream_running,
     "stream_summary": stream_summary,
     "stream_records_latest": stream_records_latest,

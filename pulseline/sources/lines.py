@@ -7,9 +7,13 @@ of Spark's text source, so the same parse code serves batch and stream.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseline.session import scratch_path
+
 
 def read_lines(spark: SparkSession, path: str | None = None, *, mode: str = "batch",
                host: str = "localhost", port: int = 9999,
@@ -139,14 +143,17 @@ def load_event_lines(spark: SparkSession, sf_dir: str, sep: str = "|", faults=No
     return render_event_lines(spark.read.parquet(f"{sf_dir}/events.parquet"), sep, faults=faults)
 
 
-def order_slices(df: DataFrame, order_value: Column, n_slices: int) -> tuple[DataFrame, int]:
-    """``df`` with ``_slice``, from 0: consecutive ranges of ``order_value``
-    with about equally many rows, however ``df`` is laid out in files.  Rows
-    of one value share a slice.  Returns the number of slices too."""
-    points = [i / n_slices for i in range(1, n_slices)]
-    bounds = df.agg(F.percentile_approx(order_value, points, 100 * n_slices)).first()[0] if points else []
-    bounds = sorted(set(bounds or []))
-    if not bounds:
-        return df.withColumn("_slice", F.lit(0)), 1
-    index = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x < F.col("_v")))
-    return df.withColumn("_v", order_value).withColumn("_slice", index).drop("_v"), len(bounds) + 1
+def ordered_slices(df: DataFrame, order_value: Column, n_slices: int) -> Iterator[DataFrame]:
+    """Consecutive ranges of ``order_value`` with about equally many rows, in
+    order, however ``df`` is laid out in files.  Rows of one value share a
+    slice.  ``df`` is written once, a folder for each slice, so reading all
+    slices reads it once more."""
+    spark = df.sparkSession
+    dealt = df.withColumn("_v", order_value).repartitionByRange(n_slices, "_v")
+    path = scratch_path(spark, "slices")
+    dealt.withColumn("_slice", F.spark_partition_id()).drop("_v").write.partitionBy("_slice").parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [s.getPath().getName() for s in found]
+    for i in sorted(int(x.split("=")[1]) for x in names if x.startswith("_slice=")):
+        yield spark.read.schema(df.schema).parquet(f"{path}/_slice={i}")

@@ -8,9 +8,10 @@ from compare import compare, duck
 
 import __spark_entry__ as E
 from pulseline.plans.catalog import PLANS
+from pulseline.plans.stores import STORE_PLANS
 from pulseline.plans.streams import STREAM_PLANS
 
-Q = {**PLANS, **STREAM_PLANS}
+Q = {**PLANS, **STORE_PLANS, **STREAM_PLANS}
 O = {k: E.oracle_sql()[k] for k in Q}
 BATCH = [k for k in Q if not k.startswith("stream_")]
 STREAM = [k for k in Q if k.startswith("stream_")]
