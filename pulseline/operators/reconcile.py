@@ -30,6 +30,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulseline.operators.running import chunked_running, equal_count_chunks
+from pulseline.session import materialize
+
 # Strategy names and their report thresholds.
 FIRST = "first"
 LAST = "last"
@@ -65,7 +68,7 @@ class Reconciled:
             lines = [f"{r.strategy}: {r.target} ({r.n_sources} sources, "
                      f"{r.first_source} .. {r.last_source})" for r in bad]
             raise ReconcileConflict(
-                f"{n} conflict(s) encountered during merge, {len(bad)} of them:\n" + "\n".join(lines))
+                f"{n} target(s) that no rule resolves, {len(bad)} of them:\n" + "\n".join(lines))
         return self
 
 
@@ -255,3 +258,39 @@ def conflict_sources(parts: DataFrame, conflicts: DataFrame) -> DataFrame:
     """Every (target, source) behind a conflict, one row each."""
     return parts.join(conflicts.select("target", "strategy"), "target", "left_semi").select(
         "target", "source", "source_rank")
+
+
+PIECE_BYTES = 8 << 20
+
+
+def merged_pieces(resolved: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """The merged content of every target, cut into pieces of ``piece_bytes``:
+    (target, piece, offset, content), content as bytes.  A target's pieces in
+    order are what its rows of ``resolved`` make, line after line.
+
+    Where a row's bytes begin is a running sum of lengths over the target's
+    rows, chunk by chunk (see ``operators.running``), so a target with a third
+    of all parts is spread over many tasks, and then over its pieces.  A part
+    longer than a piece is cut, and no group is larger than a piece.  A target
+    without any content has one empty piece; NULL content counts as empty.
+    """
+    ends = F.when(F.col("strategy") == FILTER_DISTINCT_LINES, F.lit("\n")).otherwise(F.lit(""))
+    rows = materialize(resolved.select(
+        "target", "source_rank", "line_no",
+        F.encode(F.concat(F.coalesce("content", F.lit("")), ends), "UTF-8").alias("data")), "merged")
+    rows = rows.withColumn("_n", F.octet_length("data").cast("bigint"))
+    order = ["source_rank", "line_no"]
+    places = chunked_running(
+        equal_count_chunks(rows.drop("data"), ["target"], order, "_chunk"),
+        ["target"], "_chunk", order, {"_end": ("sum", F.col("_n"))}).select("target", *order, "_end")
+    # the texts stay where they are written; their places meet them by the rows' own key
+    placed = rows.join(places, ["target", *order]).withColumn("_start", F.col("_end") - F.col("_n"))
+    first = F.greatest(F.floor((F.col("_start") - F.when(F.col("_n") == 0, 1).otherwise(0)) / piece_bytes), F.lit(0))
+    last = F.greatest(F.floor((F.col("_end") - 1) / piece_bytes), F.lit(0))
+    cut = placed.withColumn("piece", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))))
+    cut = cut.withColumn("_lo", F.greatest(F.col("piece") * piece_bytes - F.col("_start"), F.lit(0)))
+    cut = cut.withColumn("_some", F.least(F.col("_n"), (F.col("piece") + 1) * piece_bytes - F.col("_start")) - F.col("_lo"))
+    part = F.substring("data", (F.col("_lo") + 1).cast("int"), F.col("_some").cast("int"))
+    return cut.select("target", "piece", F.col("_start").alias("_at"), part.alias("_part")).groupBy(
+        "target", "piece").agg(F.expr("listagg(_part) WITHIN GROUP (ORDER BY _at)").alias("content")).select(
+            "target", "piece", (F.col("piece") * piece_bytes).alias("offset"), "content")

@@ -6,11 +6,13 @@ whole-stage-codegen span and work unchanged on streaming DataFrames.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from pulseline.config import DEFAULT_BASE_VALUE, DEFAULT_FILTER_TERMS, DEFAULT_KEY_COLUMNS
 from pulseline.functions import fields as fx
+from pulseline.session import scratch_path
 
 TRIAL_COLUMNS = [
     "variance", "percentage", "trial_id", "patient_id", "visit_name", "value",
@@ -139,6 +141,29 @@ REASONS = ("short_line", "missing_key", "bad_int:result", "bad_date:start_date",
            "bad_date:end_date", "bad_time:end_time")
 
 
+def line_counts(reason=None) -> list:
+    """read, kept and the rejected by reason, as aggregates to observe in the
+    pass that parses."""
+    reason = F.col("reason") if reason is None else reason
+    return [F.count(F.lit(1)).alias("read"), F.count_if(reason.isNull()).alias("kept"),
+            *(F.count_if(reason == r).alias(r) for r in REASONS)]
+
+
+def parse_counted(lines: DataFrame, sep: str = "|", base: int = DEFAULT_BASE_VALUE,
+                  line_col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, rejects, counts) from one pass over the lines: both kinds are
+    written as it goes, and ``counts`` (what, n) is what it has seen."""
+    spark = lines.sparkSession
+    seen = Observation()
+    parsed = parse_lines(lines, sep, base, line_col).observe(seen, *line_counts())
+    path = scratch_path(spark, "parsed")
+    parsed.withColumn("_bad", F.col("reason").isNotNull()).write.partitionBy("_bad").parquet(path)
+    rows = spark.read.schema(parsed.schema.add("_bad", BooleanType())).parquet(path)
+    counts = spark.createDataFrame([(k, int(v)) for k, v in seen.get.items()], "what STRING, n BIGINT")
+    return (rows.where(~F.col("_bad")).select(*TRIAL_COLUMNS, *ORDER_COLUMNS),
+            rows.where("_bad").select("raw", "reason"), counts)
+
+
 def add_key(records: DataFrame, key_cols=DEFAULT_KEY_COLUMNS, sep: str = "_",
             name: str = "record_key") -> DataFrame:
     """Composite document key, e.g. ``trial_patient_visit`` (parts non-null

@@ -26,15 +26,17 @@ preceding row across chunk borders (``chunked_position``).  Results are
 exact; no rows are sampled or dropped.
 
 Chunk bounds.  ``equal_count_chunks`` gives every key with more than
-``target_rows`` rows bounds at approximate quantiles of its own order values,
-so its chunks hold about as many rows each, however its rows are spread
-(bursts, outliers).  All bounds together are at most one per ``target_rows``
-rows, a few MB for 10^12 rows.  Keys below the target are one chunk.
-Results never depend on the bounds.
+``target_rows`` rows bounds at even ranks of a sample of its own rows, ordered
+by the whole order (time, then sequence number), so its chunks hold about as
+many rows each, however its rows are spread: bursts, outliers, and many rows
+in one second.  Keys below the target are one chunk.  Results never depend on
+the bounds.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,38 +48,50 @@ _PREFIX = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 
 TARGET_ROWS = 2_000_000
-BROADCAST_BOUNDS = 1_000_000
+SAMPLES = 100  # of a chunk's rows, about
+BROADCAST_BYTES = 64 << 20
 
 
-def equal_count_chunks(df: DataFrame, keys: list[str], order_value: Column, chunk_col: str,
+def _bytes(rows: DataFrame, columns: list[str]) -> tuple[int, int]:
+    """(rows, bytes) of a table's columns, at least."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(16))
+    n, total = rows.agg(F.count(F.lit(1)), F.sum(size.cast("bigint"))).first()
+    return n, total or 0
+
+
+def equal_count_chunks(df: DataFrame, keys: list[str], order: list[str], chunk_col: str,
                        target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Add ``chunk_col``: the number of the row's bounds at or below its
-    ``order_value`` (0 for keys of at most ``target_rows`` rows).  ``df`` is
-    read twice and should be written data."""
-    keyed = df.select(*keys, order_value.alias("_v"))
+    """Add ``chunk_col``: the number of the row's bounds at or below it in the
+    order of the columns ``order``, nulls first (0 for keys of at most
+    ``target_rows`` rows).  ``df`` is read several times and should be
+    written data.
+
+    A key's bounds are rows of a sample, taken at even ranks of the sample
+    that has about ``SAMPLES`` rows for each chunk; the sample of a key with
+    10^12 rows is some 50 million narrow rows.  Only rows that are equal in
+    the whole order can't be told apart and share a chunk.
+    """
+    place = F.struct(*order)
+    keyed = df.select(*keys, place.alias("_v"))
     hot = materialize(keyed.groupBy(*keys).count().where(F.col("count") > target_rows), "hot")
-    n_hot, rows = hot.agg(F.count(F.lit(1)), F.sum("count")).first()
+    n_hot, hot_bytes = _bytes(hot, keys)
     if not n_hot:
         return df.withColumn(chunk_col, F.lit(0).cast("bigint"))
-    most = hot.agg(F.max("count")).first()[0]
-    # quantiles at multiples of the target share of each key's own rows
-    share = F.lit(float(target_rows)) / F.col("count")
-    n_chunks = -(-most // target_rows)
-    # percentile_approx takes constant points: take them finely enough for the
-    # largest key, and keep of each key those that its own size asks for
-    points = [i / n_chunks for i in range(1, n_chunks)]
-    hot_rows = keyed.join(F.broadcast(hot) if n_hot <= BROADCAST_BOUNDS else hot, keys)
-    quantiles = hot_rows.groupBy(*keys, "count").agg(
-        F.percentile_approx("_v", points, max(10_000, 20 * n_chunks)).alias("_q"))
-    step = F.greatest(F.floor(F.lit(n_chunks) * share), F.lit(1)).cast("int")
-    bounds = quantiles.select(*keys, F.array_distinct(F.filter(
-        "_q", lambda x, i: (i + 1) % step == 0)).alias("_b"))
+    small = hot.select(*keys)
+    small = F.broadcast(small) if hot_bytes <= BROADCAST_BYTES else small
+    share = min(1.0, SAMPLES / target_rows)
+    sample = keyed.sample(share, seed=1).join(small, keys)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_v"))
+    step = max(1, round(share * target_rows))
+    bounds = sample.withColumn("_r", rank).where(F.col("_r") % step == 0).groupBy(*keys).agg(
+        F.array_sort(F.collect_set("_v")).alias("_b"))
     # two levels: about 2 * sqrt(n) comparisons find a row's chunk
     width = F.greatest(F.ceil(F.sqrt(F.size("_b"))), F.lit(1)).cast("int")
     bounds = materialize(bounds.withColumn("_w", width).withColumn(
         "_c", F.filter("_b", lambda x, i: (i + 1) % F.col("_w") == 0)), "bounds")
-    few = rows // target_rows + n_hot <= BROADCAST_BOUNDS
-    d = df.withColumn("_v", order_value).join(F.broadcast(bounds) if few else bounds, keys, "left")
+    entries = bounds.agg(F.sum(F.size("_b"))).first()[0] or 0
+    few = hot_bytes + 40 * entries <= BROADCAST_BYTES
+    d = df.withColumn("_v", place).join(F.broadcast(bounds) if few else bounds, keys, "left")
     v = F.col("_v")
     d = d.withColumn("_k", F.size(F.filter("_c", lambda x: x <= v)) * F.col("_w"))
     inside = F.size(F.filter(F.slice("_b", F.col("_k") + 1, F.col("_w")), lambda x: x <= v))
@@ -85,6 +99,46 @@ def equal_count_chunks(df: DataFrame, keys: list[str], order_value: Column, chun
         *df.columns, chunk_col)
 
 
+MOST_RANGES = 1 << 20
+
+
+def number_ranges(df: DataFrame, number: str, chunk_col: str, target_rows: int,
+                  most_ranges: int = MOST_RANGES) -> DataFrame:
+    """Add ``chunk_col``: consecutive ranges of an integer column that hold
+    ``target_rows`` rows each, more where there would be over ``most_ranges``
+    of them; null where the number is null.
+
+    Bounds come from counts of rows, not from the span of the numbers, so
+    outliers change nothing.  Only the numbers are shuffled.  The bounds, 8
+    bytes each, are few enough for the driver; they reach the rows as a short
+    list of blocks and a broadcast table of the bounds of each block.
+    """
+    spark = df.sparkSession
+    numbers = df.select(F.col(number).cast("bigint").alias("_v")).where(F.col("_v").isNotNull())
+    n = numbers.count()
+    step = max(target_rows, -(-n // most_ranges))
+    if n <= step:
+        return df.withColumn(chunk_col, F.when(F.col(number).isNotNull(), F.lit(0)).cast("bigint"))
+    dealt = numbers.repartitionByRange("_v").withColumn("_p", F.spark_partition_id())
+    rank = F.row_number().over(Window.partitionBy("_p").orderBy("_v"))
+    # the last row of a range of numbers is a bound too, so no range goes on into the next
+    bounds = dealt.withColumn("_r", rank).groupBy("_p").agg(F.collect_set(
+        F.when(F.col("_r") % step == 0, F.col("_v"))).alias("_b"), F.max("_v").alias("_m"))
+    bounds = bounds.select(F.explode(F.array_append("_b", F.col("_m"))).alias("_v")).distinct()
+    found = np.sort(bounds.toArrow()["_v"].to_numpy())
+    width = max(1, round(len(found) ** 0.5))
+    blocks = [found[i:i + width].tolist() for i in range(0, len(found), width)]
+    table = spark.createDataFrame(pa.table({"_g": pa.array(range(len(blocks)), pa.int32()), "_b": blocks}))
+    v = F.col(number).cast("bigint")
+    # bounds are the last numbers of their ranges
+    ends = F.array(*(F.lit(b[-1]).cast("bigint") for b in blocks))
+    d = df.withColumn("_g", F.when(v.isNotNull(), F.size(F.filter(ends, lambda x: x < v))))
+    d = d.join(F.broadcast(table), "_g", "left")
+    inside = F.size(F.filter("_b", lambda x: x < v))
+    chunk = (F.col("_g") * width + F.when(F.col("_b").isNotNull(), inside).otherwise(0)).cast("bigint")
+    return d.withColumn(chunk_col, chunk).select(*df.columns, chunk_col)
+
+
 def _combine(kind: str, prefix: Column, local: Column) -> Column:
     if kind in ("count", "sum"):
         return F.coalesce(prefix, F.lit(0)) + local

@@ -31,9 +31,9 @@ def with_time_chunk(records: DataFrame, key: str = KEY, chunk_seconds="auto") ->
     """Add contiguous order chunks: ``chunk_seconds`` of observation time, or
     (``"auto"``) about equally many rows of a large key, see
     ``operators.running``."""
-    secs = wall_seconds(F.col("start_date"), F.col("start_time"))
     if chunk_seconds == "auto":
-        return equal_count_chunks(records, [key], secs, CHUNK)
+        return equal_count_chunks(records, [key], ORDER, CHUNK)
+    secs = wall_seconds(F.col("start_date"), F.col("start_time"))
     return records.withColumn(CHUNK, F.floor(secs / F.lit(int(chunk_seconds))).cast("bigint"))
 
 

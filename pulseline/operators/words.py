@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 
 from pulseline.config import DEFAULT_WORD_SEED
 from pulseline.functions.fields import space_tokens
-from pulseline.operators.running import chunked_running
+from pulseline.operators.running import chunked_running, number_ranges
 
 CHUNK = "_chunk"
-SHORT_SEED = 10_000
+SHORT_SEED = 10_000  # words of 1 KB at most: 10 MB
 
 
-def tokenize(texts: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id, pos, word) for every token; ``pos`` is 0-based within the text."""
-    return texts.select(F.col(id_col), F.posexplode(space_tokens(F.col(text_col)))
+def tokenize(texts: DataFrame, text_col: str = "text", id_col: str = "doc_id", carry=()) -> DataFrame:
+    """(id, pos, word) for every token; ``pos`` is 0-based within the text;
+    ``carry`` names columns to keep beside."""
+    return texts.select(F.col(id_col), *carry, F.posexplode(space_tokens(F.col(text_col)))
                         .alias("pos", "word"))
 
 
@@ -49,38 +50,27 @@ def word_totals(tokens: DataFrame, seed=DEFAULT_WORD_SEED) -> DataFrame:
         "word", (F.col("n") + F.coalesce(F.col("seed_n"), F.lit(0))).alias("n"))
 
 
-MIN_CHUNK_IDS = 64
-MAX_CHUNKS_PER_KEY = 1 << 20
+CHUNK_TEXTS = 64
 
 
-def word_chunk_ids(min_id: int | None, max_id: int | None, min_ids: int = MIN_CHUNK_IDS,
-                   max_chunks: int = MAX_CHUNKS_PER_KEY) -> int:
-    """Chunk width (in ids) for ``running_word_count`` over ids in
-    [min_id, max_id]: ``min_ids`` ids, widened so that no word has more than
-    ``max_chunks`` chunks (its chunk totals meet in one prefix-window task)."""
-    if min_id is None or max_id is None:
-        return min_ids
-    span = int(max_id) - int(min_id) + 1
-    return max(min_ids, -(-span // max_chunks))
+def with_text_chunk(texts: DataFrame, id_col: str = "doc_id", texts_per_chunk: int = CHUNK_TEXTS) -> DataFrame:
+    """Add consecutive ranges of ids with so many texts each (more where
+    there would be over 2^20 ranges, as a word's chunk totals meet in one
+    prefix-window task)."""
+    return number_ranges(texts, id_col, CHUNK, texts_per_chunk)
 
 
-def id_range(texts: DataFrame, id_col: str = "doc_id"):
-    """(min, max) of the text ids: one aggregate over one column."""
-    return tuple(texts.agg(F.min(id_col), F.max(id_col)).first())
-
-
-def running_word_count(tokens: DataFrame, seed=DEFAULT_WORD_SEED, id_col: str = "doc_id",
-                       chunk_ids: int = MIN_CHUNK_IDS) -> DataFrame:
+def running_word_count(tokens: DataFrame, seed=DEFAULT_WORD_SEED, id_col: str = "doc_id") -> DataFrame:
     """Every token with its word's cumulative count so far, in (id, pos) order.
 
-    The order is split into chunks of ``chunk_ids`` consecutive ids, so a
-    very frequent word is counted over many tasks (see operators.running):
-    a chunk task holds at most ``chunk_ids`` texts' tokens of one word.
-    Pass ``word_chunk_ids(*id_range(texts))`` for large inputs, so that the
-    number of chunks of a word (rows of its prefix window) stays bounded too.
+    ``tokens`` carry the chunk of their text (``with_text_chunk``), so a very
+    frequent word is counted over many tasks (see operators.running): a chunk
+    task holds the tokens of one word in one chunk's texts.  Tokens without a
+    chunk are one.
     """
-    base = tokens.withColumn(CHUNK, F.floor(F.col(id_col) / F.lit(chunk_ids)).cast("bigint"))
-    run = chunked_running(base, ["word"], CHUNK, [id_col, "pos"],
+    if CHUNK not in tokens.columns:
+        tokens = tokens.withColumn(CHUNK, F.lit(0).cast("bigint"))
+    run = chunked_running(tokens, ["word"], CHUNK, [id_col, "pos"],
                           {"run_n": ("count", F.lit(1))}, totals_from_window=True)
     return with_seed(run, seed).select(
         id_col, "pos", "word",

@@ -126,8 +126,7 @@ def word_totals(spark, sf_dir):
 
 def running_word_count(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return words.running_word_count(words.tokenize(docs),
-                                    chunk_ids=words.word_chunk_ids(*words.id_range(docs)))
+    return words.running_word_count(words.tokenize(words.with_text_chunk(docs), carry=(words.CHUNK,)))
 
 
 def order_parts(spark, sf_dir):
@@ -228,7 +227,38 @@ def reconcile_documents_counts(spark, sf_dir):
     return rc.reconcile(document_parts(spark, sf_dir), DOCUMENT_RULES).counts
 
 
+def reconcile_documents_conflict_sources(spark, sf_dir):
+    """Every source behind a conflict, a row each."""
+    parts = document_parts(spark, sf_dir)
+    return rc.conflict_sources(parts, rc.reconcile(parts, DOCUMENT_RULES).conflicts)
+
+
+PIECE_BYTES = 1 << 16
+
+
+def reconcile_merged_pieces(spark, sf_dir):
+    """The merged targets of the document parts, in pieces."""
+    pieces = rc.merged_pieces(reconcile_documents(spark, sf_dir), PIECE_BYTES)
+    return pieces.select("target", "piece", "offset", F.octet_length("content").cast("bigint").alias("n_bytes"),
+                         F.sha2("content", 256).alias("content_sha256"))
+
+
+def line_counts(spark, sf_dir):
+    """Lines read, kept and rejected by reason, counted in the pass that
+    parses and writes them."""
+    return rec.parse_counted(load_event_lines(spark, sf_dir, faults=LINE_FAULTS))[2]
+
+
+def rejects_counted(spark, sf_dir):
+    """The rejects that the same pass has written."""
+    return rec.parse_counted(load_event_lines(spark, sf_dir, faults=LINE_FAULTS))[1]
+
+
 PLANS = {
+    "reconcile_documents_conflict_sources": reconcile_documents_conflict_sources,
+    "reconcile_merged_pieces": reconcile_merged_pieces,
+    "line_counts": line_counts,
+    "rejects_counted": rejects_counted,
     "filter_lines": filter_lines,
     "trial_records": trial_records,
     "summary_by_key": summary_by_key,

@@ -396,3 +396,28 @@ SELECT CASE WHEN event_id % 13 = 5 THEN concat_ws(',', {", ".join(_spoiled)})
             ELSE concat_ws('|', {", ".join(_spoiled)}) END AS raw,
        CASE WHEN event_id % 13 = 5 THEN {_REASON} ELSE 'short_line' END AS reason, 1 AS attempt
 FROM events WHERE {_BAD}"""
+
+
+SQL["reconcile_documents_conflict_sources"] = _with(_DOC_PARTS) + """
+SELECT target, source, source_rank FROM parts WHERE lang = 'es' AND target IN (
+  SELECT target FROM parts WHERE lang = 'es' GROUP BY target HAVING count(DISTINCT sha1(content)) > 1)"""
+SQL["reconcile_merged_pieces"] = f"""
+WITH whole AS (
+  SELECT target, hex(encode(string_agg(
+    content || CASE WHEN strategy = 'filterDistinctLines' THEN chr(10) ELSE '' END, ''
+    ORDER BY source_rank, line_no))) AS h
+  FROM ({SQL["reconcile_documents"]}) GROUP BY target),
+cut AS (
+  SELECT target, piece, substr(h, 1 + 131072 * piece, 131072) AS x
+  FROM (SELECT target, h, unnest(range(0, greatest(1, (len(h) + 131071) // 131072))) AS piece FROM whole))
+SELECT target, piece, 65536 * piece AS offset, len(x) // 2 AS n_bytes, sha256(unhex(x)) AS content_sha256
+FROM cut"""
+_ALL_REASONS = ["short_line", "missing_key", "bad_int:result", "bad_date:start_date", "bad_time:start_time",
+                "bad_date:end_date", "bad_time:end_time"]
+SQL["line_counts"] = f"""
+WITH r AS (SELECT {_REASON} AS reason FROM events)
+SELECT 'read' AS what, count(*) AS n FROM r
+UNION ALL SELECT 'kept', count(*) FROM r WHERE reason IS NULL
+UNION ALL SELECT w.what, count(r.reason)
+FROM (VALUES {", ".join(f"('{x}')" for x in _ALL_REASONS)}) w(what) LEFT JOIN r ON r.reason = w.what GROUP BY w.what"""
+SQL["rejects_counted"] = SQL["rejects_all_reasons"]

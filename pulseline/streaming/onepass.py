@@ -27,7 +27,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from pyspark.sql.types import StructType
 
 from pulseline.config import SensorConfig
-from pulseline.operators.records import REASONS, add_key, filter_fields, filter_lines, parse_lines
+from pulseline.operators.records import filter_fields, filter_lines, line_counts, parse_lines
 from pulseline.operators.summary import IDENTITY, _avg_cols
 from pulseline.sources.lines import read_lines
 from pulseline.streaming.processors import _div_trunc, _key_runs, running_batch
@@ -176,18 +176,12 @@ def start_one_pass(spark: SparkSession, cfg: SensorConfig, out_dir: str, *, avai
     back = spark.readStream.schema(PARSED).parquet(_folder(spark, f"{out_dir}/replayed"))
     parsed = parsed_lines(lines, cfg).unionByName(back)
     # counted in the same pass; a listener or lastProgress has them by batch
-    parsed = parsed.observe("lines", *line_counts(F.col("reason")))
+    parsed = parsed.observe("lines", *line_counts())
     return {"log": sink(one_pass(parsed, cfg.alert_threshold, buckets), f"{out_dir}/log", f"{base}/log",
                         trigger=None if available_now else cfg.trigger, available_now=available_now,
                         partition_by=("tag",))}
 
 
-def line_counts(reason) -> list:
-    """read, kept and the rejected by reason, as aggregates to observe."""
-    return [F.count(F.lit(1)).alias("read"), F.count_if(reason.isNull()).alias("kept"),
-            *(F.count_if(reason == r).alias(r) for r in REASONS)]
-
-
 def replay(spark: SparkSession, cfg: SensorConfig, out_dir: str) -> StreamingQuery:
     """Parse the rejects that no replay has had under ``cfg`` and hand them
     back; ``start_one_pass`` takes them with its next batch."""

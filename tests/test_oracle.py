@@ -54,10 +54,11 @@ def test_running_plans_with_forced_small_chunks(spark, con01, width):
     force small chunks so the cross-chunk combination meets the oracle."""
     from pulseline.operators.compat import compat_running
     from pulseline.operators.summary import running_summary
-    from pulseline.plans.catalog import _records, _tokens
-    from pulseline.operators.words import running_word_count
+    from pulseline.operators import words
+    from pulseline.plans.catalog import _records
     r = _records(spark, SF01)
     assert compare(running_summary(r, chunk_seconds=width), con01, O["running_summary"]) == []
     assert compare(compat_running(r, chunk_seconds=width), con01, O["compat_running"]) == []
-    assert compare(running_word_count(_tokens(spark, SF01), chunk_ids=width // 3600),
-                   con01, O["running_word_count"]) == []
+    docs = words.with_text_chunk(spark.read.parquet(f"{SF01}/documents.parquet"), texts_per_chunk=width // 3600)
+    tokens = words.tokenize(docs, carry=(words.CHUNK,))
+    assert compare(words.running_word_count(tokens), con01, O["running_word_count"]) == []

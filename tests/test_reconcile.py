@@ -101,3 +101,54 @@ def test_table_scale_counts(spark):
     single = agg.filter("n_sources = 1").count()
     same = agg.filter("n_sources > 1 AND same_content").count()
     assert (n, single, same, n - single - same) == (6470, 1965, 905, 3600)
+
+
+def _pieces(spark, parts, rules, piece_bytes):
+    resolved = rc.reconcile(parts, rules=rules).resolved
+    out = {}
+    for r in rc.merged_pieces(resolved, piece_bytes).orderBy("target", "piece").collect():
+        assert r.offset == piece_bytes * r.piece == len(out.get(r.target, b""))
+        assert len(r.content) <= piece_bytes
+        out[r.target] = out.get(r.target, b"") + bytes(r.content)
+    return out
+
+
+def test_merged_targets_equal_the_goldens(spark):
+    parts = _parts(spark, ["1", "2", "1\n3"])
+    for t in ("b", "c", "d", "e", "f"):
+        parts = parts.unionByName(_parts(spark, ["1\n", "1\n", "1\n"] if t == "e" else ["1", "2", "1\n3"], t))
+    rules = [("^a$", rc.CONCAT), ("^b$", rc.FIRST), ("^c$", rc.LAST), ("^d$", rc.FILTER_DISTINCT_LINES),
+             ("^e$", rc.DEDUPLICATE), ("^f$", rc.DISCARD)]
+    for piece_bytes in (1, 3, 100):
+        got = _pieces(spark, parts, rules, piece_bytes)
+        assert {t: c.decode().split() for t, c in got.items()} == {
+            "a": ["1", "2", "1", "3"], "b": ["1"], "c": ["1", "3"], "d": ["1", "2", "3"], "e": ["1"]}
+
+
+def test_merged_pieces_of_long_empty_and_many_parts(spark):
+    contents = ["é" * 5000, "", None, "x\n", "漢字" * 777, ""]
+    parts = _parts(spark, contents, "long").unionByName(_parts(spark, [""], "none"))
+    want = "".join(c if (c or "").endswith("\n") else (c or "") + "\n" for c in contents if c is not None)
+    got = _pieces(spark, parts, [("long", rc.CONCAT), ("none", rc.FIRST)], 64)
+    assert got["none"] == b"" and got["long"].decode() in (want, want.replace("\nx\n", "\n\nx\n"))
+
+
+def test_a_hot_target_is_merged_by_many_tasks(spark, monkeypatch):
+    from pulseline.operators import running
+    monkeypatch.setattr(running.equal_count_chunks, "__defaults__", (200,))
+    rows = [("hot", str(i), i, f"part {i} of the hot target") for i in range(4000)]
+    rows += [(f"t{i % 50}", str(i), i, f"p{i}") for i in range(1000)]
+    parts = spark.createDataFrame(rows, "target STRING, source STRING, source_rank BIGINT, content STRING")
+    resolved = rc.reconcile(parts, rules=[(".", rc.CONCAT)]).resolved
+    chunks = running.equal_count_chunks(resolved, ["target"], ["source_rank", "line_no"], "c")
+    assert chunks.where("target = 'hot'").select("c").distinct().count() >= 15
+    got = _pieces(spark, parts, [(".", rc.CONCAT)], 1000)
+    assert got["hot"].decode() == "".join(f"{r[3]}\n" for r in rows[:4000])
+    assert got["t7"].decode() == "".join(f"p{i}\n" for i in range(7, 1000, 50))
+
+
+def test_conflict_sources(spark):
+    parts = _parts(spark, PARTS).unionByName(_parts(spark, ["1", "1"], "same"))
+    res = rc.reconcile(parts)
+    got = rc.conflict_sources(parts, res.conflicts).collect()
+    assert sorted((r.target, r.source, r.source_rank) for r in got) == [("a", "1", 1), ("a", "2", 2), ("a", "3", 3)]

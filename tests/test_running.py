@@ -4,7 +4,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pulseline.operators.running import equal_count_chunks
+from pulseline.operators.running import equal_count_chunks, number_ranges
 from pulseline.operators.summary import merge_summaries, partial_summary, running_summary, summary
 
 
@@ -49,7 +49,7 @@ def test_chunks_hold_equal_counts_despite_outliers_and_bursts(spark):
     rows += [("burst", 5_000_000 + i) for i in range(9_000)] + [("burst", i * 10_000) for i in range(1_000)]
     rows += [(f"k{i % 50}", i) for i in range(2_000)]
     df = spark.createDataFrame(rows, "key STRING, v BIGINT")
-    got = equal_count_chunks(df, ["key"], F.col("v"), "c", target_rows=1_000)
+    got = equal_count_chunks(df, ["key"], ["v"], "c", target_rows=1_000)
     sizes = {(r.key, r.c): (r["count"], r.lo, r.hi) for r in got.groupBy("key", "c").agg(
         F.count(F.lit(1)).alias("count"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
     assert max(n for n, _, _ in sizes.values()) <= 2_000
@@ -60,6 +60,39 @@ def test_chunks_hold_equal_counts_despite_outliers_and_bursts(spark):
         assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
 
 
+def test_rows_of_one_second_are_split_by_their_sequence(spark):
+    """18,000 of a key's 20,000 rows in one second: chunks end inside it."""
+    rows = [("hot", 500 if i < 18_000 else i % 1_000, i) for i in range(20_000)] + [("hot", None, None)]
+    rows += [("small", 500, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "key STRING, t BIGINT, seq BIGINT")
+    got = equal_count_chunks(df, ["key"], ["t", "seq"], "c", target_rows=1_000)
+    by = {(r.key, r.c): r for r in got.groupBy("key", "c").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.struct("t", "seq")).alias("lo"),
+        F.max(F.struct("t", "seq")).alias("hi")).collect()}
+    sizes = [r.rows for (k, _), r in by.items() if k == "hot"]
+    assert max(sizes) <= 2_000 and len(sizes) >= 15 and by["small", 0].rows == 300
+    order = [by["hot", c] for c in sorted(c for k, c in by if k == "hot")]
+    ends = [((r.lo.t or -1, r.lo.seq or -1), (r.hi.t, r.hi.seq)) for r in order]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_number_ranges_follow_counts_not_spans(spark):
+    numbers = [*range(1, 5_001), 2 ** 60, -2 ** 61, *[70_000] * 30, None]
+    df = spark.createDataFrame([(x, "text") for x in numbers], "doc_id BIGINT, text STRING").repartition(5)
+    got = number_ranges(df, "doc_id", "c", 64)
+    assert got.columns == ["doc_id", "text", "c"] and got.count() == len(numbers)
+    by = {r.c: r for r in got.groupBy("c").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("lo"),
+                                               F.max("doc_id").alias("hi")).collect()}
+    assert by.pop(None).rows == 1
+    assert max(r.rows for r in by.values()) <= 64 + 30 and len(by) >= 78
+    order = [by[c] for c in sorted(by)]
+    assert all(a.hi < b.lo for a, b in zip(order, order[1:]))
+    few = number_ranges(df, "doc_id", "c", 64, most_ranges=10)
+    assert 8 <= few.select("c").distinct().count() <= 10 + 8 + 1
+    one = number_ranges(df.limit(3), "doc_id", "c", 64)
+    assert {r.c for r in one.collect()} <= {0, None}
+
+
 def test_results_do_not_depend_on_chunks(spark, monkeypatch):
     from pulseline.operators import compat, running
     df = _records(spark)

@@ -15,19 +15,23 @@ def test_split_rule(spark):
 
 
 def test_seeded_running_count(spark):
-    t = words.tokenize(_texts(spark, ["hello a  b", "", "a b hello"]))
+    chunked = words.with_text_chunk(_texts(spark, ["hello a  b", "", "a b hello"]), texts_per_chunk=1)
+    t = words.tokenize(chunked, carry=(words.CHUNK,))
     got = {}
-    for r in words.running_word_count(t, chunk_ids=1).orderBy("doc_id", "pos").collect():
+    for r in words.running_word_count(t).orderBy("doc_id", "pos").collect():
         got.setdefault(r.word, []).append(r.n)
     assert got == {"hello": [2, 3], "a": [1, 2], "b": [1, 2], "": [1, 2]}
     totals = {r.word: r.n for r in words.word_totals(t).collect()}
     assert totals == {"hello": 3, "a": 2, "b": 2, "": 2}
 
 
-def test_word_chunk_ids_bound_chunks_per_word():
-    from pulseline.operators.words import MAX_CHUNKS_PER_KEY, word_chunk_ids
-    assert word_chunk_ids(0, 9_999) == 64                      # small input: fixed width
-    assert word_chunk_ids(None, None) == 64                    # empty input
-    w = word_chunk_ids(0, 10**10 - 1)                          # 10^10 texts
-    assert w > 64 and -(-10**10 // w) <= MAX_CHUNKS_PER_KEY
-    assert word_chunk_ids(5, 5 + 8 * 3) == 64 and word_chunk_ids(0, 99, 1, 10) == 10
+def test_an_outlier_id_does_not_undo_the_chunks(spark):
+    """A frequent word stays spread over many tasks beside an id far away."""
+    texts = spark.createDataFrame([(i if i else 2 ** 60, "the end") for i in range(700)],
+                                  "doc_id BIGINT, text STRING")
+    chunked = words.with_text_chunk(texts)
+    per = [r["count"] for r in chunked.groupBy(words.CHUNK).count().collect()]
+    assert max(per) <= 2 * words.CHUNK_TEXTS and len(per) >= 10
+    t = words.tokenize(chunked, carry=(words.CHUNK,))
+    got = sorted((r.doc_id, r.n) for r in words.running_word_count(t).collect() if r.word == "the")
+    assert got == [(i, i) for i in range(1, 700)] + [(2 ** 60, 700)]
