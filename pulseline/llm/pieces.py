@@ -3,9 +3,10 @@
 The model file (a protobuf) is parsed here, and its normaliser, white-space
 marker, vocabulary and byte fallback are rebuilt as a ``tokenizers`` pipeline:
 Unigram from the pieces' scores, or BPE with merges in order of the scores of
-what they make.  Batches are encoded by the library's threads.  All ids are
-compared with those of the sentencepiece library; where a model has ties that
-merge ranks can't express, that library's ids are returned.
+what they make.  Batches are encoded by several threads.  The ids are those
+of this pipeline; the sentencepiece library encodes every text too, to verify
+them.  Where a model has ties that merge ranks can't express, so that the two
+differ, the row says so (parity is false) and has that library's ids.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -159,8 +161,8 @@ class Codec:
     _of: dict[bytes, Codec] = {}
 
     def __init__(self, data: bytes, threads: int = THREADS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "true"
-        os.environ["RAYON_NUM_THREADS"] = str(threads)
+        # threads of our own: the library's spin while they wait
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
 
         self.model, self.threads = parse_model(data), threads
@@ -180,9 +182,19 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         """Ids of each text, and whether both libraries agree on them."""
-        mine = self.mine.encode_batch_fast(texts, add_special_tokens=False)
-        ids = self.exact.encode(texts, num_threads=self.threads)
-        return ids, [a.ids == b for a, b in zip(mine, ids)]
+        with ThreadPoolExecutor(self.threads) as pool:
+            step = -(-len(texts) // self.threads) or 1
+            parts = [texts[i:i + step] for i in range(0, len(texts), step)]
+            mine = [x for part in pool.map(self._mine, parts) for x in part]
+            exact = [x for part in pool.map(self._exact, parts) for x in part]
+        same = [a == b for a, b in zip(mine, exact)]
+        return [a if ok else b for a, b, ok in zip(mine, exact, same)], same
+
+    def _mine(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.mine.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _exact(self, texts: list[str]) -> list[list[int]]:
+        return self.exact.encode(texts, num_threads=1)
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         """Texts of ids by the bytes of their pieces, without the dummy
