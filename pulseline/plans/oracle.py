@@ -421,3 +421,5 @@ UNION ALL SELECT 'kept', count(*) FROM r WHERE reason IS NULL
 UNION ALL SELECT w.what, count(r.reason)
 FROM (VALUES {", ".join(f"('{x}')" for x in _ALL_REASONS)}) w(what) LEFT JOIN r ON r.reason = w.what GROUP BY w.what"""
 SQL["rejects_counted"] = SQL["rejects_all_reasons"]
+SQL["stream_ordered_running"] = SQL["running_summary"]
+SQL["stream_ordered_late"] = _with(REC_CTE) + "SELECT 0 AS n_late, count(*) AS n_in_order FROM rec"

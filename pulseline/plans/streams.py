@@ -24,6 +24,7 @@ from pulseline.operators.report import latest_by_key
 from pulseline.session import scratch_path
 from pulseline.sources.lines import LINE_FAULTS, ordered_slices, read_lines, render_event_lines
 from pulseline.streaming import onepass as op
+from pulseline.streaming import ordered as od
 from pulseline.streaming import queries as sq
 
 ROWS_PER_SLICE = 2_000_000
@@ -108,6 +109,30 @@ def _one_pass_run(spark: SparkSession, sf_dir: str, commas: bool) -> str:
     return _once(spark, events, f"one-pass-{commas}", run)
 
 
+DELAY_SECONDS = 6 * 3600
+
+
+def _ordered_run(spark: SparkSession, sf_dir: str) -> str:
+    """Lines that arrive up to the delay out of order, then a heartbeat."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+
+    def run(out: str) -> None:
+        second = F.unix_seconds(F.date_trunc("second", "ts").cast("timestamp"))
+        arrival = second + F.pmod(F.xxhash64("event_id"), F.lit(DELAY_SECONDS))
+        lines = render_event_lines(events.withColumn("_arrival", arrival), keep=("_arrival",))
+
+        def start():
+            stream = read_lines(spark, f"{out}/input", mode="stream")
+            return [od.start_ordered(spark, rec.trial_records(stream), out, f"{DELAY_SECONDS} seconds",
+                                     available_now=True)]
+
+        _replay(lines, F.col("_arrival"), ["value"], "text", f"{out}/input", start, n_slices=4)
+        od.flush(spark, out)
+        sq.await_all(start())
+
+    return _once(spark, events, "ordered", run)
+
+
 def _words_run(spark: SparkSession, sf_dir: str, totals: bool) -> str:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -177,7 +202,21 @@ def stream_dead_letters(spark, sf_dir) -> DataFrame:
     return op.dead_letters(spark, _one_pass_run(spark, sf_dir, True)).select("raw", "reason", "attempt")
 
 
+def stream_ordered_running(spark, sf_dir) -> DataFrame:
+    """Running values in order of time, of records that arrived in another."""
+    return od.ordered_summaries(spark, _ordered_run(spark, sf_dir))
+
+
+def stream_ordered_late(spark, sf_dir) -> DataFrame:
+    """Records that arrived and records that came too late for their place."""
+    out = _ordered_run(spark, sf_dir)
+    return od.late_records(spark, out).agg(F.count(F.lit(1)).alias("n_late")).withColumn(
+        "n_in_order", F.lit(od.ordered_summaries(spark, out).count()))
+
+
 STREAM_PLANS = {
+    "stream_ordered_running": stream_ordered_running,
+    "stream_ordered_late": stream_ordered_late,
     "stream_one_pass_running": stream_one_pass_running,
     "stream_one_pass_rejects": stream_one_pass_rejects,
     "stream_replayed_latest": stream_replayed_latest,
