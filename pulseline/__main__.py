@@ -16,6 +16,10 @@ import sys
 
 from pulseline.config import SensorConfig
 
+#: Lines have no number of their own; the id of a file's lines is the hash of its path.
+LINE_ID = "xxhash64(_metadata.file_path)"
+FEED_SECONDS = 10
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m pulseline")
@@ -28,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--out", required=True, help="output folder (logs and checkpoints)")
         s.add_argument("--config", help="JSON file with SensorConfig fields")
         s.add_argument("--show", type=int, metavar="N", help="words: print N lines of every batch")
+        s.add_argument("--one-pass", action="store_true",
+                       help="sensor: all outputs from one query, bad lines to a dead-letter log")
         s.add_argument("--once", action="store_true", help="process available input and exit")
     return p
 
@@ -46,29 +52,42 @@ def main(argv=None) -> int:
 
     from pulseline.session import apply_cluster_settings, input_bytes, runner_session
     from pulseline.sources.lines import read_lines
+    from pulseline.streaming import onepass as op
     from pulseline.streaming import queries as sq
 
     spark = runner_session(f"pulseline-{args.program}")
     if config.source == "folder":
         apply_cluster_settings(spark, input_bytes(spark, config.path))
     if args.program == "sensor":
-        qs = sq.start_from_config(spark, config, args.out, available_now=args.once)
+        if args.one_pass:
+            qs = op.start_one_pass(spark, config, args.out, available_now=args.once)
+            feed = None
+        else:
+            qs = sq.start_from_config(spark, config, args.out, available_now=args.once)
+            records = sq.configured_records(spark, config)
+            feed = lambda: sq.feed_totals(spark, records, args.out, config.checkpoint)
     else:
         mode = "socket" if config.source == "socket" else "stream"
         lines = read_lines(spark, config.path, mode=mode, host=config.host, port=config.port,
                            max_files_per_trigger=config.max_files_per_trigger,
                            max_bytes_per_trigger=config.max_bytes_per_trigger)
-        # lines have no number of their own: words count in order of arrival
-        texts = lines.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "value AS text")
+        texts = lines.selectExpr(f"{LINE_ID if mode == 'stream' else 'CAST(NULL AS BIGINT)'} AS doc_id",
+                                 "value AS text")
         how = {"available_now": args.once, "trigger": None if args.once else "1 second"}
-        qs = {"words": sq.start_word_count(spark, texts, args.out, **how),
-              "totals": sq.start_word_totals(spark, texts, args.out, **how)}
+        qs = {"words": sq.start_word_count(spark, texts, args.out, **how)}
+        feed = lambda: sq.feed_word_totals(spark, texts, args.out)
         if args.show:
             qs["show"] = sq.console(texts.select("text"), args.show, **how)
+    if config.source == "socket":
+        feed = None  # a socket has no offsets that a second reader could take up
     if args.once:
         sq.await_all(qs)
+        if feed:
+            feed()
     else:
-        spark.streams.awaitAnyTermination()
+        while not any(q.awaitTermination(FEED_SECONDS) for q in qs.values()):
+            if feed:
+                feed()
     return 0
 
 

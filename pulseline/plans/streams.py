@@ -72,8 +72,10 @@ def _sensor_run(spark: SparkSession, sf_dir: str, literal: bool) -> str:
         lines = render_event_lines(events.withColumn("_second", second), keep=("_second",))
 
         def start():
-            stream = read_lines(spark, f"{out}/input", mode="stream")
-            return list(sq.start_sensor_queries(spark, rec.trial_records(stream), out, literal=literal,
+            records = rec.trial_records(read_lines(spark, f"{out}/input", mode="stream"))
+            if not literal:
+                sq.feed_totals(spark, records, out)
+            return list(sq.start_sensor_queries(spark, records, out, literal=literal,
                                                 available_now=True).values())
 
         _replay(lines, F.col("_second"), ["value"], "text", f"{out}/input", start)
@@ -139,8 +141,10 @@ def _words_run(spark: SparkSession, sf_dir: str, totals: bool) -> str:
     def run(out: str) -> None:
         def start():
             stream = spark.readStream.schema("doc_id BIGINT, text STRING").parquet(f"{out}/input")
-            go = sq.start_word_totals if totals else sq.start_word_count
-            return [go(spark, stream, out, available_now=True)]
+            if totals:
+                sq.feed_word_totals(spark, stream, out)
+                return []
+            return [sq.start_word_count(spark, stream, out, available_now=True)]
 
         _replay(docs, F.col("doc_id"), ["doc_id", "text"], "parquet", f"{out}/input", start)
 
@@ -152,7 +156,7 @@ def stream_running(spark, sf_dir) -> DataFrame:
 
 
 def stream_summary(spark, sf_dir) -> DataFrame:
-    """Totals per key: the state of the built-in update-mode aggregate."""
+    """Totals per key, from the store that the stream feeds."""
     return sq.sensor_totals(spark, _sensor_run(spark, sf_dir, False))
 
 
@@ -171,8 +175,8 @@ def stream_word_count(spark, sf_dir) -> DataFrame:
 
 
 def stream_word_totals(spark, sf_dir) -> DataFrame:
-    """Totals per word: the state of the built-in update-mode aggregate."""
-    return sq.word_totals(spark, f"{_words_run(spark, sf_dir, True)}/_ckpt/word_totals")
+    """Totals per word, from the store that the stream feeds."""
+    return sq.word_totals(spark, _words_run(spark, sf_dir, True))
 
 
 def stream_one_pass_running(spark, sf_dir) -> DataFrame:

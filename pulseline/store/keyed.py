@@ -60,6 +60,10 @@ KINDS = {
     "latest": Kind(lambda rows, key: rows, _latest, lambda rows, key: rows),
     # count, sum, extremes and the identity of the latest record
     "totals": Kind(partial_summary, combine_partial, finish_summary),
+    # occurrences of a key
+    "counts": Kind(lambda rows, key: rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")),
+                   lambda rows, key, by: rows.groupBy(*by, key).agg(F.sum("n").alias("n")),
+                   lambda rows, key: rows),
 }
 
 
@@ -146,6 +150,10 @@ class KeyedStore:
             raise FileNotFoundError(f"no store in {path}")
         return cls(spark, path, _read_manifest(spark, path, versions[-1] if version is None else version))
 
+    @classmethod
+    def open_or_create(cls, spark: SparkSession, path: str, rows: DataFrame, **kw) -> KeyedStore:
+        return cls.open(spark, path) if _versions(spark, path) else cls.create(spark, path, rows, **kw)
+
     # --- writing
 
     def append(self, rows: DataFrame, batch: int) -> bool:
@@ -274,8 +282,9 @@ class KeyedStore:
         self.manifest = m
 
 
-def feed(store: KeyedStore, stream: DataFrame, checkpoint: str) -> bool:
-    """Take what a stream has by now as the store's next batch.
+def feed(store: KeyedStore, stream: DataFrame, checkpoint: str, most_deltas: int = 8) -> bool:
+    """Take what a stream has by now as the store's next batch; merge when
+    ``most_deltas`` batches wait for it.
 
     The stream's rows go to the store's inbox, a log partitioned by batch
     number, with the stream's own checkpoint, and from there into the store.
@@ -295,4 +304,8 @@ def feed(store: KeyedStore, stream: DataFrame, checkpoint: str) -> bool:
     if not fs.exists(p):
         return False
     rows = spark.read.schema(numbered.schema).parquet(inbox).where(F.col(BATCH) == batch).drop(BATCH)
-    return not rows.isEmpty() and store.append(rows, batch)
+    if rows.isEmpty() or not store.append(rows, batch):
+        return False
+    if len(store.manifest.deltas) >= most_deltas:
+        store.merge()
+    return True

@@ -3,8 +3,8 @@
 Sources are folder-watching text/parquet streams (or a socket for
 development); sinks are Parquet append logs with their own checkpoint, so
 a restarted query resumes from its offsets and state.  Totals per key are
-built-in update-mode aggregates, read from their state store as one row per
-key (what a keyed upsert store would hold); no driver callback is needed.
+kept in a keyed store that takes what a stream has batch by batch; no driver
+callback is needed.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pulseline.operators.summary import IDENTITY, _avg_cols
 from pulseline.operators.words import seed_frame, tokenize, with_seed
 from pulseline.session import STATE_STORE_PROVIDER
 from pulseline.sources.lines import read_lines
+from pulseline.store.keyed import KeyedStore, feed
 from pulseline.streaming.processors import (
     COMPAT_SCHEMA, RUNNING_SCHEMA, WORDS_SCHEMA, BucketedLiteralFoldProcessor,
     BucketedRunningSummaryProcessor, BucketedWordCountProcessor, LiteralFoldProcessor,
@@ -114,8 +115,8 @@ def summary_updates_stream(records: DataFrame, key: str = "record_key") -> DataF
     """Totals per key with built-in streaming aggregation (no Python state).
 
     For ``update`` output mode: each batch emits the keys it changed with
-    their new totals; the identity is that of the latest record.  Totals of
-    all keys are the query's state, see ``start_totals`` and ``read_totals``.
+    their new totals; the identity is that of the latest record.  The keyed
+    view of all totals is a store, see ``feed_totals``.
     """
     return records.groupBy(key).agg(
         F.max_by(F.struct(*IDENTITY), F.struct("start_ts", "seq")).alias("identity"),
@@ -132,42 +133,37 @@ def word_totals_stream(texts: DataFrame) -> DataFrame:
     return tokenize(texts).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def start_totals(totals: DataFrame, checkpoint: str, *, trigger: str | None = None,
-                 available_now: bool = False) -> StreamingQuery:
-    """Run a totals aggregation in update mode.  Its state store holds one
-    row per key, the keyed upsert view of the totals; nothing else is
-    written (a store that takes upserts would be given the updates)."""
-    w = (totals.writeStream.format("noop").outputMode("update")
-         .option("checkpointLocation", checkpoint))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif trigger:
-        w = w.trigger(processingTime=trigger)
-    return w.start()
+def feed_totals(spark: SparkSession, records: DataFrame, out_dir: str, checkpoint: str | None = None) -> bool:
+    """Take what the record stream has by now into the store of totals per
+    key (``sensor_totals``)."""
+    store = KeyedStore.open_or_create(spark, f"{out_dir}/totals", _like(spark, records), kind="totals")
+    return feed(store, records, f"{checkpoint or out_dir + '/_ckpt'}/totals")
 
 
-def read_totals(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """(key, value) rows of a totals query's state after its last batch."""
-    return spark.read.format("statestore").load(checkpoint).select("key", "value")
+def sensor_totals(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Totals per key of a sensor run, one row per key, from their store."""
+    return KeyedStore.open(spark, f"{out_dir}/totals").read()
 
 
-def sensor_totals(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Totals per key of a sensor run, one row per key."""
-    # the value holds the buffers of summary_updates_stream's aggregates
-    return read_totals(spark, f"{out_dir}/_ckpt/totals").select(
-        "key.record_key", *[F.col(f"value.valueWithExtremumOrdering.{c}").alias(c) for c in IDENTITY],
-        F.col("value.count").alias("n_records"), F.col("value.sum").alias("sum_value"),
-        F.col("value.min").alias("min_value"), F.col("value.max").alias("max_value"),
-        *_avg_cols("value.count", "value.sum"))
-
-
-def word_totals(spark: SparkSession, checkpoint: str, seed=DEFAULT_WORD_SEED) -> DataFrame:
-    """Occurrences per word of a word-totals query so far, seed included."""
-    counts = read_totals(spark, checkpoint).select("key.word", F.col("value.count").alias("n"))
-    return with_seed(counts, seed).select(
+def feed_word_totals(spark: SparkSession, texts: DataFrame, out_dir: str) -> bool:
+    """Take the words of the text stream into the store of their counts."""
+    words = tokenize(texts).select("word")
+    store = KeyedStore.open_or_create(spark, f"{out_dir}/word_totals", _like(spark, words), key="word",
+                                      kind="counts")
+    return feed(store, words, f"{out_dir}/_ckpt/word_totals")
+
+
+def word_totals(spark: SparkSession, out_dir: str, seed=DEFAULT_WORD_SEED) -> DataFrame:
+    """Occurrences per word of a text stream so far, seed included."""
+    return with_seed(KeyedStore.open(spark, f"{out_dir}/word_totals").read(), seed).select(
         "word", (F.col("n") + F.coalesce("seed_n", F.lit(0))).alias("n"))
 
 
+def _like(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """An empty batch with the columns of a stream."""
+    return spark.createDataFrame([], rows.schema)
+
+
 def word_count_stream(texts: DataFrame, seed=DEFAULT_WORD_SEED,
                       buckets: int | None = -1) -> DataFrame:
     """Cumulative seeded word counts of a text stream (one row per token).
@@ -198,8 +194,9 @@ def start_sensor_queries(spark: SparkSession, records: DataFrame, out_dir: str,
                          available_now: bool = False, checkpoint: str | None = None,
                          alert_threshold: int | None = None) -> dict[str, StreamingQuery]:
     """The sensor program over a stream of keyed records: the raw record log
-    (partitioned by trial), the running summary of every record, the totals
-    per key, and (with a threshold) the log of alerts."""
+    (partitioned by trial), the running summary of every record, and (with a
+    threshold) the log of alerts.  Totals per key are fed to their store, see
+    ``feed_totals``."""
     _prepare(spark)
     base = checkpoint or f"{out_dir}/_ckpt"
     how = {"trigger": None if available_now else trigger, "available_now": available_now}
@@ -209,8 +206,6 @@ def start_sensor_queries(spark: SparkSession, records: DataFrame, out_dir: str,
         "summary": sink(running_summary_stream(records, literal), f"{out_dir}/summary",
                         f"{base}/summary", **how),
     }
-    if not literal:
-        queries["totals"] = start_totals(summary_updates_stream(records), f"{base}/totals", **how)
     if alert_threshold is not None:
         queries["alerts"] = sink(flag_alerts(records, alert_threshold), f"{out_dir}/alerts",
                                  f"{base}/alerts", **how)
@@ -221,15 +216,19 @@ def start_from_config(spark: SparkSession, cfg, out_dir: str, *,
                       available_now: bool = False) -> dict[str, StreamingQuery]:
     """Start the sensor program as configured (folder or socket source,
     separator, filters, base value, key columns, alerts, trigger)."""
+    return start_sensor_queries(spark, configured_records(spark, cfg), out_dir, trigger=cfg.trigger,
+                                available_now=available_now, checkpoint=cfg.checkpoint,
+                                alert_threshold=cfg.alert_threshold)
+
+
+def configured_records(spark: SparkSession, cfg) -> DataFrame:
+    """The keyed record stream of a configuration."""
     mode = "socket" if cfg.source == "socket" else "stream"
     lines = read_lines(spark, cfg.path, mode=mode, host=cfg.host, port=cfg.port,
                        max_files_per_trigger=cfg.max_files_per_trigger,
                        max_bytes_per_trigger=cfg.max_bytes_per_trigger)
     lines = filter_fields(filter_lines(lines, cfg.filter_terms), cfg.field_terms, cfg.separator)
-    records = add_key(parse_trial(lines, sep=cfg.separator, base=cfg.base_value), cfg.key_columns)
-    return start_sensor_queries(spark, records, out_dir, trigger=cfg.trigger,
-                                available_now=available_now, checkpoint=cfg.checkpoint,
-                                alert_threshold=cfg.alert_threshold)
+    return add_key(parse_trial(lines, sep=cfg.separator, base=cfg.base_value), cfg.key_columns)
 
 
 def start_word_count(spark: SparkSession, texts: DataFrame, out_dir: str, *,
@@ -240,13 +239,6 @@ def start_word_count(spark: SparkSession, texts: DataFrame, out_dir: str, *,
                 trigger=trigger, available_now=available_now)
 
 
-def start_word_totals(spark: SparkSession, texts: DataFrame, out_dir: str, *,
-                      trigger: str | None = None, available_now: bool = False) -> StreamingQuery:
-    _prepare(spark)
-    return start_totals(word_totals_stream(texts), f"{out_dir}/_ckpt/word_totals",
-                        trigger=trigger, available_now=available_now)
-
-
 def await_all(queries, timeout_s: float | None = None) -> None:
     """Wait for ``availableNow`` queries to finish; raise on failure.  Without
     a time limit they run as long as their input needs."""

@@ -83,6 +83,7 @@ def test_one_scan_and_one_parse_give_what_four_queries_gave(spark):
     plan = q._jsq.explainInternal(False)
     assert plan.count("FileScan text") == 1 and plan.count("split(value") == 1
     sq.await_all(sq.start_from_config(spark, cfg, f"{root}/four", available_now=True))
+    sq.feed_totals(spark, sq.configured_records(spark, cfg), f"{root}/four")
     one, four = f"{root}/one", f"{root}/four"
     assert rows(op.records(spark, one)) == rows(spark.read.parquet(f"{four}/records"))
     assert rows(op.summaries(spark, one)) == rows(spark.read.parquet(f"{four}/summary"))

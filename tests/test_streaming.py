@@ -52,8 +52,11 @@ def test_config_runner_recovers_from_checkpoint(spark):
             got[r.record_key] = (r.run_count, r.run_sum, r.run_min, r.run_max)
     assert got == want
     assert run.count() == 24 and sq.records_seen(spark, out) == 24
-    totals = spark.read.format("statestore").load(f"{root}/ckpt/totals")
-    assert {r.key.record_key: r.value["count"] for r in totals.collect()} == {k: v[0] for k, v in want.items()}
+    records = sq.configured_records(spark, cfg)
+    assert sq.feed_totals(spark, records, out, cfg.checkpoint)
+    assert not sq.feed_totals(spark, records, out, cfg.checkpoint)
+    totals = sq.sensor_totals(spark, out).collect()
+    assert {r.record_key: (r.n_records, r.sum_value, r.min_value, r.max_value) for r in totals} == want
     alerts = spark.read.parquet(f"{out}/alerts")
     assert alerts.count() == sum(abs(40 + (i * 37) % 90 - 50) > 10 for i in range(24))
 
@@ -81,6 +84,12 @@ def test_update_mode_totals_with_builtin_aggregation(spark):
     q.awaitTermination(300)
     got = {r.record_key: r.n_records for r in spark.sql("SELECT * FROM upd_totals").collect()}
     assert sum(got.values()) == 10 and len(got) == 3
+    texts = spark.readStream.format("text").load(f"{root}/in").selectExpr("1L AS doc_id", "value AS text")
+    q = (sq.word_totals_stream(texts).writeStream.format("memory").queryName("upd_words").outputMode("update")
+         .option("checkpointLocation", f"{root}/ckpt2").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert sum(r.n for r in spark.sql("SELECT * FROM upd_words").collect()) == sum(
+        len(x.split(" ")) for x in _lines(10))
 
 
 def test_seeded_word_stream(spark):
@@ -115,7 +124,7 @@ def test_command_line_words_once(spark):
     for r in spark.read.parquet(f"{root}/out/words").collect():
         got.setdefault(r.word, []).append(r.n)
     assert {w: sorted(n) for w, n in got.items()} == {"hello": [2, 3], "a": [1, 2], "b": [1]}
-    totals = sq.word_totals(spark, f"{root}/out/_ckpt/word_totals")
+    totals = sq.word_totals(spark, f"{root}/out")
     assert {r.word: r.n for r in totals.collect()} == {"hello": 3, "a": 2, "b": 1}
 
 
