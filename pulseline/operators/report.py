@@ -9,16 +9,21 @@ from pyspark.sql import functions as F
 from pulseline.config import DEFAULT_ALERT_THRESHOLD
 
 
+def where_equal(rows: DataFrame, filters: dict | None) -> DataFrame:
+    """Rows whose columns equal a value or are one of several."""
+    for col, val in (filters or {}).items():
+        rows = rows.filter(F.col(col).isin(*val) if isinstance(val, (list, tuple, set))
+                           else F.col(col) == val)
+    return rows
+
+
 def report(records: DataFrame, group_by=("patient_id",), filters: dict | None = None) -> DataFrame:
     """Heart-rate figures per chosen attributes, after equality filters.
 
     "variance" is the difference from the base value (not statistical
     variance); ``percentage`` is that difference in percent of the base.
     """
-    df = records
-    for col, val in (filters or {}).items():
-        df = df.filter(F.col(col).isin(*val) if isinstance(val, (list, tuple, set))
-                       else F.col(col) == val)
+    df = where_equal(records, filters)
     n = F.count(F.lit(1))
     return df.groupBy(*group_by).agg(
         n.alias("n_records"),

@@ -423,3 +423,13 @@ FROM (VALUES {", ".join(f"('{x}')" for x in _ALL_REASONS)}) w(what) LEFT JOIN r
 SQL["rejects_counted"] = SQL["rejects_all_reasons"]
 SQL["stream_ordered_running"] = SQL["running_summary"]
 SQL["stream_ordered_late"] = _with(REC_CTE) + "SELECT 0 AS n_late, count(*) AS n_in_order FROM rec"
+
+
+# Reports and searches answered by stores.
+SQL["rollup_patient_report"] = SQL["patient_report"]
+SQL["rollup_report_by_visit"] = SQL["report_by_visit"]
+SQL["rollup_filtered_report"] = _with(REC_CTE) + "SELECT device," + REPORT_AGGS + \
+    " FROM rec WHERE trial_id = 'TR-001' AND visit_name IN ('S01', 'S03') GROUP BY device"
+SQL["search_lines"] = f"""
+SELECT {LINE_SQL} AS line FROM events
+WHERE event_type = 'view' AND user_id % 3 = 1 AND user_id % 2 = 1"""

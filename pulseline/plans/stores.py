@@ -1,5 +1,5 @@
-"""Named plans over the keyed upsert store: a table's records arrive in
-batches, and the view by key is read from the store, never from the records.
+"""Named plans over the stores: a table's records or lines arrive in batches,
+and views, reports and searches are answered by the store.
 """
 
 from __future__ import annotations
@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from pulseline.operators import records as rec
 from pulseline.session import scratch_path
-from pulseline.sources.lines import load_event_lines, ordered_slices
+from pulseline.sources.lines import load_event_lines, ordered_slices, render_event_lines
 from pulseline.store.keyed import KeyedStore
+from pulseline.store.rollups import SummaryStore
+from pulseline.store.search import LineIndex
 
 BATCHES = 3
 
@@ -42,7 +44,45 @@ def store_summary_by_key(spark, sf_dir):
     return _filled(spark, sf_dir, "totals").read()
 
 
+GROUPINGS = (("trial_id", "patient_id", "visit_name", "device"), ("trial_id", "visit_name", "device"),
+             ("patient_id",), ("trial_id", "device"))
+
+
+def _summaries(spark: SparkSession, sf_dir: str) -> SummaryStore:
+    store = SummaryStore(spark, scratch_path(spark, "summaries"), GROUPINGS)
+    for i, rows in enumerate(record_batches(spark, sf_dir)):
+        store.append(rows, i)
+    return store
+
+
+def rollup_patient_report(spark, sf_dir):
+    """The patient report from stored partial summaries."""
+    return _summaries(spark, sf_dir).report(("patient_id",))
+
+
+def rollup_report_by_visit(spark, sf_dir):
+    return _summaries(spark, sf_dir).report(("trial_id", "visit_name", "device"))
+
+
+def rollup_filtered_report(spark, sf_dir):
+    """Devices of one trial and two visits, from the smallest summary that has the columns."""
+    return _summaries(spark, sf_dir).report(("device",), {"trial_id": "TR-001", "visit_name": ["S01", "S03"]})
+
+
+def search_lines(spark, sf_dir):
+    """Lines of a trial's women with a daily mean heart rate, by the index."""
+    index = LineIndex(spark, scratch_path(spark, "index"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for i, rows in enumerate(ordered_slices(events, F.col("ts"), BATCHES)):
+        index.append(render_event_lines(rows), i)
+    return index.search("DAILY", "MEAN", "0=TR-001", "3=F").select("line")
+
+
 STORE_PLANS = {
+    "rollup_patient_report": rollup_patient_report,
+    "rollup_report_by_visit": rollup_report_by_visit,
+    "rollup_filtered_report": rollup_filtered_report,
+    "search_lines": search_lines,
     "store_latest_by_key": store_latest_by_key,
     "store_summary_by_key": store_summary_by_key,
 }
