@@ -111,7 +111,7 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
 def op9_chat_rotation(spark, sf_dir):
     return rotate(table(spark, sf_dir, "conversations")).select(
-        "conv_id", "speaker", "block", "n_messages", "n_own",
+        "conv_id", "speaker", "block", "part", "n_messages", "n_own",
         F.length("text").cast("long").alias("n_chars"),
         F.array_join(F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
         .alias("mask"),
@@ -125,22 +125,26 @@ WITH m AS (
          coalesce(CAST(floor(turn / {BLOCK_TURNS}) AS BIGINT), -1) AS block
   FROM conversations),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> '{SYSTEM}'),
+r AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id, block ORDER BY turn NULLS FIRST, role, text) - 1)
+            // {BLOCK_TURNS} AS part
+  FROM m),
 p AS (
   SELECT m.*, s.speaker, m.role = s.speaker AS own,
          '{START}' || CASE WHEN m.role = s.speaker THEN 'assistant' WHEN m.role = '{SYSTEM}'
            THEN '{SYSTEM}' ELSE 'user name=' || replace(m.role, '<|', '< |') END || chr(10) AS head
-  FROM m JOIN s ON m.conv_id IS NOT DISTINCT FROM s.conv_id),
+  FROM r m JOIN s ON m.conv_id IS NOT DISTINCT FROM s.conv_id),
 q AS (
-  SELECT *, head || text || '<|im_end|>' || chr(10) AS part,
+  SELECT *, head || text || '<|im_end|>' || chr(10) AS shown,
          sum(length(head) + length(text) + 11) OVER (
-           PARTITION BY conv_id, speaker, block ORDER BY turn NULLS FIRST, role, text
+           PARTITION BY conv_id, speaker, block, part ORDER BY turn NULLS FIRST, role, text
            ROWS UNBOUNDED PRECEDING) AS stop
   FROM p)
-SELECT conv_id, speaker, block, count(*) AS n_messages,
+SELECT conv_id, speaker, block, part, count(*) AS n_messages,
        CAST(sum(CASE WHEN own THEN 1 ELSE 0 END) AS BIGINT) AS n_own,
        CAST(max(stop) AS BIGINT) AS n_chars,
        coalesce(string_agg(CASE WHEN own THEN (stop - length(text) - 11)::VARCHAR || ':' || stop::VARCHAR END,
                   ',' ORDER BY turn NULLS FIRST, role, text), '') AS mask,
-       sha256(string_agg(part, '' ORDER BY turn NULLS FIRST, role, text)) AS text_sha256
-FROM q GROUP BY conv_id, speaker, block
+       sha256(string_agg(shown, '' ORDER BY turn NULLS FIRST, role, text)) AS text_sha256
+FROM q GROUP BY conv_id, speaker, block, part
 """
