@@ -222,12 +222,12 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", **columns: str) ->
 
 
 def keep_good(docs: DataFrame, **columns: str) -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns.  Estimates come
-    from a narrow written table; the statistics are then taken again beside
-    the rows, so that no text is shuffled and no id is needed."""
-    stats = materialize(quality_stats(docs, **columns), "quality")
-    kept = judge(quality_stats(docs, keep=[docs[c] for c in docs.columns], **columns),
-                 fit_quality(stats)).where("kept")
+    """The rows of ``docs`` that pass, with their own columns.  Rows and their
+    statistics are written once, side by side: estimates read the narrow
+    columns only, and the rows are then filtered from the same table, so that
+    no text is shuffled or looked at again and no id is needed."""
+    stats = materialize(quality_stats(docs, keep=[docs[c] for c in docs.columns], **columns), "quality")
+    kept = judge(stats, fit_quality(stats)).where("kept")
     return kept.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
