@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pulseline.llm.common import by_place, table
+from pulseline.session import materialize
 
 BUCKET_BITS = 15
 ORDERS = (1, 2, 3)
@@ -125,21 +126,17 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     ``MAX_LANGUAGES`` languages are refused: the model is broadcast."""
     d = rows.select(rows[lang_col].cast("string").alias("lang"),
                     rows[text_col].cast("string").alias("text")).dropna()
-    n = d.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
-        F.sum("n").alias("n"))
-    by_lang = n.groupBy("lang").agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("counts"))
-    found = sorted(by_lang.limit(MAX_LANGUAGES + 1).collect())
+    n = materialize(d.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
+        F.sum("n").alias("n")), "buckets")
+    found = sorted(r.lang for r in n.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     counts, texts = np.zeros((len(found), 1 << BUCKET_BITS)), np.zeros(len(found))
-    for k, row in enumerate(found):
-        for bucket, c in row.counts:
-            if bucket < 0:
-                texts[k] = c
-            else:
-                counts[k, bucket] = c
-    return Model([r.lang for r in found], counts, texts)
+    for k, lang in enumerate(found):  # a language has at most 2^BUCKET_BITS + 1 rows
+        bucket, c = (x.to_numpy() for x in n.where(F.col("lang") == lang).select("bucket", "n").toArrow().columns)
+        texts[k] = c[bucket < 0].sum()
+        counts[k, bucket[bucket >= 0]] = c[bucket >= 0]
+    return Model(found, counts, texts)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
