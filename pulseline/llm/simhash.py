@@ -198,6 +198,22 @@ def _search(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Recor
         yield out(links)
 
 
+def _in_pairs(keyed: DataFrame, max_shard: int) -> DataFrame:
+    """(fp, key) with no key of more than about 2 * ``max_shard`` fingerprints.
+
+    A shard above ``max_shard`` is divided into sub-shards by the hash of the
+    fingerprint, and each two of them make a shard of their own: any two
+    fingerprints of the shard still meet in one, and a family of any size that
+    agrees in all bits of a key is spread over many tasks."""
+    crowded = keyed.groupBy("key").count().where(F.col("count") > max_shard).select(
+        "key", F.ceil(F.col("count") / max_shard).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("parts")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.xxhash64(
+        "key", F.least(own, j), F.greatest(own, j)))
+    return keyed.join(crowded, "key", "left").select("fp", F.explode(
+        F.when(F.col("parts").isNotNull(), pairs).otherwise(F.array("key"))).alias("key"))
+
+
 def links(distinct: DataFrame, radius: int = RADIUS, max_shard: int = MAX_SHARD) -> DataFrame:
     """Edges (a, b) that connect all fingerprints that the radius connects."""
     if radius > 3:
@@ -212,8 +228,10 @@ def links(distinct: DataFrame, radius: int = RADIUS, max_shard: int = MAX_SHARD)
         four = F.array(*(F.xxhash64("key", F.lit(k), _of_bits(rest[k * 9:k * 9 + 9]))
                          for k in range(4)))
         finer = F.when(kind == i, four) if finer is None else finer.when(kind == i, four)
-    keyed = keyed.join(crowded, "key", "left").select("fp", F.explode(
-        F.when(F.col("crowded"), finer).otherwise(F.array("key"))).alias("key"))
+    keyed = keyed.join(crowded, "key", "left")
+    calm = keyed.where(F.col("crowded").isNull()).select("fp", "key")
+    again = materialize(keyed.where("crowded").select("fp", F.explode(finer).alias("key")), "crowded")
+    keyed = calm.unionByName(_in_pairs(again, max_shard))
     keyed = keyed.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
     return keyed.mapInArrow(lambda b: _search(b, radius), "a long, b long")
 
