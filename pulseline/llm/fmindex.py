@@ -270,14 +270,18 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text"
 
 def _scanned(docs: DataFrame, at: int, benchmark: DataFrame, item_col: str = "item_id",
              item_text_col: str = "text", window: int = WINDOW,
-             block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` (columns by place, the text at ``at``) and the state columns."""
+             block_bytes: int = BLOCK_BYTES, then=None) -> DataFrame:
+    """``docs`` (columns by place, the text at ``at``) and the state columns;
+    with ``then``, what it makes of the batches of that in the pass of the
+    last block, in the columns of ``docs``."""
     n = len(docs.columns)
     out = docs.withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
-    schema = StructType(out.schema.fields + StructType.fromDDL(_STATE_DDL).fields)
-    for block in _blocks(benchmark, item_col, item_text_col, window, block_bytes):
+    own = out.schema.fields
+    schema = StructType(own + StructType.fromDDL(_STATE_DDL).fields)
+    blocks = list(_blocks(benchmark, item_col, item_text_col, window, block_bytes))
+    for block in blocks[:-1] if then else blocks:
         out = out.mapInArrow(lambda b, block=block: _scan(block, at, n, b), schema)
-    return out
+    return out.mapInArrow(lambda b: then(_scan(blocks[-1], at, n, b)), StructType(own)) if then else out
 
 
 def _hit_words():
@@ -293,7 +297,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """``docs`` without the spans of benchmark windows in contaminated texts.
     A text of which no word is left goes; all others stay as they are."""
     at, n = docs.columns.index(text_col), len(docs.columns)
-    found = _scanned(by_place(docs), at, benchmark, **options)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -312,7 +315,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             yield pa.RecordBatch.from_arrays(columns, b.schema.names[:n]).filter(
                 pa.array(keep, pa.bool_()))
 
-    return found.mapInArrow(cut, StructType(found.schema.fields[:n])).toDF(*docs.columns)
+    # in one pass, so that a task has one Python worker
+    return _scanned(by_place(docs), at, benchmark, then=cut, **options).toDF(*docs.columns)
 
 
 def _words(text: str):
