@@ -106,3 +106,12 @@ def test_unknown_settings_are_refused():
         SensorConfig.from_dict({"bas_value": 60})
     cfg = SensorConfig.from_dict({"field_terms": {"4": "S01"}, "key_columns": ["patient_id"]})
     assert cfg.field_terms == {4: "S01"} and cfg.key_columns == ("patient_id",)
+
+
+def test_bounded_print(spark):
+    from pulseline.sources.sinks import print_rows
+    said = []
+    assert print_rows(spark.range(25), 10, said.append) == 10
+    assert len(said) == 11 and said[-1] == "..."
+    said.clear()
+    assert print_rows(spark.range(3), 10, said.append) == 3 and len(said) == 3

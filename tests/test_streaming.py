@@ -10,6 +10,7 @@ from pulseline.operators.summary import summary
 from pulseline.plans.oracle import SQL
 from pulseline.plans.streams import STREAM_PLANS
 from pulseline.session import scratch_path
+from pulseline.sources.lines import read_lines
 from pulseline.streaming import queries as sq
 
 
@@ -161,3 +162,21 @@ def test_bucketed_folds_match_keyed(spark):
         keyed = _fold_stream(spark, f"{root}/in", f"{root}/k{literal}", literal, None)
         bucketed = _fold_stream(spark, f"{root}/in", f"{root}/b{literal}", literal, 2)
         assert len(keyed) == 30 and keyed == bucketed
+
+
+def test_queries_on_a_time_trigger(spark):
+    """Without ``available_now`` the queries go on from trigger to trigger."""
+    root = scratch_path(spark, "test")
+    _write(spark, f"{root}/in", _lines(6))
+    stream = rec.trial_records(read_lines(spark, f"{root}/in", mode="stream"))
+    qs = sq.start_sensor_queries(spark, stream, f"{root}/out", trigger="1 second")
+    try:
+        for _ in range(2):
+            for q in qs.values():
+                q.processAllAvailable()
+            _write(spark, f"{root}/in", _lines(6, start=6))
+    finally:
+        for q in qs.values():
+            q.stop()
+    assert sq.records_seen(spark, f"{root}/out") == 12
+    assert spark.read.parquet(f"{root}/out/summary").count() == 12
