@@ -13,9 +13,8 @@ What the tree says of a symbol depends on its (DEPTH + 1)-gram only.  So the
 tree is never in one place: its levels are tables of grams, each joined with
 the level of its suffixes, and the last one has the log probability of every
 gram of all texts.  Grams that make up a share of at least 2^-GRAM_HEAD_BITS
-of all symbols (so at most 2^GRAM_HEAD_BITS of them) are broadcast; all others
-meet their probabilities in a join.  ``SuffixTree`` is the same model in the
-memory of one process, as an automaton.
+of all symbols (so at most 2^GRAM_HEAD_BITS of them, 16 bytes each) are broadcast;
+all others meet their probabilities in a join.
 
 Word counts are kept whole.  Words that make up a share of at least
 2^-HEAD_BITS of all tokens (so at most 2^HEAD_BITS of them) are broadcast; all
@@ -43,9 +42,7 @@ GAIN_PER_SYMBOL = 0.01
 HEAD_BITS = 20
 GRAM_HEAD_BITS = 21
 HEAD_WORD_BYTES = 64
-SLICE_BYTES = 4 << 20
-LANE_BYTES = 1024
-MOST_GRAMS = 1 << 21
+SLICE_BYTES = 2 << 20
 SPACE, END = 32, 10  # both are white space, so no word has them
 
 
@@ -63,43 +60,39 @@ def _grams(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not lines:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     pad = bytes([END]) * DEPTH
-    data = np.frombuffer(b"".join(pad + x + bytes([END]) for x in lines), np.uint8).astype(np.int64)
+    data = np.frombuffer(b"".join(pad + x + bytes([END]) for x in lines), np.uint8)
     n = len(data) - DEPTH
     out = np.zeros(n, np.int64)
     for k in range(DEPTH + 1):
-        out = (out << 8) | data[k:k + n]
+        out <<= 8
+        out |= data[k:k + n]
     size = np.array([len(x) + 1 for x in lines], np.int64)
     starts = np.r_[0, np.cumsum(size + DEPTH)[:-1]]
-    rows = np.repeat(starts - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-    return out[rows], np.repeat(np.arange(len(size)), size)
+    real = np.ones(n, bool)  # a gram that ends in another line's padding is none
+    ends = starts[1:]
+    for k in range(1, DEPTH + 1):
+        real[ends - k] = False
+    return out[real], np.repeat(np.arange(len(size), dtype=np.int32), size)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, n, uses): how often training texts and all texts have it,
-    combined within a task as long as that stays small."""
-    keys, counts = np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
-
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, counts)], ["gram", "n", "uses"])
-
+    """(gram, n, uses): how often training texts and all texts have it, in
+    each slice of the texts.  Spark's partial aggregate adds the slices up,
+    so a task holds one slice of texts and its grams at a time."""
     for batch in batches:
         data, offsets = text_buffer(batch.column(0))
-        held = batch.column(1).to_numpy(zero_copy_only=False)
+        held = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
         for first, last in byte_slices(offsets, SLICE_BYTES):
             raw = data[offsets[first]:offsets[last]].tobytes()
             cut = (offsets[first:last + 1] - offsets[first]).tolist()
-            lines = [stream(raw[a:b])[0] for a, b in zip(cut, cut[1:])]
-            for out_of in (False, True):
-                k, uses = np.unique(_grams([x for x, h in zip(lines, held[first:last]) if h == out_of])[0],
-                                    return_counts=True)
-                keys, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
-                counts = np.stack([np.bincount(at, weights=np.concatenate([c, x]), minlength=len(keys))
-                                   for c, x in zip(counts, (uses * (not out_of), uses))]).astype(np.int64)
-            if len(keys) > MOST_GRAMS:
-                yield out()
-                keys, counts = np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
-    if len(keys):
-        yield out()
+            grams, line = _grams([stream(raw[a:b])[0] for a, b in zip(cut, cut[1:])])
+            # a gram takes 48 bits; the lowest bit tells held-out texts from training texts
+            keys, n = np.unique(grams << 1 | held[first:last][line], return_counts=True)
+            new = np.flatnonzero(np.r_[True, keys[1:] >> 1 != keys[:-1] >> 1][:len(keys)])
+            if len(new):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[new] >> 1), pa.array(np.add.reduceat(np.where(keys & 1, 0, n), new)),
+                     pa.array(np.add.reduceat(n, new))], ["gram", "n", "uses"])
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
@@ -113,27 +106,6 @@ def _last(gram: Column, n: int) -> Column:
     return gram.bitwiseAND(F.lit((1 << 8 * n) - 1)) if n < 8 else gram
 
 
-def candidates(texts: DataFrame, min_share: float = 0.0, min_count: int = MIN_COUNT) -> list[tuple[int, int, int]]:
-    """(depth, gram, n) of every context that occurs ``min_count`` times and
-    has a share of at least ``min_share``, and each of its next symbols, for
-    a tree in memory."""
-    grams = gram_counts(texts.select("text", F.lit(False).alias("held_out")))
-    total = grams.agg(F.sum("n")).first()[0]
-    if not total:
-        return []
-    depths = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), _last(F.col("gram"), d + 1).alias("gram"))
-                                 for d in range(DEPTH + 1))))
-    by_depth = grams.select("n", depths.alias("g")).groupBy("g.depth", "g.gram").agg(
-        F.sum("n").alias("n"))
-    # a context's share comes from its own grams of one symbol less, the last being the next symbol
-    contexts = by_depth.groupBy("depth", F.shiftrightunsigned("gram", 8).alias("context")).agg(
-        F.sum("n").alias("all"), F.collect_list(F.struct("gram", "n")).alias("next"))
-    enough = (F.col("all") >= min_share * total) & (F.col("all") >= min_count) | (F.col("depth") == 0)
-    rows = contexts.where(enough).select(
-        "depth", F.explode("next").alias("x")).select("depth", "x.gram", "x.n")
-    return [tuple(r) for r in rows.collect()]
-
-
 # --- the tree as tables -------------------------------------------------------
 
 def gram_scores(grams: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
@@ -169,97 +141,6 @@ def gram_scores(grams: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     return materialize(x.select("gram", "uses", F.log10("best").alias("log")), "logs")
 
 
-# --- the tree in memory, as an automaton -----------------------------------------------
-
-class SuffixTree:
-    """``contexts``: the retained ones, as bytes.  ``step`` and ``log10`` are
-    indexed by state and symbol column (``column`` of a byte)."""
-
-    def __init__(self, rows: list[tuple[int, int, int]]):
-        counts: dict[bytes, dict[int, int]] = {}
-        for depth, gram, n in rows:
-            context = ((gram % (1 << 64)) >> 8).to_bytes(8, "big")[8 - depth:]
-            counts.setdefault(context, {})[gram & 255] = n
-        seen = sorted({b for c in counts.values() for b in c})
-        self.column = np.full(256, len(seen), np.int64)  # the last column: bytes never seen
-        self.column[seen] = np.arange(len(seen))
-        width = len(seen) + 1
-        chance: dict[bytes, np.ndarray] = {}
-        kept: dict[bytes, bytes] = {}  # context -> longest retained suffix
-        self.contexts: list[bytes] = []
-        for context in sorted(counts, key=len):
-            n = np.zeros(width)
-            for b, c in counts[context].items():
-                n[self.column[b]] = c
-            kinds, total = np.count_nonzero(n), n.sum()
-            if context:
-                below = chance[context[1:]]
-                kept[context] = kept[context[1:]]
-                some = n > 0
-                left_out = (n[some] - 1 + kinds * below[some]) / (total - 1 + kinds)
-                gain = float((n[some] * np.log(left_out / below[some])).sum())
-                if gain >= max(MIN_GAIN, GAIN_PER_SYMBOL * total):
-                    kept[context] = context
-                    self.contexts.append(context)
-            else:
-                below = np.full(width, 1 / 256)
-                kept[context] = context
-            # one unseen byte's share each; the last column stands for any one of them
-            chance[context] = (n + kinds * below) / (total + kinds)
-        states = {b""} | {c[:k] for c in self.contexts for k in range(1, len(c) + 1)}
-        states = sorted(states, key=lambda c: (len(c), c))
-        number = {c: i for i, c in enumerate(states)}
-
-        def longest(context: bytes) -> bytes:
-            while context not in number:
-                context = context[1:]
-            return context
-
-        def model(context: bytes) -> np.ndarray:
-            while context not in kept:
-                context = context[1:]
-            return chance[kept[context]]
-
-        if not counts:
-            chance[b""], kept[b""] = np.full(width, 1 / 256), b""
-        self.log10 = np.log10(np.stack([model(c) for c in states])).astype(np.float32)
-        self.step = np.zeros((len(states), width), np.int32)
-        for i, c in enumerate(states):
-            for b in seen:
-                self.step[i, self.column[b]] = number[longest(c + bytes([b]))]
-        # an unseen byte ends all contexts
-        self.width, self.n_states = width, len(states)
-        self.step = (self.step * width).reshape(-1)
-        self.log10 = self.log10.reshape(-1)
-        self.column = self.column.astype(np.int32)
-
-    def score(self, lines: list[bytes]) -> np.ndarray:
-        """log10 probability of each line and its end."""
-        pad = bytes([END]) * DEPTH
-        data = self.column[np.frombuffer(b"".join(pad + x + bytes([END]) for x in lines), np.uint8)]
-        size = np.array([len(x) + 1 for x in lines], np.int64)
-        if not len(size):
-            return np.zeros(0)
-        begin = np.r_[0, np.cumsum(size + DEPTH)[:-1]] + DEPTH
-        n_lanes = -(-size // LANE_BYTES)
-        lane_doc = np.repeat(np.arange(len(size)), n_lanes)
-        k = np.arange(n_lanes.sum()) - np.repeat(np.r_[0, np.cumsum(n_lanes)[:-1]], n_lanes)
-        start = begin[lane_doc] + k * LANE_BYTES
-        length = np.minimum(LANE_BYTES, size[lane_doc] - k * LANE_BYTES)
-        order = np.argsort(-length, kind="stable")
-        start, length, lane_doc = start[order], length[order], lane_doc[order]
-        state = np.zeros(len(start), np.int32)
-        for j in range(-DEPTH, 0):  # warm-up
-            state = self.step[state + data[start + j]]
-        total = np.zeros(len(start))
-        live = np.searchsorted(-length, -np.arange(length[0]), side="left")
-        for j, n in enumerate(live.tolist()):
-            at = state[:n] + data[start[:n] + j]
-            total[:n] += self.log10[at]
-            state[:n] = self.step[at]
-        return np.bincount(lane_doc, weights=total, minlength=len(size))
-
-
 # --- the operator -------------------------------------------------------------
 
 def word_counts(texts: DataFrame) -> DataFrame:

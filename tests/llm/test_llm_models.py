@@ -1,11 +1,13 @@
 """SimHash, FM-index, suffix tree, language ID, SentencePiece."""
 
+import dataclasses
 import hashlib
 import random
 import zlib
 
 import numpy as np
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 import brute
@@ -13,7 +15,8 @@ from pulseline.llm import pst, simhash
 from pulseline.llm.common import table
 from pulseline.llm.fmindex import FmIndex, decontaminate, op10_benchmark_decontamination, scan_benchmark, suffix_array
 from pulseline.llm.langid import op6_language_id
-from pulseline.llm.pieces import MODEL, Codec
+from pulseline.llm.pieces import MODEL, Codec, build_tokenizer
+from suffix_tree import SuffixTree, candidates
 
 SF = "/root/testdata/sf0.01"
 
@@ -129,8 +132,8 @@ def test_base_scores(spark):
 
 def test_suffix_tree(spark):
     lines = ["abracadabra " * 20, "abacab " * 30, "the quick brown fox " * 10, "über " * 10, ""]
-    rows = pst.candidates(spark.createDataFrame([(x,) for x in lines], "text string"), min_share=1e-3)
-    tree = pst.SuffixTree(rows)
+    rows = candidates(spark.createDataFrame([(x,) for x in lines], "text string"), min_share=1e-3)
+    tree = SuffixTree(rows)
     assert tree.contexts and tree.n_states >= len(tree.contexts)
     chance = 10 ** tree.log10.reshape(tree.n_states, tree.width).astype(float)
     unseen = 256 - (tree.width - 1)
@@ -173,18 +176,32 @@ def test_piece_parity():
             "\x00", "ﬁ", "    " * 7, "Hello", "aaaa", "====", "----", "....", "1234567", "​"]
     texts = ["", " "] + ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 25))) for _ in range(3000)]
     ids, same = codec.encode(texts)
-    assert all(same) and ids == codec.exact.encode(texts)
+    # the ids are those of the rebuilt pipeline; the other library's come from it alone
+    reference = sentencepiece.SentencePieceProcessor(model_file=MODEL).encode(texts)
+    rebuilt = [x.ids for x in codec.mine.encode_batch(texts, add_special_tokens=False)]
+    assert all(same) and ids == rebuilt == reference
     back = codec.decode(ids)
     assert back == codec.exact.decode(ids) == codec.mine.decode_batch(ids, skip_special_tokens=False)
     assert back == [t.replace("▁", " ") for t in texts]
 
 
-def test_sql_digest_matches_ids(spark):
-    from pulseline.llm.pieces import op5_sentencepiece
+def test_rows_where_the_libraries_differ_say_so():
+    """With merges in another order, parity is false and the exact ids stay."""
     with open(MODEL, "rb") as f:
         codec = Codec(f.read())
+    m = codec.model
+    wrong = [(p, -s, k) for p, s, k in m.pieces]
+    codec.mine = build_tokenizer(dataclasses.replace(m, pieces=wrong))
+    some = ["", "the quick brown fox", "hello world"]
+    ids, same = codec.encode(some)
+    assert ids == sentencepiece.SentencePieceProcessor(model_file=MODEL).encode(some)
+    assert same == [True, False, False]
+
+
+def test_sql_digest_matches_ids(spark):
+    from pulseline.llm.pieces import op5_sentencepiece
     docs = texts(spark)
-    ids, _ = codec.encode(list(docs.values()))
+    ids = sentencepiece.SentencePieceProcessor(model_file=MODEL).encode(list(docs.values()))
     want = {d: hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for d, x in zip(docs, ids)}
     got = op5_sentencepiece(spark, SF).collect()
     assert {r.doc_id: r.ids_sha256 for r in got} == want and all(r.parity and r.round_trip for r in got)
@@ -199,7 +216,7 @@ def test_tree_grows_with_the_corpus(spark):
             for i in range(150)]
     docs = spark.createDataFrame(rare + bulk + [(999, "qzxjk beta über vwqzx")], "doc_id long, text string")
     held = F.col("doc_id") == 999
-    tree = pst.SuffixTree(pst.candidates(docs.where(~held)))
+    tree = SuffixTree(candidates(docs.where(~held)))
     assert any(set(b"qzxjk") & set(c) for c in tree.contexts)
     lines = {r.doc_id: pst.stream(r.text.encode())[0] for r in docs.collect()}
     want = dict(zip(lines, tree.score(list(lines.values()))))
