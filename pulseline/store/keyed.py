@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
-from pulseline.operators.report import latest_by_key
 from pulseline.operators.summary import combine_partial, finish_summary, partial_summary
 
 BUCKET, WRITE, BATCH = "bucket", "write", "_batch"
@@ -50,9 +49,11 @@ class Kind:
 
 
 def _latest(rows: DataFrame, key: str, by: tuple) -> DataFrame:
-    out = latest_by_key(rows, key) if not by else latest_by_key(
-        rows.withColumn("_key", F.struct(*by, key)).drop(*by, key), "_key")
-    return out if not by else out.select("_key.*", *[c for c in out.columns if c != "_key"])
+    """One row per key (and ``by`` columns): the latest record.  Grouped by
+    the columns themselves, so that rows dealt by ``by`` stay where they are."""
+    others = [c for c in rows.columns if c not in (key, *by)]
+    last = F.max_by(F.struct(*others), F.struct("start_ts", "seq"))
+    return rows.groupBy(*by, key).agg(last.alias("_r")).select(*by, key, "_r.*")
 
 
 KINDS = {

@@ -137,5 +137,9 @@ def test_buckets_of_a_version_do_not_depend_on_partitions(spark):
     store.append(records(spark, lines(80)).repartition(7), 0)
     files = [f for f in store.read().inputFiles()]
     assert len(files) == len(store.manifest.touched())
-    assert keyed.KINDS.keys() == WANT.keys()
+    words = spark.createDataFrame([("a",), ("b",), ("a",)], "word STRING")
+    counts = KeyedStore.create(spark, scratch_path(spark, "store"), words, key="word", kind="counts", buckets=4)
+    assert counts.append(words, 0) and counts.append(words, 1)
+    assert rows(counts.read()) == [(2, "b"), (4, "a")]
+    assert {"counts", *WANT} == set(keyed.KINDS)
     assert store.read().where(F.col("record_key").isNull()).count() == 0

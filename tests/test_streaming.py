@@ -115,6 +115,15 @@ def test_command_line_sensor_once(spark):
     assert spark.read.parquet(f"{root}/out/summary").count() == 9
 
 
+def test_command_line_one_pass_once(spark):
+    from pulseline.__main__ import main
+    from pulseline.streaming import onepass as op
+    root = scratch_path(spark, "test-cli")
+    _write(spark, f"{root}/in", _lines(9) + [hr_line(value="x")])
+    assert main(["sensor", "--path", f"{root}/in", "--out", f"{root}/out", "--once", "--one-pass"]) == 0
+    assert op.summaries(spark, f"{root}/out").count() == 9 and op.dead_letters(spark, f"{root}/out").count() == 1
+
+
 def test_command_line_words_once(spark):
     from pulseline.__main__ import main
     root = scratch_path(spark, "test-cli")
