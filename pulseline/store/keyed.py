@@ -235,7 +235,8 @@ class KeyedStore:
     def _write(self, rows: DataFrame, part: str, write: str) -> None:
         """One file for each bucket that has rows."""
         if BUCKET not in rows.columns:
-            rows = rows.withColumn(BUCKET, self._bucket()).repartition(BUCKET)
+            rows = rows.withColumn(BUCKET, self._bucket()).repartition(
+                self.manifest.buckets, BUCKET)
         rows.write.partitionBy(BUCKET).parquet(f"{self.path}/{part}/{WRITE}={write}")
 
     def _buckets_of(self, part: str, write: str) -> tuple[int, ...]:
@@ -263,7 +264,7 @@ class KeyedStore:
         m, some = self.manifest, set(buckets)
         rows = self._snapshot(buckets).unionByName(self._read(
             "delta", [(w, b) for w, touched in m.deltas for b in touched if b in some]))
-        return KINDS[m.kind].combine(rows.repartition(BUCKET), m.key, (BUCKET,))
+        return KINDS[m.kind].combine(rows.repartition(m.buckets, BUCKET), m.key, (BUCKET,))
 
     def _commit(self, m: Manifest) -> None:
         """Put a manifest in place: written under another name, then renamed."""

@@ -10,6 +10,8 @@ one batch are bounded by the trigger size (``maxFilesPerTrigger`` /
 
 from __future__ import annotations
 
+import json
+import zlib
 from typing import Iterator
 
 import numpy as np
@@ -57,6 +59,62 @@ def running_batch(v: np.ndarray, state):
     return cnt, tot, mn, mx, (int(cnt[-1]), int(tot[-1]), int(mn[-1]), int(mx[-1]))
 
 
+def running_runs(v: np.ndarray, starts: np.ndarray, states: list):
+    """``running_batch`` of all runs of a batch at once: ``starts`` are their
+    first rows and ``states`` what each carries (count, sum, min, max first),
+    or None.  Returns the rows' columns and the list of new states."""
+    ends = np.append(starts[1:], len(v))
+    run = np.repeat(np.arange(len(starts)), ends - starts)
+    none = (0, 0, np.iinfo(np.int64).max, np.iinfo(np.int64).min)
+    old = np.array([none if s is None else s[:4] for s in states], np.int64).reshape(-1, 4)
+    cnt = np.arange(1, len(v) + 1) - starts[run] + old[run, 0]
+    total = np.cumsum(v)
+    tot = total - (total - v)[starts][run] + old[run, 1]
+    by_run = pd.Series(v).groupby(run)
+    mn = np.minimum(by_run.cummin().to_numpy(), old[run, 2])
+    mx = np.maximum(by_run.cummax().to_numpy(), old[run, 3])
+    last = ends - 1
+    return (cnt, tot, mn, mx), list(zip(*(c[last].tolist() for c in (cnt, tot, mn, mx))))
+
+
+PACKETS = 16
+
+
+class PacketState:
+    """State entries of a bucket's keys, kept in ``PACKETS`` packets by the
+    key's CRC-32.  A state call from Python costs a round trip, so a batch
+    reads and writes whole packets of the keys that it has, not single keys."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, packets: int = PACKETS):
+        self.map = handle.getMapState(name, "packet INT", "entries STRING")
+        self.packets = packets
+
+    def _packet(self, key) -> int:
+        return zlib.crc32(key.encode()) % self.packets if key is not None else 0
+
+    def load(self, keys) -> list:
+        """The entry of each key, a list, or None for a new key."""
+        of = [self._packet(k) for k in keys]
+        self.held = {}
+        for p in set(of):
+            got = self.map.getValue((p,))
+            self.held[p] = {k: e for k, *e in json.loads(got[0])} if got is not None else {}
+        return [self.held[p].get(k) for p, k in zip(of, keys)]
+
+    def store(self, keys, entries) -> None:
+        """Put the entries of the keys that ``load`` has just had."""
+        for k, e in zip(keys, entries):
+            self.held[self._packet(k)][k] = e
+        for p, held in self.held.items():
+            self.map.updateValue((p,), (json.dumps([(k, *e) for k, e in held.items()]),))
+        self.held = {}
+
+
+def run_starts(keys: np.ndarray) -> np.ndarray:
+    """First row of each run of equal keys in a key-sorted array."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+
+
 class RunningSummaryProcessor(StatefulProcessor):
     """Running count, sum, min, max and averages per key."""
 
@@ -158,7 +216,7 @@ class LiteralFoldProcessor(StatefulProcessor):
 
 def _key_runs(keys: np.ndarray):
     """(start, end) of each run of equal keys in a key-sorted array."""
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    starts = run_starts(keys)
     return zip(starts, np.append(starts[1:], len(keys)))
 
 
@@ -167,39 +225,41 @@ class _BucketedFold(StatefulProcessor):
 
     The stream is grouped by a hash bucket of the key, not by the key: the
     Python stateful runner costs a few ms per group, which dominates when a
-    batch holds thousands of keys.  State is still one small entry per key
-    (a map state keyed by the key), so a batch reads and writes only the
-    keys it contains, and a key's rows in one batch are bounded by the
+    batch holds thousands of keys.  State is one small entry per key, kept in
+    packets (``PacketState``), so a batch reads and writes only packets of
+    keys that it contains, and a key's rows in one batch are bounded by the
     trigger size.  Subclasses fold one key's values given its state.
     """
 
-    STATE_SCHEMA = ""
     KEY = "record_key"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getMapState("fold", f"{self.KEY} STRING", self.STATE_SCHEMA)
+        self.state = PacketState(handle, "fold_packets")
 
     def fold(self, v: np.ndarray, state):
         raise NotImplementedError
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _ordered(rows, [self.KEY, "start_ts", "seq"])
-        keys = pdf[self.KEY].to_numpy()
-        v = pdf["value"].to_numpy(dtype=np.int64)
-        cols = None
-        new_keys = []
-        for s, e in _key_runs(keys):
-            k = (keys[s],)
-            state = self.state.getValue(k)          # None for a new key
-            if state is None:
-                new_keys.append(s)
-            *arrays, new_state = self.fold(v[s:e], state)
+    def fold_runs(self, v: np.ndarray, starts: np.ndarray, states: list):
+        """Columns of all rows and the new state of each run."""
+        cols, new = None, []
+        for s, e, state in zip(starts, np.append(starts[1:], len(v)), states):
+            *arrays, now = self.fold(v[s:e], state)
             if cols is None:
                 cols = [np.empty(len(v), dtype=np.int64) for _ in arrays]
             for c, a in zip(cols, arrays):
                 c[s:e] = a
-            self.state.updateValue(k, new_state)
-        yield self.output(pdf, cols, np.asarray(new_keys, dtype=np.int64))
+            new.append(now)
+        return cols, new
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _ordered(rows, [self.KEY, "start_ts", "seq"])
+        keys = pdf[self.KEY].to_numpy()
+        starts = run_starts(keys)
+        names = keys[starts].tolist()
+        states = self.state.load(names)             # None for a new key
+        cols, new = self.fold_runs(pdf["value"].to_numpy(dtype=np.int64), starts, states)
+        self.state.store(names, new)
+        yield self.output(pdf, cols, starts[[s is None for s in states]])
 
     def output(self, pdf: pd.DataFrame, cols, new_rows: np.ndarray) -> pd.DataFrame:
         raise NotImplementedError
@@ -218,10 +278,8 @@ def _record_columns(pdf: pd.DataFrame) -> dict:
 class BucketedRunningSummaryProcessor(_BucketedFold):
     """``RunningSummaryProcessor``, grouped by key bucket."""
 
-    STATE_SCHEMA = "n BIGINT, total BIGINT, mn INT, mx INT"
-
-    def fold(self, v, state):
-        return running_batch(v, state)
+    def fold_runs(self, v, starts, states):
+        return running_runs(v, starts, states)
 
     def output(self, pdf, cols, new_rows):
         cnt, tot, mn, mx = cols
@@ -234,8 +292,6 @@ class BucketedRunningSummaryProcessor(_BucketedFold):
 class BucketedLiteralFoldProcessor(_BucketedFold):
     """``LiteralFoldProcessor``, grouped by key bucket."""
 
-    STATE_SCHEMA = "mx INT, mn INT, n BIGINT, total BIGINT"
-
     def fold(self, v, state):
         return literal_fold_batch(v, state)
 
@@ -282,27 +338,27 @@ class BucketedWordCountProcessor(StatefulProcessor):
     Grouping by a hash bucket of the word instead of the word itself cuts
     the per-group overhead of the Python stateful runner (a few ms per
     group, which dominates with tens of thousands of distinct words per
-    batch).  State stays one entry per word (a map state keyed by word, one
-    store entry each), so a batch touches only the words it contains.
+    batch).  State stays one entry per word, kept in packets
+    (``PacketState``), so a batch touches only packets of words it contains.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", "word STRING", "n BIGINT")
+        self.counts = PacketState(handle, "count_packets")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        for word, n in zip(initialState["word"], initialState["seed_n"]):
-            self.counts.updateValue((word,), (int(n),))
+        words = initialState["word"].tolist()
+        self.counts.load(words)
+        self.counts.store(words, [(int(n),) for n in initialState["seed_n"]])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _ordered(rows, ["word", "doc_id", "pos"])
         words = pdf["word"].to_numpy()
-        n = np.empty(len(pdf), dtype=np.int64)
-        for s, e in _key_runs(words):
-            w = words[s]
-            got = self.counts.getValue((w,))      # None for a word not seen yet
-            n0 = got[0] if got is not None else 0
-            n[s:e] = n0 + np.arange(1, e - s + 1)
-            self.counts.updateValue((w,), (int(n[e - 1]),))
+        starts = run_starts(words)
+        names = words[starts].tolist()
+        before = np.array([0 if e is None else e[0] for e in self.counts.load(names)], np.int64)
+        lengths = np.diff(np.append(starts, len(words)))
+        n = np.arange(1, len(words) + 1) + np.repeat(before - starts, lengths)
+        self.counts.store(names, zip((before + lengths).tolist()))
         yield pd.DataFrame({"doc_id": pdf["doc_id"], "pos": pdf["pos"].astype("int32"),
                             "word": pdf["word"], "n": n})
 
