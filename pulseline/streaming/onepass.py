@@ -30,7 +30,7 @@ from pulseline.config import SensorConfig
 from pulseline.operators.records import filter_fields, filter_lines, line_counts, parse_lines
 from pulseline.operators.summary import IDENTITY, _avg_cols
 from pulseline.sources.lines import read_lines
-from pulseline.streaming.processors import _div_trunc, _key_runs, running_batch
+from pulseline.streaming.processors import PacketState, _div_trunc, run_starts, running_runs
 from pulseline.streaming.queries import _prepare, await_all, default_buckets, sink
 
 RECORD = ("record_key STRING, variance INT, percentage FLOAT, trial_id STRING, patient_id STRING, "
@@ -67,10 +67,8 @@ class OnePassProcessor(StatefulProcessor):
         self.threshold = threshold
 
     def init(self, handle) -> None:
-        self.state = handle.getMapState(
-            "totals", "record_key STRING",
-            "n BIGINT, total BIGINT, mn INT, mx INT, at BIGINT, seq BIGINT, "
-            "trial_id STRING, patient_id STRING, visit_name STRING")
+        # entries: count, sum, min, max, start second and sequence of the latest record, its identity
+        self.state = PacketState(handle, "totals_packets")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
@@ -91,21 +89,18 @@ class OnePassProcessor(StatefulProcessor):
     def _records(self, pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         order = ["record_key", "start_ts", "seq"]
         pdf = pdf.sort_values(order, kind="mergesort", na_position="first").reset_index(drop=True)
-        v = pdf["value"].to_numpy(np.int64)
-        run = np.zeros((4, len(pdf)), np.int64)
+        keys = pdf["record_key"].to_numpy()
+        starts = run_starts(keys)
+        names = keys[starts].tolist()
+        states = self.state.load(names)
+        run, now = running_runs(pdf["value"].to_numpy(np.int64), starts, states)
+        ends = np.append(starts[1:], len(pdf)) - 1
         at, seq = _order_numbers(pdf)
-        totals = []
-        for s, e in _key_runs(pdf["record_key"].to_numpy()):
-            k = (pdf["record_key"].iat[s],)
-            old = self.state.getValue(k)
-            *columns, now = running_batch(v[s:e], old[:4] if old is not None else None)
-            for row, c in zip(run, columns):
-                row[s:e] = c
-            last = (int(at[e - 1]), int(seq[e - 1]), *(pdf[c].iat[e - 1] for c in IDENTITY))
-            if old is not None and tuple(old[4:6]) > last[:2]:
-                last = tuple(old[4:])
-            self.state.updateValue(k, (*now, *last))
-            totals.append((*k, *last[2:], *now))
+        latest = zip(at[ends].tolist(), seq[ends].tolist(), *(pdf[c].to_numpy()[ends].tolist() for c in IDENTITY))
+        latest = [last if old is None or (old[4], old[5]) <= last[:2] else tuple(old[4:])
+                  for last, old in zip(latest, states)]
+        self.state.store(names, [(*n, *last) for n, last in zip(now, latest)])
+        totals = [(k, *last[2:], *n) for k, n, last in zip(names, now, latest)]
         yield self._tagged(pdf[RECORD_COLUMNS], "record")
         count, total, low, high = run
         yield self._tagged(
