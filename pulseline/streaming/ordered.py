@@ -17,71 +17,75 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from pyspark.sql.types import StructType
 
-from pulseline.streaming.processors import RUNNING_SCHEMA, _div_trunc, _key_runs, running_batch
+from pulseline.streaming.processors import (
+    RUNNING_SCHEMA, PacketState, _div_trunc, run_starts, running_runs)
 from pulseline.streaming.queries import RECORD_INPUT, _prepare, default_buckets, key_bucket, sink
 
 BUFFERED = ["record_key", "trial_id", "patient_id", "visit_name", "value", "at", "seq"]
-BUFFER_SCHEMA = ("record_key STRING, trial_id STRING, patient_id STRING, visit_name STRING, value INT, "
-                 "at BIGINT, seq BIGINT")
+BUFFER_TYPES = pa.schema([*((c, pa.string()) for c in BUFFERED[:4]), ("value", pa.int32()),
+                          ("at", pa.int64()), ("seq", pa.int64())])
+CHUNK_ROWS = 10_000  # of waiting records in one state entry
 OUT_SCHEMA = f"{RUNNING_SCHEMA}, late BOOLEAN"
 OUT_COLUMNS = [f.split()[0] for f in OUT_SCHEMA.split(", ")]
 
 
 class OrderBufferProcessor(StatefulProcessor):
     """Buffer and running values of a bucket of keys.  A timer stands for the
-    earliest record that waits; it holds what arrives within the delay."""
+    earliest record that waits; it holds what arrives within the delay.
+    Records wait in chunks (Arrow streams), so state calls are few."""
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", BUFFER_SCHEMA)
-        self.state = handle.getMapState("totals", "record_key STRING",
-                                        "n BIGINT, total BIGINT, mn INT, mx INT")
+        self.waiting = handle.getListState("waiting_chunks", "chunk BINARY")
+        self.state = PacketState(handle, "totals_packets")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        earliest = None
+        staying = []
         for pdf in rows:
             pdf = pdf[pdf["record_key"].notna()]  # heartbeats have moved the watermark, that is all
             late = pdf["at"] < passed
             if late.any():
                 yield _rows(pdf[late], late=True)
-            stay = pdf[~late]
-            if len(stay):
-                self.waiting.appendList(_tuples(stay))
-                first = int(stay["at"].min())
-                earliest = first if earliest is None else min(earliest, first)
-        if earliest is not None:
-            self.handle.registerTimer(earliest + 1)
+            staying.append(_table(pdf[~late]))
+        stay = pa.concat_tables(staying) if staying else None
+        if stay:
+            self.waiting.appendList(_chunks(stay))
+            self.handle.registerTimer(pc.min(stay["at"]).as_py() + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        held = list(self.waiting.get()) if self.waiting.exists() else []
-        go = [r for r in held if r[5] < passed]
+        chunks = [pa.ipc.open_stream(r[0]).read_all() for r in self.waiting.get()] if self.waiting.exists() else []
+        if not chunks:
+            return
+        held = pa.concat_tables(chunks)
+        out = pc.fill_null(pc.less(held["at"], passed), True)
+        go, stay = held.filter(out), held.filter(pc.invert(out))
         if not go:
             return
-        stay = [r for r in held if r[5] >= passed]
         if stay:
-            self.waiting.put([tuple(r) for r in stay])
-            self.handle.registerTimer(min(r[5] for r in stay) + 1)
+            self.waiting.put(_chunks(stay))
+            self.handle.registerTimer(pc.min(stay["at"]).as_py() + 1)
         else:
             self.waiting.clear()
-        go.sort(key=lambda r: (r[0], r[5], r[6] is not None, r[6] or 0))
-        pdf = pd.DataFrame([tuple(r) for r in go], columns=BUFFERED)
-        v = pdf["value"].to_numpy(np.int64)
-        run = np.zeros((4, len(pdf)), np.int64)
-        for s, e in _key_runs(pdf["record_key"].to_numpy()):
-            k = (pdf["record_key"].iat[s],)
-            *columns, now = running_batch(v[s:e], self.state.getValue(k))
-            for row, c in zip(run, columns):
-                row[s:e] = c
-            self.state.updateValue(k, now)
-        count, total, low, high = run
+        pdf = go.drop_columns("seq").to_pandas()
+        pdf["seq"] = go["seq"].to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+        pdf = pdf.sort_values(["record_key", "at", "seq"], kind="mergesort", na_position="first")
+        pdf = pdf.reset_index(drop=True)
+        keys = pdf["record_key"].to_numpy()
+        starts = run_starts(keys)
+        names = keys[starts].tolist()
+        (count, total, low, high), now = running_runs(
+            pdf["value"].to_numpy(np.int64), starts, self.state.load(names))
+        self.state.store(names, now)
         yield _rows(pdf, late=False, run_count=count, run_sum=total, run_min=low, run_max=high,
                     run_avg_int=_div_trunc(total, count), run_avg=total / count)
 
@@ -89,11 +93,20 @@ class OrderBufferProcessor(StatefulProcessor):
         pass
 
 
-def _tuples(pdf: pd.DataFrame) -> list[tuple]:
-    columns = [[None if pd.isna(x) else x for x in pdf[c].tolist()] for c in BUFFERED]
-    for i in (4, 5, 6):
-        columns[i] = [None if x is None else int(x) for x in columns[i]]
-    return list(zip(*columns))
+def _table(pdf: pd.DataFrame) -> pa.Table:
+    return pa.table({f.name: pa.Array.from_pandas(pdf[f.name], type=f.type, safe=False) for f in BUFFER_TYPES},
+                    schema=BUFFER_TYPES)
+
+
+def _chunks(rows: pa.Table) -> list[tuple[bytes]]:
+    """Rows as state entries of at most ``CHUNK_ROWS``."""
+    out = []
+    for i in range(0, len(rows), CHUNK_ROWS):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as writer:
+            writer.write_table(rows.slice(i, CHUNK_ROWS))
+        out.append((sink.getvalue().to_pybytes(),))
+    return out
 
 
 _KIND = {"value": "Int32", "seq": "Int64", "run_count": "Int64", "run_sum": "Int64", "run_min": "Int32",
