@@ -143,15 +143,33 @@ def load_event_lines(spark: SparkSession, sf_dir: str, sep: str = "|", faults=No
     return render_event_lines(spark.read.parquet(f"{sf_dir}/events.parquet"), sep, faults=faults)
 
 
-def ordered_slices(df: DataFrame, order_value: Column, n_slices: int) -> Iterator[DataFrame]:
+def file_statuses(table: DataFrame) -> list[tuple]:
+    """Name and status of each file that a table is read from."""
+    spark = table.sparkSession
+    out = []
+    for name in sorted(table.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        out.append((name, path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)))
+    return out
+
+
+TASK_BYTES = 2 << 20  # of a slice's input files, about, in one task
+
+
+def ordered_slices(df: DataFrame, order_value: Column, n_slices: int,
+                   task_bytes: int = TASK_BYTES) -> Iterator[DataFrame]:
     """Consecutive ranges of ``order_value`` with about equally many rows, in
     order, however ``df`` is laid out in files.  Rows of one value share a
     slice.  ``df`` is written once, a folder for each slice, so reading all
-    slices reads it once more."""
+    slices reads it once more.  A slice is itself cut into ranges of about
+    ``task_bytes`` of the input files, so no task takes more as these grow."""
     spark = df.sparkSession
-    dealt = df.withColumn("_v", order_value).repartitionByRange(n_slices, "_v")
+    size = sum(s.getLen() for _, s in file_statuses(df))
+    parts = max(1, -(-size // (n_slices * task_bytes)))
+    dealt = df.withColumn("_v", order_value).repartitionByRange(n_slices * parts, "_v")
     path = scratch_path(spark, "slices")
-    dealt.withColumn("_slice", F.spark_partition_id()).drop("_v").write.partitionBy("_slice").parquet(path)
+    of = F.floor(F.spark_partition_id() / parts).cast("int")
+    dealt.withColumn("_slice", of).drop("_v").write.partitionBy("_slice").parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
     names = [s.getPath().getName() for s in found]
