@@ -5,7 +5,8 @@ number in theirs.  A term is a token of a line (a run of letters and digits)
 or a field with its whole text, written ``number=text``.  The index has, for
 each term and segment, the sorted rows of the segment that have it.  A term
 that every line has is thereby split by segments, and no list is longer than a
-segment.  Postings lie in buckets of the term's hash, a folder for each batch.
+segment; the list of a large segment lies in pieces, which a search puts
+together.  Postings lie in buckets of the term's hash, a folder for each batch.
 
 A search reads the buckets of its terms, intersects the lists segment by
 segment, and then reads only the segments in which all terms meet.
@@ -13,13 +14,17 @@ segment, and then reads only the segments in which all terms meet.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseline.functions.fields import split_fields
+from pulseline.session import input_bytes
 
 SEPARATORS = "[^A-Za-z0-9]+"
 BUCKETS = 64
@@ -27,6 +32,10 @@ BUCKETS = 64
 NAMED_SEGMENTS = 10_000
 LINES = "batch INT, seg INT, row INT, line STRING"
 POSTINGS = "term STRING, seg INT, rows ARRAY<INT>, batch INT, bucket INT"
+#: so many terms of lines, about, are turned into lists at once
+PIECE_TERMS = 2_000_000
+#: bytes of written lines whose postings one task writes: of few lines, of many
+FEW_BYTES, MANY_BYTES = 512 << 10, 8 << 20
 
 
 def terms_of(line: Column, sep: str = "|") -> Column:
@@ -42,6 +51,39 @@ def has_terms(line: Column, terms, sep: str = "|") -> Column:
     return reduce(lambda a, b: a & b, [F.array_contains(terms_of(line, sep), t) for t in terms])
 
 
+def _lists(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """(term, seg, rows) of some lines (seg, row, terms)."""
+    lines = pa.Table.from_batches(batches).combine_chunks()
+    seg, row = lines["seg"].to_numpy(), lines["row"].to_numpy()
+    order = np.lexsort((row, seg))
+    terms = lines["terms"].combine_chunks().take(pa.array(order))
+    line = order[terms.value_parent_indices().to_numpy()]
+    words = terms.flatten().dictionary_encode()
+    segments, place = np.unique(seg, return_inverse=True)
+    group = words.indices.to_numpy().astype(np.int64) * len(segments) + place[line]
+    by = np.argsort(group, kind="stable")  # lines stay in order
+    sorted_group = group[by]
+    first = np.flatnonzero(np.diff(sorted_group, prepend=-1))
+    offsets = np.append(first, len(by)).astype(np.int32)
+    code, at = np.divmod(sorted_group[first], len(segments))
+    return pa.RecordBatch.from_arrays([
+        words.dictionary.take(pa.array(code)), pa.array(segments[at], pa.int32()),
+        pa.ListArray.from_arrays(pa.array(offsets), pa.array(row[line[by]], pa.int32()))], ["term", "seg", "rows"])
+
+
+def postings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lists of terms of lines (seg, row, terms), a piece after another."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch.column("terms").flatten())
+        if n >= PIECE_TERMS:
+            yield _lists(held)
+            held, n = [], 0
+    if n:
+        yield _lists(held)
+
+
 @dataclass
 class LineIndex:
     spark: SparkSession
@@ -58,13 +100,28 @@ class LineIndex:
         kept.select("row", "line", "seg").write.mode("overwrite").partitionBy("seg").parquet(
             f"{self.path}/lines/batch={batch}")
         written = self.spark.read.schema(LINES).parquet(f"{self.path}/lines/batch={batch}")
-        postings = written.select("seg", "row", F.explode(terms_of(F.col("line"), self.sep)).alias("term"))
-        postings = postings.groupBy("term", "seg").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+        # a task makes lists of its lines, so lists are shuffled and not each term of each line
+        postings = written.where(F.col("line").isNotNull()).select(
+            "seg", "row", terms_of(F.col("line"), self.sep).alias("terms")).mapInArrow(
+            postings_of, "term STRING, seg INT, rows ARRAY<INT>")
         postings = postings.withColumn("bucket", self._bucket(F.col("term")))
-        (postings.repartitionByRange("bucket", "term").sortWithinPartitions("bucket", "term", "seg")
+        tasks, task = self._tasks(input_bytes(self.spark, f"{self.path}/lines/batch={batch}"))
+        (postings.repartitionById(tasks, task).sortWithinPartitions("bucket", "term", "seg")
          .write.mode("overwrite").partitionBy("bucket").option("compression", "zstd")
          .parquet(f"{self.path}/postings/batch={batch}"))
 
+    def _tasks(self, size: int) -> tuple[int, Column]:
+        """How many tasks write the postings of so many bytes of lines, and
+        which of them a posting's: neighbouring buckets share one, or a bucket
+        is cut into equal shares of terms and segments."""
+        bucket = F.col("bucket")
+        shares = -(-size // (self.buckets * MANY_BYTES))
+        if shares > 1:
+            share = F.pmod(F.hash("term", "seg"), F.lit(shares))
+            return self.buckets * shares, (bucket * shares + share).cast("int")
+        tasks = min(self.buckets, max(1, -(-size // FEW_BYTES)))
+        return tasks, F.floor(bucket * tasks / self.buckets).cast("int")
+
     def _bucket(self, term: Column) -> Column:
         return F.pmod(F.xxhash64(term), F.lit(self.buckets)).cast("int")
 
@@ -73,10 +130,11 @@ class LineIndex:
         wanted = sorted(set(terms))
         if not wanted:
             raise ValueError("a search needs a term")
-        probe = self.spark.createDataFrame([(t,) for t in wanted], "term STRING")
-        buckets = sorted({r[0] for r in probe.select(self._bucket(F.col("term"))).collect()})
+        buckets = sorted(set(self.spark.range(1).select(*(self._bucket(F.lit(t)) for t in wanted)).first()))
         found = self.spark.read.schema(POSTINGS).parquet(f"{self.path}/postings").where(
             F.col("bucket").isin(*buckets) & F.col("term").isin(*wanted))
+        found = found.groupBy("batch", "seg", "term").agg(
+            F.array_sort(F.flatten(F.collect_list("rows"))).alias("rows"))
         # a list for each term and segment: at most as many as there are terms
         met = found.groupBy("batch", "seg").agg(F.collect_list("rows").alias("lists")).where(
             F.size("lists") == len(wanted))

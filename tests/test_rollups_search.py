@@ -84,3 +84,28 @@ def test_a_term_of_every_line_is_split_by_segments(spark):
     lists = index.hits("MEASUREMENT").collect()
     assert len(lists) == 8 and sum(len(r.rows) for r in lists) == 400
     assert all(r.rows == sorted(set(r.rows)) for r in lists)
+
+
+def test_an_index_shuffles_lists_and_not_terms(spark, monkeypatch):
+    """Postings come as a list for each term and segment of a task, some in
+    pieces, and are computed once."""
+    from pulseline.store import search
+    some = [f"common {i}|k{i % 3}" for i in range(300)] + [None, "", "common common|k1"]
+    index = LineIndex(spark, scratch_path(spark, "index"), buckets=4)
+    index.append(frame(spark, some).coalesce(1), 0)
+    kept = spark.read.parquet(f"{index.path}/postings").where("term = 'common'").collect()
+    assert len(kept) == 1 and len(kept[0].rows) == 301
+    lines = spark.createDataFrame([(s, r, ["a", f"t{r}"]) for s in (3, 1) for r in range(5)],
+                                  "seg INT, row INT, terms ARRAY<STRING>").toArrow().combine_chunks()
+    monkeypatch.setattr(search, "PIECE_TERMS", 8)
+    pieces = list(search.postings_of(iter(lines.to_batches(max_chunksize=2))))
+    got = [(r["term"], r["seg"], r["rows"]) for p in pieces for r in p.to_pylist()]
+    assert len(pieces) == 3 and len(got) < 20
+    assert sorted((t, s, r) for t, s, rows in got for r in rows) == sorted(
+        (t, s, r) for s in (1, 3) for r in range(5) for t in ("a", f"t{r}"))
+    for size in (0, 3 << 20, 1 << 30):  # every bucket's postings have a task of their own, or a share of one
+        tasks, task = index._tasks(size)
+        used = spark.range(2_000).select(F.col("id").cast("string").alias("term"), F.lit(0).alias("seg")).withColumn(
+            "bucket", index._bucket(F.col("term"))).select("bucket", task.alias("t")).distinct().collect()
+        assert {r.t for r in used} == set(range(tasks))
+        assert tasks <= 4 or len({r.t for r in used}) == len(used)
