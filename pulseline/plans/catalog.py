@@ -126,7 +126,8 @@ def word_totals(spark, sf_dir):
 
 def running_word_count(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return words.running_word_count(words.tokenize(words.with_text_chunk(docs), carry=(words.CHUNK,)))
+    chunked = words.with_text_chunk(docs, texts_per_chunk=words.texts_per_chunk(docs))
+    return words.running_word_count(words.tokenize(chunked, carry=(words.CHUNK,), lists=True))
 
 
 def order_parts(spark, sf_dir):

@@ -35,3 +35,30 @@ def test_an_outlier_id_does_not_undo_the_chunks(spark):
     t = words.tokenize(chunked, carry=(words.CHUNK,))
     got = sorted((r.doc_id, r.n) for r in words.running_word_count(t).collect() if r.word == "the")
     assert got == [(i, i) for i in range(1, 700)] + [(2 ** 60, 700)]
+
+
+def test_a_chunk_in_lists_is_counted_without_sorting_its_words(spark):
+    """The same counts from lists and from rows, with ids that repeat or are
+    missing, and with chunks too large to hold; words aren't sorted with ids."""
+    texts = ["hello a  b", "", None, "  ", "a b hello a", "b a world", "é é a", "a a b", " x", "a", "b b world a"]
+    ids = [5, 1, 2, 3, None, 5, 9, None, 5, 2 ** 40, -7]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id BIGINT, text STRING")
+    frame_seed = words.seed_frame(spark, [("b", 4)])
+    for seed, per, most in ((words.DEFAULT_WORD_SEED, 1, words.MOST_BYTES), (words.DEFAULT_WORD_SEED, 3, 12),
+                            ([("a", 10), ("nowhere", 3)], 100, words.MOST_BYTES), (frame_seed, 3, 0)):
+        rows = words.running_word_count(words.tokenize(df), seed)
+        chunked = words.with_text_chunk(df, texts_per_chunk=per)
+        lists = words.tokenize(chunked, carry=(words.CHUNK,), lists=True)
+        got = words.running_word_count(lists, seed, most_bytes=most)
+        assert got.columns == rows.columns and got.dtypes == rows.dtypes
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr), (per, most)
+    plan = words.running_word_count(lists)._jdf.queryExecution().executedPlan().toString()
+    sorts = [x for x in plan.splitlines() if " Sort [" in x]
+    assert "FlatMapCoGroupsInArrow" in plan and not [x for x in sorts if "pos#" in x]
+
+
+def test_chunks_follow_the_size_of_texts(spark):
+    df = _texts(spark, ["é" * 50, "x" * 300, None])
+    assert words.texts_per_chunk(df, chunk_bytes=1_000) == 5
+    assert words.texts_per_chunk(df, chunk_bytes=10) == 1
+    assert words.texts_per_chunk(df.limit(0), chunk_bytes=10) == 10
