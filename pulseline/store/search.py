@@ -20,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,8 @@ BUCKETS = 64
 NAMED_SEGMENTS = 10_000
 LINES = "batch INT, seg INT, row INT, line STRING"
 POSTINGS = "term STRING, seg INT, rows ARRAY<INT>, batch INT, bucket INT"
-#: so many terms of lines, about, are turned into lists at once
-PIECE_TERMS = 2_000_000
+#: so many bytes of lines, about, are turned into lists at once
+PIECE_BYTES = 8 << 20
 #: bytes of written lines whose postings one task writes: of few lines, of many
 FEW_BYTES, MANY_BYTES = 512 << 10, 8 << 20
 
@@ -51,37 +52,73 @@ def has_terms(line: Column, terms, sep: str = "|") -> Column:
     return reduce(lambda a, b: a & b, [F.array_contains(terms_of(line, sep), t) for t in terms])
 
 
-def _lists(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """(term, seg, rows) of some lines (seg, row, terms)."""
-    lines = pa.Table.from_batches(batches).combine_chunks()
-    seg, row = lines["seg"].to_numpy(), lines["row"].to_numpy()
-    order = np.lexsort((row, seg))
-    terms = lines["terms"].combine_chunks().take(pa.array(order))
-    line = order[terms.value_parent_indices().to_numpy()]
-    words = terms.flatten().dictionary_encode()
-    segments, place = np.unique(seg, return_inverse=True)
-    group = words.indices.to_numpy().astype(np.int64) * len(segments) + place[line]
-    by = np.argsort(group, kind="stable")  # lines stay in order
-    sorted_group = group[by]
-    first = np.flatnonzero(np.diff(sorted_group, prepend=-1))
-    offsets = np.append(first, len(by)).astype(np.int32)
-    code, at = np.divmod(sorted_group[first], len(segments))
+_IN_TOKEN = np.zeros(256, bool)
+_IN_TOKEN[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+
+
+def _tokens(lines: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """All tokens of lines, and the place of each one's line."""
+    ends = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset:lines.offset + len(lines) + 1]
+    text = np.frombuffer(lines.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    inside = _IN_TOKEN[text]
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    first = ends[:-1][np.diff(ends) > 0]  # a line's first letter goes on with no token
+    start[first] = inside[first]
+    at = np.flatnonzero(start)
+    offsets = np.append(np.cumsum(inside)[at] - 1, np.count_nonzero(inside)).astype(np.int32)
+    tokens = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(text[inside]))
+    return tokens, np.searchsorted(ends, at, side="right") - 1
+
+
+def _lists(terms: pa.Array, code: np.ndarray, line: np.ndarray, seg: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+    """(term, seg, rows): ``code`` names the terms that the lines in places
+    ``line`` have; ``seg`` and ``row`` are the lines', in order."""
+    code, line = np.divmod(np.unique(code.astype(np.int64) * max(1, len(seg)) + line), max(1, len(seg)))
+    segs = seg[line]
+    new = np.ones(len(code), bool)
+    new[1:] = (np.diff(code) != 0) | (np.diff(segs) != 0)
+    first = np.flatnonzero(new)
+    offsets = np.append(first, len(code)).astype(np.int32)
     return pa.RecordBatch.from_arrays([
-        words.dictionary.take(pa.array(code)), pa.array(segments[at], pa.int32()),
-        pa.ListArray.from_arrays(pa.array(offsets), pa.array(row[line[by]], pa.int32()))], ["term", "seg", "rows"])
+        terms.take(pa.array(code[first])), pa.array(segs[first], pa.int32()),
+        pa.ListArray.from_arrays(pa.array(offsets), pa.array(row[line], pa.int32()))], ["term", "seg", "rows"])
+
+
+def _lists_of(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lists of the tokens and of the fields of some lines."""
+    lines = pa.Table.from_batches(batches)
+    lines = lines.take(pc.sort_indices(lines, sort_keys=[("seg", "ascending"), ("row", "ascending")])).combine_chunks()
+    seg, row = lines["seg"].to_numpy(), lines["row"].to_numpy()
+    tokens, line = _tokens(lines["line"].combine_chunks().cast(pa.string()))
+    coded = tokens.dictionary_encode()
+    yield _lists(coded.dictionary, coded.indices.to_numpy(), line, seg, row)
+    fields = lines["fields"].combine_chunks()
+    lengths = fields.value_lengths().to_numpy()
+    number = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    texts, line = fields.flatten().cast(pa.string()), fields.value_parent_indices().to_numpy()
+    full = pc.binary_length(texts).to_numpy() > 0
+    coded = texts.filter(pa.array(full)).dictionary_encode()
+    width = max(1, len(coded.dictionary))
+    found, code = np.unique(number[full] * width + coded.indices.to_numpy(), return_inverse=True)
+    number, text = np.divmod(found, width)
+    terms = pc.binary_join_element_wise(pa.array(number).cast(pa.string()), coded.dictionary.take(pa.array(text)), "=")
+    yield _lists(terms, code, line[full], seg, row)
 
 
 def postings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lists of terms of lines (seg, row, terms), a piece after another."""
-    held, n = [], 0
+    """The lists of the terms (``terms_of``) of lines (seg, row, line,
+    fields), a piece after another."""
+    held, size = [], 0
     for batch in batches:
         held.append(batch)
-        n += len(batch.column("terms").flatten())
-        if n >= PIECE_TERMS:
-            yield _lists(held)
-            held, n = [], 0
-    if n:
-        yield _lists(held)
+        size += pc.sum(pc.binary_length(batch.column("line"))).as_py() or 0
+        if size >= PIECE_BYTES:
+            yield from _lists_of(held)
+            held, size = [], 0
+    if size:
+        yield from _lists_of(held)
 
 
 @dataclass
@@ -102,7 +139,7 @@ class LineIndex:
         written = self.spark.read.schema(LINES).parquet(f"{self.path}/lines/batch={batch}")
         # a task makes lists of its lines, so lists are shuffled and not each term of each line
         postings = written.where(F.col("line").isNotNull()).select(
-            "seg", "row", terms_of(F.col("line"), self.sep).alias("terms")).mapInArrow(
+            "seg", "row", "line", split_fields(F.col("line"), self.sep).alias("fields")).mapInArrow(
             postings_of, "term STRING, seg INT, rows ARRAY<INT>")
         postings = postings.withColumn("bucket", self._bucket(F.col("term")))
         tasks, task = self._tasks(input_bytes(self.spark, f"{self.path}/lines/batch={batch}"))

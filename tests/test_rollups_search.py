@@ -1,5 +1,6 @@
 """Reports from stored summaries, and search by the inverted index."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,14 +96,17 @@ def test_an_index_shuffles_lists_and_not_terms(spark, monkeypatch):
     index.append(frame(spark, some).coalesce(1), 0)
     kept = spark.read.parquet(f"{index.path}/postings").where("term = 'common'").collect()
     assert len(kept) == 1 and len(kept[0].rows) == 301
-    lines = spark.createDataFrame([(s, r, ["a", f"t{r}"]) for s in (3, 1) for r in range(5)],
-                                  "seg INT, row INT, terms ARRAY<STRING>").toArrow().combine_chunks()
-    monkeypatch.setattr(search, "PIECE_TERMS", 8)
-    pieces = list(search.postings_of(iter(lines.to_batches(max_chunksize=2))))
+    texts = ["x|y", "", "é9a|a9", "a a|b-a|", "|A_1|x", "=|1=x", "x\U0001f600y|\n\t", "||", "x"]
+    lines = spark.createDataFrame([(s, r, x) for s in (3, 1) for r, x in enumerate(texts)],
+                                  "seg INT, row INT, line STRING").withColumn("fields", search.split_fields(F.col("line")))
+    monkeypatch.setattr(search, "PIECE_BYTES", 20)
+    pieces = list(search.postings_of(iter(lines.toArrow().combine_chunks().to_batches(max_chunksize=2))))
     got = [(r["term"], r["seg"], r["rows"]) for p in pieces for r in p.to_pylist()]
-    assert len(pieces) == 3 and len(got) < 20
-    assert sorted((t, s, r) for t, s, rows in got for r in rows) == sorted(
-        (t, s, r) for s in (1, 3) for r in range(5) for t in ("a", f"t{r}"))
+    want = lines.select(F.explode(search.terms_of(F.col("line"))).alias("term"), "seg", "row").collect()
+    assert len(pieces) > 2 and len(got) < len(want)
+    assert sorted((t, s, r) for t, s, rows in got for r in rows) == sorted(map(tuple, want))
+    raw = pa.array([b"a\xe9b|\xff", b"c"]).view(pa.string())
+    assert search._tokens(raw[0:])[0].to_pylist() == ["a", "b", "c"]
     for size in (0, 3 << 20, 1 << 30):  # every bucket's postings have a task of their own, or a share of one
         tasks, task = index._tasks(size)
         used = spark.range(2_000).select(F.col("id").cast("string").alias("term"), F.lit(0).alias("seg")).withColumn(
