@@ -81,7 +81,7 @@ def with_text_chunk(texts: DataFrame, id_col: str = "doc_id", texts_per_chunk: i
 def words_of_chunk(texts: pa.Table) -> pa.Table:
     """How often a chunk's texts have each of their words."""
     words = texts[WORDS].combine_chunks().flatten().value_counts()
-    return pa.table({"word": words.field("values"), CHUNK: pc.take(texts[CHUNK], pa.array([0] * len(words))),
+    return pa.table({"word": words.field("values"), CHUNK: texts[CHUNK].take(pa.array(np.zeros(len(words), np.int64))),
                      "n": words.field("counts")})
 
 
