@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -115,6 +117,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Runtime settings for as long as a block runs.  A query that starts in it
+    keeps them."""
+    was = {name: spark.conf.get(name, None) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in was.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+#: Shuffle files go when their job or batch ends.  Else they stay until the
+#: driver happens to collect its garbage.
+SHUFFLES_GO = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 MB = 1024 * 1024
 
 

@@ -153,6 +153,27 @@ def file_statuses(table: DataFrame) -> list[tuple]:
     return out
 
 
+def move_files(table: DataFrame, folder: str, prefix: str) -> list[str]:
+    """Move the files that a table is read from into a folder, their names
+    with a prefix; returns where they are now."""
+    spark = table.sparkSession
+    to = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(to)
+    moved = []
+    for _, status in file_statuses(table):
+        moved.append(f"{folder}/{prefix}{status.getPath().getName()}")
+        if not fs.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(moved[-1])):
+            raise RuntimeError(f"{status.getPath()} could not be moved to {folder}")
+    return moved
+
+
+def delete_files(spark: SparkSession, names: list[str]) -> None:
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
 TASK_BYTES = 2 << 20  # of a slice's input files, about, in one task
 
 

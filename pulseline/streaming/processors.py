@@ -16,8 +16,11 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from pulseline.streaming.packed import TEXTS, TOKENS, Piece
+
 # Fixed values of the literal fold (see operators.compat).
 BLANK_MAX = 0
 BLANK_MIN = 1000
@@ -364,3 +367,66 @@ class BucketedWordCountProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+RANGE_TOKENS = 1 << 20  # of a bucket, counted at once
+ROWS_OUT = 1 << 17  # handed over at once
+
+
+def _sorted_tokens(code: np.ndarray, rank: np.ndarray, pos: np.ndarray):
+    """Tokens in order of (word, text, position)."""
+    bits = [max(1, int(a.max()).bit_length()) for a in (code, rank, pos)]
+    if sum(bits) > 63:
+        order = np.lexsort((pos, rank, code))
+        return code[order], rank[order], pos[order]
+    # one number for each token, so that numbers are sorted and not places
+    one = np.sort((code << (bits[1] + bits[2])) | (rank << bits[2]) | pos)
+    return one >> (bits[1] + bits[2]), (one >> bits[2]) & ((1 << bits[1]) - 1), one & ((1 << bits[2]) - 1)
+
+
+class PackedWordCountProcessor(BucketedWordCountProcessor):
+    """``BucketedWordCountProcessor`` over packed rows (``streaming.packed``).
+
+    A bucket's tokens of a batch stay packed, some bytes each; they are
+    unpacked and counted a range of ids of about ``RANGE_TOKENS`` tokens after
+    the other, so that a very frequent word is not held as rows.  Only texts
+    with the same id (or none) are in one range however many they are.
+    """
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pieces = [Piece.of(*row) for pdf in rows for row in zip(pdf[TEXTS], pdf[TOKENS])]
+        coded = pa.concat_arrays([p.words for p in pieces]).dictionary_encode()
+        words, codes = coded.dictionary, np.split(
+            coded.indices.to_numpy().astype(np.int64), np.cumsum([len(p.words) for p in pieces])[:-1])
+        names = words.to_pylist()
+        before = np.array([0 if e is None else e[0] for e in self.counts.load(names)], np.int64)
+
+        # texts by id, those without one first, and the range that each falls into
+        missing = np.concatenate([p.missing for p in pieces])
+        ids, rank = np.unique(np.concatenate([p.ids for p in pieces])[~missing], return_inverse=True)
+        ranks = np.zeros(len(missing), np.int64)
+        ranks[~missing] = rank + 1
+        size = np.bincount(ranks, np.concatenate([p.counts for p in pieces])).astype(np.int64)
+        ranges = (np.cumsum(size) - size) // RANGE_TOKENS
+        ranks = np.split(ranks, np.cumsum([len(p.ids) for p in pieces])[:-1])
+        for r in np.unique(ranges).tolist():
+            low, high = np.searchsorted(ranges, [r, r + 1])
+            some = []
+            for piece, code, of in zip(pieces, codes, ranks):
+                if len(of) and of[0] < high and of[-1] >= low:
+                    text, number, pos = piece.tokens()
+                    inside = slice(*np.searchsorted(of[text], [low, high]))
+                    some.append((code[number[inside]], of[text[inside]] - low, pos[inside]))
+            code, rank, pos = _sorted_tokens(*(np.concatenate(x) for x in zip(*some)))
+            starts = run_starts(code)
+            lengths = np.diff(np.append(starts, len(code)))
+            n = np.arange(1, len(code) + 1) + np.repeat(before[code[starts]] - starts, lengths)
+            before[code[starts]] += lengths
+            rank += low
+            for i in range(0, len(n), ROWS_OUT):
+                at, of = slice(i, i + ROWS_OUT), rank[i:i + ROWS_OUT]
+                doc_id = pa.array(np.append(0, ids)[of], pa.int64(), mask=of == 0)
+                yield pd.DataFrame({
+                    "doc_id": pd.arrays.ArrowExtensionArray(doc_id), "pos": pos[at].astype("int32"),
+                    "word": pd.arrays.ArrowExtensionArray(words.take(pa.array(code[at]))), "n": n[at]})
+        self.counts.store(names, zip(before.tolist()))

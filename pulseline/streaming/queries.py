@@ -18,13 +18,14 @@ from pulseline.operators.records import (
     add_key, filter_fields, filter_lines, parse_trial, trial_records)
 from pulseline.operators.report import flag_alerts
 from pulseline.operators.summary import IDENTITY, _avg_cols
-from pulseline.operators.words import seed_frame, tokenize, with_seed
-from pulseline.session import STATE_STORE_PROVIDER
+from pulseline.operators.words import WORDS, seed_frame, tokenize, with_seed
+from pulseline.session import STATE_STORE_PROVIDER, settings
 from pulseline.sources.lines import read_lines
 from pulseline.store.keyed import KeyedStore, feed
+from pulseline.streaming.packed import BUCKETS, PACKED_SCHEMA, pack_batches
 from pulseline.streaming.processors import (
     COMPAT_SCHEMA, RUNNING_SCHEMA, WORDS_SCHEMA, BucketedLiteralFoldProcessor,
-    BucketedRunningSummaryProcessor, BucketedWordCountProcessor, LiteralFoldProcessor,
+    BucketedRunningSummaryProcessor, LiteralFoldProcessor, PackedWordCountProcessor,
     RunningSummaryProcessor, WordCountProcessor)
 
 RECORD_INPUT = ["record_key", "trial_id", "patient_id", "visit_name", "value", "start_ts", "seq"]
@@ -35,17 +36,22 @@ def _prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
     # a batch writes what it changed; whole snapshots follow in the background
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # else the store of each partition takes 4 MB of disk at once, one after each restart
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
 
 
 def sink(df: DataFrame, path: str, checkpoint: str, *, trigger: str | None = None,
-         available_now: bool = False, partition_by=(), name: str | None = None) -> StreamingQuery:
-    """Append a streaming DataFrame to a Parquet log with its own checkpoint."""
+         available_now: bool = False, partition_by=(), name: str | None = None, codec: str | None = None) -> StreamingQuery:
+    """Append a streaming DataFrame to a Parquet log with its own checkpoint;
+    ``codec`` is its compression, if not the session's."""
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if name:
         w = w.queryName(name)
+    if codec:
+        w = w.option("compression", codec)
     if available_now:
         w = w.trigger(availableNow=True)
     elif trigger:
@@ -87,7 +93,7 @@ def default_buckets(spark: SparkSession) -> int:
     return max(MIN_BUCKETS, 2 * parts)
 
 
-def key_bucket(col: str, buckets: int):
+def key_bucket(col, buckets: int):
     return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
 
 
@@ -171,24 +177,26 @@ def word_count_stream(texts: DataFrame, seed=DEFAULT_WORD_SEED,
     """Cumulative seeded word counts of a text stream (one row per token).
 
     The stateful function runs once per hash bucket of words (``buckets``,
-    default ``default_buckets``); state is still one entry per word.
-    ``None`` keys it by word.
+    default ``default_buckets``); state is still one entry per word.  Tokens
+    are shuffled to their bucket packed (``streaming.packed``).  ``None`` keys
+    it by word.
     """
     spark = texts.sparkSession
     seed_df = seed if isinstance(seed, DataFrame) else seed_frame(spark, seed)
-    tokens = tokenize(texts)
     if buckets is None:
-        return tokens.groupBy("word").transformWithStateInPandas(
+        return tokenize(texts).groupBy("word").transformWithStateInPandas(
             statefulProcessor=WordCountProcessor(), outputStructType=WORDS_SCHEMA,
             outputMode="Append", timeMode="None", initialState=seed_df.groupBy("word"))
     if buckets == -1:
         buckets = default_buckets(spark)
-    bucket = key_bucket("word", buckets)
-    return (tokens.withColumn("bucket", bucket).groupBy("bucket")
+    lists = tokenize(texts, lists=True).select(
+        F.col("doc_id").cast("bigint"), WORDS,
+        F.transform(WORDS, lambda word: key_bucket(word, buckets)).alias(BUCKETS))
+    seeds = seed_df.withColumn("bucket", key_bucket("word", buckets))
+    return (lists.mapInArrow(pack_batches("doc_id", buckets), PACKED_SCHEMA).groupBy("bucket")
             .transformWithStateInPandas(
-                statefulProcessor=BucketedWordCountProcessor(), outputStructType=WORDS_SCHEMA,
-                outputMode="Append", timeMode="None",
-                initialState=seed_df.withColumn("bucket", bucket).groupBy("bucket")))
+                statefulProcessor=PackedWordCountProcessor(), outputStructType=WORDS_SCHEMA,
+                outputMode="Append", timeMode="None", initialState=seeds.groupBy("bucket")))
 
 
 def start_sensor_queries(spark: SparkSession, records: DataFrame, out_dir: str, *,
@@ -233,12 +241,19 @@ def configured_records(spark: SparkSession, cfg) -> DataFrame:
     return add_key(parse_trial(lines, sep=cfg.separator, base=cfg.base_value), cfg.key_columns)
 
 
+#: Tokens are written in order of word, text and position: as differences their
+#: columns take about half as much as with dictionaries.  The sink has no option
+#: for that, it takes over what the session has when the query starts.
+AS_DIFFERENCES = {"parquet.writer.version": "v2", "parquet.enable.dictionary": "false"}
+
+
 def start_word_count(spark: SparkSession, texts: DataFrame, out_dir: str, *,
                      seed=DEFAULT_WORD_SEED, trigger: str | None = None,
                      available_now: bool = False) -> StreamingQuery:
     _prepare(spark)
-    return sink(word_count_stream(texts, seed), f"{out_dir}/words", f"{out_dir}/_ckpt/words",
-                trigger=trigger, available_now=available_now)
+    with settings(spark, AS_DIFFERENCES):
+        return sink(word_count_stream(texts, seed), f"{out_dir}/words", f"{out_dir}/_ckpt/words",
+                    trigger=trigger, available_now=available_now, codec="zstd")
 
 
 def await_all(queries, timeout_s: float | None = None) -> None:
