@@ -22,7 +22,7 @@ from pulseline.operators.words import WORDS
 BUCKET, TEXTS, TOKENS, BUCKETS = "bucket", "texts", "tokens", "_buckets"
 PACKED_SCHEMA = f"{BUCKET} INT, {TEXTS} BINARY, {TOKENS} BINARY"
 # of texts, about, that are packed together: enough for each bucket, few enough for a task
-LEAST_BYTES, BYTES_A_BUCKET, MOST_BYTES = 8 << 20, 32 << 10, 64 << 20
+LEAST_BYTES, BYTES_A_BUCKET, MOST_BYTES = 4 << 20, 16 << 10, 32 << 20
 CODEC, LEVEL = "zstd", 3
 
 
@@ -117,6 +117,9 @@ def pack_batches(id_col: str, buckets: int) -> Callable[[Iterator[pa.RecordBatch
                     held, size = [], 0
         if held:
             yield pack_texts(pa.Table.from_batches(held), id_col)
+        del held
+        # the worker waits for its next task while others work
+        pa.default_memory_pool().release_unused()
 
     return pack
 

@@ -247,11 +247,18 @@ def configured_records(spark: SparkSession, cfg) -> DataFrame:
 AS_DIFFERENCES = {"parquet.writer.version": "v2", "parquet.enable.dictionary": "false"}
 
 
+#: Texts go to the tasks' Python in batches of at most so much.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+#: All state stores of an executor share so much memory.
+STORE_MEMORY = {"spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+                "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}
+
+
 def start_word_count(spark: SparkSession, texts: DataFrame, out_dir: str, *,
                      seed=DEFAULT_WORD_SEED, trigger: str | None = None,
                      available_now: bool = False) -> StreamingQuery:
     _prepare(spark)
-    with settings(spark, AS_DIFFERENCES):
+    with settings(spark, AS_DIFFERENCES | SMALL_BATCHES | STORE_MEMORY):
         return sink(word_count_stream(texts, seed), f"{out_dir}/words", f"{out_dir}/_ckpt/words",
                     trigger=trigger, available_now=available_now, codec="zstd")
 
