@@ -369,7 +369,7 @@ class BucketedWordCountProcessor(StatefulProcessor):
         pass
 
 
-RANGE_TOKENS = 1 << 19  # of a bucket, counted at once
+RANGE_TOKENS = 1 << 18  # of a bucket, counted at once
 ROWS_OUT = 1 << 17  # handed over at once
 
 

@@ -251,7 +251,7 @@ AS_DIFFERENCES = {"parquet.writer.version": "v2", "parquet.enable.dictionary": "
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 #: All state stores of an executor share so much memory.
 STORE_MEMORY = {"spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-                "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}
+                "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128"}
 
 
 def start_word_count(spark: SparkSession, texts: DataFrame, out_dir: str, *,
